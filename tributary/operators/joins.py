@@ -34,3 +34,13 @@ def missing_from(left: DataFrame, right: DataFrame, on) -> DataFrame:
 
 def present_in(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_semi")
+
+
+def attach_one_row(df: DataFrame, *one_row: DataFrame) -> DataFrame:
+    """Append the columns of single-row aggregates (a global ``agg`` without
+    grouping always yields exactly one row) to every row of ``df``. The
+    one-row side is broadcast, so this is a map-side append, never a shuffle
+    and never a pairing of data rows."""
+    for r in one_row:
+        df = df.join(F.broadcast(r), how="inner")
+    return df

@@ -74,7 +74,7 @@ def q_canonical_number(spark, sf):
     v = round_half_up(F.col("l_extendedprice") / F.col("l_quantity"), 6)
     return l.select("l_orderkey", "l_linenumber", v.alias("value"),
                     canonical_number(v).alias("text"),
-                    F.octet_length(canonical_number(v)).alias("width"))
+                    F.octet_length(canonical_number(v)).cast("bigint").alias("width"))
 
 
 @query("java_hash")
@@ -115,3 +115,77 @@ def q_partial_merge(spark, sf):
 def q_salted_mean(spark, sf):
     pairs = agg.extract_pairs(fx.lineitem_text(spark, sf), TEXT_CONTRACT)
     return agg.salted_mean(pairs)
+
+
+# --- A4-A9, T1, J5 skew and shuffle model ------------------------------------
+
+from tributary.operators import skew  # noqa: E402
+
+SHUFFLE_MAPPERS = 6
+REDUCERS = 3
+
+
+def _dist(spark, sf, table, key, value):
+    t = load(spark, sf, table, key, value)
+    return skew.key_distribution(skew.pairs_from(t, F.col(key), F.col(value)))
+
+
+@query("key_distribution")
+def q_key_distribution(spark, sf):
+    d = _dist(spark, sf, "part", "p_brand", "p_retailprice")
+    return d.select("key", "count", round_half_up(F.col("sum"), 2).alias("sum"), "key_bytes",
+                    "java_hash")
+
+
+@query("skew_indicators")
+def q_skew_indicators(spark, sf):
+    return skew.skew_indicators(_dist(spark, sf, "events", "user_id", "value"))
+
+
+@query("pair_size_profile")
+def q_pair_size_profile(spark, sf):
+    p = skew.pair_profile(agg.extract_pairs(fx.lineitem_text(spark, sf), TEXT_CONTRACT))
+    return p.select("read", "valid", "discarded", "distinct_keys",
+                    round_half_up(F.col("mean_key_bytes"), 6).alias("mean_key_bytes"),
+                    round_half_up(F.col("mean_value_bytes"), 6).alias("mean_value_bytes"))
+
+
+@query("shuffle_estimate")
+def q_shuffle_estimate(spark, sf):
+    li = load(spark, sf, "lineitem", "l_suppkey", "l_extendedprice")
+    pairs = skew.pairs_from(li, F.col("l_suppkey"), F.col("l_extendedprice"))
+    return skew.shuffle_estimate(skew.key_distribution(pairs), skew.pair_profile(pairs),
+                                 SHUFFLE_MAPPERS, overhead=2)
+
+
+@query("partition_load")
+def q_partition_load(spark, sf):
+    return skew.partition_load(_dist(spark, sf, "orders", "o_custkey", "o_totalprice"), REDUCERS)
+
+
+@query("partition_load_spark")
+def q_partition_load_spark(spark, sf):
+    return skew.partition_load(_dist(spark, sf, "orders", "o_custkey", "o_totalprice"), REDUCERS,
+                               partitioner="spark")
+
+
+@query("salting_tradeoff")
+def q_salting_tradeoff(spark, sf):
+    return skew.salting_tradeoff(_dist(spark, sf, "lineitem", "l_returnflag", "l_extendedprice"),
+                                 SHUFFLE_MAPPERS, REDUCERS)
+
+
+@query("top_keys")
+def q_top_keys(spark, sf):
+    return skew.top_keys(_dist(spark, sf, "lineitem", "l_suppkey", "l_extendedprice"),
+                         SHUFFLE_MAPPERS)
+
+
+@query("estimate_vs_measured")
+def q_estimate_vs_measured(spark, sf):
+    li = load(spark, sf, "lineitem", "l_orderkey", "l_returnflag", "l_linestatus")
+    est = (li.where(F.col("l_orderkey") % 2 == 0).groupBy(F.col("l_returnflag").alias("key"))
+           .agg((F.count(F.lit(1)) * 2).alias("estimate")))
+    mea = (li.where(F.col("l_linestatus") == "O").groupBy(F.col("l_returnflag").alias("key"))
+           .agg(F.count(F.lit(1)).alias("measured")))
+    return skew.estimate_vs_measured(est, mea)

@@ -87,3 +87,126 @@ WITH parts AS (
 {mean_sql('SELECT * FROM parts', s='SUM(s)', n='SUM(c)', extra='COUNT(*) AS partials', where='')}"""
 
 ORACLE["salted_mean"] = mean_sql(pairs_sql(LINEITEM_TEXT))
+
+
+# --- A4-A9, T1, J5 ------------------------------------------------------------
+
+def dist_sql(pairs: str) -> str:
+    return (f"SELECT key, COUNT(*) AS count, CAST(SUM(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS sum, "
+            f"strlen(key) AS key_bytes, {java_hash('key')} AS java_hash "
+            f"FROM ({pairs}) p WHERE value IS NOT NULL GROUP BY key")
+
+
+def kv(table: str, key: str, value: str) -> str:
+    return f"SELECT CAST({key} AS VARCHAR) AS key, CAST({value} AS DOUBLE) AS value FROM {table}"
+
+
+def vbytes(s: str, c: str) -> str:
+    return (f"(strlen({canonical(s)}) + 1 + "
+            f"length(CAST(CAST(round_even({c}, 0) AS BIGINT) AS VARCHAR)))")
+
+
+def epairs(n: str, m: int) -> str:
+    return "1.0" if m <= 1 else f"({m} * (1 - pow(1 - 1 / {float(m)}, CAST({n} AS DOUBLE))))"
+
+
+def exp_terms(dist: str, m: int, overhead: int) -> str:
+    return (f"SELECT e AS _e, e * (key_bytes + {vbytes('sum / e', 'greatest(1.0, count / e)')} "
+            f"+ {overhead}) AS _b FROM (SELECT *, {epairs('count', m)} AS e FROM ({dist}) d0) d1")
+
+
+ORACLE["key_distribution"] = (f"SELECT key, count, {rnd('sum', 2)} AS sum, key_bytes, java_hash "
+                              f"FROM ({dist_sql(kv('part', 'p_brand', 'p_retailprice'))}) d")
+
+ORACLE["skew_indicators"] = f"""
+WITH dist AS ({dist_sql(kv('events', 'user_id', 'value'))}),
+t AS (SELECT MAX(count) AS max_count, MIN(count) AS min_count, CAST(SUM(count) AS BIGINT) AS records,
+             COUNT(*) AS keys FROM dist),
+top3 AS (SELECT SUM(count) AS top3 FROM (SELECT count FROM dist ORDER BY count DESC, key LIMIT 3) x)
+SELECT records, keys, max_count, min_count, {rnd('records / keys', 4)} AS mean_count,
+       {rnd('max_count / (records / keys)', 4)} AS max_to_mean,
+       {rnd('max_count / records', 4)} AS top1_share, {rnd('top3 / records', 4)} AS top3_share
+FROM t, top3"""
+
+ORACLE["pair_size_profile"] = f"""
+SELECT COUNT(*) AS read, COUNT(value) AS valid, COUNT(*) - COUNT(value) AS discarded,
+       COUNT(DISTINCT CASE WHEN value IS NOT NULL THEN key END) AS distinct_keys,
+       {rnd('SUM(CASE WHEN value IS NOT NULL THEN strlen(key) END) / COUNT(value)', 6)} AS mean_key_bytes,
+       {rnd(f"SUM(CASE WHEN value IS NOT NULL THEN strlen({canonical('value')}) + 2 END) / COUNT(value)", 6)}
+         AS mean_value_bytes
+FROM ({pairs_sql(LINEITEM_TEXT)}) p"""
+
+_M, _R = 6, 3
+_LI_SUPP = kv('lineitem', 'l_suppkey', 'l_extendedprice')
+ORACLE["shuffle_estimate"] = f"""
+WITH dist AS ({dist_sql(_LI_SUPP)}),
+prof AS (SELECT COUNT(*) AS valid, SUM(strlen(key)) / COUNT(*) AS mk,
+                SUM(strlen({canonical('value')}) + 2) / COUNT(*) AS mv
+         FROM ({_LI_SUPP}) p WHERE value IS NOT NULL),
+ex AS (SELECT SUM(_e) AS exp_pairs, SUM(_b) AS exp_bytes FROM ({exp_terms('SELECT * FROM dist', _M, 2)}) t),
+up AS (SELECT CAST(COUNT(*) * {_M} AS DOUBLE) AS up_pairs,
+              AVG(key_bytes + {vbytes(f'sum / {_M}', f'count / {_M}')}) AS mean_up FROM dist),
+one AS (SELECT CAST(valid AS DOUBLE) AS nc_pairs, valid * (mk + mv + 2) AS nc_bytes,
+               up_pairs, up_pairs * (mean_up + 2) AS up_bytes, exp_pairs, exp_bytes FROM prof, ex, up),
+r AS (SELECT 'no_combiner' AS scenario, nc_pairs AS pairs, nc_bytes AS bytes, nc_bytes FROM one
+      UNION ALL SELECT 'combiner_upper_bound', up_pairs, up_bytes, nc_bytes FROM one
+      UNION ALL SELECT 'combiner_expected', exp_pairs, exp_bytes, nc_bytes FROM one)
+SELECT scenario, {_M} AS mappers, {rnd('pairs', 4)} AS pairs, {rnd('bytes', 4)} AS bytes,
+       {rnd('(1 - bytes / nc_bytes) * 100', 4)} AS saving_pct FROM r"""
+
+
+def hadoop_part(h: str, r: int) -> str:
+    return f"CAST((CAST({h} AS BIGINT) & 2147483647) % {r} AS INTEGER)"
+
+
+ORACLE["partition_load"] = f"""
+WITH dist AS ({dist_sql(kv('orders', 'o_custkey', 'o_totalprice'))}),
+loads AS (SELECT {hadoop_part('java_hash', _R)} AS reducer, CAST(SUM(count) AS DOUBLE) AS load,
+                 COUNT(*) AS keys FROM dist GROUP BY 1),
+slots AS (SELECT CAST(range AS INTEGER) AS reducer FROM range({_R})),
+tot AS (SELECT CAST(SUM(count) AS DOUBLE) AS n FROM dist)
+SELECT s.reducer, {rnd('COALESCE(load, 0.0)', 4)} AS load, CAST(COALESCE(keys, 0) AS BIGINT) AS keys,
+       {rnd(f'n / {_R}', 4)} AS ideal, {rnd(f'COALESCE(load, 0.0) / (n / {_R})', 4)} AS imbalance
+FROM slots s LEFT JOIN loads l ON s.reducer = l.reducer, tot"""
+
+
+def _salt_summary(dist: str, prefix: str) -> str:
+    return f"""(SELECT * FROM
+  (SELECT SUM(_e) AS {prefix}_pairs, SUM(_b) AS {prefix}_bytes FROM ({exp_terms(dist, _M, 2)}) t) a,
+  (SELECT MAX(l) AS {prefix}_max_load FROM (SELECT {hadoop_part('java_hash', _R)} AS p, SUM(count) AS l
+     FROM ({dist}) d GROUP BY 1) x) b)"""
+
+
+_SALT_DIST = dist_sql(kv('lineitem', 'l_returnflag', 'l_extendedprice'))
+_SALTED = f"""
+SELECT key, count, sum, strlen(key) AS key_bytes, {java_hash('key')} AS java_hash, S FROM (
+  SELECT key || '#' || CAST(b AS VARCHAR) AS key, count / S AS count, sum / S AS sum, S FROM (
+    SELECT d.key, d.count, d.sum, s.S, unnest(range(0, s.S)) AS b
+    FROM ({_SALT_DIST}) d,
+         (SELECT CAST(greatest(2, ceil(MAX(count) / (SUM(count) / COUNT(*)))) AS INTEGER) AS S
+          FROM ({_SALT_DIST}) d2) s) x) y"""
+ORACLE["salting_tradeoff"] = f"""
+WITH one AS (SELECT * FROM {_salt_summary(_SALT_DIST, 'b')} bb, {_salt_summary(_SALTED, 'a')} aa,
+       (SELECT SUM(count) / {_R} AS ideal FROM ({_SALT_DIST}) d) i,
+       (SELECT MAX(S) AS buckets FROM ({_SALTED}) s) s),
+m AS (SELECT 'pairs' AS metric, buckets, b_pairs AS before, a_pairs AS after FROM one
+      UNION ALL SELECT 'bytes', buckets, b_bytes, a_bytes FROM one
+      UNION ALL SELECT 'max_load', buckets, b_max_load, a_max_load FROM one
+      UNION ALL SELECT 'imbalance', buckets, b_max_load / ideal, a_max_load / ideal FROM one)
+SELECT metric, buckets, {rnd('CAST(before AS DOUBLE)', 4)} AS before, {rnd('CAST(after AS DOUBLE)', 4)} AS after,
+       {rnd('(after / before - 1) * 100', 2)} AS change_pct FROM m"""
+
+ORACLE["top_keys"] = f"""
+WITH dist AS ({dist_sql(_LI_SUPP)}), tot AS (SELECT SUM(count) AS n FROM dist)
+SELECT row_number() OVER (ORDER BY count DESC, key) AS rank, key, count,
+       {rnd('count / n * 100', 4)} AS share_pct, {rnd(epairs('count', _M), 4)} AS expected_pairs
+FROM (SELECT * FROM dist ORDER BY count DESC, key LIMIT 10) t, tot"""
+
+ORACLE["estimate_vs_measured"] = f"""
+WITH est AS (SELECT l_returnflag AS key, COUNT(*) * 2 AS estimate FROM lineitem
+             WHERE l_orderkey % 2 = 0 GROUP BY 1),
+mea AS (SELECT l_returnflag AS key, COUNT(*) AS measured FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1)
+SELECT e.key, estimate, measured,
+       CASE WHEN measured IS NULL OR measured = 0 THEN NULL
+            ELSE {rnd('CAST(estimate - measured AS DOUBLE) / measured', 6)} END AS rel_error
+FROM est e LEFT JOIN mea m ON e.key = m.key"""
