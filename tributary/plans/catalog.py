@@ -189,3 +189,146 @@ def q_estimate_vs_measured(spark, sf):
     mea = (li.where(F.col("l_linestatus") == "O").groupBy(F.col("l_returnflag").alias("key"))
            .agg(F.count(F.lit(1)).alias("measured")))
     return skew.estimate_vs_measured(est, mea)
+
+
+# --- A10-A18, A20, A23, T2, T3, W6, J6, J7 profiling ---------------------------
+
+from functools import reduce  # noqa: E402
+
+from tributary.operators import profile as prof  # noqa: E402
+from tributary.plans.schemas import TEXT_WIDTH_TABLES, WIDTH_TABLES  # noqa: E402
+from tributary.sources.tables import TABLES  # noqa: E402
+
+
+def _union(frames):
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+@query("source_profile")
+def q_source_profile(spark, sf):
+    return _union([prof.source_profile(load(spark, sf, t), t) for t in TABLES])
+
+
+def completeness_input(spark, sf):
+    """documents with injected gaps, left-joined to labels."""
+    d = load(spark, sf, "documents")
+    d = d.select("doc_id",
+                 F.when(F.col("doc_id") % 97 != 0, F.col("text")).alias("text"),
+                 F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("lang"),
+                 F.when(F.col("doc_id") % 11 != 0, F.col("source")).alias("source"),
+                 "n_chars")
+    return d.join(load(spark, sf, "labels"), "doc_id", "left")
+
+
+@query("completeness")
+def q_completeness(spark, sf):
+    return prof.completeness(completeness_input(spark, sf))
+
+
+@query("row_duplicates")
+def q_row_duplicates(spark, sf):
+    return prof.row_duplicates(load(spark, sf, "documents", "text", "lang", "source"))
+
+
+@query("key_duplicates")
+def q_key_duplicates(spark, sf):
+    return prof.key_duplicates(load(spark, sf, "orders", "o_custkey"), "o_custkey")
+
+
+@query("arrival_profile")
+def q_arrival_profile(spark, sf):
+    return prof.arrival_profile(load(spark, sf, "events", "ts", "event_type"), "ts", "event_type",
+                                declared_frequency="continuous")
+
+
+@query("text_width_profile")
+def q_text_width_profile(spark, sf):
+    return _union([prof.text_width_profile(load(spark, sf, t), t) for t in TEXT_WIDTH_TABLES])
+
+
+@query("top_text_columns")
+def q_top_text_columns(spark, sf):
+    return prof.top_text_columns(_union([prof.text_lengths(load(spark, sf, t), t)
+                                         for t in TEXT_WIDTH_TABLES]))
+
+
+@query("expansion_ratio")
+def q_expansion_ratio(spark, sf):
+    return _union([prof.expansion_ratio(load(spark, sf, t), t) for t in WIDTH_TABLES])
+
+
+def orders_with_gaps(spark, sf):
+    o = load(spark, sf, "orders")
+    return o.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 53 != 0, F.col("o_orderdate")))
+
+
+@query("yearly_series")
+def q_yearly_series(spark, sf):
+    return prof.yearly_series(orders_with_gaps(spark, sf), "o_orderdate", sample_rows=1000)
+
+
+GROWTH_CENTRAL = (1997, 2000)
+GROWTH_UPPER = (1995, 2000)
+
+
+@query("growth_rate")
+def q_growth_rate(spark, sf):
+    o = load(spark, sf, "orders", "o_orderdate", "o_orderpriority")
+    return prof.growth_rate(o, "o_orderdate", "o_orderpriority", GROWTH_CENTRAL, GROWTH_UPPER)
+
+
+@query("fetch_completeness")
+def q_fetch_completeness(spark, sf):
+    o = load(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    per_order = (load(spark, sf, "lineitem", "l_orderkey").groupBy("l_orderkey")
+                 .agg(F.count(F.lit(1)).alias("_lines")))
+    year = F.year("o_orderdate").alias("year")
+    requested = o.groupBy(year).agg((F.count(F.lit(1)) * 4).alias("requested_rows"))
+    fetched = (per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+               .groupBy(year).agg(F.sum("_lines").alias("fetched_rows")))
+    return prof.fetch_completeness(requested, fetched, "year")
+
+
+def capacity_measures(spark, sf):
+    """Capacity sources: groups of orders by priority, measured with the
+    width model."""
+    return prof.source_measures(load(spark, sf, "orders"), F.col("o_orderpriority"))
+
+
+@query("measurement_gate")
+def q_measurement_gate(spark, sf):
+    return prof.measurement_gate(capacity_measures(spark, sf), expected_sources=5)
+
+
+@query("rank_disagreement")
+def q_rank_disagreement(spark, sf):
+    return prof.rank_disagreement(capacity_measures(spark, sf))
+
+
+@query("latest_run")
+def q_latest_run(spark, sf):
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    return prof.latest_run(o, F.col("o_custkey") % 5, "o_orderdate", "o_orderkey",
+                           F.col("o_orderstatus") == "F")
+
+
+# declared dictionary of lineitem: one column is not delivered (l_shipdate
+# missing) and two declared columns never arrive
+DECLARED_LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                     "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                     "l_comment", "l_shipmode"]
+
+
+@query("schema_drift")
+def q_schema_drift(spark, sf):
+    return prof.schema_drift(load(spark, sf, "lineitem"), DECLARED_LINEITEM)
+
+
+RUN_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
+
+
+@query("common_across_runs")
+def q_common_across_runs(spark, sf):
+    o = load(spark, sf, "orders", "o_orderpriority", "o_orderdate", "o_totalprice")
+    big = o.where(F.col("o_totalprice") > 450000)
+    return prof.common_across_runs(big, F.col("o_orderpriority"), F.year("o_orderdate"), RUN_YEARS)

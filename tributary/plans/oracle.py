@@ -210,3 +210,199 @@ SELECT e.key, estimate, measured,
        CASE WHEN measured IS NULL OR measured = 0 THEN NULL
             ELSE {rnd('CAST(estimate - measured AS DOUBLE) / measured', 6)} END AS rel_error
 FROM est e LEFT JOIN mea m ON e.key = m.key"""
+
+
+# --- A10-A18, A20, A23, T2, T3, W6, J6, J7 ------------------------------------
+
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from tributary.plans.schemas import (DRIVER_SCHEMAS, TEXT_WIDTH_TABLES,  # noqa: E402
+                                     WIDTH_TABLES)
+from tributary.plans.sqlkit import expansion  # noqa: E402
+
+
+def _half_up(x: float, n: int) -> float:
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-n), rounding=ROUND_HALF_UP))
+
+
+def _source_profile(t: str) -> str:
+    cols = DRIVER_SCHEMAS[t]
+    counts: dict[str, int] = {}
+    for _, typ in cols:
+        counts[typ] = counts.get(typ, 0) + 1
+    n_text = sum(1 for _, typ in cols if typ == "string")
+    types = ",".join(f"{k}:{v}" for k, v in sorted(counts.items()))
+    share = _half_up(n_text / len(cols), 3)
+    return (f"SELECT '{t}' AS source, COUNT(*) AS rows, CAST({len(cols)} AS INTEGER) AS columns, "
+            f"CAST({n_text} AS INTEGER) AS text_columns, CAST({share} AS DOUBLE) AS text_share, "
+            f"'{types}' AS types FROM {t}")
+
+
+ORACLE["source_profile"] = " UNION ALL ".join(_source_profile(t) for t in DRIVER_SCHEMAS)
+
+_COMPLETE_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
+_COMPLETE_SRC = """
+SELECT d.doc_id, CASE WHEN d.doc_id % 97 <> 0 THEN text END AS text,
+       CASE WHEN d.doc_id % 7 <> 0 THEN lang END AS lang,
+       CASE WHEN d.doc_id % 11 <> 0 THEN source END AS source, n_chars, quality, toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+_SHARES = " UNION ALL ".join(
+    f"SELECT {i} AS pos, '{c}' AS column_name, "
+    f"AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS share FROM c0"
+    for i, c in enumerate(_COMPLETE_COLS))
+ORACLE["completeness"] = f"""
+WITH c0 AS ({_COMPLETE_SRC}), s AS ({_SHARES})
+SELECT (SELECT COUNT(*) FROM c0) AS rows, COUNT(*) AS columns,
+       {rnd('AVG(share)', 4)} AS null_share_mean, {rnd('MAX(share)', 4)} AS null_share_max,
+       (SELECT column_name FROM s ORDER BY share DESC, pos LIMIT 1) AS worst_column,
+       COUNT(*) FILTER (WHERE share = 1.0) AS all_null_columns,
+       COUNT(*) FILTER (WHERE share > 0.5) AS over_half_columns
+FROM s"""
+
+ORACLE["row_duplicates"] = f"""
+SELECT CAST(SUM(n) AS BIGINT) AS rows, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows,
+       {rnd('SUM(n - 1) / SUM(n)', 4)} AS duplicate_share
+FROM (SELECT COUNT(*) AS n FROM documents GROUP BY text, lang, source) g"""
+
+ORACLE["key_duplicates"] = f"""
+SELECT CAST(SUM(n) AS BIGINT) AS rows, CAST(SUM(n - 1) AS BIGINT) AS key_duplicates,
+       {rnd('SUM(n - 1) / SUM(n)', 4)} AS key_duplicate_share
+FROM (SELECT COUNT(*) AS n FROM orders GROUP BY o_custkey) g"""
+
+_SPAN = "CAST(epoch_us(last_ts) - epoch_us(first_ts) AS DOUBLE) / 3.6e9"
+ORACLE["arrival_profile"] = f"""
+WITH g AS (SELECT event_type AS source, COUNT(*) AS rows, MIN(ts) AS first_ts, MAX(ts) AS last_ts
+           FROM events WHERE ts IS NOT NULL GROUP BY 1),
+r AS (SELECT MAX(ts) AS as_of FROM events)
+SELECT source, rows, first_ts, last_ts, {rnd(_SPAN, 2)} AS span_hours,
+       CASE WHEN {_SPAN} > 0 THEN {rnd(f'rows / ({_SPAN})', 2)} END AS rows_per_hour,
+       {rnd('CAST(epoch_us(as_of) - epoch_us(last_ts) AS DOUBLE) / 3.6e9 / 24', 2)} AS lag_days,
+       'continuous' AS declared_frequency
+FROM g, r"""
+
+
+def _text_lengths(t: str) -> str:
+    text = [c for c, typ in DRIVER_SCHEMAS[t] if typ == "string"]
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS source, {i} AS pos, '{c}' AS column_name, "
+        f"CAST(AVG(length({c})) AS DOUBLE) AS mean_len FROM {t}" for i, c in enumerate(text))
+
+
+def _text_width(t: str) -> str:
+    cols = DRIVER_SCHEMAS[t]
+    n_text = sum(1 for _, typ in cols if typ == "string")
+    distinct = len({typ for _, typ in cols})
+    return (f"SELECT '{t}' AS source, CAST({distinct} AS INTEGER) AS distinct_types, "
+            f"CAST({len(cols)} AS INTEGER) AS columns, CAST({n_text} AS INTEGER) AS text_columns, "
+            f"{rnd('AVG(mean_len)', 2)} AS mean_text_len, "
+            f"COUNT(*) FILTER (WHERE mean_len > 80) AS wide_text_columns FROM ({_text_lengths(t)}) l")
+
+
+ORACLE["text_width_profile"] = " UNION ALL ".join(_text_width(t) for t in TEXT_WIDTH_TABLES)
+
+ORACLE["top_text_columns"] = f"""
+SELECT source, rank, column_name, {rnd('mean_len', 4)} AS mean_len FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY mean_len DESC, pos) AS rank
+  FROM ({' UNION ALL '.join(_text_lengths(t) for t in TEXT_WIDTH_TABLES)}) l) r
+WHERE rank <= 5"""
+
+ORACLE["expansion_ratio"] = " UNION ALL ".join(
+    f"SELECT * FROM ({expansion(f'SELECT * FROM {t}', DRIVER_SCHEMAS[t], t)}) e{i}"
+    for i, t in enumerate(WIDTH_TABLES))
+
+_ORDERS_GAPS = "SELECT o_orderkey, CASE WHEN o_orderkey % 53 <> 0 THEN o_orderdate END AS o_orderdate FROM orders"
+ORACLE["yearly_series"] = f"""
+WITH g AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS rows FROM ({_ORDERS_GAPS}) o GROUP BY 1),
+t AS (SELECT SUM(rows) AS n FROM g)
+SELECT year, rows, {rnd('rows / n', 4)} AS share, {rnd('rows / n * 1000', 2)} AS expected_in_sample FROM g, t"""
+
+
+def _cagr(a: str, b: str, years: int) -> str:
+    return f"(pow(CASE WHEN {a} = 0 THEN NULL ELSE CAST({b} AS DOUBLE) / {a} END, 1.0 / {years}) - 1)"
+
+
+_GC = _cagr("y1997", "y2000", 3)
+_GU = _cagr("y1995", "y2000", 5)
+_GM = f"(pow(1 + {_GC}, 1.0 / 12) - 1)"
+ORACLE["growth_rate"] = f"""
+WITH g AS (SELECT o_orderpriority AS source,
+                  COUNT(*) FILTER (WHERE year(o_orderdate) = 1995) AS y1995,
+                  COUNT(*) FILTER (WHERE year(o_orderdate) = 1997) AS y1997,
+                  COUNT(*) FILTER (WHERE year(o_orderdate) = 2000) AS y2000
+           FROM orders GROUP BY 1),
+l AS (SELECT MAX(o_orderdate) AS last FROM orders)
+SELECT source, y1997 AS rows_start, y2000 AS rows_end, {rnd(_GC, 6)} AS g_central, {rnd(_GU, 6)} AS g_upper,
+       {rnd(_GM, 6)} AS g_monthly, {rnd(f'pow(1 + {_GM}, 12.0)', 6)} AS monthly_round_trip,
+       CASE WHEN month(last) < 12 THEN CAST(year(last) AS INTEGER) END AS partial_year
+FROM g, l"""
+
+ORACLE["fetch_completeness"] = f"""
+WITH req AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) * 4 AS requested_rows
+             FROM orders GROUP BY 1),
+fet AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS fetched_rows
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1)
+SELECT r.year, CAST(requested_rows AS BIGINT) AS requested_rows,
+       CAST(COALESCE(fetched_rows, 0) AS BIGINT) AS fetched_rows,
+       CASE WHEN requested_rows = 0 THEN NULL
+            ELSE {rnd('CAST(COALESCE(fetched_rows, 0) AS DOUBLE) / requested_rows', 6)} END AS ratio,
+       COALESCE(fetched_rows, 0) >= requested_rows * 0.999 AS complete
+FROM req r LEFT JOIN fet f ON r.year = f.year"""
+
+_ORD_COLS = DRIVER_SCHEMAS["orders"]
+_TEXT_PAYLOAD = " + ".join(f"COALESCE(strlen({c}), 0)" for c, t in _ORD_COLS if t == "string")
+_MEM_ROW = " + ".join(
+    (f"CASE WHEN {c} IS NULL THEN 24 ELSE 57 + strlen({c}) END" if t == "string" else "8")
+    for c, t in _ORD_COLS)
+CAPACITY_MEASURES = f"""
+SELECT e.source, e.rows, e.stored_bytes, e.memory_bytes,
+       CAST(e.memory_bytes AS DOUBLE) / e.stored_bytes AS k, ts.text_share
+FROM ({expansion('SELECT * FROM orders', _ORD_COLS, 'orders', group='o_orderpriority')}) e
+JOIN (SELECT o_orderpriority AS source, SUM({_TEXT_PAYLOAD}) / SUM({_MEM_ROW}) AS text_share
+      FROM orders GROUP BY 1) ts ON e.source = ts.source
+WHERE e.column_name = '*'"""
+
+ORACLE["measurement_gate"] = f"""
+WITH m AS ({CAPACITY_MEASURES}),
+g AS (SELECT COUNT(*) = 5 AS n_sources_ok, bool_and(k > 1) AS all_k_above_1,
+             COUNT(DISTINCT {rnd('k', 2)}) = COUNT(*) AS k_distinct,
+             bool_and(stored_bytes > 0) AS sizes_positive,
+             (SELECT source FROM m ORDER BY text_share DESC, source DESC LIMIT 1)
+               = (SELECT source FROM m ORDER BY k DESC, source DESC LIMIT 1) AS widest_text_has_max_k
+      FROM m)
+SELECT *, n_sources_ok AND all_k_above_1 AND k_distinct AND sizes_positive AND widest_text_has_max_k AS passed
+FROM g"""
+
+ORACLE["rank_disagreement"] = f"""
+WITH m AS ({CAPACITY_MEASURES}),
+a AS (SELECT (SELECT source FROM m ORDER BY text_share DESC, source DESC LIMIT 1) AS text_leader,
+             (SELECT source FROM m ORDER BY k DESC, source DESC LIMIT 1) AS k_leader)
+SELECT text_leader, k_leader, text_leader = k_leader AS agree FROM a"""
+
+ORACLE["latest_run"] = """
+SELECT machine, runs, failures, latest_stamp, latest_run_id FROM (
+  SELECT o_custkey % 5 AS machine,
+         COUNT(*) OVER (PARTITION BY o_custkey % 5) AS runs,
+         COUNT(*) FILTER (WHERE o_orderstatus = 'F') OVER (PARTITION BY o_custkey % 5) AS failures,
+         o_orderdate AS latest_stamp, o_orderkey AS latest_run_id,
+         row_number() OVER (PARTITION BY o_custkey % 5 ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) x WHERE rn = 1"""
+
+_DECLARED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+             "l_comment", "l_shipmode"]
+ORACLE["schema_drift"] = f"""
+WITH d AS (SELECT unnest([{', '.join(repr(c) for c in _DECLARED)}]) AS column_name),
+a AS (SELECT column_name FROM (DESCRIBE lineitem))
+SELECT COALESCE(d.column_name, a.column_name) AS column_name,
+       d.column_name IS NOT NULL AS declared, a.column_name IS NOT NULL AS actual,
+       CASE WHEN d.column_name IS NOT NULL AND a.column_name IS NOT NULL THEN 'ok'
+            WHEN d.column_name IS NOT NULL THEN 'missing' ELSE 'undeclared' END AS status
+FROM d FULL OUTER JOIN a ON d.column_name = a.column_name"""
+
+_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
+ORACLE["common_across_runs"] = f"""
+WITH x AS (SELECT o_orderpriority AS source, year(o_orderdate) AS run FROM orders WHERE o_totalprice > 450000),
+t AS (SELECT COUNT(DISTINCT run) AS n FROM x)
+SELECT source, COUNT(DISTINCT run) AS runs_present, COUNT(DISTINCT run) = MAX(t.n) AS in_every_run,
+       {', '.join(f'COUNT(*) FILTER (WHERE run = {y}) AS y{y}' for y in _YEARS)}
+FROM x, t GROUP BY source"""

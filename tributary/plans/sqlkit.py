@@ -65,3 +65,52 @@ def canonical(v: str) -> str:
 
 def money(x: str) -> str:
     return f"CAST({x} AS DECIMAL(28,6))"
+
+
+# --- declared width model (A16) ------------------------------------------------
+
+QUOTE_CLASS = "'[,\"' || chr(13) || chr(10) || ']'"
+
+
+def csv_width(c: str, typ: str) -> str:
+    if typ == "string":
+        w = (f"strlen({c}) + CASE WHEN regexp_matches({c}, {QUOTE_CLASS}) "
+             f"THEN 2 + (length({c}) - length(replace({c}, '\"', ''))) ELSE 0 END")
+    elif typ in ("double", "float"):
+        w = f"strlen({canonical(c)})"
+    elif typ in ("int", "bigint"):
+        w = f"length(CAST({c} AS VARCHAR))"
+    elif typ.startswith("timestamp"):
+        w = f"19 + CASE WHEN microsecond({c}) % 1000000 <> 0 THEN 7 ELSE 0 END"
+    else:
+        raise ValueError(typ)
+    return f"CASE WHEN {c} IS NULL THEN 0 ELSE {w} END"
+
+
+def memory_width(c: str, typ: str, deep: bool = True) -> str:
+    if typ != "string" or not deep:
+        return "8"
+    return f"CASE WHEN {c} IS NULL THEN 24 ELSE 57 + strlen({c}) END"
+
+
+def expansion(source_sql: str, cols: list[tuple[str, str]], label: str, group: str | None = None) -> str:
+    """Per-column and total ('*') stored vs in-memory bytes."""
+    sums = ", ".join(
+        f"SUM({csv_width(c, t)} + 1) AS s{i}, SUM({memory_width(c, t)}) AS m{i}, "
+        f"SUM({memory_width(c, t, False)}) AS h{i}" for i, (c, t) in enumerate(cols))
+    src = group if group else f"'{label}'"
+    gb = " GROUP BY 1" if group else ""
+    one = f"SELECT {src} AS source, COUNT(*) AS rows, {sums} FROM ({source_sql}) t{gb}"
+    parts = []
+    for i, (c, _) in enumerate(cols):
+        hdr = len(c.encode()) + 1
+        parts.append(f"SELECT source, '{c}' AS column_name, rows, COALESCE(s{i}, 0) + {hdr} AS st, "
+                     f"COALESCE(m{i}, 0) AS me, COALESCE(h{i}, 0) AS sh FROM one")
+    st = " + ".join(f"COALESCE(s{i}, 0) + {len(c.encode()) + 1}" for i, (c, _) in enumerate(cols))
+    me = " + ".join(f"COALESCE(m{i}, 0)" for i in range(len(cols)))
+    sh = " + ".join(f"COALESCE(h{i}, 0)" for i in range(len(cols)))
+    parts.append(f"SELECT source, '*' AS column_name, rows, {st} AS st, {me} AS me, {sh} AS sh FROM one")
+    body = " UNION ALL ".join(parts)
+    return (f"WITH one AS ({one}) SELECT source, column_name, rows, CAST(st AS BIGINT) AS stored_bytes, "
+            f"CAST(me AS BIGINT) AS memory_bytes, {rnd('me / st', 4)} AS k, {rnd('sh / st', 4)} AS k_shallow "
+            f"FROM ({body}) u")
