@@ -332,3 +332,114 @@ def q_common_across_runs(spark, sf):
     o = load(spark, sf, "orders", "o_orderpriority", "o_orderdate", "o_totalprice")
     big = o.where(F.col("o_totalprice") > 450000)
     return prof.common_across_runs(big, F.col("o_orderpriority"), F.year("o_orderdate"), RUN_YEARS)
+
+
+# --- C1-C15 capacity -----------------------------------------------------------
+
+from tributary.operators import capacity as cap  # noqa: E402
+
+
+def capacity_growth(spark, sf):
+    """Measured growth per capacity source: CAGR of yearly order rows over
+    the central and the upper-bound span."""
+    o = load(spark, sf, "orders", "o_orderdate", "o_orderpriority")
+    y = F.year("o_orderdate")
+    years = sorted({*GROWTH_CENTRAL, *GROWTH_UPPER})
+    g = o.groupBy(F.col("o_orderpriority").alias("source")).agg(
+        *[F.count(F.when(y == yr, 1)).alias(f"y{yr}") for yr in years])
+    c0, c1 = GROWTH_CENTRAL
+    u0, u1 = GROWTH_UPPER
+    return g.select("source", prof.cagr(F.col(f"y{c0}"), F.col(f"y{c1}"), c1 - c0).alias("g"),
+                    prof.cagr(F.col(f"y{u0}"), F.col(f"y{u1}"), u1 - u0).alias("g_upper"))
+
+
+def capacity_inputs(spark, sf):
+    return cap.capacity_inputs(capacity_measures(spark, sf), capacity_growth(spark, sf))
+
+
+@query("project_full")
+def q_project_full(spark, sf):
+    o = load(spark, sf, "orders")
+    sample = prof.source_measures(o.where(F.col("o_orderkey") % 10 == 0), F.col("o_orderpriority"))
+    full = o.groupBy(F.col("o_orderpriority").alias("source")).agg(F.count(F.lit(1)).alias("full_rows"))
+    return cap.project_full(sample, full)
+
+
+@query("saturation_horizon")
+def q_saturation_horizon(spark, sf):
+    return cap.saturation_horizon(capacity_inputs(spark, sf))
+
+
+@query("sensitivity")
+def q_sensitivity(spark, sf):
+    return cap.sensitivity(capacity_inputs(spark, sf))
+
+
+@query("sign_stability")
+def q_sign_stability(spark, sf):
+    return cap.sign_stability(cap.sensitivity(capacity_inputs(spark, sf)))
+
+
+@query("volume_by_month")
+def q_volume_by_month(spark, sf):
+    return cap.volume_by_month(capacity_inputs(spark, sf))
+
+
+@query("replication_table")
+def q_replication_table(spark, sf):
+    return cap.replication_table(capacity_inputs(spark, sf))
+
+
+@query("block_count")
+def q_block_count(spark, sf):
+    return cap.block_count(capacity_inputs(spark, sf))
+
+
+@query("partitioning_overhead")
+def q_partitioning_overhead(spark, sf):
+    return cap.partitioning_overhead(capacity_inputs(spark, sf))
+
+
+@query("compression_scenarios")
+def q_compression_scenarios(spark, sf):
+    return cap.compression_scenarios(capacity_inputs(spark, sf))
+
+
+@query("growth_sensitivity")
+def q_growth_sensitivity(spark, sf):
+    return cap.growth_sensitivity(capacity_inputs(spark, sf))
+
+
+@query("replica_breakeven")
+def q_replica_breakeven(spark, sf):
+    return cap.replica_breakeven(capacity_inputs(spark, sf))
+
+
+@query("saving_levers")
+def q_saving_levers(spark, sf):
+    return cap.saving_levers(capacity_inputs(spark, sf))
+
+
+def event_readings(spark, sf):
+    """events as meter readings, one source per event type: rows, width-model
+    bytes, k, distinct users (the metered entities) and span in days."""
+    e = load(spark, sf, "events")
+    m = prof.source_measures(e, F.col("event_type"))
+    s = e.groupBy(F.col("event_type").alias("source")).agg(
+        F.count_distinct("user_id").alias("entities"),
+        (F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")).cast("double") / 8.64e10)
+        .alias("span_days"))
+    return m.join(s, "source")
+
+
+@query("annualized_need")
+def q_annualized_need(spark, sf):
+    return cap.annualized_need(event_readings(spark, sf))
+
+
+@query("capacity_choice")
+def q_capacity_choice(spark, sf):
+    r = event_readings(spark, sf)
+    need = (F.col("stored_bytes") / F.col("rows") * (F.col("rows") / F.col("span_days") * 365)
+            / F.lit(float(1024 ** 3)) * F.col("k"))
+    return cap.capacity_choice(r.select("source", "entities", need.alias("need_gib")))

@@ -406,3 +406,166 @@ t AS (SELECT COUNT(DISTINCT run) AS n FROM x)
 SELECT source, COUNT(DISTINCT run) AS runs_present, COUNT(DISTINCT run) = MAX(t.n) AS in_every_run,
        {', '.join(f'COUNT(*) FILTER (WHERE run = {y}) AS y{y}' for y in _YEARS)}
 FROM x, t GROUP BY source"""
+
+
+# --- C1-C15 ----------------------------------------------------------------------
+
+def D(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+_GIB = D(1024 ** 3)
+_GM = "(pow(1 + g, 1.0 / 12) - 1)"
+CAP_INPUTS = f"""
+SELECT m.source, m.rows, CAST(m.stored_bytes AS DOUBLE) / {_GIB} AS s0_gib, m.k, gr.g, gr.g_upper,
+       CAST(m.stored_bytes AS DOUBLE) / {_GIB} * pow(1 + (pow(1 + gr.g, 1.0 / 12) - 1), 12.0) AS v12_gib
+FROM ({CAPACITY_MEASURES}) m JOIN (
+  SELECT source, {_cagr('y1997', 'y2000', 3)} AS g, {_cagr('y1995', 'y2000', 5)} AS g_upper FROM (
+    SELECT o_orderpriority AS source,
+           COUNT(*) FILTER (WHERE year(o_orderdate) = 1995) AS y1995,
+           COUNT(*) FILTER (WHERE year(o_orderdate) = 1997) AS y1997,
+           COUNT(*) FILTER (WHERE year(o_orderdate) = 2000) AS y2000
+    FROM orders GROUP BY 1) y) gr ON m.source = gr.source"""
+
+
+def horizon_sql(usable: str, k: str, s0: str, g: str) -> str:
+    return f"CASE WHEN {s0} > 0 AND {k} > 0 AND {g} > 0 THEN ln({usable} / ({k} * {s0})) / ln(1 + {g}) END"
+
+
+_SAMPLE_M = CAPACITY_MEASURES.replace("FROM orders", "FROM (SELECT * FROM orders WHERE o_orderkey % 10 = 0) orders")
+ORACLE["project_full"] = f"""
+WITH s AS ({_SAMPLE_M}), f AS (SELECT o_orderpriority AS source, COUNT(*) AS full_rows FROM orders GROUP BY 1)
+SELECT s.source, s.rows AS sample_rows, full_rows, {rnd('full_rows / s.rows', 4)} AS factor,
+       {rnd('stored_bytes * (full_rows / s.rows)', 2)} AS s0_bytes, {rnd('k', 4)} AS k,
+       {rnd('stored_bytes * (full_rows / s.rows) * k', 2)} AS memory_bytes
+FROM s JOIN f ON s.source = f.source"""
+
+ORACLE["saturation_horizon"] = f"""
+WITH i AS ({CAP_INPUTS}),
+sc AS (SELECT {D('ram')} AS ram_gib, {D(0.35)} AS reserved FROM (VALUES (8.0), (16.0), (32.0)) v(ram))
+SELECT source, ram_gib, reserved, {rnd('ram_gib * (1 - reserved)', 4)} AS usable_gib,
+       {rnd('k * s0_gib', 9)} AS need_gib, {rnd('g', 6)} AS g,
+       {rnd(horizon_sql('ram_gib * (1 - reserved)', 'k', 's0_gib', 'g'), 2)} AS horizon_years,
+       CASE WHEN s0_gib <= 0 OR k <= 0 THEN 'no size' WHEN g <= 0 THEN 'growth must be > 0' ELSE 'ok' END AS status
+FROM i, sc"""
+
+_REF_USABLE = D(16.0 * (1 - 0.35))
+_SENS = f"""
+WITH i AS ({CAP_INPUTS}),
+gs AS (SELECT 'growth' AS sweep, 'g=' || v AS setting, {D('v')} AS gv FROM (VALUES ('0.01'), ('0.02'), ('0.04'), ('0.08'), ('0.16'), ('0.32')) t(v)),
+ks AS (SELECT 'k' AS sweep, 'k*' || v AS setting, {D('v')} AS km FROM (VALUES ('0.5'), ('1.0'), ('2.0'), ('4.0')) t(v)),
+rs AS (SELECT 'reserved' AS sweep, 'reserved=' || f || ',ram=' || r AS setting, {D('f')} AS fr, {D('r')} AS ram
+       FROM (VALUES ('0.25'), ('0.35'), ('0.5')) a(f), (VALUES ('8.0'), ('16.0'), ('32.0')) b(r)),
+top AS (SELECT source FROM i ORDER BY k * s0_gib DESC, source DESC LIMIT 1),
+allg AS (
+  SELECT source, sweep, setting, {horizon_sql(_REF_USABLE, 'k', 's0_gib', 'gv')} AS t FROM i, gs
+  UNION ALL SELECT source, sweep, setting, {horizon_sql(_REF_USABLE, 'k * km', 's0_gib', 'g')} FROM i, ks
+  UNION ALL SELECT i.source, sweep, setting, {horizon_sql('ram * (1 - fr)', 'k', 's0_gib', 'g')}
+            FROM i JOIN top ON i.source = top.source, rs)
+SELECT source, sweep, setting, {rnd('t', 2)} AS horizon_years FROM allg"""
+ORACLE["sensitivity"] = _SENS
+
+ORACLE["sign_stability"] = f"""
+SELECT source, COUNT(*) AS cells, COUNT(*) FILTER (WHERE horizon_years < 0) AS negative_cells,
+       bool_and(horizon_years < 0) OR bool_and(horizon_years > 0) AS stable,
+       COALESCE(array_to_string(list_sort(list(setting) FILTER (WHERE horizon_years < 0)), ';'), '')
+         AS negative_settings
+FROM ({_SENS}) s WHERE horizon_years IS NOT NULL GROUP BY source"""
+
+ORACLE["volume_by_month"] = f"""
+WITH i AS (SELECT source, s0_gib, {_GM} AS gm FROM ({CAP_INPUTS}) x)
+SELECT source, CAST(month AS INTEGER) AS month,
+       {rnd(f'(s0_gib * pow(1 + gm, {D("month")})) * {_GIB}', 2)} AS volume_bytes,
+       {rnd(f'(s0_gib * (pow(1 + gm, {D("month")}) - pow(1 + gm, {D("month - 1")}))) * {_GIB}', 4)} AS increment_bytes
+FROM i, range(1, 13) t(month)"""
+
+_GB = f"(v12_gib * R * {_GIB} / {D(10 ** 9)})"
+ORACLE["replication_table"] = f"""
+SELECT source, R, {rnd('v12_gib', 9)} AS logical_gib, {rnd('v12_gib * R', 9)} AS physical_gib,
+       {rnd(_GB, 9)} AS physical_gb, {rnd('v12_gib * R - v12_gib', 9)} AS extra_vs_r1_gib,
+       R - 1 AS tolerated_losses, R AS min_nodes,
+       {rnd(f'{_GB} * 0.023::DOUBLE * 12', 9)} AS cloud_usd_year,
+       {rnd(f'{_GB} * 0.023::DOUBLE * 12 * 3144.14::DOUBLE', 6)} AS cloud_local_year,
+       {rnd(f'{_GB} / 1000 * 12.0::DOUBLE', 9)} AS disk_usd,
+       {rnd(f'{_GB} / 1000 * 12.0::DOUBLE * 3.0::DOUBLE', 9)} AS disk_tco_usd
+FROM ({CAP_INPUTS}) i, (VALUES (1), (2), (3)) r(R)"""
+
+_BLOCK = D(128 * 1024 * 1024)
+
+
+def blocks_sql(gib: str) -> str:
+    return f"CAST(ceil({gib} * {_GIB} / {_BLOCK}) AS BIGINT)"
+
+
+ORACLE["block_count"] = f"""
+SELECT source, R, {blocks_sql('v12_gib')} AS blocks_r1, {blocks_sql('v12_gib')} * R AS blocks,
+       {rnd(f"(v12_gib - ({blocks_sql('v12_gib')} - 1) * {D(128 / 1024)}) / {D(128 / 1024)}", 6)} AS last_block_fill
+FROM ({CAP_INPUTS}) i, (VALUES (1), (2), (3)) r(R)"""
+
+ORACLE["partitioning_overhead"] = f"""
+WITH i AS ({CAP_INPUTS}),
+inc AS (SELECT source, {rnd(f'(s0_gib * (pow(1 + {_GM}, {D("month")}) - pow(1 + {_GM}, {D("month - 1")}))) * {_GIB}', 4)} AS inc
+        FROM i, range(1, 13) t(month)),
+mb AS (SELECT source, CAST(SUM(greatest(ceil(inc / {_BLOCK}), 0)) AS BIGINT) AS monthly_blocks FROM inc GROUP BY 1)
+SELECT i.source, {blocks_sql('v12_gib')} AS single_file_blocks, {blocks_sql('s0_gib')} AS base_blocks,
+       monthly_blocks, {blocks_sql('s0_gib')} + monthly_blocks AS partitioned_blocks,
+       {blocks_sql('s0_gib')} + monthly_blocks - {blocks_sql('v12_gib')} AS overhead_blocks,
+       ({blocks_sql('s0_gib')} + monthly_blocks) * 3 AS partitioned_blocks_r3
+FROM i JOIN mb ON i.source = mb.source"""
+
+ORACLE["compression_scenarios"] = f"""
+SELECT source, factor, {rnd('v12_gib / factor', 9)} AS logical_gib, {rnd('v12_gib / factor * 3', 9)} AS physical_r3_gib,
+       {blocks_sql('v12_gib / factor')} AS blocks_r1,
+       {rnd(f'v12_gib / factor * 3 * {_GIB} / {D(10 ** 9)} * 0.023::DOUBLE * 12', 9)} AS cloud_r3_usd_year
+FROM ({CAP_INPUTS}) i, (VALUES (5.0::DOUBLE), (10.0::DOUBLE)) f(factor)"""
+
+_GMA = "(pow(1 + ga, 1.0 / 12) - 1)"
+ORACLE["growth_sensitivity"] = f"""
+WITH x AS (SELECT source, s0_gib, 'measured' AS scenario, g AS ga FROM ({CAP_INPUTS}) i
+           UNION ALL SELECT source, s0_gib, 'upper_bound', g_upper FROM ({CAP_INPUTS}) i
+           UNION ALL SELECT source, s0_gib, 'zero', 0.0::DOUBLE FROM ({CAP_INPUTS}) i)
+SELECT source, scenario, {rnd('ga', 6)} AS g_annual, {rnd(_GMA, 6)} AS g_monthly,
+       {rnd(f's0_gib * pow(1 + {_GMA}, 12.0)', 9)} AS v12_gib,
+       {rnd(f's0_gib * pow(1 + {_GMA}, 12.0) * 3', 9)} AS physical_r3_gib FROM x"""
+
+_VGB = "(threshold_usd / (0.023::DOUBLE * 12))"
+_FACTOR = f"({_VGB} / (v12_gib * {_GIB} / {D(10 ** 9)}))"
+ORACLE["replica_breakeven"] = f"""
+SELECT source, threshold_usd, {rnd(_VGB, 1)} AS volume_gb, {rnd(f'{_VGB} / 1000', 3)} AS volume_tb,
+       {rnd(_FACTOR, 1)} AS times_12m_volume,
+       {rnd(f'CASE WHEN g > 0 THEN ln({_FACTOR}) / ln(1 + g) END', 1)} AS years_central,
+       {rnd(f'CASE WHEN g_upper > 0 THEN ln({_FACTOR}) / ln(1 + g_upper) END', 1)} AS years_upper
+FROM ({CAP_INPUTS}) i, (VALUES (100), (1000), (10000)) t(threshold_usd)"""
+
+ORACLE["saving_levers"] = f"""
+SELECT source, lever, {rnd('v12_gib / factor * R', 9)} AS physical_gib,
+       {rnd('(1 - (v12_gib / factor * R) / (v12_gib * 3)) * 100', 1)} AS saving_pct
+FROM ({CAP_INPUTS}) i, (VALUES ('csv_r3_base', 1.0::DOUBLE, 3), ('csv_r2', 1.0::DOUBLE, 2), ('csv_r1', 1.0::DOUBLE, 1),
+  ('columnar_5x_r3', 5.0::DOUBLE, 3), ('columnar_10x_r3', 10.0::DOUBLE, 3)) l(lever, factor, R)"""
+
+_EV_COLS = DRIVER_SCHEMAS["events"]
+READINGS = f"""
+SELECT e.source, e.rows, e.stored_bytes, CAST(e.memory_bytes AS DOUBLE) / e.stored_bytes AS k, s.entities, s.span_days
+FROM ({expansion('SELECT * FROM events', _EV_COLS, 'events', group='event_type')}) e
+JOIN (SELECT event_type AS source, COUNT(DISTINCT user_id) AS entities,
+             CAST(epoch_us(MAX(ts)) - epoch_us(MIN(ts)) AS DOUBLE) / 8.64e10 AS span_days
+      FROM events GROUP BY 1) s ON e.source = s.source
+WHERE e.column_name = '*'"""
+_S0Y = f"(stored_bytes / rows * (rows / span_days * 365) / {_GIB})"
+ORACLE["annualized_need"] = f"""
+SELECT source, entities, {rnd('stored_bytes / rows', 2)} AS bytes_per_row,
+       {rnd('rows / span_days * 365', 2)} AS rows_per_year, {rnd(_S0Y, 9)} AS s0_year_gib,
+       {rnd(f'{_S0Y} * k', 9)} AS memory_year_gib, {rnd(f'{_S0Y} * k / 12', 9)} AS memory_month_gib,
+       {', '.join(f"{rnd(horizon_sql(_REF_USABLE, 'k', _S0Y, D(g)), 2)} AS t_g{int(g * 100)}" for g in (0.10, 0.20, 0.40))}
+FROM ({READINGS}) r"""
+
+_NEED = f"(stored_bytes / rows * (rows / span_days * 365) / {_GIB} * k)"
+_CHOSEN = (f"COALESCE(CASE WHEN {D(8 * 0.65)} >= 2 * {_NEED} THEN 8.0 WHEN {D(16 * 0.65)} >= 2 * {_NEED} THEN 16.0 "
+           f"WHEN {D(32 * 0.65)} >= 2 * {_NEED} THEN 32.0 WHEN {D(64 * 0.65)} >= 2 * {_NEED} THEN 64.0 END, 64.0)")
+ORACLE["capacity_choice"] = f"""
+SELECT source, need_gib, ram_gib, {rnd('ram_gib * (1 - 0.35::DOUBLE)', 4)} AS usable_gib,
+       ram_gib * (1 - 0.35::DOUBLE) >= 2 * n AS headroom_ok,
+       CAST(floor(entities * (ram_gib * (1 - 0.35::DOUBLE)) / n) AS BIGINT) AS entity_limit,
+       {rnd('CASE WHEN n > 0 THEN ln(ram_gib * (1 - 0.35::DOUBLE) / n) / ln(1.2::DOUBLE) END', 1)} AS years_at_growth
+FROM (SELECT source, entities, {_NEED} AS n, {rnd(_NEED, 9)} AS need_gib, CAST({_CHOSEN} AS DOUBLE) AS ram_gib
+      FROM ({READINGS}) r) x"""
