@@ -443,3 +443,190 @@ def q_capacity_choice(spark, sf):
     need = (F.col("stored_bytes") / F.col("rows") * (F.col("rows") / F.col("span_days") * 365)
             / F.lit(float(1024 ** 3)) * F.col("k"))
     return cap.capacity_choice(r.select("source", "entities", need.alias("need_gib")))
+
+
+# --- lake: P9-P11, S3-S10, W1-W5, J1-J3, A19, A21, A22, U1 ----------------------
+
+from tributary.lake import audit, load as lake_load, versions  # noqa: E402
+from tributary.lake import layout  # noqa: E402
+from tributary.session import scratch_path  # noqa: E402
+from tributary.sources import objects as objsrc  # noqa: E402
+
+
+@query("lake_path")
+def q_lake_path(spark, sf):
+    o = fx.document_objects(spark, sf)
+    lot = (F.col("doc_id") % 3 + 1).cast("int")
+    key = layout.raw_key(F.col("source"), F.col("ingest_date"), "txt", lot)
+    return o.select("doc_id", F.lit("lake-raw").alias("bucket"), key.alias("object_key"),
+                    layout.manifest_key(key).alias("manifest_key"))
+
+
+@query("path_check")
+def q_path_check(spark, sf):
+    return layout.path_check(fx.broken_keys(spark, sf), fx.CONFIGURED_SOURCES)
+
+
+@query("classify_object")
+def q_classify_object(spark, sf):
+    k = fx.mixed_keys(spark, sf)
+    return k.select("doc_id", "object_key", layout.classify("object_key").alias("class"))
+
+
+@query("object_inventory")
+def q_object_inventory(spark, sf):
+    return objsrc.object_inventory(spark, sf, "*.parquet").drop("modified")
+
+
+@query("largest_object")
+def q_largest_object(spark, sf):
+    return objsrc.largest_object(fx.largest_object_candidates(spark, sf), min_bytes=8 * 1024)
+
+
+EVENT_DATA_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _events_raw_lake(spark, sf):
+    """Load events into a fresh raw layer (one ingestion day per event day)
+    and return (root, read-back DataFrame)."""
+    root = scratch_path(spark, "lake", "raw")
+    e = load(spark, sf, "events", *EVENT_DATA_COLS)
+    lake_load.load_raw(e, root, "events", F.to_date("ts"))
+    return root, lake_load.read_raw(spark, root, "events", e.schema)
+
+
+@query("raw_write_roundtrip")
+def q_raw_write_roundtrip(spark, sf):
+    _, back = _events_raw_lake(spark, sf)
+    return back.select("event_id", "user_id", "event_type", "anio", "mes", "dia", "lote")
+
+
+@query("reprocess_since")
+def q_reprocess_since(spark, sf):
+    _, back = _events_raw_lake(spark, sf)
+    return lake_load.ingested_since(back, "2024-01-20").select("event_id", "anio", "mes", "dia")
+
+
+@query("manifest")
+def q_manifest(spark, sf):
+    return lake_load.object_manifests(fx.lake_objects(spark, sf), fmt="txt")
+
+
+@query("lot_resolution")
+def q_lot_resolution(spark, sf):
+    o = fx.lake_objects(spark, sf).withColumn("day", (F.col("doc_id") % 28 + 1).cast("int"))
+    keys = ["source", "day"]
+    from pyspark.sql import Window
+    stored = (o.where(F.col("doc_id") % 2 == 0)
+              .withColumn("lot", F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id")))
+              .where(~((F.col("day") % 6 == 0) & (F.col("lot") == 2)))
+              .select(*keys, "lot", "doc_id", F.sha2("content", 256).alias("sha")))
+    first = (o.where(F.col("doc_id") % 2 == 1).groupBy(*keys)
+             .agg(F.min(F.struct("doc_id", "content")).alias("_f")))
+    lot1 = stored.where(F.col("lot") == 1).select(*keys, F.col("sha").alias("_sha1"))
+    incoming = first.join(lot1, keys, "left").select(
+        *keys, F.when((F.col("_f.doc_id") % 3 == 0) & F.col("_sha1").isNotNull(), F.col("_sha1"))
+        .otherwise(F.sha2(F.col("_f.content"), 256)).alias("sha"))
+    d = lake_load.resolve_lots(stored.select(*keys, "lot", "sha"), incoming, keys, new_lot=True)
+    day = F.make_date(F.lit(2024), F.lit(1), F.col("day"))
+    return d.select(*keys, F.col("sha").alias("incoming_sha256"), "action", "lot",
+                    F.when(F.col("action") != "fail", layout.raw_key(F.col("source"), day, "txt", F.col("lot")))
+                    .alias("object_key"))
+
+
+@query("current_versions")
+def q_current_versions(spark, sf):
+    return versions.current_versions(fx.version_log(spark, sf))
+
+
+@query("restored_versions")
+def q_restored_versions(spark, sf):
+    return versions.restored_versions(fx.version_log(spark, sf))
+
+
+@query("previous_version")
+def q_previous_version(spark, sf):
+    return versions.previous_version(fx.version_log(spark, sf))
+
+
+@query("immutability_audit")
+def q_immutability_audit(spark, sf):
+    return versions.immutability_audit(fx.version_log(spark, sf))
+
+
+@query("timeline")
+def q_timeline(spark, sf):
+    return versions.timeline(fx.version_log(spark, sf))
+
+
+@query("layer_summary")
+def q_layer_summary(spark, sf):
+    return versions.layer_summary(fx.version_log(spark, sf))
+
+
+@query("event_log_union")
+def q_event_log_union(spark, sf):
+    log = fx.version_log(spark, sf)
+    writes = log.where(F.col("kind") == "write").drop("kind")
+    deletes = log.where(F.col("kind") == "delete").drop("kind", "bytes")
+    return versions.union_events(writes, deletes)
+
+
+def _manifest_table(spark, sf):
+    o = fx.lake_objects(spark, sf)
+    return o.select("object_key", fx.declared_hashes(o).alias("declared_sha256"))
+
+
+@query("missing_manifest")
+def q_missing_manifest(spark, sf):
+    o = fx.lake_objects(spark, sf)
+    return audit.missing_manifest(o, fx.manifest_keys(spark, sf, o))
+
+
+@query("declared_vs_actual")
+def q_declared_vs_actual(spark, sf):
+    return audit.declared_vs_actual(fx.declared_layers(spark, sf), fx.actual_buckets(spark, sf))
+
+
+@query("integrity_check")
+def q_integrity_check(spark, sf):
+    return audit.integrity_check(fx.lake_objects(spark, sf), _manifest_table(spark, sf))
+
+
+@query("duplicate_content")
+def q_duplicate_content(spark, sf):
+    return audit.duplicate_content(fx.lake_objects(spark, sf))
+
+
+def lake_checks(spark, sf):
+    """All nine lake checks as (check, object_key, status, reason) rows."""
+    o = fx.lake_objects(spark, sf)
+    dva = audit.declared_vs_actual(fx.declared_layers(spark, sf), fx.actual_buckets(spark, sf))
+    c1 = dva.where("declared").select(
+        F.lit(1).alias("check"), F.col("bucket").alias("object_key"),
+        F.when(F.col("exists"), "PASS").otherwise("FAIL").alias("status"),
+        F.when(~F.col("exists"), "bucket missing").alias("reason"))
+    c2 = dva.where("declared AND exists").select(
+        F.lit(2).alias("check"), F.col("bucket").alias("object_key"),
+        F.when(F.col("versioned_declared") & ~F.col("versioned_actual"), "FAIL").otherwise("PASS").alias("status"),
+        F.when(F.col("versioned_declared") & ~F.col("versioned_actual"), "versioning missing").alias("reason"))
+    c3 = audit.as_check(layout.path_check(fx.broken_keys(spark, sf), fx.CONFIGURED_SOURCES), 3)
+    c4 = audit.manifest_status(o, fx.manifest_keys(spark, sf, o))
+    c5 = audit.as_check(audit.integrity_check(o, _manifest_table(spark, sf)), 5)
+    c6 = dva.where("exists").select(
+        F.lit(6).alias("check"), F.col("bucket").alias("object_key"),
+        F.when(F.col("has_readme"), "PASS").otherwise("FAIL").alias("status"),
+        F.when(~F.col("has_readme"), "readme missing").alias("reason"))
+    log = fx.version_log(spark, sf)
+    c7 = versions.previous_version(log).select(
+        F.lit(7).alias("check"), "object_key", F.lit("PASS").alias("status"), F.lit(None).cast("string").alias("reason"))
+    c8 = audit.as_check(versions.immutability_audit(log), 8, reason=None)
+    c9 = audit.duplicate_content(o).select(
+        F.lit(9).alias("check"), F.col("first_key").alias("object_key"), F.lit("FAIL").alias("status"),
+        F.lit("same content under another key").alias("reason"))
+    return _union([c1, c2, c3, c4, c5, c6, c7, c8, c9])
+
+
+@query("criteria_rollup")
+def q_criteria_rollup(spark, sf):
+    return audit.criteria_rollup(audit.check_summary(lake_checks(spark, sf)))

@@ -58,10 +58,9 @@ def lineitem_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as raw-lake objects: key from source and ingestion day
-    (day = 1 + doc_id % 28 of January 2024), content = text."""
+    (2024-01-01 + doc_id days, so every key is unique), content = text."""
     d = load(spark, sf_dir, "documents", "doc_id", "source", "text")
-    day = (F.col("doc_id") % 28 + 1).cast("int")
-    ingest = F.make_date(F.lit(2024), F.lit(1), day)
+    ingest = F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int"))
     return d.select("doc_id", F.col("source").alias("source"), ingest.alias("ingest_date"),
                     F.col("text").alias("content"))
 
@@ -100,3 +99,78 @@ def version_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("instant"),
         F.when(is_delete, F.lit("delete")).otherwise(F.lit("write")).alias("kind"),
         F.when(is_delete, F.lit(None).cast("bigint")).otherwise(F.col("value").cast("bigint")).alias("bytes"))
+
+
+# --- lake fixtures -------------------------------------------------------------
+
+from tributary.lake.layout import raw_key  # noqa: E402
+
+CONFIGURED_SOURCES = [f"src{i}" for i in range(18)]  # src18, src19 are not configured
+
+
+def lake_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as raw objects with their convention key (lot 1, .txt)."""
+    o = document_objects(spark, sf_dir)
+    return o.withColumn("object_key", raw_key(F.col("source"), F.col("ingest_date"), "txt"))
+
+
+def broken_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with deterministic faults: three-digit month (doc_id % 23), 30
+    February (% 29), name date != partition date (% 31), upper case (% 37),
+    bad extension (% 41)."""
+    o = lake_objects(spark, sf_dir)
+    i, s, k = F.col("doc_id"), F.col("source"), F.col("object_key")
+    dd = F.date_format("ingest_date", "dd")
+    key = (F.when(i % 23 == 0, F.replace(k, F.lit("/mes="), F.lit("/mes=0")))
+           .when(i % 29 == 0, F.concat(s, F.lit("/anio=2024/mes=02/dia=30/"), s, F.lit("_20240230.txt")))
+           .when(i % 31 == 0, F.concat(s, F.lit("/anio=2024/mes=01/dia="), dd, F.lit("/"), s,
+                                       F.lit("_20231231.txt")))
+           .when(i % 37 == 0, F.upper(k))
+           .when(i % 41 == 0, F.replace(k, F.lit(".txt"), F.lit(".TXT")))
+           .otherwise(k))
+    return o.select("doc_id", key.alias("object_key"))
+
+
+def mixed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data keys, manifests, probes, lake metadata and the bucket readme."""
+    o = lake_objects(spark, sf_dir)
+    i, k = F.col("doc_id"), F.col("object_key")
+    key = (F.when(i % 6 == 1, F.concat(k, F.lit(LAKE_MANIFEST_SUFFIX)))
+           .when(i % 6 == 2, F.concat(F.lit("_evidencia/probe-"), i.cast("string"), F.lit(".txt")))
+           .when(i % 6 == 3, F.concat(F.lit("_meta/"), i.cast("string"), F.lit(".json")))
+           .when(i % 6 == 4, F.lit("_LEEME.txt"))
+           .otherwise(k))
+    return o.select("doc_id", key.alias("object_key"))
+
+
+def declared_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared buckets: nations below key 20; versioned in regions 0 and 2."""
+    n = load(spark, sf_dir, "nation")
+    return n.where(F.col("n_nationkey") < 20).select(
+        F.concat(F.lit("lake-"), F.lower(F.replace("n_name", F.lit(" "), F.lit("_")))).alias("bucket"),
+        F.col("n_regionkey").isin(0, 2).alias("versioned"))
+
+
+def actual_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual buckets: nations (key >= 3) that have suppliers; versioning on
+    when the supplier count is odd; readme present when a supplier balance
+    exceeds 5000."""
+    n = load(spark, sf_dir, "nation")
+    s = load(spark, sf_dir, "supplier", "s_nationkey", "s_acctbal")
+    j = s.join(n.where(F.col("n_nationkey") >= 3), F.col("s_nationkey") == F.col("n_nationkey"))
+    return j.groupBy(F.concat(F.lit("lake-"), F.lower(F.replace("n_name", F.lit(" "), F.lit("_")))).alias("bucket")
+                     ).agg((F.count(F.lit(1)) % 2 == 1).alias("versioned"),
+                           (F.max("s_acctbal") > 5000).alias("has_readme"))
+
+
+def largest_object_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as downloaded files: folder per source, period = lang,
+    extension by doc_id % 4 (json is not eligible), every 50th a readme."""
+    d = load(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
+    ext = F.element_at(F.array(*[F.lit(x) for x in ("csv", "txt", "dta", "json")]),
+                       (F.col("doc_id") % 4 + 1).cast("int"))
+    name = F.when(F.col("doc_id") % 50 == 0, F.lit("readme.txt")).otherwise(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit("."), ext))
+    return d.select("source", F.col("lang").alias("period"),
+                    F.concat_ws("/", "source", "lang", name).alias("path"), name.alias("file_name"),
+                    F.octet_length("text").cast("bigint").alias("bytes"))

@@ -569,3 +569,218 @@ SELECT source, need_gib, ram_gib, {rnd('ram_gib * (1 - 0.35::DOUBLE)', 4)} AS us
        {rnd('CASE WHEN n > 0 THEN ln(ram_gib * (1 - 0.35::DOUBLE) / n) / ln(1.2::DOUBLE) END', 1)} AS years_at_growth
 FROM (SELECT source, entities, {_NEED} AS n, {rnd(_NEED, 9)} AS need_gib, CAST({_CHOSEN} AS DOUBLE) AS ram_gib
       FROM ({READINGS}) r) x"""
+
+
+# --- lake -------------------------------------------------------------------------
+
+MANIFEST_SUFFIX = ".manifiesto.json"
+KEY_PATTERN = r"^([a-z0-9_]+)/anio=(\d{4})/mes=(\d{2})/dia=(\d{2})/([^/]+)$"
+FILE_PATTERN = r"^([a-z0-9_]+)_(\d{8})(_lote-(\d{2}))?\.([a-z0-9.]+)$"
+
+
+def raw_key_sql(source: str, d: str, ext: str, lot: str = "1") -> str:
+    base = f"{source} || '_' || strftime({d}, '%Y%m%d')"
+    name = (f"CASE WHEN {lot} > 1 THEN {base} || '_lote-' || lpad(CAST({lot} AS VARCHAR), 2, '0') "
+            f"ELSE {base} END || '.{ext}'")
+    return (f"{source} || '/anio=' || strftime({d}, '%Y') || '/mes=' || strftime({d}, '%m') || "
+            f"'/dia=' || strftime({d}, '%d') || '/' || {name}")
+
+
+DOC_OBJECTS = ("SELECT doc_id, source, ingest_date, text AS content, "
+               f"{raw_key_sql('source', 'ingest_date', 'txt')} AS object_key FROM ("
+               "SELECT *, DATE '2024-01-01' + CAST(doc_id AS INTEGER) AS ingest_date FROM documents) d")
+
+ORACLE["lake_path"] = f"""
+SELECT doc_id, 'lake-raw' AS bucket, {raw_key_sql('source', 'ingest_date', 'txt', 'lot')} AS object_key,
+       {raw_key_sql('source', 'ingest_date', 'txt', 'lot')} || '{MANIFEST_SUFFIX}' AS manifest_key
+FROM (SELECT doc_id, source, DATE '2024-01-01' + CAST(doc_id AS INTEGER) AS ingest_date,
+             CAST(doc_id % 3 + 1 AS INTEGER) AS lot FROM documents) d"""
+
+BROKEN_KEYS = f"""
+SELECT doc_id, CASE
+  WHEN doc_id % 23 = 0 THEN replace(object_key, '/mes=', '/mes=0')
+  WHEN doc_id % 29 = 0 THEN source || '/anio=2024/mes=02/dia=30/' || source || '_20240230.txt'
+  WHEN doc_id % 31 = 0 THEN source || '/anio=2024/mes=01/dia=' || strftime(ingest_date, '%d') || '/' || source || '_20231231.txt'
+  WHEN doc_id % 37 = 0 THEN upper(object_key)
+  WHEN doc_id % 41 = 0 THEN replace(object_key, '.txt', '.TXT')
+  ELSE object_key END AS object_key
+FROM ({DOC_OBJECTS}) o"""
+
+_SOURCES = ", ".join(f"'src{i}'" for i in range(18))
+PATH_CHECK = f"""
+SELECT object_key, CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, reason FROM (
+  SELECT object_key, CASE
+    WHEN NOT regexp_matches(object_key, '{KEY_PATTERN}') THEN 'pattern'
+    WHEN regexp_extract(object_key, '{KEY_PATTERN}', 1) NOT IN ({_SOURCES}) THEN 'source'
+    WHEN try_strptime(regexp_extract(object_key, '{KEY_PATTERN}', 2) || '-' || regexp_extract(object_key, '{KEY_PATTERN}', 3)
+                      || '-' || regexp_extract(object_key, '{KEY_PATTERN}', 4), '%Y-%m-%d') IS NULL THEN 'calendar'
+    WHEN NOT regexp_matches(regexp_extract(object_key, '{KEY_PATTERN}', 5), '{FILE_PATTERN}') THEN 'file_name'
+    WHEN regexp_extract(regexp_extract(object_key, '{KEY_PATTERN}', 5), '{FILE_PATTERN}', 2)
+         <> regexp_extract(object_key, '{KEY_PATTERN}', 2) || regexp_extract(object_key, '{KEY_PATTERN}', 3)
+            || regexp_extract(object_key, '{KEY_PATTERN}', 4) THEN 'date_mismatch' END AS reason
+  FROM ({BROKEN_KEYS}) k
+  WHERE NOT starts_with(object_key, '_') AND NOT ends_with(object_key, '{MANIFEST_SUFFIX}')) x"""
+ORACLE["path_check"] = PATH_CHECK
+
+ORACLE["classify_object"] = f"""
+SELECT doc_id, object_key, CASE WHEN object_key = '_LEEME.txt' THEN 'readme'
+  WHEN starts_with(object_key, '_evidencia/') THEN 'probe' WHEN starts_with(object_key, '_') THEN 'lake_metadata'
+  WHEN ends_with(object_key, '{MANIFEST_SUFFIX}') THEN 'manifest' ELSE 'data' END AS class
+FROM (SELECT doc_id, CASE WHEN doc_id % 6 = 1 THEN object_key || '{MANIFEST_SUFFIX}'
+  WHEN doc_id % 6 = 2 THEN '_evidencia/probe-' || CAST(doc_id AS VARCHAR) || '.txt'
+  WHEN doc_id % 6 = 3 THEN '_meta/' || CAST(doc_id AS VARCHAR) || '.json'
+  WHEN doc_id % 6 = 4 THEN '_LEEME.txt' ELSE object_key END AS object_key FROM ({DOC_OBJECTS}) o) k"""
+
+ORACLE["largest_object"] = """
+WITH c AS (SELECT source, lang AS period, source || '/' || lang || '/' || name AS path, name AS file_name,
+                  strlen(text) AS bytes
+           FROM (SELECT *, CASE WHEN doc_id % 50 = 0 THEN 'readme.txt'
+                      ELSE 'doc_' || CAST(doc_id AS VARCHAR) || '.' || ['csv', 'txt', 'dta', 'json'][doc_id % 4 + 1] END AS name
+                 FROM documents) d),
+ok AS (SELECT * FROM c WHERE lower(file_name) NOT IN ('leeme.txt', 'readme.txt', 'leeme.md', '.gitkeep')
+         AND (ends_with(lower(file_name), '.csv') OR ends_with(lower(file_name), '.txt')
+              OR ends_with(lower(file_name), '.dta') OR ends_with(lower(file_name), '.sav'))
+         AND bytes >= 8192),
+best AS (SELECT source, path, bytes FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bytes DESC, path DESC) AS rn FROM ok) r WHERE rn = 1),
+agg AS (SELECT source, COUNT(*) AS candidates, list_sort(list(DISTINCT period)) AS p FROM ok GROUP BY source)
+SELECT a.source, b.path AS chosen_path, b.bytes AS chosen_bytes, candidates,
+       array_to_string(p, ',') AS periods, len(p) > 1 AS multi_period
+FROM agg a JOIN best b ON a.source = b.source"""
+
+ORACLE["raw_write_roundtrip"] = """
+SELECT event_id, user_id, event_type, strftime(ts, '%Y') AS anio, strftime(ts, '%m') AS mes,
+       strftime(ts, '%d') AS dia, '01' AS lote FROM events"""
+
+ORACLE["reprocess_since"] = """
+SELECT event_id, strftime(ts, '%Y') AS anio, strftime(ts, '%m') AS mes, strftime(ts, '%d') AS dia
+FROM events WHERE strftime(ts, '%Y%m%d') >= '20240120'"""
+
+_REST = "CASE WHEN strpos(content, chr(10)) > 0 THEN substr(content, strpos(content, chr(10)) + 1) ELSE '' END"
+_HEADER = "regexp_replace(split_part(content, chr(10), 1), '\\r$', '')"
+ORACLE["manifest"] = f"""
+SELECT object_key, object_key || '{MANIFEST_SUFFIX}' AS manifest_key, 'raw' AS layer, true AS immutable, source,
+       'anio=' || strftime(ingest_date, '%Y') || '/mes=' || strftime(ingest_date, '%m') || '/dia=' || strftime(ingest_date, '%d') AS partition,
+       'txt' AS format, strlen(content) AS bytes, sha256(content) AS sha256,
+       length({_REST}) - length(replace({_REST}, chr(10), ''))
+         + CASE WHEN length({_REST}) > 0 AND NOT ends_with({_REST}, chr(10)) THEN 1 ELSE 0 END AS data_lines,
+       len(string_split({_HEADER}, ',')) AS columns_n, {_HEADER} AS header
+FROM ({DOC_OBJECTS}) o"""
+
+ORACLE["lot_resolution"] = f"""
+WITH o AS (SELECT doc_id, source, CAST(doc_id % 28 + 1 AS INTEGER) AS day, text AS content FROM documents),
+st0 AS (SELECT source, day, doc_id, sha256(content) AS sha,
+               row_number() OVER (PARTITION BY source, day ORDER BY doc_id) AS lot FROM o WHERE doc_id % 2 = 0),
+stored AS (SELECT * FROM st0 WHERE NOT (day % 6 = 0 AND lot = 2)),
+s2 AS (SELECT *, row_number() OVER (PARTITION BY source, day ORDER BY lot) = lot AS prefix FROM stored),
+fst AS (SELECT source, day, MIN(doc_id) AS fid FROM o WHERE doc_id % 2 = 1 GROUP BY 1, 2),
+inc AS (SELECT f.source, f.day,
+               CASE WHEN f.fid % 3 = 0 AND l1.sha IS NOT NULL THEN l1.sha ELSE sha256(o.content) END AS sha
+        FROM fst f JOIN o ON o.doc_id = f.fid
+        LEFT JOIN (SELECT source, day, sha FROM stored WHERE lot = 1) l1 ON l1.source = f.source AND l1.day = f.day),
+g AS (SELECT i.source, i.day, i.sha, COUNT(*) FILTER (WHERE s2.prefix) + 1 AS n,
+             MIN(s2.lot) FILTER (WHERE s2.prefix AND s2.sha = i.sha) AS same
+      FROM inc i LEFT JOIN s2 ON s2.source = i.source AND s2.day = i.day GROUP BY 1, 2, 3),
+r AS (SELECT source, day, sha, CASE WHEN same IS NOT NULL THEN 'skip' WHEN n > 99 THEN 'fail' ELSE 'load' END AS action,
+             CAST(COALESCE(same, n) AS INTEGER) AS lot FROM g)
+SELECT source, day, sha AS incoming_sha256, action, lot,
+       CASE WHEN action <> 'fail' THEN {raw_key_sql('source', 'make_date(2024, 1, day)', 'txt', 'lot')} END AS object_key
+FROM r"""
+
+VERSION_LOG = """
+SELECT ['raw', 'refined', 'curated'][user_id % 3 + 1] AS layer, 'obj-' || CAST(user_id AS VARCHAR) AS object_key,
+       event_id AS version_id, ts AS instant,
+       CASE WHEN event_type = 'error' THEN 'delete' ELSE 'write' END AS kind,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(trunc(value) AS BIGINT) END AS bytes
+FROM events"""
+_RANKED = f"""
+SELECT *, row_number() OVER (PARTITION BY layer, object_key ORDER BY instant DESC, version_id DESC) AS rn,
+       COUNT(*) OVER (PARTITION BY layer, object_key) AS events FROM ({VERSION_LOG}) l"""
+_WRANK = f"""
+SELECT *, row_number() OVER (PARTITION BY layer, object_key ORDER BY instant DESC, version_id DESC) AS wrn,
+       COUNT(*) OVER (PARTITION BY layer, object_key) AS versions FROM ({VERSION_LOG}) l WHERE kind = 'write'"""
+
+ORACLE["current_versions"] = f"""
+SELECT layer, object_key, version_id, instant, bytes,
+       CASE WHEN kind = 'delete' THEN 'deleted' ELSE 'live' END AS state, events
+FROM ({_RANKED}) r WHERE rn = 1"""
+
+ORACLE["restored_versions"] = f"""
+SELECT r.layer, r.object_key, r.version_id AS marker_version_id, w.version_id AS restored_version_id,
+       w.instant AS restored_instant, w.bytes AS restored_bytes
+FROM ({_RANKED}) r JOIN ({_WRANK}) w ON r.layer = w.layer AND r.object_key = w.object_key AND w.wrn = 1
+WHERE r.rn = 1 AND r.kind = 'delete'"""
+
+ORACLE["previous_version"] = f"""
+SELECT layer, object_key, versions, version_id AS previous_version_id, instant AS previous_instant,
+       bytes AS previous_bytes FROM ({_WRANK}) w WHERE wrn = 2"""
+
+IMMUTABILITY = f"""
+SELECT layer, object_key, COUNT(*) AS versions, CASE WHEN COUNT(*) > 1 THEN 'FAIL' ELSE 'PASS' END AS status
+FROM ({VERSION_LOG}) l WHERE kind = 'write' GROUP BY 1, 2"""
+ORACLE["immutability_audit"] = IMMUTABILITY
+
+ORACLE["timeline"] = f"""
+SELECT row_number() OVER (ORDER BY instant, object_key, version_id) AS seq, layer, object_key, version_id, instant,
+       kind, bytes, rn AS key_rank, events AS key_events FROM ({_RANKED}) r"""
+
+ORACLE["layer_summary"] = f"""
+SELECT layer, COUNT(*) AS keys, CAST(SUM(events) AS BIGINT) AS events,
+       CAST(SUM(CASE WHEN kind = 'write' THEN COALESCE(bytes, 0) ELSE 0 END) AS BIGINT) AS current_bytes
+FROM ({_RANKED}) r WHERE rn = 1 GROUP BY layer"""
+
+ORACLE["event_log_union"] = f"SELECT layer, object_key, version_id, instant, kind, bytes FROM ({VERSION_LOG}) l"
+
+ORACLE["missing_manifest"] = f"""
+SELECT object_key FROM ({DOC_OBJECTS}) o WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+
+DECLARED_VS_ACTUAL = """
+WITH d AS (SELECT 'lake-' || lower(replace(n_name, ' ', '_')) AS bucket, n_regionkey IN (0, 2) AS vd
+           FROM nation WHERE n_nationkey < 20),
+a AS (SELECT 'lake-' || lower(replace(n_name, ' ', '_')) AS bucket, COUNT(*) % 2 = 1 AS va, MAX(s_acctbal) > 5000 AS readme
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey >= 3 GROUP BY 1),
+j AS (SELECT COALESCE(d.bucket, a.bucket) AS bucket, d.bucket IS NOT NULL AS declared, a.bucket IS NOT NULL AS exists_,
+             COALESCE(vd, false) AS vd, COALESCE(va, false) AS va, COALESCE(readme, false) AS readme
+      FROM d FULL OUTER JOIN a ON d.bucket = a.bucket),
+f AS (SELECT *, (declared AND NOT exists_) OR (declared AND vd AND NOT va) OR (declared AND exists_ AND NOT readme) AS fail
+      FROM j)
+SELECT bucket, declared, exists_ AS "exists", vd AS versioned_declared, va AS versioned_actual, readme AS has_readme,
+       CASE WHEN fail THEN 'FAIL' WHEN NOT declared OR (NOT vd AND va) THEN 'NOTE' ELSE 'PASS' END AS status,
+       CASE WHEN declared AND NOT exists_ THEN 'bucket missing' WHEN NOT declared THEN 'bucket not declared'
+            WHEN vd AND NOT va THEN 'versioning missing' WHEN NOT readme THEN 'readme missing'
+            WHEN NOT vd AND va THEN 'versioning not needed' END AS reason
+FROM f"""
+ORACLE["declared_vs_actual"] = DECLARED_VS_ACTUAL
+
+_DECLARED_SHA = ("CASE WHEN doc_id % 19 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN sha256(content || '#') "
+                 "ELSE sha256(content) END")
+INTEGRITY = f"""
+SELECT object_key, CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, reason FROM (
+  SELECT object_key, CASE WHEN {_DECLARED_SHA} IS NULL THEN 'no declared sha256'
+    WHEN {_DECLARED_SHA} <> sha256(content) THEN 'sha256 mismatch' END AS reason FROM ({DOC_OBJECTS}) o) x"""
+ORACLE["integrity_check"] = INTEGRITY
+
+DUPLICATES = f"""
+SELECT sha256(content) AS sha256, COUNT(*) AS objects, MIN(object_key) AS first_key
+FROM ({DOC_OBJECTS}) o GROUP BY 1 HAVING COUNT(*) > 1"""
+ORACLE["duplicate_content"] = DUPLICATES
+
+_CHECKS = f"""
+SELECT 1 AS chk, CASE WHEN "exists" THEN 'PASS' ELSE 'FAIL' END AS status FROM ({DECLARED_VS_ACTUAL}) x WHERE declared
+UNION ALL SELECT 2, CASE WHEN versioned_declared AND NOT versioned_actual THEN 'FAIL' ELSE 'PASS' END
+  FROM ({DECLARED_VS_ACTUAL}) x WHERE declared AND "exists"
+UNION ALL SELECT 3, status FROM ({PATH_CHECK}) x
+UNION ALL SELECT 4, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'PASS' ELSE 'FAIL' END FROM ({DOC_OBJECTS}) x
+UNION ALL SELECT 5, status FROM ({INTEGRITY}) x
+UNION ALL SELECT 6, CASE WHEN has_readme THEN 'PASS' ELSE 'FAIL' END FROM ({DECLARED_VS_ACTUAL}) x WHERE "exists"
+UNION ALL SELECT 7, 'PASS' FROM ({_WRANK}) w WHERE wrn = 2
+UNION ALL SELECT 8, status FROM ({IMMUTABILITY}) x
+UNION ALL SELECT 9, 'FAIL' FROM ({DUPLICATES}) x"""
+ORACLE["criteria_rollup"] = f"""
+WITH c AS ({_CHECKS}),
+s AS (SELECT k.chk, COALESCE(f, 0) = 0 AND (COALESCE(n, 0) > 0 OR k.chk = 9) AS passed
+      FROM range(1, 10) k(chk) LEFT JOIN (SELECT chk, COUNT(*) AS n, COUNT(*) FILTER (WHERE status = 'FAIL') AS f
+                                         FROM c GROUP BY chk) g ON g.chk = k.chk),
+crit AS (SELECT * FROM (VALUES (1, [1, 3, 5]), (2, [9]), (3, [2, 7]), (4, [3, 4, 6]), (5, [8]), (6, [1, 3, 4, 5, 6])) v(criterion, deps))
+SELECT criterion, array_to_string(deps, ',') AS depends_on, bool_and(COALESCE(s.passed, false)) AS passed
+FROM (SELECT criterion, deps, unnest(deps) AS chk FROM crit) x LEFT JOIN s ON s.chk = x.chk
+GROUP BY criterion, depends_on"""
