@@ -63,3 +63,30 @@ def write_partitioned(df: DataFrame, path: str, cols=("anio", "mes"), mode: str
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", 5_000_000)
      .partitionBy(*cols).parquet(path))
+
+
+def build_refined(raw: DataFrame, key: str, price_text: str, date_text: str, category_raw: str,
+                  keep: list[str], date_format: str = "yyyy-MM-dd",
+                  empty_category: str = "UNSPECIFIED") -> tuple[DataFrame, DataFrame]:
+    """Type, deduplicate, validate and correct raw text records.
+
+    Returns (valid, rejected). Typing uses the locale number parser and a
+    strict date parser; exact duplicate records collapse (full-row
+    distinct); a record without a positive price or a date is rejected with
+    its reason; the category is normalized and a blank one is corrected to
+    ``empty_category``; prices are fixed to 2 decimals."""
+    from tributary.functions.text import normalize_key, parse_local_number
+    typed = raw.select(*keep, F.col(key).alias(key),
+                       parse_local_number(price_text).alias("price"),
+                       F.try_to_date(F.col(date_text), date_format).alias("business_date"),
+                       normalize_key(category_raw).alias("category")).dropDuplicates()
+    reason = (F.when(F.col("price").isNull(), F.lit("price not numeric"))
+              .when(F.col("price") <= 0, F.lit("price not positive"))
+              .when(F.col("business_date").isNull(), F.lit("date not parseable")))
+    checked = typed.withColumn("reject_reason", reason)
+    valid = checked.where(F.col("reject_reason").isNull()).select(
+        *keep, key, round_half_up(F.col("price"), 2).alias("price"), "business_date",
+        F.when(F.col("category") == "(SIN DATO)", F.lit(empty_category)).otherwise(F.col("category"))
+        .alias("category"), *business_month("business_date"))
+    rejected = checked.where(F.col("reject_reason").isNotNull()).select(*keep, key, "reject_reason")
+    return valid, rejected

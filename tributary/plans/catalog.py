@@ -630,3 +630,115 @@ def lake_checks(spark, sf):
 @query("criteria_rollup")
 def q_criteria_rollup(spark, sf):
     return audit.criteria_rollup(audit.check_summary(lake_checks(spark, sf)))
+
+
+# --- S1, S2, S7, S11-S14, P4, P5 ---------------------------------------------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+from tributary.functions.timeutil import coerce_ts  # noqa: E402
+from tributary.lake.layers import build_refined, write_partitioned  # noqa: E402
+from tributary.sources import delimited, generators as gen  # noqa: E402
+
+DOC_CSV_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                               T.StructField("lang", T.StringType()), T.StructField("source", T.StringType())])
+
+
+@query("src_delimited")
+def q_src_delimited(spark, sf):
+    """documents written as quoted CSV (text with embedded newlines, commas
+    and quotes) to the shared scratch folder and read back."""
+    path = scratch_path(spark, "delimited", "documents")
+    delimited.write_delimited(load(spark, sf, "documents", "doc_id", "text", "lang", "source"), path)
+    return delimited.read_delimited(spark, path, DOC_CSV_SCHEMA)
+
+
+PAGE_SIZE = 1500
+
+
+@query("page_audit")
+def q_page_audit(spark, sf):
+    e = load(spark, sf, "events", "event_id")
+    pages = e.groupBy(F.floor(F.col("event_id") / PAGE_SIZE).alias("page")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return delimited.page_audit(pages, PAGE_SIZE)
+
+
+def orders_raw_text(spark, sf):
+    """orders as raw text records with every 10th order delivered twice and
+    every 61st date unparseable."""
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    k = F.col("o_orderkey")
+    raw = o.select("o_orderkey", "o_custkey",
+                   fx.dirty_local_number(F.col("o_totalprice"), k).alias("price_text"),
+                   F.when(k % 61 == 0, F.lit("not a date")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+                   .alias("date_text"),
+                   fx.noisy_key(F.col("o_orderpriority"), k).alias("priority_raw"))
+    return raw.unionByName(raw.where(k % 10 == 0))
+
+
+REFINED_SCHEMA = ("o_custkey bigint, o_orderkey bigint, price double, business_date date, category string, "
+                  "anio string, mes string")
+
+
+@query("refined_build")
+def q_refined_build(spark, sf):
+    valid, _ = build_refined(orders_raw_text(spark, sf), "o_orderkey", "price_text", "date_text",
+                             "priority_raw", keep=["o_custkey"])
+    path = scratch_path(spark, "lake", "refined", "orders")
+    write_partitioned(valid, path)
+    return spark.read.schema(REFINED_SCHEMA).parquet(path)
+
+
+@query("refined_rejects")
+def q_refined_rejects(spark, sf):
+    _, rejected = build_refined(orders_raw_text(spark, sf), "o_orderkey", "price_text", "date_text",
+                                "priority_raw", keep=["o_custkey"])
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("bounded_sample")
+def q_bounded_sample(spark, sf):
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return o.orderBy("o_orderkey").limit(1000)
+
+
+@query("coerce_ts")
+def q_coerce_ts(spark, sf):
+    e = load(spark, sf, "events", "event_id", "ts")
+    i = F.col("event_id")
+    text = (F.when(i % 53 == 0, F.lit("not a date"))
+            .when(i % 59 == 0, F.lit("2024-02-30 10:00:00"))
+            .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    return e.select("event_id", text.alias("ts_text"), coerce_ts(text).alias("ts_parsed"))
+
+
+@query("window_rate")
+def q_window_rate(spark, sf):
+    e = load(spark, sf, "events", "ts", "event_type")
+    day = e.where((F.col("ts") >= F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
+                  & (F.col("ts") < F.lit("2024-01-06 00:00:00").cast("timestamp_ntz")))
+    return day.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows")).select(
+        "event_type", "rows", round_half_up(F.col("rows") / 24.0, 4).alias("rows_per_hour"))
+
+
+@query("gen_skewed")
+def q_gen_skewed(spark, sf):
+    li = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
+    return gen.skewed_records(li, fx.lineitem_row_id(li))
+
+
+@query("gen_meter_readings")
+def q_gen_meter_readings(spark, sf):
+    return gen.meter_readings(load(spark, sf, "customer", "c_custkey"), F.col("c_custkey"))
+
+
+@query("gen_wide_text")
+def q_gen_wide_text(spark, sf):
+    return gen.wide_text_rows(load(spark, sf, "orders", "o_orderkey"), F.col("o_orderkey"))
+
+
+@query("gen_survey")
+def q_gen_survey(spark, sf):
+    li = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
+    return gen.survey_rows(li, fx.lineitem_row_id(li))

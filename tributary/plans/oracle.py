@@ -784,3 +784,43 @@ crit AS (SELECT * FROM (VALUES (1, [1, 3, 5]), (2, [9]), (3, [2, 7]), (4, [3, 4,
 SELECT criterion, array_to_string(deps, ',') AS depends_on, bool_and(COALESCE(s.passed, false)) AS passed
 FROM (SELECT criterion, deps, unnest(deps) AS chk FROM crit) x LEFT JOIN s ON s.chk = x.chk
 GROUP BY criterion, depends_on"""
+
+
+# --- S1, S2, S7, S11, P4, P5 ---------------------------------------------------------
+
+ORACLE["src_delimited"] = "SELECT doc_id, text, lang, source FROM documents"
+
+ORACLE["page_audit"] = """
+WITH p AS (SELECT CAST(floor(event_id / 1500) AS BIGINT) AS page, COUNT(*) AS rows FROM events GROUP BY 1),
+s AS (SELECT MIN(page) AS stop FROM p WHERE rows < 1500)
+SELECT page, rows, rows < 1500 AS short, stop IS NULL OR page <= stop AS fetched FROM p, s"""
+
+_RAW_ORDERS = f"""
+SELECT o_orderkey, o_custkey, {dirty_number('o_totalprice', 'o_orderkey')} AS price_text,
+       CASE WHEN o_orderkey % 61 = 0 THEN 'not a date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_text,
+       {noisy_key('o_orderpriority', 'o_orderkey')} AS priority_raw FROM orders"""
+_TYPED = f"""
+SELECT DISTINCT o_custkey, o_orderkey, {parse_number('price_text')} AS price,
+       CAST(try_strptime(date_text, '%Y-%m-%d') AS DATE) AS business_date, {norm_key('priority_raw')} AS category
+FROM (SELECT * FROM ({_RAW_ORDERS}) a UNION ALL SELECT * FROM ({_RAW_ORDERS}) b WHERE o_orderkey % 10 = 0) r"""
+_REASON = ("CASE WHEN price IS NULL THEN 'price not numeric' WHEN price <= 0 THEN 'price not positive' "
+           "WHEN business_date IS NULL THEN 'date not parseable' END")
+ORACLE["refined_build"] = f"""
+SELECT o_custkey, o_orderkey, {rnd('price', 2)} AS price, business_date,
+       CASE WHEN category = '(SIN DATO)' THEN 'UNSPECIFIED' ELSE category END AS category,
+       strftime(business_date, '%Y') AS anio, strftime(business_date, '%m') AS mes
+FROM ({_TYPED}) t WHERE {_REASON} IS NULL"""
+ORACLE["refined_rejects"] = f"""
+SELECT {_REASON} AS reject_reason, COUNT(*) AS records FROM ({_TYPED}) t WHERE {_REASON} IS NOT NULL GROUP BY 1"""
+
+ORACLE["bounded_sample"] = """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders ORDER BY o_orderkey LIMIT 1000"""
+
+_TS_TEXT = ("CASE WHEN event_id % 53 = 0 THEN 'not a date' WHEN event_id % 59 = 0 THEN '2024-02-30 10:00:00' "
+            "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END")
+ORACLE["coerce_ts"] = f"""
+SELECT event_id, {_TS_TEXT} AS ts_text, try_strptime({_TS_TEXT}, '%Y-%m-%d %H:%M:%S') AS ts_parsed FROM events"""
+
+ORACLE["window_rate"] = f"""
+SELECT event_type, COUNT(*) AS rows, {rnd('COUNT(*) / 24.0', 4)} AS rows_per_hour FROM events
+WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-06 00:00:00' GROUP BY 1"""
