@@ -46,13 +46,20 @@ def clean_number_text(c, strip_symbols=("$", " ", "%"), thousands: str | None =
     return t
 
 
+def parse_text_number(c, strip_symbols=("$", " ", "%"), thousands: str | None = ".",
+                      decimal: str = ",") -> Column:
+    """Cleaned text -> double when it is a plain number (may be infinite for
+    overflowing exponents). The text expression is referenced once."""
+    t = clean_number_text(c, strip_symbols, thousands, decimal)
+    return F.regexp_extract(t, NUMERIC_TEXT, 0).try_cast("double")
+
+
 def parse_local_number(c, strip_symbols=("$", " ", "%"), thousands: str | None = ".",
                        decimal: str = ",") -> Column:
-    """Locale-formatted text -> double, NULL when not a finite number."""
-    t = clean_number_text(c, strip_symbols, thousands, decimal)
-    d = t.try_cast("double")
-    # overflowing exponents parse to infinity; such values are discarded
-    return F.when(t.rlike(NUMERIC_TEXT) & (F.abs(d) < F.lit(float("inf"))), d)
+    """Locale-formatted text -> double, NULL when not a finite number
+    (overflowing exponents parse to infinity and are discarded)."""
+    d = parse_text_number(c, strip_symbols, thousands, decimal)
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def parse_with(contract: KeyValueContract, c) -> Column:

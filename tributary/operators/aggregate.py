@@ -17,20 +17,27 @@ from pyspark.sql import functions as F
 
 from tributary.contract import KeyValueContract
 from tributary.functions.numeric import money, round_half_up
-from tributary.functions.text import normalize_key, parse_with
+from tributary.functions.text import normalize_key, parse_text_number
 
 
 def extract_pairs(df: DataFrame, contract: KeyValueContract, keep=()) -> DataFrame:
     """Map side: text record -> (key, value, reason). ``reason`` is NULL for a
-    valid pair and names why a record was discarded otherwise (P3)."""
-    raw_value = F.col(contract.value_col)
-    value = parse_with(contract, raw_value)
-    reason = (F.when(raw_value.isNull() | F.col(contract.key_col).isNull(), F.lit("short_row"))
-              .when(value.isNull(), F.lit("non_numeric")))
-    return df.select(
-        *keep,
-        normalize_key(contract.key_col, contract.normalize_key, contract.empty_key).alias("key"),
-        F.when(reason.isNull(), value).alias("value"),
+    valid pair and names why a record was discarded otherwise (P3).
+
+    Built as separate projections (raw fields -> parsed number -> pair) so
+    each text expression is evaluated once per record; the optimizer keeps
+    the stages apart because the parsed value is used more than once."""
+    raw = df.select(*keep, F.col(contract.key_col).alias("_k"), F.col(contract.value_col).alias("_v"))
+    kept = raw.columns[:len(keep)]
+    parsed = raw.select(*kept, "_k", "_v",
+                        parse_text_number(F.col("_v"), contract.strip_symbols, contract.thousands,
+                                          contract.decimal).alias("_d"))
+    reason = (F.when(F.col("_v").isNull() | F.col("_k").isNull(), F.lit("short_row"))
+              .when(F.col("_d").isNull() | ~(F.abs(F.col("_d")) < F.lit(float("inf"))), F.lit("non_numeric")))
+    return parsed.select(
+        *kept,
+        normalize_key("_k", contract.normalize_key, contract.empty_key).alias("key"),
+        F.when(reason.isNull(), F.col("_d")).alias("value"),
         reason.alias("reason"))
 
 
@@ -53,9 +60,9 @@ def finalize_mean(df: DataFrame, key: str, s: str, n: str, decimals: int = 2,
 def mean_by_key(pairs: DataFrame, key: str = "key", value: str = "value",
                 decimals: int = 2) -> DataFrame:
     """A1: groupBy(key) -> partial HashAggregate, Exchange, final HashAggregate."""
-    agg = (pairs.where(F.col(value).isNotNull())
-           .groupBy(key)
-           .agg(F.sum(money(F.col(value))).alias("_s"), F.count(F.lit(1)).alias("_n")))
+    # no filter before the aggregate: NULL values are skipped by sum/count,
+    # so the parse is not re-evaluated by a pushed-down predicate
+    agg = pairs.groupBy(key).agg(F.sum(money(F.col(value))).alias("_s"), F.count(value).alias("_n"))
     return finalize_mean(agg, key, "_s", "_n", decimals)
 
 
@@ -63,9 +70,9 @@ def partial_aggregates(pairs: DataFrame, split_col, key: str = "key",
                        value: str = "value") -> DataFrame:
     """A2 map+combine: one (split, key, sum, count) row per split and key."""
     split = F.col(split_col) if isinstance(split_col, str) else split_col
-    return (pairs.where(F.col(value).isNotNull())
-            .groupBy(split.alias("split"), F.col(key).alias("key"))
-            .agg(F.sum(money(F.col(value))).alias("sum"), F.count(F.lit(1)).alias("count")))
+    return (pairs.groupBy(split.alias("split"), F.col(key).alias("key"))
+            .agg(F.sum(money(F.col(value))).alias("sum"), F.count(value).alias("count"))
+            .where(F.col("count") > 0))
 
 
 def merge_partials(partials: DataFrame, decimals: int = 2) -> tuple[DataFrame, DataFrame]:
@@ -94,7 +101,7 @@ def salt_buckets(max_count: int, total: int, keys: int) -> int:
 
 def choose_salt(pairs: DataFrame, key: str = "key", value: str = "value") -> int:
     """Measure the key distribution (one small aggregate) and pick S."""
-    counts = pairs.where(F.col(value).isNotNull()).groupBy(key).count()
+    counts = pairs.groupBy(key).agg(F.count(value).alias("count")).where(F.col("count") > 0)
     row = counts.agg(F.max("count").alias("mx"), F.sum("count").alias("n"),
                      F.count(F.lit(1)).alias("k")).first()
     if row is None or row["n"] is None:
@@ -108,9 +115,8 @@ def salted_mean(pairs: DataFrame, buckets: int | None = None, key: str = "key",
     then re-aggregate by key. The hot key is spread over S reducers in the
     first shuffle; the second shuffle moves at most K*S small rows."""
     s = buckets or choose_salt(pairs, key, value)
-    salted = (pairs.where(F.col(value).isNotNull())
-              .withColumn("_b", F.pmod(F.xxhash64(*[F.col(c) for c in pairs.columns]), F.lit(s)))
+    salted = (pairs.withColumn("_b", F.pmod(F.xxhash64(*[F.col(c) for c in pairs.columns]), F.lit(s)))
               .groupBy(key, "_b")
-              .agg(F.sum(money(F.col(value))).alias("_ps"), F.count(F.lit(1)).alias("_pn")))
+              .agg(F.sum(money(F.col(value))).alias("_ps"), F.count(value).alias("_pn")))
     merged = salted.groupBy(key).agg(F.sum("_ps").alias("_s"), F.sum("_pn").alias("_n"))
     return finalize_mean(merged, key, "_s", "_n", decimals)

@@ -181,81 +181,96 @@ def top_text_columns(lengths: DataFrame, k: int = 5) -> DataFrame:
 
 
 # --- A16 width model ------------------------------------------------------------
+# Width expressions are generated as SQL text: one ``F.expr`` per aggregate
+# keeps plan construction to a handful of driver->JVM calls even for wide
+# tables, where building Column trees call by call dominated the run time.
 
-def csv_width(df: DataFrame, c: str) -> Column:
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def canonical_sql(c: str) -> str:
+    """P7 as Spark SQL text (same rule as ``functions.text.canonical_number``)."""
+    v = f"CAST({c} AS DOUBLE)"
+    fixed = f"CAST(CAST(round(CAST({v} AS DECIMAL(38,9)), 6) AS DECIMAL(38,6)) AS STRING)"
+    frac = f"regexp_replace(regexp_replace({fixed}, '0+$', ''), '\\\\.$', '')"
+    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} = floor({v}) AND abs({v}) < 1e15 "
+            f"THEN CAST(CAST({v} AS BIGINT) AS STRING) ELSE {frac} END")
+
+
+def csv_width_sql(c: str, dt: T.DataType) -> str:
     """Bytes of a cell written as delimited text (without its delimiter)."""
-    dt = df.schema[c].dataType
-    x = F.col(c)
+    x = _q(c)
     if is_text(dt):
-        quoted = x.rlike('[,"\r\n]')
-        quotes = F.char_length(x) - F.char_length(F.replace(x, F.lit('"'), F.lit("")))
-        w = F.octet_length(x) + F.when(quoted, 2 + quotes).otherwise(0)
+        w = (f"octet_length({x}) + CASE WHEN {x} RLIKE '[,\"\\r\\n]' "
+             f"THEN 2 + (char_length({x}) - char_length(replace({x}, '\"', ''))) ELSE 0 END")
     elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        w = F.octet_length(canonical_number(x))
+        w = f"octet_length({canonical_sql(x)})"
     elif isinstance(dt, NUMERIC):
-        w = F.length(x.cast("string"))
+        w = f"char_length(CAST({x} AS STRING))"
     elif isinstance(dt, TIMES):
-        w = 19 + F.when(F.date_format(x, "SSSSSS") != "000000", 7).otherwise(0)
+        w = f"19 + CASE WHEN date_format({x}, 'SSSSSS') <> '000000' THEN 7 ELSE 0 END"
     elif isinstance(dt, T.DateType):
-        w = F.lit(10)
+        w = "10"
     elif isinstance(dt, T.BooleanType):
-        w = F.when(x, 4).otherwise(5)
+        w = f"CASE WHEN {x} THEN 4 ELSE 5 END"
     else:
-        w = F.octet_length(F.to_json(F.struct(x)))
-    return F.when(x.isNull(), F.lit(0).cast("bigint")).otherwise(w.cast("bigint"))
+        w = f"octet_length(to_json(named_struct('v', {x})))"
+    return f"CAST(CASE WHEN {x} IS NULL THEN 0 ELSE {w} END AS BIGINT)"
 
 
-def memory_width(df: DataFrame, c: str, deep: bool = True) -> Column:
-    dt = df.schema[c].dataType
-    if not is_text(dt):
-        return F.lit(SLOT_BYTES).cast("bigint")
-    if not deep:
-        return F.lit(SLOT_BYTES).cast("bigint")
-    x = F.col(c)
-    return (F.when(x.isNull(), SLOT_BYTES + NULL_OBJECT_BYTES)
-            .otherwise(SLOT_BYTES + STRING_HEADER_BYTES + F.octet_length(x))).cast("bigint")
+def text_memory_sql(c: str) -> str:
+    """In-memory bytes of a text cell (pointer + object)."""
+    x = _q(c)
+    return (f"CAST(CASE WHEN {x} IS NULL THEN {SLOT_BYTES + NULL_OBJECT_BYTES} "
+            f"ELSE {SLOT_BYTES + STRING_HEADER_BYTES} + octet_length({x}) END AS BIGINT)")
+
+
+def csv_width(df: DataFrame, c: str) -> Column:
+    return F.expr(csv_width_sql(c, df.schema[c].dataType))
 
 
 def expansion_ratio(df: DataFrame, name: str, group: Column | None = None) -> DataFrame:
     """Stored bytes (delimited text incl. header and one delimiter per
     cell) vs in-memory bytes (declared width model), per column and in total
-    ('*'), deep (with string payload) and shallow (pointers only)."""
-    cols = df.columns
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.sum(csv_width(df, c) + 1).alias(f"_s{i}"),
-                 F.sum(memory_width(df, c)).alias(f"_m{i}"),
-                 F.sum(memory_width(df, c, deep=False)).alias(f"_h{i}")]
+    ('*'), deep (with string payload) and shallow (pointers only). Fixed-width
+    slots are counted as 8 x rows instead of summed row by row."""
+    fields = df.schema.fields
+    aggs = [F.expr("count(1)").alias("rows")]
+    for i, f in enumerate(fields):
+        aggs.append(F.expr(f"sum({csv_width_sql(f.name, f.dataType)} + 1)").alias(f"_s{i}"))
+        if is_text(f.dataType):
+            aggs.append(F.expr(f"sum({text_memory_sql(f.name)})").alias(f"_m{i}"))
     keys = [group.alias("source")] if group is not None else [F.lit(name).alias("source")]
-    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *aggs)
-    header = {i: len(c.encode("utf-8")) + 1 for i, c in enumerate(cols)}
-    items = [F.struct(F.lit(c).alias("column_name"),
-                      (F.coalesce(F.col(f"_s{i}"), F.lit(0)) + header[i]).alias("stored"),
-                      F.coalesce(F.col(f"_m{i}"), F.lit(0)).alias("mem"),
-                      F.coalesce(F.col(f"_h{i}"), F.lit(0)).alias("shallow"))
-             for i, c in enumerate(cols)]
-    total = F.struct(F.lit("*").alias("column_name"),
-                     sum((F.coalesce(F.col(f"_s{i}"), F.lit(0)) + header[i] for i in range(len(cols))),
-                         F.lit(0)).alias("stored"),
-                     sum((F.coalesce(F.col(f"_m{i}"), F.lit(0)) for i in range(len(cols))),
-                         F.lit(0)).alias("mem"),
-                     sum((F.coalesce(F.col(f"_h{i}"), F.lit(0)) for i in range(len(cols))),
-                         F.lit(0)).alias("shallow"))
-    long = one.select("source", "rows", F.explode(F.array(*items, total)).alias("x"))
+    one = df.groupBy(*keys).agg(*aggs)
+    items, st, me = [], [], []
+    for i, f in enumerate(fields):
+        hdr = len(f.name.encode("utf-8")) + 1
+        s_i = f"coalesce(_s{i}, 0) + {hdr}"
+        m_i = f"coalesce(_m{i}, 0)" if is_text(f.dataType) else f"rows * {SLOT_BYTES}"
+        st.append(s_i)
+        me.append(m_i)
+        lit = f.name.replace("'", "\\'")
+        items.append(f"named_struct('column_name', '{lit}', 'stored', CAST({s_i} AS BIGINT), "
+                     f"'mem', CAST({m_i} AS BIGINT), 'shallow', CAST(rows * {SLOT_BYTES} AS BIGINT))")
+    items.append(f"named_struct('column_name', '*', 'stored', CAST({' + '.join(st)} AS BIGINT), "
+                 f"'mem', CAST({' + '.join(me)} AS BIGINT), "
+                 f"'shallow', CAST(rows * {SLOT_BYTES * len(fields)} AS BIGINT))")
+    long = one.select("source", "rows", F.expr(f"explode(array({', '.join(items)}))").alias("x"))
     return long.select(
         "source", "x.column_name", "rows",
-        F.col("x.stored").cast("bigint").alias("stored_bytes"),
-        F.col("x.mem").cast("bigint").alias("memory_bytes"),
+        F.col("x.stored").alias("stored_bytes"), F.col("x.mem").alias("memory_bytes"),
         round_half_up(F.col("x.mem") / F.col("x.stored"), 4).alias("k"),
         round_half_up(F.col("x.shallow") / F.col("x.stored"), 4).alias("k_shallow"))
 
 
 def text_payload_share(df: DataFrame, group: Column) -> DataFrame:
     """Share of in-memory bytes held by text payload, per group."""
-    text_cols = [f.name for f in df.schema.fields if is_text(f.dataType)]
-    mem = sum((memory_width(df, c) for c in df.columns), F.lit(0))
-    txt = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text_cols), F.lit(0))
-    return df.groupBy(group.alias("source")).agg((F.sum(txt) / F.sum(mem)).alias("text_share"))
+    fields = df.schema.fields
+    text = [f.name for f in fields if is_text(f.dataType)]
+    payload = " + ".join(f"coalesce(octet_length({_q(c)}), 0)" for c in text) or "0"
+    mem = " + ".join([text_memory_sql(c) for c in text] + [str(SLOT_BYTES * (len(fields) - len(text)))])
+    return df.groupBy(group.alias("source")).agg(F.expr(f"sum({payload}) / sum({mem})").alias("text_share"))
 
 
 # --- A17, A18 -------------------------------------------------------------------

@@ -26,9 +26,9 @@ def pairs_from(df: DataFrame, key: Column, value: Column) -> DataFrame:
 
 def key_distribution(pairs: DataFrame) -> DataFrame:
     """A4: count, exact sum, UTF-8 key bytes and Java hash per key."""
-    d = (pairs.where(F.col("value").isNotNull())
-         .groupBy("key")
-         .agg(F.count(F.lit(1)).alias("count"), F.sum(money(F.col("value"))).alias("_s")))
+    d = (pairs.groupBy("key")
+         .agg(F.count("value").alias("count"), F.sum(money(F.col("value"))).alias("_s"))
+         .where(F.col("count") > 0))
     return d.select("key", "count", F.col("_s").cast("double").alias("sum"),
                     F.octet_length("key").cast("bigint").alias("key_bytes"), java_hash("key").alias("java_hash"))
 
