@@ -742,3 +742,25 @@ def q_gen_wide_text(spark, sf):
 def q_gen_survey(spark, sf):
     li = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
     return gen.survey_rows(li, fx.lineitem_row_id(li))
+
+
+# --- streaming extension: raw -> refined ------------------------------------------
+
+from tributary.streaming import raw_to_refined as stream_refine  # noqa: E402
+
+
+@query("stream_refined_events")
+def q_stream_refined_events(spark, sf):
+    """events loaded into the raw layer, refined by a drained file stream
+    (watermarked de-duplication on event_id), read back from the refined
+    layer."""
+    root, _ = _events_raw_lake(spark, sf)
+    e = load(spark, sf, "events", *EVENT_DATA_COLS)
+    refined = scratch_path(spark, "lake", "refined", "events")
+    ckpt = scratch_path(spark, "stream", "refined-events")
+    q = stream_refine.start_raw_to_refined(spark, f"{root}/events", e.schema, refined, ckpt, "ts", ["event_id"])
+    stream_refine.run_until_drained(q)
+    out = spark.read.schema("event_id bigint, ts timestamp, user_id bigint, event_type string, anio string, "
+                            "mes string").parquet(refined)
+    return out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type",
+                      "anio", "mes")

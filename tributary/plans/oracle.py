@@ -824,3 +824,6 @@ SELECT event_id, {_TS_TEXT} AS ts_text, try_strptime({_TS_TEXT}, '%Y-%m-%d %H:%M
 ORACLE["window_rate"] = f"""
 SELECT event_type, COUNT(*) AS rows, {rnd('COUNT(*) / 24.0', 4)} AS rows_per_hour FROM events
 WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-06 00:00:00' GROUP BY 1"""
+
+ORACLE["stream_refined_events"] = """
+SELECT event_id, ts, user_id, event_type, strftime(ts, '%Y') AS anio, strftime(ts, '%m') AS mes FROM events"""
