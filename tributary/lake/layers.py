@@ -55,11 +55,11 @@ def curated_value_by_region(lineitem: DataFrame, orders: DataFrame, customer: Da
 
 def write_partitioned(df: DataFrame, path: str, cols=("anio", "mes"), mode: str = "overwrite") -> None:
     """Write by business month with dynamic partition overwrite: a rerun
-    replaces only the months it carries. No shuffle: each task sorts its rows
-    by the partition columns and writes one file per month it holds, capped
-    in size, so a month holding a third of the data is still written by many
-    tasks in parallel."""
-    (df.sortWithinPartitions(*cols).write.mode(mode)
+    replaces only the months it carries. The rebalance hint hash-partitions
+    rows by month and lets AQE coalesce small months into few files and split
+    a month holding a large share of the data over several tasks (no
+    tiny-file explosion of tasks x months, no single-task month)."""
+    (df.hint("rebalance", *cols).sortWithinPartitions(*cols).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", 5_000_000)
      .partitionBy(*cols).parquet(path))
@@ -75,15 +75,22 @@ def build_refined(raw: DataFrame, key: str, price_text: str, date_text: str, cat
     distinct); a record without a positive price or a date is rejected with
     its reason; the category is normalized and a blank one is corrected to
     ``empty_category``; prices are fixed to 2 decimals."""
-    from tributary.functions.text import normalize_key, parse_local_number
-    typed = raw.select(*keep, F.col(key).alias(key),
-                       parse_local_number(price_text).alias("price"),
-                       F.try_to_date(F.col(date_text), date_format).alias("business_date"),
-                       normalize_key(category_raw).alias("category")).dropDuplicates()
+    from tributary.functions.text import normalize_key, parse_text_number
+    # staged projections: every text expression is evaluated once per record
+    parsed = raw.select(*keep, F.col(key).alias(key),
+                        parse_text_number(F.col(price_text)).alias("_d"),
+                        F.try_to_date(F.col(date_text), date_format).alias("business_date"),
+                        normalize_key(category_raw).alias("category"))
+    typed = parsed.select(*keep, key, F.when(F.abs("_d") < F.lit(float("inf")), F.col("_d")).alias("price"),
+                          "business_date", "category")
     reason = (F.when(F.col("price").isNull(), F.lit("price not numeric"))
               .when(F.col("price") <= 0, F.lit("price not positive"))
               .when(F.col("business_date").isNull(), F.lit("date not parseable")))
-    checked = typed.withColumn("reject_reason", reason)
+    cols = [*keep, key, "price", "business_date", "category"]
+    # exact duplicates collapse; the reason rides along as an aggregate value
+    # (a function of the grouping columns), so the validity filters below stay
+    # above the aggregate instead of being pushed into the parse
+    checked = typed.withColumn("_r", reason).groupBy(*cols).agg(F.first("_r").alias("reject_reason"))
     valid = checked.where(F.col("reject_reason").isNull()).select(
         *keep, key, round_half_up(F.col("price"), 2).alias("price"), "business_date",
         F.when(F.col("category") == "(SIN DATO)", F.lit(empty_category)).otherwise(F.col("category"))

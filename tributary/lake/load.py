@@ -122,7 +122,8 @@ def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
     to_load = decisions.where(F.col("action") == "load").select(*PARTS, "lot")
     rows = (days.join(broadcast_if_small(to_load), PARTS)
             .withColumn("lote", F.lpad(F.col("lot").cast("string"), 2, "0")).drop("lot"))
-    (rows.sortWithinPartitions(*PARTS, "lote").write.mode("append")
+    # rebalance: about one file per day and lot, a large day split by AQE
+    (rows.hint("rebalance", *PARTS, "lote").sortWithinPartitions(*PARTS, "lote").write.mode("append")
      .partitionBy(*PARTS, "lote").parquet(f"{root}/{source}"))
     if verify:
         verify_read_back(spark, root, source, batch.schema, decisions.where(F.col("action") == "load"))

@@ -83,9 +83,13 @@ def merge_partials(partials: DataFrame, decimals: int = 2) -> tuple[DataFrame, D
     Returns (result, malformed_count)."""
     p = partials.select("key", F.col("sum").cast("decimal(28,6)").alias("sum"),
                         F.coalesce(F.col("count").cast("bigint"), F.lit(1).cast("bigint")).alias("count"))
-    good = p.where(F.col("sum").isNotNull() & F.col("key").isNotNull())
-    merged = good.groupBy("key").agg(F.sum("sum").alias("_s"), F.sum("count").alias("_n"),
-                                     F.count(F.lit(1)).alias("partials"))
+    ok = F.col("sum").isNotNull()
+    merged = p.groupBy("key").agg(F.sum(F.when(ok, F.col("sum"))).alias("_s"),
+                                  F.sum(F.when(ok, F.col("count"))).alias("_n"),
+                                  F.count(F.when(ok, 1)).alias("partials"))
+    # one expression over the key and an aggregate output: it cannot be split
+    # and pushed below the aggregate into the (re-evaluated) key expression
+    merged = merged.where(F.when(F.col("key").isNull(), F.lit(False)).otherwise(F.col("partials") > 0))
     result = finalize_mean(merged, "key", "_s", "_n", decimals, extra=["partials"])
     malformed = p.agg(F.count(F.when(F.col("sum").isNull() | F.col("key").isNull(), 1))
                       .alias("malformed_partials"))

@@ -14,9 +14,31 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+# Inputs below this estimated size are spread over all cores after the scan.
+SPREAD_MAX_BYTES = 1 << 30
+SPREAD_BYTES_PER_CORE = 64 << 20
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_small_input(df) if spread else df
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Parquet parallelism is one task per row group. A small file written as
+    a single row group would run every downstream per-row expression in one
+    task, so inputs estimated below min(cores x 64 MB, 1 GB) are spread
+    round-robin over the cores right after the pruned scan. Large inputs
+    already have many splits and are never reshuffled."""
+    from tributary.operators.joins import estimated_bytes
+    if df.sparkSession.conf.get("tributary.spreadSmallInputs", "true") != "true":
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(df)
+    if size is not None and size < min(cores * SPREAD_BYTES_PER_CORE, SPREAD_MAX_BYTES) and cores > 1:
+        return df.repartition(cores)
+    return df
 
 
 def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
