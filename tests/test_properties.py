@@ -117,3 +117,14 @@ def test_lot_limit(spark):
     incoming = spark.createDataFrame([(1, "new")], "day int, sha string")
     r = lake_load.resolve_lots(stored, incoming, ["day"]).first()
     assert r["action"] == "fail"
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.floats(min_value=-1e14, max_value=1e14, allow_nan=False, allow_infinity=False),
+                min_size=1, max_size=20))
+def test_arithmetic_width_equals_text_width(spark, xs):
+    from tributary.operators.profile import canonical_sql, canonical_width_sql
+    df = spark.createDataFrame([(x,) for x in xs + [0.5, -0.5, 1e-7, -2.0000001, 123.000001, 9.5e12]], "v double")
+    rows = df.select(F.expr(canonical_width_sql("v")).alias("a"),
+                     F.expr(f"octet_length({canonical_sql('v')})").alias("b"), "v").collect()
+    assert all(r["a"] == r["b"] for r in rows), [tuple(r) for r in rows if r["a"] != r["b"]]

@@ -198,18 +198,44 @@ def canonical_sql(c: str) -> str:
             f"THEN CAST(CAST({v} AS BIGINT) AS STRING) ELSE {frac} END")
 
 
-def csv_width_sql(c: str, dt: T.DataType) -> str:
+def scaled_sql(x: str) -> str:
+    """round(x, 6) as an exact count of millionths (BIGINT) for |x| < 9e12,
+    through the same decimal(38,9) step as ``canonical_number``."""
+    v = f"CAST({x} AS DOUBLE)"
+    return (f"CASE WHEN abs({v}) < 9e12 THEN "
+            f"CAST(round(CAST({v} AS DECIMAL(38,9)), 6) * 1000000 AS BIGINT) END")
+
+
+def canonical_width_sql(x: str, scaled: str | None = None) -> str:
+    """octet_length(canonical text) computed arithmetically: integer digits,
+    sign, and the significant digits of the 6-decimal fraction (from the
+    scaled value), instead of formatting the text and stripping zeros with
+    two regexes per cell. Values beyond 9e12 take the text route.
+    ``scaled``: a column already holding ``scaled_sql(x)``."""
+    v = f"CAST({x} AS DOUBLE)"
+    u = scaled or f"({scaled_sql(x)})"
+    f = f"(abs({u}) % 1000000)"
+    frac = (f"CASE WHEN {f} = 0 THEN 0 WHEN {f} % 100000 = 0 THEN 2 WHEN {f} % 10000 = 0 THEN 3 "
+            f"WHEN {f} % 1000 = 0 THEN 4 WHEN {f} % 100 = 0 THEN 5 WHEN {f} % 10 = 0 THEN 6 ELSE 7 END")
+    ints = f"char_length(CAST(abs({u}) DIV 1000000 AS STRING)) + CASE WHEN {u} < 0 THEN 1 ELSE 0 END"
+    return (f"CASE WHEN {v} = floor({v}) AND abs({v}) < 1e15 "
+            f"THEN char_length(CAST(CAST({v} AS BIGINT) AS STRING)) "
+            f"WHEN {u} IS NOT NULL THEN {ints} + {frac} "
+            f"ELSE octet_length({canonical_sql(x)}) END")
+
+
+def csv_width_sql(c: str, dt: T.DataType, scaled: str | None = None) -> str:
     """Bytes of a cell written as delimited text (without its delimiter)."""
     x = _q(c)
     if is_text(dt):
         w = (f"octet_length({x}) + CASE WHEN {x} RLIKE '[,\"\\r\\n]' "
              f"THEN 2 + (char_length({x}) - char_length(replace({x}, '\"', ''))) ELSE 0 END")
     elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        w = f"octet_length({canonical_sql(x)})"
+        w = canonical_width_sql(x, scaled)
     elif isinstance(dt, NUMERIC):
         w = f"char_length(CAST({x} AS STRING))"
     elif isinstance(dt, TIMES):
-        w = f"19 + CASE WHEN date_format({x}, 'SSSSSS') <> '000000' THEN 7 ELSE 0 END"
+        w = f"19 + CASE WHEN CAST(extract(SECOND FROM {x}) * 1000000 AS BIGINT) % 1000000 <> 0 THEN 7 ELSE 0 END"
     elif isinstance(dt, T.DateType):
         w = "10"
     elif isinstance(dt, T.BooleanType):
@@ -236,13 +262,18 @@ def expansion_ratio(df: DataFrame, name: str, group: Column | None = None) -> Da
     ('*'), deep (with string payload) and shallow (pointers only). Fixed-width
     slots are counted as 8 x rows instead of summed row by row."""
     fields = df.schema.fields
+    fractional = (T.FloatType, T.DoubleType, T.DecimalType)
+    # stage the exact scaled value of every fractional cell once
+    staged = df.select("*", *[F.expr(scaled_sql(_q(f.name))).alias(f"_u{i}")
+                              for i, f in enumerate(fields) if isinstance(f.dataType, fractional)])
     aggs = [F.expr("count(1)").alias("rows")]
     for i, f in enumerate(fields):
-        aggs.append(F.expr(f"sum({csv_width_sql(f.name, f.dataType)} + 1)").alias(f"_s{i}"))
+        scaled = f"_u{i}" if isinstance(f.dataType, fractional) else None
+        aggs.append(F.expr(f"sum({csv_width_sql(f.name, f.dataType, scaled)} + 1)").alias(f"_s{i}"))
         if is_text(f.dataType):
             aggs.append(F.expr(f"sum({text_memory_sql(f.name)})").alias(f"_m{i}"))
     keys = [group.alias("source")] if group is not None else [F.lit(name).alias("source")]
-    one = df.groupBy(*keys).agg(*aggs)
+    one = staged.groupBy(*keys).agg(*aggs)
     items, st, me = [], [], []
     for i, f in enumerate(fields):
         hdr = len(f.name.encode("utf-8")) + 1
