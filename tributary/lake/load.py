@@ -11,7 +11,7 @@ batch on the same day gets the next free lot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,24 +31,31 @@ def resolve_lots(stored: DataFrame, incoming: DataFrame, keys: list[str], new_lo
                  max_lots: int = LAKE_MAX_LOTS) -> DataFrame:
     """Decide load / skip / conflict / fail per incoming batch.
 
-    ``stored``: keys + (lot, sha); ``incoming``: keys + (sha). Only the
-    contiguous prefix of lots 1..n-1 counts (n = first missing lot); a hash
-    stored after a gap is not seen. Without ``new_lot`` only lot 1 matters:
-    missing -> load 1, same hash -> skip 1, else conflict 1. With it: the
-    smallest prefix lot with the same hash -> skip; none -> load n; n > max
-    -> fail. Lots per (source, day) are bounded by ``max_lots``, so the
-    window below never holds more than that many rows.
+    ``stored``: keys + (lot, sha), lots unique per key; ``incoming``: keys +
+    (sha). Only the contiguous prefix of lots 1..n-1 counts (n = first
+    missing lot); a hash stored after a gap is not seen. Without ``new_lot``
+    only lot 1 matters: missing -> load 1, same hash -> skip 1, else conflict
+    1. With it: the smallest prefix lot with the same hash -> skip; none ->
+    load n; n > max -> fail.
+
+    No window: the first gap is the smallest ``lot + 1`` that is not itself
+    stored (anti join on keys + lot) and hash matches come from a join on
+    keys + sha, so every shuffle is keyed by near-unique values and a day
+    with very many stored lots is still spread over many tasks.
     """
-    w = Window.partitionBy(*keys).orderBy("lot")
-    s = (stored.select(*keys, "lot", F.col("sha").alias("_ssha"))
-         .withColumn("_rn", F.row_number().over(w))
-         .withColumn("_prefix", F.col("_rn") == F.col("lot")))
-    j = incoming.select(*keys, "sha").join(s, keys, "left")
-    g = j.groupBy(*keys, "sha").agg(
-        (F.count(F.when(F.col("_prefix"), 1)) + 1).alias("_n"),
-        F.min(F.when(F.col("_prefix") & (F.col("_ssha") == F.col("sha")), F.col("lot"))).alias("_same"),
-        F.max(F.when(F.col("lot") == 1, F.lit(True))).alias("_has1"),
-        F.max(F.when(F.col("lot") == 1, F.col("_ssha"))).alias("_sha1"))
+    present = stored.select(*keys, "lot")
+    successors = present.select(*keys, (F.col("lot") + 1).alias("lot"))
+    first_gap = (successors.join(present, [*keys, "lot"], "left_anti")
+                 .groupBy(*keys).agg(F.min("lot").alias("_gap")))
+    lot1 = stored.where(F.col("lot") == 1).select(*keys, F.col("sha").alias("_sha1"),
+                                                  F.lit(True).alias("_has1"))
+    inc = (incoming.select(*keys, "sha").join(lot1, keys, "left").join(first_gap, keys, "left")
+           .withColumn("_n", F.when(F.col("_has1").isNull(), F.lit(1)).otherwise(F.col("_gap"))))
+    same = (inc.select(*keys, "sha", "_n")
+            .join(stored.select(*keys, "sha", F.col("lot").alias("_slot")), [*keys, "sha"])
+            .where(F.col("_slot") < F.col("_n"))
+            .groupBy(*keys, "sha").agg(F.min("_slot").alias("_same")))
+    g = inc.join(same, [*keys, "sha"], "left")
     if new_lot:
         action = (F.when(F.col("_same").isNotNull(), F.lit("skip"))
                   .when(F.col("_n") > max_lots, F.lit("fail")).otherwise(F.lit("load")))

@@ -516,11 +516,11 @@ def q_manifest(spark, sf):
 def q_lot_resolution(spark, sf):
     o = fx.lake_objects(spark, sf).withColumn("day", (F.col("doc_id") % 28 + 1).cast("int"))
     keys = ["source", "day"]
-    from pyspark.sql import Window
-    stored = (o.where(F.col("doc_id") % 2 == 0)
-              .withColumn("lot", F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id")))
+    from tributary.operators.ordering import rank_within
+    even = o.where(F.col("doc_id") % 2 == 0).select(*keys, "doc_id", F.sha2("content", 256).alias("sha"))
+    stored = (rank_within(even, keys, [F.col("doc_id")], "lot")
               .where(~((F.col("day") % 6 == 0) & (F.col("lot") == 2)))
-              .select(*keys, "lot", "doc_id", F.sha2("content", 256).alias("sha")))
+              .select(*keys, "lot", "doc_id", "sha"))
     first = (o.where(F.col("doc_id") % 2 == 1).groupBy(*keys)
              .agg(F.min(F.struct("doc_id", "content")).alias("_f")))
     lot1 = stored.where(F.col("lot") == 1).select(*keys, F.col("sha").alias("_sha1"))
