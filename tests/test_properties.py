@@ -128,3 +128,17 @@ def test_arithmetic_width_equals_text_width(spark, xs):
     rows = df.select(F.expr(canonical_width_sql("v")).alias("a"),
                      F.expr(f"octet_length({canonical_sql('v')})").alias("b"), "v").collect()
     assert all(r["a"] == r["b"] for r in rows), [tuple(r) for r in rows if r["a"] != r["b"]]
+
+
+def test_rerun_after_unregistered_write_replaces_orphan(spark):
+    """A lot whose data was written but never registered (driver lost between
+    the two steps) is replaced on rerun, not duplicated."""
+    root = scratch_path(spark, "test", "raw")
+    e = load(spark, SF, "events", "event_id", "ts", "user_id", "event_type", "value").where(
+        F.to_date("ts") == F.lit("2024-01-03").cast("date"))
+    orphan = e.limit(5).select("*", F.lit("2024").alias("anio"), F.lit("01").alias("mes"),
+                               F.lit("03").alias("dia"), F.lit("01").alias("lote"))
+    orphan.write.partitionBy("anio", "mes", "dia", "lote").parquet(f"{root}/events")
+    lake_load.load_raw(e, root, "events", F.to_date("ts"))
+    back = lake_load.read_raw(spark, root, "events", e.schema)
+    assert back.count() == e.count()

@@ -104,12 +104,12 @@ def lot_register(spark: SparkSession, root: str) -> DataFrame:
 
 def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
              new_lot: bool = True, verify: bool = True) -> DataFrame:
-    """S5 + S6 + W1: append a batch to the raw layer of ``source``.
+    """S5 + S6 + W1: add a batch to the raw layer of ``source``.
 
     ``ingest_day`` is the UTC ingestion date of each row (a literal for a
     one-shot load). Returns the per-day decision table (source, anio, mes,
-    dia, action, lot, rows, fingerprint). Rows of days decided 'load' are
-    appended under lote=NN; existing partitions are never overwritten.
+    dia, action, lot, rows, fingerprint). Rows of days decided 'load' go to
+    a new lote=NN partition; registered lots are never rewritten.
     """
     spark = batch.sparkSession
     cols = batch.columns
@@ -129,8 +129,13 @@ def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
     to_load = decisions.where(F.col("action") == "load").select(*PARTS, "lot")
     rows = (days.join(broadcast_if_small(to_load), PARTS)
             .withColumn("lote", F.lpad(F.col("lot").cast("string"), 2, "0")).drop("lot"))
-    # rebalance: about one file per day and lot, a large day split by AQE
-    (rows.hint("rebalance", *PARTS, "lote").sortWithinPartitions(*PARTS, "lote").write.mode("append")
+    # Only lots absent from the register are written, so registered data is
+    # never touched. Dynamic partition overwrite (instead of append) makes a
+    # rerun after a failure between this write and the register update replace
+    # the orphaned, unregistered lot rather than duplicate it.
+    # rebalance: about one file per day and lot, a large day split by AQE.
+    (rows.hint("rebalance", *PARTS, "lote").sortWithinPartitions(*PARTS, "lote").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTS, "lote").parquet(f"{root}/{source}"))
     if verify:
         verify_read_back(spark, root, source, batch.schema, decisions.where(F.col("action") == "load"))
