@@ -66,3 +66,13 @@ def test_multiline_csv_round_trip(spark):
     df = E.queries()["src_delimited"](spark, SF)
     src = load(spark, SF, "documents", "doc_id", "text", "lang", "source")
     assert df.exceptAll(src).count() == 0 and src.exceptAll(df).count() == 0
+
+
+def test_null_tokens_and_rows_per_file(spark):
+    df = spark.createDataFrame([("NA", "x"), ("n/a", "NULL"), ("ok", None)], "a string, b string")
+    got = [tuple(r) for r in delimited.apply_null_tokens(df).collect()]
+    assert got == [(None, "x"), (None, None), ("ok", None)]
+    root = scratch_path(spark, "test", "files")
+    spark.range(10).repartition(2).write.parquet(root)
+    counts = delimited.rows_per_file(spark.read.parquet(root)).collect()
+    assert sum(r["rows"] for r in counts) == 10 and len(counts) == 2

@@ -656,14 +656,34 @@ def q_src_delimited(spark, sf):
 PAGE_SIZE = 1500
 
 
+PAGE_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                            T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+                            T.StructField("page", T.LongType())])
+
+
 @query("page_audit")
 def q_page_audit(spark, sf):
-    e = load(spark, sf, "events", "event_id")
-    pages = e.groupBy(F.floor(F.col("event_id") / PAGE_SIZE).alias("page")).agg(
-        F.count(F.lit(1)).alias("rows"))
+    """events fetched as pages of PAGE_SIZE rows: written as one delimited
+    page per directory, read back as one multi-path scan whose header is
+    validated in every file, audited per page."""
+    root = scratch_path(spark, "pages", "events")
+    e = load(spark, sf, "events", "event_id", "user_id", "event_type", "value")
+    e = e.withColumn("page", F.floor(F.col("event_id") / PAGE_SIZE).cast("bigint"))
+    delimited.write_delimited(e, root, partition_cols=["page"])
+    back = delimited.read_pages(spark, [root], PAGE_SCHEMA)
+    pages = back.groupBy("page").agg(F.count(F.lit(1)).alias("rows"))
     return delimited.page_audit(pages, PAGE_SIZE)
 
 
+@query("table_fingerprint")
+def q_table_fingerprint(spark, sf):
+    """A19 at table level: rows and an exact order-insensitive hash sum of
+    every driver table (two loads of the same data agree)."""
+    from tributary.functions.hashing import table_fingerprint_aggs
+    return _union([load(spark, sf, t).agg(*table_fingerprint_aggs(load(spark, sf, t).columns))
+                   .select(F.lit(t).alias("source"), "rows", "hash_sum") for t in TABLES])
+
+
 def orders_raw_text(spark, sf):
     """orders as raw text records with every 10th order delivered twice and
     every 61st date unparseable."""

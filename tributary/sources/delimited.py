@@ -51,10 +51,15 @@ def apply_null_tokens(df: DataFrame, tokens=NULL_TOKENS, cols: list[str] | None
                        if c in cols else F.col(c) for c in df.columns])
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
-    """Quoted delimited output, one file per task, header in every file."""
-    (df.write.mode(mode).options(**_csv_options(sep, True))
-     .option("quoteAll", "false").option("emptyValue", '""').csv(path))
+def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists",
+                    partition_cols: list[str] | None = None) -> None:
+    """Quoted delimited output, one file per task (and partition), header in
+    every file."""
+    w = (df.write.mode(mode).options(**_csv_options(sep, True))
+         .option("quoteAll", "false").option("emptyValue", '""'))
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    w.csv(path)
 
 
 def read_pages(spark: SparkSession, paths: list[str], schema: T.StructType, sep: str = ",") -> DataFrame:
