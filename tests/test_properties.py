@@ -142,3 +142,16 @@ def test_rerun_after_unregistered_write_replaces_orphan(spark):
     lake_load.load_raw(e, root, "events", F.to_date("ts"))
     back = lake_load.read_raw(spark, root, "events", e.schema)
     assert back.count() == e.count()
+
+
+@pytest.mark.parametrize("table", ["orders", "documents", "lineitem"])
+def test_single_pass_profile_equals_separate_operators(spark, table):
+    from tributary.operators import profile as prof
+    df = load(spark, SF, table)
+    one = prof.profile_single_pass(df, table)
+    separate = {"source_profile": prof.source_profile(df, table), "completeness": prof.completeness(df),
+                "text_width_profile": prof.text_width_profile(df, table),
+                "expansion_ratio": prof.expansion_ratio(df, table),
+                "text_lengths": prof.text_lengths(df, table), "null_shares": prof.null_shares(df)}
+    for k, d in separate.items():
+        assert sorted(map(tuple, one[k].collect())) == sorted(map(tuple, d.collect())), k

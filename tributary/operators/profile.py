@@ -63,21 +63,23 @@ def _is_missing(df: DataFrame, c: str) -> Column:
     return m
 
 
-def null_shares(df: DataFrame) -> DataFrame:
-    """Long form (position, column, null share) from one aggregate pass."""
-    cols = df.columns
-    one = df.agg(*[F.avg(_is_missing(df, c).cast("double")).alias(f"_n{i}")
-                   for i, c in enumerate(cols)], F.count(F.lit(1)).alias("rows"))
+def _null_aggs(df: DataFrame) -> list[Column]:
+    return [F.avg(_is_missing(df, c).cast("double")).alias(f"_n{i}") for i, c in enumerate(df.columns)]
+
+
+def _null_long(one: DataFrame, cols: list[str]) -> DataFrame:
     long = F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column_name"),
                                         F.col(f"_n{i}").alias("share"))
                                for i, c in enumerate(cols)]))
     return one.select("rows", long.alias("x")).select("rows", "x.pos", "x.column_name", "x.share")
 
 
-def completeness(df: DataFrame) -> DataFrame:
-    """Mean / max null share, worst column (first column on ties),
-    columns 100 % null and columns over 50 % null."""
-    s = null_shares(df)
+def null_shares(df: DataFrame) -> DataFrame:
+    """Long form (position, column, null share) from one aggregate pass."""
+    return _null_long(df.agg(*_null_aggs(df), F.count(F.lit(1)).alias("rows")), df.columns)
+
+
+def _completeness_from(s: DataFrame) -> DataFrame:
     return s.agg(
         F.first("rows").alias("rows"),
         F.count(F.lit(1)).alias("columns"),
@@ -89,6 +91,12 @@ def completeness(df: DataFrame) -> DataFrame:
         F.count(F.when(F.col("share") > 0.5, 1)).alias("over_half_columns"))
 
 
+def completeness(df: DataFrame) -> DataFrame:
+    """Mean / max null share, worst column (first column on ties),
+    columns 100 % null and columns over 50 % null."""
+    return _completeness_from(null_shares(df))
+
+
 # --- A12, A13 ----------------------------------------------------------------
 
 def row_duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -143,12 +151,18 @@ def arrival_profile(df: DataFrame, ts_col: str, group_col: str | None = None,
 
 # --- A15, T2 -----------------------------------------------------------------
 
-def text_lengths(df: DataFrame, name: str) -> DataFrame:
-    """Long form (table, position, column, mean characters) over text columns."""
-    text_cols = [f.name for f in df.schema.fields if is_text(f.dataType)]
+def _text_cols(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if is_text(f.dataType)]
+
+
+def _len_aggs(df: DataFrame) -> list[Column]:
+    return [F.avg(F.char_length(c)).alias(f"_l{i}") for i, c in enumerate(_text_cols(df))]
+
+
+def _len_long(one: DataFrame, name: str, text_cols: list[str]) -> DataFrame:
     if not text_cols:
-        return df.sparkSession.createDataFrame([], "source string, pos int, column_name string, mean_len double")
-    one = df.agg(*[F.avg(F.char_length(c)).alias(f"_l{i}") for i, c in enumerate(text_cols)])
+        return one.sparkSession.createDataFrame(
+            [], "source string, pos int, column_name string, mean_len double")
     long = F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column_name"),
                                         F.col(f"_l{i}").cast("double").alias("mean_len"))
                                for i, c in enumerate(text_cols)]))
@@ -156,13 +170,17 @@ def text_lengths(df: DataFrame, name: str) -> DataFrame:
         "source", "x.pos", "x.column_name", "x.mean_len")
 
 
-def text_width_profile(df: DataFrame, name: str, wide_chars: int = 80) -> DataFrame:
-    """Distinct types, columns, text columns, mean of the per-column mean
-    lengths (NULL when there is no text column) and columns wider than 80."""
-    fields = df.schema.fields
+def text_lengths(df: DataFrame, name: str) -> DataFrame:
+    """Long form (table, position, column, mean characters) over text columns."""
+    aggs = _len_aggs(df)
+    one = df.agg(*aggs) if aggs else df.limit(0)
+    return _len_long(one, name, _text_cols(df))
+
+
+def _text_width_from(lens: DataFrame, df_schema: T.StructType, name: str, wide_chars: int) -> DataFrame:
+    fields = df_schema.fields
     distinct_types = len({type_name(f.dataType) for f in fields})
     n_text = sum(1 for f in fields if is_text(f.dataType))
-    lens = text_lengths(df, name)
     s = lens.agg(F.avg("mean_len").alias("m"), F.count(F.when(F.col("mean_len") > wide_chars, 1))
                  .alias("w"))
     return s.select(F.lit(name).alias("source"), F.lit(distinct_types).alias("distinct_types"),
@@ -171,6 +189,12 @@ def text_width_profile(df: DataFrame, name: str, wide_chars: int = 80) -> DataFr
                     F.col("w").alias("wide_text_columns"))
 
 
+def text_width_profile(df: DataFrame, name: str, wide_chars: int = 80) -> DataFrame:
+    """Distinct types, columns, text columns, mean of the per-column mean
+    lengths (NULL when there is no text column) and columns wider than 80."""
+    return _text_width_from(text_lengths(df, name), df.schema, name, wide_chars)
+
+
 def top_text_columns(lengths: DataFrame, k: int = 5) -> DataFrame:
     """The k widest text columns of each table (ties by column position);
     the window runs over the long form, one row per column."""
@@ -256,24 +280,27 @@ def csv_width(df: DataFrame, c: str) -> Column:
     return F.expr(csv_width_sql(c, df.schema[c].dataType))
 
 
-def expansion_ratio(df: DataFrame, name: str, group: Column | None = None) -> DataFrame:
-    """Stored bytes (delimited text incl. header and one delimiter per
-    cell) vs in-memory bytes (declared width model), per column and in total
-    ('*'), deep (with string payload) and shallow (pointers only). Fixed-width
-    slots are counted as 8 x rows instead of summed row by row."""
+FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _width_stage(df: DataFrame) -> DataFrame:
+    """Add the exact scaled value of every fractional cell once (``_u{i}``)."""
     fields = df.schema.fields
-    fractional = (T.FloatType, T.DoubleType, T.DecimalType)
-    # stage the exact scaled value of every fractional cell once
-    staged = df.select("*", *[F.expr(scaled_sql(_q(f.name))).alias(f"_u{i}")
-                              for i, f in enumerate(fields) if isinstance(f.dataType, fractional)])
-    aggs = [F.expr("count(1)").alias("rows")]
+    return df.select("*", *[F.expr(scaled_sql(_q(f.name))).alias(f"_u{i}")
+                            for i, f in enumerate(fields) if isinstance(f.dataType, FRACTIONAL)])
+
+
+def _width_aggs(fields) -> list[Column]:
+    aggs = []
     for i, f in enumerate(fields):
-        scaled = f"_u{i}" if isinstance(f.dataType, fractional) else None
+        scaled = f"_u{i}" if isinstance(f.dataType, FRACTIONAL) else None
         aggs.append(F.expr(f"sum({csv_width_sql(f.name, f.dataType, scaled)} + 1)").alias(f"_s{i}"))
         if is_text(f.dataType):
             aggs.append(F.expr(f"sum({text_memory_sql(f.name)})").alias(f"_m{i}"))
-    keys = [group.alias("source")] if group is not None else [F.lit(name).alias("source")]
-    one = staged.groupBy(*keys).agg(*aggs)
+    return aggs
+
+
+def _expansion_long(one: DataFrame, fields) -> DataFrame:
     items, st, me = [], [], []
     for i, f in enumerate(fields):
         hdr = len(f.name.encode("utf-8")) + 1
@@ -295,6 +322,43 @@ def expansion_ratio(df: DataFrame, name: str, group: Column | None = None) -> Da
         round_half_up(F.col("x.shallow") / F.col("x.stored"), 4).alias("k_shallow"))
 
 
+def expansion_ratio(df: DataFrame, name: str, group: Column | None = None) -> DataFrame:
+    """Stored bytes (delimited text incl. header and one delimiter per
+    cell) vs in-memory bytes (declared width model), per column and in total
+    ('*'), deep (with string payload) and shallow (pointers only). Fixed-width
+    slots are counted as 8 x rows instead of summed row by row."""
+    fields = df.schema.fields
+    keys = [group.alias("source")] if group is not None else [F.lit(name).alias("source")]
+    one = _width_stage(df).groupBy(*keys).agg(F.expr("count(1)").alias("rows"), *_width_aggs(fields))
+    return _expansion_long(one, fields)
+
+
+def profile_single_pass(df: DataFrame, name: str, wide_chars: int = 80) -> dict[str, DataFrame]:
+    """A10 + A11 + A15 + A16 from ONE aggregate pass over the table: null
+    shares, text lengths and width sums are computed together, the one-row
+    result is cut from lineage with a reliable checkpoint, and every profile
+    is reshaped from it (no re-scan per profile)."""
+    fields = df.schema.fields
+    one = (_width_stage(df)
+           .agg(F.count(F.lit(1)).alias("rows"), *_null_aggs(df), *_len_aggs(df), *_width_aggs(fields))
+           .withColumn("source", F.lit(name))
+           .checkpoint(eager=True))
+    shares = _null_long(one, df.columns)
+    lens = _len_long(one, name, _text_cols(df))
+    n_text = len(_text_cols(df))
+    types: dict[str, int] = {}
+    for f in fields:
+        types[type_name(f.dataType)] = types.get(type_name(f.dataType), 0) + 1
+    source = one.select(
+        F.lit(name).alias("source"), "rows", F.lit(len(fields)).alias("columns"),
+        F.lit(n_text).alias("text_columns"),
+        round_half_up(F.lit(n_text / len(fields) if fields else 0.0), 3).alias("text_share"),
+        F.lit(",".join(f"{k}:{v}" for k, v in sorted(types.items()))).alias("types"))
+    return {"source_profile": source, "null_shares": shares, "completeness": _completeness_from(shares),
+            "text_lengths": lens, "text_width_profile": _text_width_from(lens, df.schema, name, wide_chars),
+            "expansion_ratio": _expansion_long(one, fields)}
+
+
 def text_payload_share(df: DataFrame, group: Column) -> DataFrame:
     """Share of in-memory bytes held by text payload, per group."""
     fields = df.schema.fields
