@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(c: Column, decimals: int) -> Column:
-    """Round through decimal, so ties (1.005) round the same in every engine
-    (the value's shortest decimal text is rounded half-up, not its binary
-    expansion)."""
-    return F.round(c.cast("decimal(38,9)"), decimals).cast("double")
+    """Round a double through decimal, so ties (1.005) round the same in every
+    engine (the value's shortest decimal text is rounded half-up, not its
+    binary expansion). The intermediate keeps three guard digits (at most 9),
+    which an engine scaling the binary value by 10^s still gets exactly for
+    magnitudes up to ~10^(15-s)."""
+    return F.round(c.cast(f"decimal(38,{min(decimals + 3, 9)})"), decimals).cast("double")
+
+
+def round_exact(c: Column, decimals: int) -> Column:
+    """Round an exact decimal (e.g. a sum of money) directly, half-up, and
+    only then convert to double: no binary round trip, so ties are exact."""
+    return F.round(c, decimals).cast("double")
 
 
 def money(c: Column) -> Column:

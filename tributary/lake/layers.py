@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.numeric import round_half_up
+from tributary.functions.numeric import round_exact, round_half_up
 from tributary.operators.joins import broadcast_if_small
 
 
@@ -46,7 +46,7 @@ def curated_value_by_region(lineitem: DataFrame, orders: DataFrame, customer: Da
            .agg(F.sum("_rev").alias("_rev"), F.count(F.lit(1)).alias("orders"),
                 F.sum("_lines").alias("lines")))
     return out.select("region", "anio", "mes",
-                      round_half_up(F.col("_rev").cast("double"), 2).alias("revenue"),
+                      round_exact(F.col("_rev"), 2).alias("revenue"),
                       F.col("orders").cast("bigint").alias("orders"),
                       F.col("lines").cast("bigint").alias("lines"),
                       round_half_up(F.col("_rev").cast("double") / F.col("orders"), 2)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.contract import KeyValueContract
-from tributary.functions.numeric import money, round_half_up
+from tributary.functions.numeric import money, round_exact, round_half_up
 from tributary.functions.text import normalize_key, parse_text_number
 
 
@@ -53,7 +53,7 @@ def finalize_mean(df: DataFrame, key: str, s: str, n: str, decimals: int = 2,
     return (df.where(F.col(n) > 0)
             .select(F.col(key).alias("key"),
                     round_half_up(F.col(s).cast("double") / F.col(n), decimals).alias("mean"),
-                    round_half_up(F.col(s).cast("double"), decimals).alias("sum"),
+                    round_exact(F.col(s), decimals).alias("sum"),
                     F.col(n).cast("bigint").alias("count"), *extra))
 
 

@@ -29,7 +29,7 @@ def key_distribution(pairs: DataFrame) -> DataFrame:
     d = (pairs.groupBy("key")
          .agg(F.count("value").alias("count"), F.sum(money(F.col("value"))).alias("_s"))
          .where(F.col("count") > 0))
-    return d.select("key", "count", F.col("_s").cast("double").alias("sum"),
+    return d.select("key", "count", F.col("_s").cast("double").alias("sum"), F.col("_s").alias("sum_exact"),
                     F.octet_length("key").cast("bigint").alias("key_bytes"), java_hash("key").alias("java_hash"))
 
 

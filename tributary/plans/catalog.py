@@ -133,7 +133,8 @@ def _dist(spark, sf, table, key, value):
 @query("key_distribution")
 def q_key_distribution(spark, sf):
     d = _dist(spark, sf, "part", "p_brand", "p_retailprice")
-    return d.select("key", "count", round_half_up(F.col("sum"), 2).alias("sum"), "key_bytes",
+    from tributary.functions.numeric import round_exact
+    return d.select("key", "count", round_exact(F.col("sum_exact"), 2).alias("sum"), "key_bytes",
                     "java_hash")
 
 

@@ -7,7 +7,7 @@ with ``tributary.plans.sqlkit``; nothing here runs on Spark.
 from __future__ import annotations
 
 from tributary.plans.sqlkit import (canonical, dirty_number, java_hash, local, noisy_key,
-                                    norm_key, parse_number, rnd)
+                                    norm_key, parse_number, rnd, rnd_exact)
 
 ORACLE: dict[str, str] = {}
 
@@ -33,7 +33,7 @@ def mean_sql(src: str, s: str = "SUM(CAST(value AS DECIMAL(28,6)))", n: str = "C
              extra: str = "", where: str = "WHERE value IS NOT NULL") -> str:
     extra = (", " + extra) if extra else ""
     return (f"SELECT key, {rnd(f'CAST({s} AS DOUBLE) / {n}', 2)} AS mean, "
-            f"{rnd(f'CAST({s} AS DOUBLE)', 2)} AS sum, CAST({n} AS BIGINT) AS count{extra} "
+            f"{rnd_exact(s, 2)} AS sum, CAST({n} AS BIGINT) AS count{extra} "
             f"FROM ({src}) p {where} GROUP BY key")
 
 
@@ -44,7 +44,7 @@ WITH po AS (
          COUNT(*) AS lines
   FROM lineitem GROUP BY l_orderkey)
 SELECT r_name AS region, strftime(o_orderdate, '%Y') AS anio, strftime(o_orderdate, '%m') AS mes,
-       {rnd('CAST(SUM(rev) AS DOUBLE)', 2)} AS revenue,
+       {rnd_exact('SUM(rev)', 2)} AS revenue,
        COUNT(*) AS orders, CAST(SUM(lines) AS BIGINT) AS lines,
        {rnd('CAST(SUM(rev) AS DOUBLE) / COUNT(*)', 2)} AS avg_order_value
 FROM po JOIN orders ON l_orderkey = o_orderkey
@@ -93,7 +93,7 @@ ORACLE["salted_mean"] = mean_sql(pairs_sql(LINEITEM_TEXT))
 
 def dist_sql(pairs: str) -> str:
     return (f"SELECT key, COUNT(*) AS count, CAST(SUM(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS sum, "
-            f"strlen(key) AS key_bytes, {java_hash('key')} AS java_hash "
+            f"SUM(CAST(value AS DECIMAL(28,6))) AS sum_exact, strlen(key) AS key_bytes, {java_hash('key')} AS java_hash "
             f"FROM ({pairs}) p WHERE value IS NOT NULL GROUP BY key")
 
 
@@ -115,7 +115,7 @@ def exp_terms(dist: str, m: int, overhead: int) -> str:
             f"+ {overhead}) AS _b FROM (SELECT *, {epairs('count', m)} AS e FROM ({dist}) d0) d1")
 
 
-ORACLE["key_distribution"] = (f"SELECT key, count, {rnd('sum', 2)} AS sum, key_bytes, java_hash "
+ORACLE["key_distribution"] = (f"SELECT key, count, {rnd_exact('sum_exact', 2)} AS sum, key_bytes, java_hash "
                               f"FROM ({dist_sql(kv('part', 'p_brand', 'p_retailprice'))}) d")
 
 ORACLE["skew_indicators"] = f"""

@@ -12,7 +12,12 @@ NUMERIC_TEXT = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
 def rnd(x: str, n: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,9)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,{min(n + 3, 9)})), {n}) AS DOUBLE)"
+
+
+def rnd_exact(x: str, n: int) -> str:
+    """Round an exact DECIMAL expression directly."""
+    return f"CAST(ROUND({x}, {n}) AS DOUBLE)"
 
 
 def local(v: str) -> str:
