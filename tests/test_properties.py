@@ -155,3 +155,11 @@ def test_single_pass_profile_equals_separate_operators(spark, table):
                 "text_lengths": prof.text_lengths(df, table), "null_shares": prof.null_shares(df)}
     for k, d in separate.items():
         assert sorted(map(tuple, one[k].collect())) == sorted(map(tuple, d.collect())), k
+
+
+def test_row_duplicates_null_semantics_both_paths(spark):
+    from tributary.operators import profile as prof
+    narrow = spark.createDataFrame([(1, 2.0), (1, 2.0), (None, None), (None, None), (2, None)], "a int, b double")
+    assert tuple(prof.row_duplicates(narrow).first()) == (5, 2, 0.4)
+    text = spark.createDataFrame([("x", None), ("x", None), (None, "x"), ("", None)], "a string, b string")
+    assert tuple(prof.row_duplicates(text).first()) == (4, 1, 0.25)
