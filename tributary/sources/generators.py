@@ -44,6 +44,14 @@ def uniform(seed: int, row_id: Column, stream: int) -> Column:
     return F.pmod(h, F.lit(_TWO53)).cast("double") / F.lit(float(_TWO53))
 
 
+def with_row_hash(base: DataFrame, row_id: Column, seed: int) -> tuple[DataFrame, Column]:
+    """Stage one 64-bit hash per row; every stream derives from it. The hash
+    is not a cheap expression and is used by every column, so the optimizer
+    keeps it in its own projection, which keeps the generated code of wide
+    generators small enough to be compiled."""
+    return base.withColumn("_h0", F.xxhash64(F.lit(seed), row_id)), F.col("_h0")
+
+
 def normal(seed: int, row_id: Column, stream: int) -> Column:
     """Deterministic N(0, 1) by Box-Muller over two uniform streams."""
     u1 = F.greatest(uniform(seed, row_id, stream), F.lit(1e-300))
@@ -52,17 +60,24 @@ def normal(seed: int, row_id: Column, stream: int) -> Column:
 
 
 def weighted_choice(u: Column, choices: list[tuple[str, float]]) -> Column:
-    """Inverse-CDF pick from a small literal table, as one expression (no join)."""
+    """Inverse-CDF pick from a small literal table as a CASE chain over the
+    cumulative bounds: no join and no per-row array."""
     total = sum(w for _, w in choices)
-    cum, acc = [], 0.0
-    for _, w in choices:
+    acc = 0.0
+    expr = None
+    for name, w in choices[:-1]:
         acc += w / total
-        cum.append(acc)
-    cum[-1] = 1.0
-    bounds = F.array(*[F.lit(c) for c in cum])
-    names = F.array(*[F.lit(n) for n, _ in choices])
-    idx = F.size(F.filter(bounds, lambda c: c <= u)) + 1
-    return F.element_at(names, F.least(idx, F.lit(len(choices))).cast("int"))
+        v = F.lit(name).cast("string")
+        expr = F.when(u < acc, v) if expr is None else expr.when(u < acc, v)
+    last = F.lit(choices[-1][0]).cast("string")
+    return last if expr is None else expr.otherwise(last)
+
+
+def round_even(x: Column, decimals: int) -> Column:
+    """Half-even rounding of a generated double in floating point (rint), as
+    array libraries round; avoids a per-value decimal conversion."""
+    scale = float(10 ** decimals)
+    return F.rint(x * scale) / scale
 
 
 def pick(u: Column, values: list[str]) -> Column:
@@ -95,7 +110,7 @@ def meter_readings(meters: DataFrame, meter_id: Column, hours: int = 168, seed:
     rid = F.col("_m") * hours + F.col("_h")
     hod = F.col("_h") % 24
     base = 0.12 + 0.08 * F.pow(F.sin((hod - 6) * math.pi / 12), 2)
-    cons = F.round(F.abs(base + 0.03 * normal(seed, rid, 1)), 4)
+    cons = round_even(F.abs(base + 0.03 * normal(seed, rid, 1)), 4)
     ts = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-03-01 00:00:00")) + F.col("_h") * 3600)
     return m.select(F.concat(F.lit("MED-"), F.lpad(F.col("_m").cast("string"), 7, "0")).alias("meter_id"),
                     ts.cast("timestamp_ntz").alias("reading_ts"), cons.alias("consumption_m3"),
@@ -125,21 +140,36 @@ def wide_text_rows(base: DataFrame, row_id: Column, seed: int = 42) -> DataFrame
 
 def survey_rows(base: DataFrame, row_id: Column, seed: int = 7, questions: int = 25) -> DataFrame:
     """Household-survey-shaped rows: 3 ids and ``questions`` columns in
-    three families (coded text with 10 % NULL, money with 25 % NULL, ints)."""
-    rid = row_id
-    cols = [(F.floor(uniform(seed, rid, 1) * 59999) + 1).cast("bigint").alias("directorio"),
-            (F.floor(uniform(seed, rid, 2) * 8) + 1).cast("bigint").alias("secuencia_p"),
-            (F.floor(uniform(seed, rid, 3) * 11) + 1).cast("bigint").alias("orden")]
+    three families (coded text with 10 % NULL, money with 25 % NULL, ints).
+
+    Every uniform stream is staged once as a column, and the question columns
+    are derived from those columns, so no stream is recomputed inside CASE
+    branches and the generated code stays compact."""
+    base, h = with_row_hash(base, row_id, seed)
+    streams = [1, 2, 3]
+    for i in range(1, questions + 1):
+        streams.append(100 + i)
+        if i % 3 == 1:
+            streams += [200 + 2 * i, 201 + 2 * i]
+    u = base.select(*[uniform(seed, h, k).alias(f"_u{k}") for k in streams])
+
+    def col(k):
+        return F.col(f"_u{k}")
+
+    def gauss(k):
+        return F.sqrt(-2 * F.log(F.greatest(col(k), F.lit(1e-300)))) * F.cos(2 * math.pi * col(k + 1))
+
+    cols = [(F.floor(col(1) * 59999) + 1).cast("bigint").alias("directorio"),
+            (F.floor(col(2) * 8) + 1).cast("bigint").alias("secuencia_p"),
+            (F.floor(col(3) * 11) + 1).cast("bigint").alias("orden")]
     for i in range(1, questions + 1):
-        u = uniform(seed, rid, 100 + i)
+        q = col(100 + i)
         name = f"p65{i:02d}"
         if i % 3 == 0:
-            c = weighted_choice(u, [("1", 0.45), ("2", 0.35), ("9", 0.10), ("", 0.10)])
-            c = F.when(c != "", c)
+            c = weighted_choice(q, [("1", 0.45), ("2", 0.35), ("9", 0.10), (None, 0.10)])
         elif i % 3 == 1:
-            v = F.round(1_000_000 + 400_000 * normal(seed, rid, 200 + 2 * i), 1)
-            c = F.when(u >= 0.25, v)
+            c = F.when(q >= 0.25, round_even(1_000_000 + 400_000 * gauss(200 + 2 * i), 1))
         else:
-            c = F.floor(u * 99).cast("bigint")
+            c = F.floor(q * 99).cast("bigint")
         cols.append(c.alias(name))
-    return base.select(*cols)
+    return u.select(*cols)
