@@ -37,10 +37,11 @@ def present_in(left: DataFrame, right: DataFrame, on) -> DataFrame:
 
 
 def attach_one_row(df: DataFrame, *one_row: DataFrame) -> DataFrame:
-    """Append the columns of single-row aggregates (a global ``agg`` without
-    grouping always yields exactly one row) to every row of ``df``. The
-    one-row side is broadcast, so this is a map-side append, never a shuffle
-    and never a pairing of data rows."""
+    """Append the columns of single-row results (a global ``agg`` without
+    grouping always yields exactly one row) to every row of ``df`` as scalar
+    subqueries: each is evaluated once (Spark merges subqueries over the same
+    aggregate) and its value is substituted into the projection. No join,
+    no shuffle, no pairing of data rows."""
     for r in one_row:
-        df = df.join(F.broadcast(r), how="inner")
+        df = df.select("*", *[r.select(c).scalar().alias(c) for c in r.columns])
     return df
