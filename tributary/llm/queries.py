@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.decontaminate import contamination
 from tributary.llm.exact_dedup import exact_groups
+from tributary.llm.jaccard_join import jaccard_join
 from tributary.llm.store import documents
 from tributary.sources.tables import load
 
@@ -14,6 +15,10 @@ from tributary.sources.tables import load
 ARROW_ROWS = "512"
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_groups(documents(spark, sf_dir))
             .select("doc_id", "keep_id", "group_size", "kept",
@@ -32,9 +37,32 @@ def _prepared(fn):
     return run
 
 
-QUERIES = {fn.__name__: _prepared(fn) for fn in (op8_exact_dedup, op10_decontamination)}
+QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op8_exact_dedup, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
+    "op1_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k
+        FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT x, y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM shingles a JOIN shingles b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2)
+  JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE 100 * common >= 80 * (s.n + t.n - common)
+), reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)""",
     "op8_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
