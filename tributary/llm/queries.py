@@ -9,6 +9,7 @@ from tributary.llm.decontaminate import contamination
 from tributary.llm.exact_dedup import exact_groups
 from tributary.llm.jaccard_join import jaccard_join
 from tributary.llm.store import documents
+from tributary.llm.toxicity import toxicity_scores
 from tributary.sources.tables import load
 
 #: Rows of texts that go to a Python worker at once.
@@ -19,6 +20,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_groups(documents(spark, sf_dir))
             .select("doc_id", "keep_id", "group_size", "kept",
@@ -37,7 +42,7 @@ def _prepared(fn):
     return run
 
 
-QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op8_exact_dedup, op10_decontamination)}
+QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op4_toxicity, op8_exact_dedup, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": r"""
