@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tributary.llm.decontaminate import contamination
 from tributary.llm.exact_dedup import exact_groups
 from tributary.llm.jaccard_join import jaccard_join
+from tributary.llm.pii import personal_data
+from tributary.llm.secrets import secret_scan
 from tributary.llm.store import documents
 from tributary.llm.toxicity import toxicity_scores
 from tributary.sources.tables import load
@@ -20,10 +22,18 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(documents(spark, sf_dir))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_groups(documents(spark, sf_dir))
             .select("doc_id", "keep_id", "group_size", "kept",
@@ -42,7 +52,7 @@ def _prepared(fn):
     return run
 
 
-QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op4_toxicity, op8_exact_dedup, op10_decontamination)}
+QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op3_secret_scan, op4_toxicity, op6_personal_data, op8_exact_dedup, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": r"""
