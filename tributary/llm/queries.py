@@ -11,6 +11,7 @@ from tributary.llm.jaccard_join import jaccard_join
 from tributary.llm.pii import personal_data
 from tributary.llm.secrets import secret_scan
 from tributary.llm.store import documents
+from tributary.llm.suffix_dedup import suffix_dedup
 from tributary.llm.toxicity import toxicity_scores
 from tributary.sources.tables import load
 
@@ -30,6 +31,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))
 
@@ -52,7 +57,7 @@ def _prepared(fn):
     return run
 
 
-QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op3_secret_scan, op4_toxicity, op6_personal_data, op8_exact_dedup, op10_decontamination)}
+QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op3_secret_scan, op4_toxicity, op5_suffix_dedup, op6_personal_data, op8_exact_dedup, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": r"""
