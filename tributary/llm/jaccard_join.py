@@ -14,12 +14,12 @@ join finds all d <= 1 - threshold, in regions:
   the order of pivots;
 * sizes give a second window: |x| and |y| differ at most by the factor t;
 * a region with few members is joined at once. A larger one is split again
-  with member sets as pivots: all distances to the region's centre are
-  computed, members within the threshold are linked to it, and by the triangle
-  inequality only members whose distances to the centre differ by at most
-  1 - t are still compared. So a group of copies costs one comparison for each
-  member and never all its pairs;
-* every comparison left is made exactly, on whole sets of 64-bit shingle hashes.
+  with a member set as pivot: members within the threshold are linked to this
+  centre, and by the triangle inequality only those go on whose distance to it
+  lets them reach a member that is not linked. So a group of copies costs one
+  comparison for each member and never all its pairs;
+* a sketch of parity bits bounds each pair's distance from below; every pair
+  that it leaves is compared exactly, on whole sets of 64-bit shingle hashes.
 
 Links between classes are enough for components: links inside a large region
 that its centre already connects are not listed.
@@ -31,9 +31,11 @@ component and represents no class. The input's other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.components import components
@@ -43,7 +45,9 @@ from tributary.llm.textops import (SLICE_BYTES, buffer_of, mix, ngram_hashes, sl
 
 SHINGLE, NUM, DEN = 5, 80, 100
 #: Frequent shingles that are ordered last, and the occurrences in one task that report one.
-FREQUENT, REPORT = 1 << 16, 4
+FREQUENT, REPORT = 1 << 18, 3
+#: Bytes of a set's parity sketch.
+SKETCH = 128
 #: Members of a region that are compared pair by pair at once.
 SMALL_REGION = 64
 #: Rounds of splitting by centres before the rest of a region is compared pair by pair.
@@ -80,6 +84,12 @@ def _identity(found: np.ndarray) -> tuple[int, int]:
             int(mix(found + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64)))
 
 
+def _sketch(found: np.ndarray) -> bytes:
+    """Parities of the numbers of elements that fall to each of 8 * SKETCH bits."""
+    place = (mix(found) % np.uint64(8 * SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=8 * SKETCH) & 1).tobytes()
+
+
 def _key(n: int, digest: int) -> int:
     """64 bits of the digest with the set's size class in the low byte."""
     return (digest & int(_KEY_MASK)) | size_class(n)
@@ -94,32 +104,34 @@ def _signed(x: int) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Staged (id, n, d1, d2, key, report): one row per text, and rows with a null ``n`` that
-    report shingles frequent within a task."""
+    """Staged (id, n, d1, d2, key, sketch, shingles, counts): one row per text, and rows with a
+    null ``n`` that report shingles frequent within a task."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
 
     def scan(batches):
         waiting, held, arrow_id = [], 0, None
+        names = ["id", "n", "d1", "d2", "key", "sketch", "shingles", "counts"]
 
         def report():
             flat, count = np.unique(np.concatenate(waiting), return_counts=True)
             often = count >= REPORT
             blob = (flat[often].tobytes(), count[often].astype(np.int64).tobytes())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 4,
+                [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()),
                  pa.array([blob[0]], pa.binary()), pa.array([blob[1]], pa.binary())],
-                names=["id", "n", "d1", "d2", "key", "shingles", "counts"])
+                names=names)
 
         for batch in batches:
             arrow_id = batch.column(0).type
-            n, d1, d2, key = [], [], [], []
+            n, d1, d2, key, sketch = [], [], [], [], []
             for found in shingle_sets(batch.column(1), size):
                 a, b = _identity(found) if len(found) else (0, 0)
                 n.append(len(found))
                 d1.append(_signed(a))
                 d2.append(_signed(b))
                 key.append(_signed(_key(len(found), a)) if len(found) else 0)
+                sketch.append(_sketch(found))
                 waiting.append(found)
                 held += len(found)
                 if held >= _FLUSH:
@@ -128,14 +140,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
             rows = len(batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(x, pa.int64()) for x in (n, d1, d2, key)],
-                 pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())],
-                names=["id", "n", "d1", "d2", "key", "shingles", "counts"])
+                 pa.array(sketch, pa.binary()), pa.nulls(rows, pa.binary()),
+                 pa.nulls(rows, pa.binary())], names=names)
         if held:
             yield report()
 
     return stage(source.mapInArrow(
-        scan, f"id {id_type}, n long, d1 long, d2 long, key long, shingles binary, counts binary"),
-        "signatures")
+        scan, f"id {id_type}, n long, d1 long, d2 long, key long, sketch binary, "
+              "shingles binary, counts binary"), "signatures")
 
 
 def frequent_shingles(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -259,31 +271,57 @@ def region_members(docs: DataFrame, text_col: str, size: int, num: int, den: int
     return stage(found, "regions")
 
 
-def candidate_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
-                   size: int) -> DataFrame:
-    """Staged (key, n, found): the whole set of each wanted (rep, key)."""
+def judge(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Staged (a, b, star, na, nb, least, near) of key pairs: a lower bound of their distance.
+
+    Elements are dealt to ``8 * SKETCH`` parity bits; bits that differ are a
+    lower bound of the symmetric difference, so ``near`` is false only where the
+    pair cannot link. Pairs that are not near are kept only as star pairs."""
+    one = classes.select(F.col("key").alias("a"), F.col("n").alias("na"),
+                         F.col("sketch").alias("sa"))
+    two = classes.select(F.col("key").alias("b"), F.col("n").alias("nb"),
+                         F.col("sketch").alias("sb"))
+
+    def bound(batches):
+        for batch in batches:
+            rows = len(batch)
+            na, nb = (batch.column(k).to_numpy() for k in (3, 4))
+            sa, sb = (np.frombuffer(buffer_of(batch.column(k))[0], np.uint8).reshape(rows, SKETCH)
+                      for k in (5, 6))
+            apart = np.maximum(np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64),
+                               np.abs(na - nb))
+            common = (na + nb - apart) // 2  # at most
+            near = den * common >= num * (na + nb - common)
+            out = pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(1 - common / np.maximum(1, na + nb - common)),
+                 pa.array(near)], names=["a", "b", "star", "na", "nb", "least", "near"])
+            yield out.filter(pa.array(near | batch.column(2).to_numpy(zero_copy_only=False)))
+
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "star", "na", "nb", "sa", "sb")
+    return stage(joined.mapInArrow(bound, "a long, b long, star boolean, na long, nb long, "
+                                          "least double, near boolean"), "judged")
+
+
+def compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+            size: int) -> DataFrame:
+    """Staged (a, b, na, nb, common) of distinct key pairs (a, b), on whole sets."""
+    keys = (pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    wanted = stage(classes.join(keys, "key").select("rep", "key"), "wanted")
     mine = (docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-            .join(broadcast_if_small(wanted), "rep").select("rep", "key", "text"))
+            .join(broadcast_if_small(wanted), "rep").select("key", "text"))
 
-    def sets(batches):
+    def whole_sets(batches):
         for batch in batches:
-            keys = batch.column(1).to_numpy()
-            rows = [(int(k), found) for k, found in zip(keys, shingle_sets(batch.column(2), size))
+            keys = batch.column(0).to_pylist()
+            rows = [(k, found) for k, found in zip(keys, shingle_sets(batch.column(1), size))
                     if len(found) and _signed(_key(len(found), _identity(found)[0])) == k]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in rows], pa.int64()),
-                 pa.array([len(x) for _, x in rows], pa.int64()),
-                 pa.array([x.tobytes() for _, x in rows], pa.binary())],
-                names=["key", "n", "found"])
-
-    return stage(mine.mapInArrow(sets, "key long, n long, found binary")
-                 .dropDuplicates(["key"]), "sets")
+                 pa.array([x.tobytes() for _, x in rows], pa.binary())], names=["key", "found"])
 
-
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Staged (a, b, na, nb, common) of distinct key pairs (a, b), on whole sets."""
-    one = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("found").alias("fa"))
-    two = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("found").alias("fb"))
+    sets = stage(mine.mapInArrow(whole_sets, "key long, found binary"), "sets")
+    one = sets.select(F.col("key").alias("a"), F.col("found").alias("fa"))
+    two = sets.select(F.col("key").alias("b"), F.col("found").alias("fb"))
 
     def meet(batches):
         for batch in batches:
@@ -298,62 +336,58 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common, pa.int64())],
                                              names=["a", "b", "na", "nb", "common"])
 
-    joined = (pairs.join(one, "a").join(two, "b")
+    joined = (pairs.select("a", "b", "na", "nb").join(one, "a").join(two, "b")
               .select("a", "b", "na", "nb", "fa", "fb"))
     return stage(joined.mapInArrow(meet, "a long, b long, na long, nb long, common long"),
                  "compared")
 
 
-def _linked(num: int, den: int) -> Column:
+def all_links(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+              size: int, num: int, den: int) -> DataFrame:
+    """(a, b): links of class keys that connect whatever the candidates of ``found`` connect."""
+    reach, links = 1 - num / den, []
     union = F.col("na") + F.col("nb") - F.col("common")
-    return F.lit(den) * F.col("common") >= F.lit(num) * union
-
-
-def _distance() -> Column:
-    return 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-
-
-def _split_regions(members: DataFrame, sets: DataFrame, num: int, den: int) -> list[DataFrame]:
-    """Links found in regions with many members (region, key, n), by centres in rounds."""
-    links, reach = [], 1 - num / den
-    left = stage(members, "members")
+    linked = F.lit(den) * F.col("common") >= F.lit(num) * union
+    pairs = found.where(F.col("region").isNull()).select("a", "b", F.lit(False).alias("star"))
+    left = stage(found.where(F.col("region").isNotNull())
+                 .select("region", F.col("a").alias("key")).distinct()
+                 .join(classes.select("key").distinct(), "key", "left_semi"), "members")
     for number in range(ROUNDS + 1):
-        counted = left.groupBy("region").agg(
+        sizes = left.join(left.groupBy("region").agg(
             F.count(F.lit(1)).alias("members"),
-            F.min_by("key", F.xxhash64("key", F.lit(number))).alias("centre"))
-        sizes = left.join(counted, "region")
-        last = number == ROUNDS
-        small = sizes if last else sizes.where(F.col("members") <= SMALL_REGION)
-        one = small.select("region", F.col("key").alias("a"), F.col("n").alias("na"),
-                           *([F.col("d").alias("da")] if "d" in left.columns else []))
-        two = small.select("region", F.col("key").alias("b"), F.col("n").alias("nb"),
-                           *([F.col("d").alias("db")] if "d" in left.columns else []))
-        near = ((F.col("a") < F.col("b"))
-                & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
-        if "d" in left.columns:
-            near = near & (F.abs(F.col("da") - F.col("db")) <= reach + 1e-9)
-        rest = one.join(two, "region").where(near).select("a", "b").distinct()
-        links.append(compare(rest, sets).where(_linked(num, den)).select("a", "b"))
-        if last:
-            break
-        big = stage(sizes.where(F.col("members") > SMALL_REGION), "large")
+            F.min_by("key", F.xxhash64("key", F.lit(number))).alias("centre")), "region")
+        big = sizes.where(F.lit(number < ROUNDS) & (F.col("members") > SMALL_REGION)
+                          & (F.col("key") != F.col("centre")))
+        big = stage(big.select("region", "key", F.least("key", "centre").alias("a"),
+                               F.greatest("key", "centre").alias("b")), "large")
+        small = (sizes if number == ROUNDS
+                 else sizes.where(F.col("members") <= SMALL_REGION)).select("region", "key")
+        rest = (small.withColumnRenamed("key", "a").join(small.withColumnRenamed("key", "b"),
+                                                         "region").where("a < b"))
+        pairs = (pairs.unionByName(rest.select("a", "b", F.lit(False).alias("star")))
+                 .unionByName(big.select("a", "b", F.lit(True).alias("star")))
+                 .groupBy("a", "b").agg(F.max("star").alias("star")))
+        judged = judge(pairs, classes, num, den)
+        met = compare(judged.where("near"), classes, docs, id_col, text_col, size)
+        links.append(met.where(linked).select("a", "b"))
         if big.isEmpty():
             break
-        star = (big.where(F.col("key") != F.col("centre"))
-                .select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct())
-        met = compare(star, sets)
-        links.append(met.where(_linked(num, den)).select("a", "b"))
-        placed = (big.select("region", "key", "n", F.col("key").alias("a"),
-                             F.col("centre").alias("b"))
-                  .join(met.select("a", "b", _distance().alias("d"),
-                                   _linked(num, den).alias("linked")), ["a", "b"]))
-        placed = stage(placed.select("region", "key", "n", "d", "linked"), "placed")
-        edge = (placed.where(~F.col("linked")).groupBy("region")
-                .agg(F.min("d").alias("nearest")))
+        # members linked to the centre stay only if, by the triangle inequality, they can
+        # still link to a member that is not
+        placed = (big.join(judged.select("a", "b", "least"), ["a", "b"])
+                  .join(met.select("a", "b", (1 - F.col("common") / union).alias("exact"),
+                                   linked.alias("linked")), ["a", "b"], "left")
+                  .select("region", "key", F.coalesce("exact", "least").alias("d"),
+                          F.coalesce("linked", F.lit(False)).alias("linked")))
+        placed = stage(placed, "placed")
+        edge = placed.where(~F.col("linked")).groupBy("region").agg(F.min("d").alias("nearest"))
         left = stage(placed.join(edge, "region")
                      .where(~F.col("linked") | (F.col("d") >= F.col("nearest") - reach - 1e-9))
-                     .select("region", "key", "n", "d"), "members")
-    return links
+                     .select("region", "key").distinct(), "members")
+        if left.isEmpty():
+            break
+        pairs = pairs.limit(0)
+    return reduce(DataFrame.unionByName, links).distinct()
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -364,36 +398,20 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     smallest id reachable by links, the row's own included."""
     signed = signatures(docs, id_col, text_col, size)
     frequent, rank = frequent_shingles(signed)
-    rows = signed.where(F.col("n").isNotNull()).select("id", "n", "d1", "d2", "key")
-    classes = stage(rows.where(F.col("n") > 0).groupBy("n", "d1", "d2", "key")
-                    .agg(F.min("id").alias("rep")), "classes")
+    rows = signed.where(F.col("n").isNotNull())
+    classes = stage(rows.where(F.col("n") > 0).groupBy("n", "d1", "d2", "key", "sketch")
+                    .agg(F.min("id").alias("rep")).where(F.col("rep").isNotNull()), "classes")
     found = region_members(docs, text_col, size, num, den, frequent, rank)
-    pairs = found.where(F.col("region").isNull()).select("a", "b").distinct()
-    members = (found.where(F.col("region").isNotNull())
-               .select("region", F.col("a").alias("key")).distinct()
-               .join(classes.select("key", "n").dropDuplicates(["key"]), "key")
-               .select("region", "key", "n"))
-    keys = found.select(F.col("a").alias("key")).unionByName(
-        found.where(F.col("b").isNotNull()).select(F.col("b").alias("key"))).distinct()
-    wanted = stage(classes.join(keys, "key").where(F.col("rep").isNotNull())
-                   .select("rep", "key"), "wanted")
-    sets = candidate_sets(docs, wanted, id_col, text_col, size)
-    n = sets.select(F.col("key").alias("a"), F.col("n").alias("na"))
-    m = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"))
-    pairs = (pairs.join(n, "a").join(m, "b")
-             .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).select("a", "b"))
-    links = compare(pairs, sets).where(_linked(num, den)).select("a", "b")
-    for more in _split_regions(members, sets, num, den):
-        links = links.unionByName(more)
-    named = classes.where(F.col("rep").isNotNull()).select("key", "rep")
-    edges = (links.distinct()
-             .join(named.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a")
+    links = all_links(found, classes, docs, id_col, text_col, size, num, den)
+    named = classes.select("key", "rep")
+    edges = (links.join(named.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a")
              .join(named.select(F.col("key").alias("b"), F.col("rep").alias("rb")), "b"))
     joined = components(edges, "ra", "rb")
     placed = (classes.join(broadcast_if_small(stage(joined, "components")),
                            F.col("rep") == F.col("node"), "left")
               .select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id")))
-    return (rows.join(broadcast_if_small(stage(placed, "placed")), ["n", "d1", "d2"], "left")
+    return (rows.select("id", "n", "d1", "d2")
+            .join(broadcast_if_small(stage(placed, "placed")), ["n", "d1", "d2"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "id").alias("component_id")))
 

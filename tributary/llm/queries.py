@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tributary.llm.decontaminate import contamination
 from tributary.llm.exact_dedup import exact_groups
 from tributary.llm.jaccard_join import jaccard_join
+from tributary.llm.pieces import piece_encoding
 from tributary.llm.pii import personal_data
 from tributary.llm.secrets import secret_scan
 from tributary.llm.store import documents
@@ -45,6 +46,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lower(F.hex("digest")).alias("text_sha256")))
 
 
+def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encoding(documents(spark, sf_dir))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
 
@@ -57,7 +62,8 @@ def _prepared(fn):
     return run
 
 
-QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op3_secret_scan, op4_toxicity, op5_suffix_dedup, op6_personal_data, op8_exact_dedup, op10_decontamination)}
+QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op3_secret_scan, op4_toxicity, op5_suffix_dedup, op6_personal_data, op8_exact_dedup,
+                                               op9_piece_encoding, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": r"""

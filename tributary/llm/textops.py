@@ -87,6 +87,27 @@ def slices(offsets: np.ndarray, most: int):
         i = j
 
 
+def gathered(batches, most: int):
+    """Record batches joined until they hold ``most`` bytes."""
+    waiting, held = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        held += batch.nbytes
+        if held >= most:
+            yield _joined(waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield _joined(waiting)
+
+
+def _joined(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(waiting) == 1:
+        return waiting[0]
+    table = pa.Table.from_batches(waiting).combine_chunks()
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in table.columns],
+                                      names=table.schema.names)
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray, is_gap: np.ndarray = IS_WHITE
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the word number at which each text starts."""
