@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.llm.context_mixing import context_mixing
 from tributary.llm.decontaminate import contamination
 from tributary.llm.exact_dedup import exact_groups
 from tributary.llm.jaccard_join import jaccard_join
@@ -24,6 +25,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
 
+def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing(documents(spark, sf_dir))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(documents(spark, sf_dir))
 
@@ -62,8 +67,9 @@ def _prepared(fn):
     return run
 
 
-QUERIES = {fn.__name__: _prepared(fn) for fn in (op1_jaccard_join, op3_secret_scan, op4_toxicity, op5_suffix_dedup, op6_personal_data, op8_exact_dedup,
-                                               op9_piece_encoding, op10_decontamination)}
+QUERIES = {fn.__name__: _prepared(fn) for fn in (
+    op1_jaccard_join, op2_context_mixing, op3_secret_scan, op4_toxicity, op5_suffix_dedup,
+    op6_personal_data, op8_exact_dedup, op9_piece_encoding, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": r"""
