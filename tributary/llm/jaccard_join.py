@@ -420,8 +420,9 @@ def near_duplicates_removed(docs: DataFrame, id_col: str = "doc_id",
                             text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id.
 
-    Rows without shingles all stay. Repeated rows of the id that stays: one of them."""
-    ids = (jaccard_join(docs, id_col, text_col).where(F.col("component_id").eqNullSafe(F.col(id_col)))
-           .select(id_col).distinct())
-    keep = stage(ids, "kept")
-    return docs.join(broadcast_if_small(keep), id_col, "left_semi")
+    Rows without shingles and rows with a null id all stay; rows that share the id that
+    stays all stay."""
+    ids = jaccard_join(docs, id_col, text_col).where(
+        F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("kept"))
+    keep = broadcast_if_small(stage(ids.distinct(), "kept"))
+    return docs.join(keep, docs[id_col].eqNullSafe(keep["kept"]), "left_semi")

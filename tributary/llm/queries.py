@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tributary.llm.context_mixing import context_mixing
 from tributary.llm.decontaminate import contamination
 from tributary.llm.exact_dedup import exact_groups
@@ -12,15 +13,11 @@ from tributary.llm.jaccard_join import jaccard_join
 from tributary.llm.pieces import piece_encoding
 from tributary.llm.pii import personal_data
 from tributary.llm.secrets import secret_scan
-from tributary.llm.store import documents
+from tributary.llm.store import documents, prepare
 from tributary.llm.suffix_dedup import suffix_dedup
 from tributary.llm.toxicity import toxicity_scores
 from tributary.sources.tables import load
 
-#: Rows of texts that go to a Python worker at once.
-ARROW_ROWS = "512"
-
-
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
@@ -59,9 +56,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+        prepare(spark)
         return fn(spark, sf_dir)
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     return run
@@ -69,7 +70,8 @@ def _prepared(fn):
 
 QUERIES = {fn.__name__: _prepared(fn) for fn in (
     op1_jaccard_join, op2_context_mixing, op3_secret_scan, op4_toxicity, op5_suffix_dedup,
-    op6_personal_data, op8_exact_dedup, op9_piece_encoding, op10_decontamination)}
+    op6_personal_data, op8_exact_dedup, op9_piece_encoding, op10_decontamination,
+    pipeline)}
 
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": r"""

@@ -9,6 +9,13 @@ from tributary.session import scratch_path
 from tributary.sources.tables import load
 
 BROADCAST_BYTES = 32 << 20
+#: Rows of texts that go to a Python worker at once.
+ARROW_ROWS = "512"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings that the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
