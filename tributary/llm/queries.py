@@ -10,6 +10,7 @@ from tributary.llm.context_mixing import context_mixing
 from tributary.llm.decontaminate import contamination
 from tributary.llm.exact_dedup import exact_groups
 from tributary.llm.jaccard_join import jaccard_join
+from tributary.llm.line_dedup import line_dedup
 from tributary.llm.pieces import piece_encoding
 from tributary.llm.pii import personal_data
 from tributary.llm.secrets import secret_scan
@@ -42,6 +43,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_groups(documents(spark, sf_dir))
             .select("doc_id", "keep_id", "group_size", "kept",
@@ -70,7 +75,7 @@ def _prepared(fn):
 
 QUERIES = {fn.__name__: _prepared(fn) for fn in (
     op1_jaccard_join, op2_context_mixing, op3_secret_scan, op4_toxicity, op5_suffix_dedup,
-    op6_personal_data, op8_exact_dedup, op9_piece_encoding, op10_decontamination,
+    op6_personal_data, op7_line_dedup, op8_exact_dedup, op9_piece_encoding, op10_decontamination,
     pipeline)}
 
 ORACLE: dict[str, str] = {
