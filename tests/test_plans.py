@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tributary.lake import load as lake_load
+from tributary.operators.joins import broadcast_if_small
+from tributary.plans.catalog import QUERIES as OWN
 from tributary.session import scratch_path
 from tributary.sources import delimited
 from tributary.sources.objects import object_inventory
@@ -22,10 +24,8 @@ def test_mean_by_key_has_partial_aggregate(spark):
     assert "partial_sum" in p and "Exchange" in p
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_no_python_udf_anywhere(spark, name):
-    if name in ("raw_write_roundtrip", "reprocess_since", "refined_build", "src_delimited", "timeline"):
-        pytest.skip("covered by the write tests (these run jobs while building)")
     p = plan(E.queries()[name](spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
@@ -76,3 +76,13 @@ def test_null_tokens_and_rows_per_file(spark):
     spark.range(10).repartition(2).write.parquet(root)
     counts = delimited.rows_per_file(spark.read.parquet(root)).collect()
     assert sum(r["rows"] for r in counts) == 10 and len(counts) == 2
+
+
+def test_broadcast_only_when_small(spark):
+    orders = load(spark, SF, "orders", "o_orderkey")
+    region = load(spark, SF, "region")
+    large = load(spark, SF, "lineitem")
+    hinted = lambda df, most: "Broadcast" in plan(orders.hint("merge").join(
+        broadcast_if_small(df, most), orders["o_orderkey"] == df[df.columns[0]]))
+    assert hinted(region, 1 << 20)
+    assert not hinted(large, 1 << 10)

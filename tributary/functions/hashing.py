@@ -16,11 +16,9 @@ def java_hash(c) -> Column:
     reinterpreted as signed. Runs as a higher-order function inside codegen.
     """
     c = F.col(c) if isinstance(c, str) else c
-    codes = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.char_length(c), F.lit(1))),
-        lambda i: F.when(i <= F.char_length(c), F.ascii(F.substring(c, i, 1)).cast("bigint"))
-        .otherwise(F.lit(None).cast("bigint")))
-    codes = F.filter(codes, lambda x: x.isNotNull())
+    # one split into characters (the empty text gives one empty piece, which is skipped)
+    pieces = F.filter(F.split(c, ""), lambda x: x != "")
+    codes = F.transform(pieces, lambda x: F.ascii(x).cast("bigint"))
     h = F.aggregate(codes, F.lit(0).cast("bigint"), lambda a, x: (a * 31 + x) % _MOD32)
     signed = F.when(h >= _SIGN32, h - _MOD32).otherwise(h)
     return F.when(c.isNull(), F.lit(None)).otherwise(signed.cast("int"))
@@ -36,10 +34,6 @@ def spark_partition(key: Column, partitions: int) -> Column:
     return F.pmod(F.hash(key), F.lit(partitions))
 
 
-def content_sha256(c) -> Column:
-    return F.sha2(F.col(c) if isinstance(c, str) else c, 256)
-
-
 def null_safe_row_text(cols: list[str]) -> Column:
     """An injective text encoding of a row: each field is length-prefixed and
     NULL has its own marker, so distinct rows never encode alike."""
@@ -54,8 +48,19 @@ def row_fingerprint(cols: list[str]) -> Column:
     return F.sha2(null_safe_row_text(cols), 256)
 
 
+def row_hashes(cols: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row, as exact decimals. Spark's hash skips NULLs,
+    so each column's null flag is hashed beside it: a value that moves to
+    another column changes both."""
+    fields = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    return (F.xxhash64(*fields).cast("decimal(38,0)"),
+            F.xxhash64(F.lit("second"), *reversed(fields)).cast("decimal(38,0)"))
+
+
 def table_fingerprint_aggs(cols: list[str]) -> list[Column]:
-    """Order-insensitive fingerprint of a whole table: count plus an exact
-    (decimal, non-overflowing) sum of 64-bit row hashes."""
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
-    return [F.count(F.lit(1)).alias("rows"), F.sum(h).cast("string").alias("hash_sum")]
+    """Order-insensitive fingerprint of a whole table: count plus exact
+    (decimal, non-overflowing) sums of two 64-bit row hashes."""
+    one, two = row_hashes(cols)
+    return [F.count(F.lit(1)).alias("rows"),
+            F.concat_ws(":", F.coalesce(F.sum(one), F.lit(0)).cast("string"),
+                        F.coalesce(F.sum(two), F.lit(0)).cast("string")).alias("hash_sum")]

@@ -62,10 +62,6 @@ def parse_local_number(c, strip_symbols=("$", " ", "%"), thousands: str | None =
     return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
-def parse_with(contract: KeyValueContract, c) -> Column:
-    return parse_local_number(c, contract.strip_symbols, contract.thousands, contract.decimal)
-
-
 def canonical_number(c) -> Column:
     """Integral values below 1e15 without decimals, else at most six
     decimals with trailing zeros removed (goes through decimal, never through
@@ -73,14 +69,11 @@ def canonical_number(c) -> Column:
     v = _col(c).cast("double")
     integral = (v == F.floor(v)) & (F.abs(v) < F.lit(1e15))
     as_int = v.cast("bigint").cast("string")
-    fixed = F.round(v.cast("decimal(38,9)"), 6).cast("decimal(38,6)").cast("string")
+    fixed = F.round(v.try_cast("decimal(38,9)"), 6).cast("decimal(38,6)").cast("string")
     frac = F.regexp_replace(F.regexp_replace(fixed, r"0+$", ""), r"\.$", "")
-    return F.when(v.isNull(), F.lit(None)).when(integral, as_int).otherwise(frac)
-
-
-def byte_width(c) -> Column:
-    """UTF-8 byte length of a text column."""
-    return F.octet_length(_col(c))
+    # beyond decimal(38,9) a double has no decimals left: its own text
+    return (F.when(v.isNull(), F.lit(None)).when(integral, as_int)
+            .otherwise(F.coalesce(frac, v.cast("string"))))
 
 
 def render_local_number(c, decimals: int = 2) -> Column:

@@ -3,7 +3,8 @@
 The raw layer is an append-only Parquet table partitioned by UTC ingestion
 date and lot: ``<root>/<source>/anio=YYYY/mes=MM/dia=DD/lote=NN/``. Partition
 values are zero-padded text. A batch is identified per (source, day) by a
-content fingerprint (row count + exact sum of 64-bit row hashes); lots are
+content fingerprint (row count + exact sums of two 64-bit row hashes that
+see where NULLs stand); lots are
 resolved against the lot register ``<root>/_lots`` (underscore paths are
 never read as data), so re-running a load writes nothing and a different
 batch on the same day gets the next free lot.
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.contract import LAKE_MAX_LOTS, LakeLayout
+from tributary.functions.hashing import table_fingerprint_aggs
 from tributary.lake.layout import manifest_key, partition_values
 from tributary.operators.joins import broadcast_if_small
 
@@ -69,18 +71,11 @@ def resolve_lots(stored: DataFrame, incoming: DataFrame, keys: list[str], new_lo
 
 # --- fingerprints (S6) ---------------------------------------------------------------
 
-def row_hash(df: DataFrame, cols: list[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
-
-
 def fingerprint(df: DataFrame, cols: list[str], keys: list[str] | None = None) -> DataFrame:
-    """Order-insensitive content fingerprint per group: count + exact sum of
-    row hashes (decimal, no overflow)."""
-    g = df.groupBy(*(keys or [])).agg(F.count(F.lit(1)).alias("rows"),
-                                      F.sum(row_hash(df, cols)).alias("_h"))
+    """Order-insensitive content fingerprint per group (``table_fingerprint_aggs``)."""
+    g = df.groupBy(*(keys or [])).agg(*table_fingerprint_aggs(cols))
     return g.select(*(keys or []), "rows",
-                    F.concat_ws(":", F.col("rows").cast("string"),
-                                F.coalesce(F.col("_h").cast("string"), F.lit("0"))).alias("fingerprint"))
+                    F.concat_ws(":", F.col("rows").cast("string"), "hash_sum").alias("fingerprint"))
 
 
 class ReadBackMismatch(RuntimeError):
@@ -114,7 +109,9 @@ def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
     spark = batch.sparkSession
     cols = batch.columns
     days = batch.select("*", *partition_values(ingest_day))
-    incoming = fingerprint(days, cols, PARTS).withColumn("source", F.lit(source))
+    # one pass over the batch; one row per day from here on
+    incoming = (fingerprint(days, cols, PARTS).withColumn("source", F.lit(source))
+                .checkpoint(eager=True))
     stored = (lot_register(spark, root).where(F.col("source") == source)
               .select("source", *PARTS, "lot", F.col("fingerprint").alias("sha")))
     decisions = resolve_lots(stored, incoming.withColumnRenamed("fingerprint", "sha"),
@@ -148,18 +145,27 @@ def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
 
 
 def read_raw(spark: SparkSession, root: str, source: str, data_schema: T.StructType) -> DataFrame:
-    """Read the raw layer with the partition columns typed as text."""
-    return spark.read.schema(raw_schema(data_schema)).parquet(f"{root}/{source}")
+    """The registered lots of the raw layer, partition columns typed as text. A lot that a
+    crashed load wrote but did not register is not seen."""
+    lots = (lot_register(spark, root).where(F.col("source") == source)
+            .select(*PARTS, F.lpad(F.col("lot").cast("string"), 2, "0").alias("lote")).distinct())
+    rows = spark.read.schema(raw_schema(data_schema)).parquet(f"{root}/{source}")
+    return rows.join(broadcast_if_small(lots), [*PARTS, "lote"], "left_semi")
 
 
 def verify_read_back(spark: SparkSession, root: str, source: str, data_schema: T.StructType,
                      loaded: DataFrame) -> None:
-    """The written partitions must hold exactly the fingerprinted rows."""
-    back = read_raw(spark, root, source, data_schema)
+    """The written partitions must hold exactly the fingerprinted rows. Only their own
+    folders (one per day of the batch) are read, however much the lake holds."""
     cols = [f.name for f in data_schema.fields]
     lots = loaded.select(*PARTS, F.lpad(F.col("lot").cast("string"), 2, "0").alias("lote"), "fingerprint")
-    got = fingerprint(back.join(broadcast_if_small(lots.select(*PARTS, "lote")), PARTS + ["lote"]),
-                      cols, PARTS + ["lote"]).withColumnRenamed("fingerprint", "_got")
+    base = f"{root}/{source}"
+    folders = [f"{base}/" + "/".join(f"{p}={r[p]}" for p in [*PARTS, "lote"])
+               for r in lots.select(*PARTS, "lote").collect()]
+    if not folders:
+        return
+    back = (spark.read.schema(raw_schema(data_schema)).option("basePath", base).parquet(*folders))
+    got = fingerprint(back, cols, PARTS + ["lote"]).withColumnRenamed("fingerprint", "_got")
     bad = (lots.join(got, PARTS + ["lote"], "left")
            .where(F.col("_got").isNull() | (F.col("_got") != F.col("fingerprint"))).limit(1).collect())
     if bad:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.contract import KeyValueContract
-from tributary.functions.numeric import money, round_exact, round_half_up
+from tributary.functions.numeric import MONEY_LIMIT, money, round_exact, round_half_up
 from tributary.functions.text import normalize_key, parse_text_number
 
 
@@ -33,7 +33,8 @@ def extract_pairs(df: DataFrame, contract: KeyValueContract, keep=()) -> DataFra
                         parse_text_number(F.col("_v"), contract.strip_symbols, contract.thousands,
                                           contract.decimal).alias("_d"))
     reason = (F.when(F.col("_v").isNull() | F.col("_k").isNull(), F.lit("short_row"))
-              .when(F.col("_d").isNull() | ~(F.abs(F.col("_d")) < F.lit(float("inf"))), F.lit("non_numeric")))
+              .when(F.col("_d").isNull() | ~(F.abs(F.col("_d")) < F.lit(float("inf"))), F.lit("non_numeric"))
+              .when(F.abs(F.col("_d")) >= F.lit(MONEY_LIMIT), F.lit("out_of_range")))
     return parsed.select(
         *kept,
         normalize_key("_k", contract.normalize_key, contract.empty_key).alias("key"),
@@ -42,7 +43,7 @@ def extract_pairs(df: DataFrame, contract: KeyValueContract, keep=()) -> DataFra
 
 
 def discard_report(pairs: DataFrame) -> DataFrame:
-    """P3 counters: one row per outcome (valid / short_row / non_numeric)."""
+    """P3 counters: one row per outcome (valid / short_row / non_numeric / out_of_range)."""
     return (pairs.groupBy(F.coalesce("reason", F.lit("valid")).alias("outcome"))
             .agg(F.count(F.lit(1)).alias("records")))
 

@@ -271,7 +271,7 @@ def annualized_need(readings: DataFrame, scen: MemoryScenarios = MemoryScenarios
                            round_half_up(memy / 12, 9).alias("memory_month_gib"), *cols)
 
 
-def capacity_choice(needs: DataFrame, ram_options=(8.0, 16.0, 32.0, 64.0), reserved: float = 0.35,
+def capacity_choice(needs: DataFrame, ram_options=(16.0, 32.0, 64.0, 128.0, 256.0), reserved: float = 0.35,
                     headroom: float = 2.0, growth: float = 0.20) -> DataFrame:
     """C14: smallest RAM option whose usable part covers ``headroom`` x the
     need, else the largest; entity limit = entities x usable / need; years

@@ -8,23 +8,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
+def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (file sizes for scans, propagated
-    through filters/projections/aggregates). No job is run."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:  # pragma: no cover - e.g. Spark Connect sessions
-        return None
+    through filters/projections/aggregates). No job is run. A checkpointed
+    table has no statistics and counts as very large."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast only a side whose estimated size is within ``max_bytes``;
     otherwise leave the choice to the planner (sort-merge / AQE at run time)."""
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def missing_from(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -32,10 +26,6 @@ def missing_from(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
-def present_in(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    return left.join(right, on, "left_semi")
-
-
 def attach_one_row(df: DataFrame, *one_row: DataFrame) -> DataFrame:
     """Append the columns of single-row results (a global ``agg`` without
     grouping always yields exactly one row) to every row of ``df`` as scalar

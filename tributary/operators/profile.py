@@ -232,8 +232,9 @@ def _q(c: str) -> str:
 def canonical_sql(c: str) -> str:
     """P7 as Spark SQL text (same rule as ``functions.text.canonical_number``)."""
     v = f"CAST({c} AS DOUBLE)"
-    fixed = f"CAST(CAST(round(CAST({v} AS DECIMAL(38,9)), 6) AS DECIMAL(38,6)) AS STRING)"
-    frac = f"regexp_replace(regexp_replace({fixed}, '0+$', ''), '\\\\.$', '')"
+    fixed = f"CAST(CAST(round(TRY_CAST({v} AS DECIMAL(38,9)), 6) AS DECIMAL(38,6)) AS STRING)"
+    frac = (f"coalesce(regexp_replace(regexp_replace({fixed}, '0+$', ''), '\\\\.$', ''), "
+            f"CAST({v} AS STRING))")
     return (f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} = floor({v}) AND abs({v}) < 1e15 "
             f"THEN CAST(CAST({v} AS BIGINT) AS STRING) ELSE {frac} END")
 
@@ -499,14 +500,21 @@ def schema_drift(df: DataFrame, declared: list[str]) -> DataFrame:
                     .when(F.col("declared"), "missing").otherwise("undeclared").alias("status"))
 
 
-def common_across_runs(df: DataFrame, source: Column, run: Column, runs: list) -> DataFrame:
-    """Sources present in every run (the intersection of per-run source
-    sets) with the per-run counts pivoted into one column per run."""
-    x = df.select(source.alias("source"), run.alias("_run"))
-    piv = x.groupBy("source").pivot("_run", runs).count()
-    total = x.agg(F.count_distinct("_run").alias("_runs"))
-    present = x.groupBy("source").agg(F.count_distinct("_run").alias("runs_present"))
-    out = attach_one_row(piv.join(present, "source"), total)
-    return out.select("source", "runs_present", (F.col("runs_present") == F.col("_runs"))
-                      .alias("in_every_run"),
-                      *[F.coalesce(F.col(str(r)), F.lit(0)).cast("bigint").alias(f"y{r}") for r in runs])
+def common_across_runs(df: DataFrame, source: Column, run: Column) -> DataFrame:
+    """Per source and run the records counted, whether the source is in every run (the
+    intersection of the per-run source sets), and whether all its runs count alike.
+
+    One aggregate of (source, run); the rest works on its few rows. Runs come from the data."""
+    counts = (df.groupBy(source.alias("source"), run.alias("run"))
+              .agg(F.count(F.lit(1)).alias("records")))
+    per_source = counts.groupBy("source").agg(
+        F.count(F.lit(1)).alias("runs_present"),
+        (F.min("records") == F.max("records")).alias("equal_in_all"),
+        F.sort_array(F.collect_list(F.struct("run", "records"))).alias("_runs"))
+    total = counts.agg(F.count_distinct("run").alias("_all"))
+    out = attach_one_row(per_source, total)
+    return out.select("source", "runs_present",
+                      (F.col("runs_present") == F.col("_all")).alias("in_every_run"), "equal_in_all",
+                      F.explode("_runs").alias("_r")) \
+        .select("source", F.col("_r.run").alias("run"), F.col("_r.records").alias("records"),
+                "runs_present", "in_every_run", "equal_in_all")

@@ -399,13 +399,13 @@ SELECT COALESCE(d.column_name, a.column_name) AS column_name,
             WHEN d.column_name IS NOT NULL THEN 'missing' ELSE 'undeclared' END AS status
 FROM d FULL OUTER JOIN a ON d.column_name = a.column_name"""
 
-_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
-ORACLE["common_across_runs"] = f"""
-WITH x AS (SELECT o_orderpriority AS source, year(o_orderdate) AS run FROM orders WHERE o_totalprice > 450000),
-t AS (SELECT COUNT(DISTINCT run) AS n FROM x)
-SELECT source, COUNT(DISTINCT run) AS runs_present, COUNT(DISTINCT run) = MAX(t.n) AS in_every_run,
-       {', '.join(f'COUNT(*) FILTER (WHERE run = {y}) AS y{y}' for y in _YEARS)}
-FROM x, t GROUP BY source"""
+ORACLE["common_across_runs"] = """
+WITH c AS (SELECT o_orderpriority AS source, year(o_orderdate) AS run, COUNT(*) AS records
+           FROM orders GROUP BY 1, 2)
+SELECT source, CAST(run AS INTEGER) AS run, records, COUNT(*) OVER s AS runs_present,
+       COUNT(*) OVER s = (SELECT COUNT(DISTINCT run) FROM c) AS in_every_run,
+       MIN(records) OVER s = MAX(records) OVER s AS equal_in_all
+FROM c WINDOW s AS (PARTITION BY source)"""
 
 
 # --- C1-C15 ----------------------------------------------------------------------
@@ -560,8 +560,8 @@ SELECT source, entities, {rnd('stored_bytes / rows', 2)} AS bytes_per_row,
 FROM ({READINGS}) r"""
 
 _NEED = f"(stored_bytes / rows * (rows / span_days * 365) / {_GIB} * k)"
-_CHOSEN = (f"COALESCE(CASE WHEN {D(8 * 0.65)} >= 2 * {_NEED} THEN 8.0 WHEN {D(16 * 0.65)} >= 2 * {_NEED} THEN 16.0 "
-           f"WHEN {D(32 * 0.65)} >= 2 * {_NEED} THEN 32.0 WHEN {D(64 * 0.65)} >= 2 * {_NEED} THEN 64.0 END, 64.0)")
+_CHOSEN = ("COALESCE(CASE " + " ".join(f"WHEN {D(r * 0.65)} >= 2 * {_NEED} THEN {r}.0"
+                                       for r in (16, 32, 64, 128, 256)) + " END, 256.0)")
 ORACLE["capacity_choice"] = f"""
 SELECT source, need_gib, ram_gib, {rnd('ram_gib * (1 - 0.35::DOUBLE)', 4)} AS usable_gib,
        ram_gib * (1 - 0.35::DOUBLE) >= 2 * n AS headroom_ok,
@@ -672,11 +672,10 @@ st0 AS (SELECT source, day, doc_id, sha256(content) AS sha,
                row_number() OVER (PARTITION BY source, day ORDER BY doc_id) AS lot FROM o WHERE doc_id % 2 = 0),
 stored AS (SELECT * FROM st0 WHERE NOT (day % 6 = 0 AND lot = 2)),
 s2 AS (SELECT *, row_number() OVER (PARTITION BY source, day ORDER BY lot) = lot AS prefix FROM stored),
-fst AS (SELECT source, day, MIN(doc_id) AS fid FROM o WHERE doc_id % 2 = 1 GROUP BY 1, 2),
-inc AS (SELECT f.source, f.day,
-               CASE WHEN f.fid % 3 = 0 AND l1.sha IS NOT NULL THEN l1.sha ELSE sha256(o.content) END AS sha
-        FROM fst f JOIN o ON o.doc_id = f.fid
-        LEFT JOIN (SELECT source, day, sha FROM stored WHERE lot = 1) l1 ON l1.source = f.source AND l1.day = f.day),
+inc AS (SELECT DISTINCT o.source, o.day,
+               CASE WHEN o.doc_id % 3 = 0 AND l1.sha IS NOT NULL THEN l1.sha ELSE sha256(o.content) END AS sha
+        FROM o LEFT JOIN (SELECT source, day, sha FROM stored WHERE lot = 1) l1
+                      ON l1.source = o.source AND l1.day = o.day WHERE o.doc_id % 2 = 1),
 g AS (SELECT i.source, i.day, i.sha, COUNT(*) FILTER (WHERE s2.prefix) + 1 AS n,
              MIN(s2.lot) FILTER (WHERE s2.prefix AND s2.sha = i.sha) AS same
       FROM inc i LEFT JOIN s2 ON s2.source = i.source AND s2.day = i.day GROUP BY 1, 2, 3),

@@ -25,7 +25,7 @@ def object_inventory(spark: SparkSession, root: str, glob: str | None = None) ->
     df = r.load(root).select("path", "length", "modificationTime")
     prefix = root.rstrip("/") + "/"
     start = F.instr(F.col("path"), prefix) + len(prefix)
-    key = F.when(F.instr(F.col("path"), prefix) > 0, F.substring(F.col("path"), start, 1 << 20)).otherwise(
+    key = F.when(F.instr(F.col("path"), prefix) > 0, F.substr(F.col("path"), start)).otherwise(
         F.col("path"))
     return df.select(key.alias("object_key"), F.col("length").alias("bytes"),
                      F.col("modificationTime").alias("modified"),
