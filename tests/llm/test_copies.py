@@ -122,9 +122,10 @@ def brute_components(rows):
     return {i: (len(sets[k]), low[find(k)]) for k, (i, _) in enumerate(rows)}
 
 
-@pytest.mark.parametrize("small", [64, 3])
-def test_jaccard_join(spark, monkeypatch, small):
+@pytest.mark.parametrize("small, large", [(32, 4096), (2, 4096), (2, 4)])
+def test_jaccard_join(spark, monkeypatch, small, large):
     monkeypatch.setattr(jaccard, "SMALL_REGION", small)
+    monkeypatch.setattr(jaccard, "LARGE_REGION", large)
     rows = near_rows()
     got = jaccard.jaccard_join(spark.createDataFrame(rows, SCHEMA).withColumnRenamed("text", "Body"),
                                text_col="Body").collect()
@@ -173,7 +174,9 @@ def byte_rows():
 
 
 @pytest.mark.parametrize("setting", [{}, {"hot": 3}, {"width": 40, "key": 16, "hot": 5}])
-def test_suffix_dedup(spark, setting):
+def test_suffix_dedup(spark, monkeypatch, setting):
+    if setting:
+        monkeypatch.setattr(suffix, "_WINDOWS", 50)  # few offsets at a time
     rows = byte_rows()
     got = {r.doc_id: tuple(r)[1:] for r in
            suffix.suffix_dedup(clashing(spark, rows), **setting).collect()}

@@ -36,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.store import broadcast_if_small, partitions, stage
+from tributary.llm.store import partitions, sifted, stage
 from tributary.llm.textops import SLICE_BYTES, buffer_of, ragged, slices, window_hashes
 
 WIDTH, KEY = 200, 64
 #: Occurrences of an anchor's bytes from which its windows are counted by themselves.
-HOT = 4096
+HOT = 1 << 17
 _FLUSH = 1 << 19
+#: Windows compared at once in a bucket.
+_WINDOWS = 1 << 21
 #: Bytes of contexts sorted at once within a bucket (a tie group is never cut).
 _SORT_BYTES = 16 << 20
 
@@ -137,7 +139,7 @@ def repeated_anchors(texts: DataFrame, width: int, key: int, hot: int) -> DataFr
             column = batch.column(0).take(pa.array(fresh, pa.int64()))
             data, offsets = buffer_of(column)
             refs = np.frombuffer(b"".join(digests[k][:16] for k in fresh), "V16")
-            for i, j in slices(offsets, 4 * SLICE_BYTES):
+            for i, j in slices(offsets, SLICE_BYTES):
                 own = offsets[i:j + 1] - offsets[i]
                 text, place, _, _, value = anchors(data[offsets[i]:offsets[j]], own, width, key)
                 waiting.append((value, refs[i + text], (place - own[text]).astype(np.uint32)))
@@ -179,7 +181,7 @@ def _anchor_runs(batch, column: str, width: int, key: int):
     (row, data, position, first window, past last window)."""
     data, offsets = buffer_of(batch.column(0))
     wanted = batch.column(batch.schema.get_field_index(column))
-    for i, j in slices(offsets, 4 * SLICE_BYTES):
+    for i, j in slices(offsets, SLICE_BYTES):
         part, own = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         text, place, first, end, _ = anchors(part, own, width, key)
         asked = np.concatenate([np.asarray(wanted[i + k].as_py(), dtype=np.int64) + own[k]
@@ -188,16 +190,19 @@ def _anchor_runs(batch, column: str, width: int, key: int):
         yield i, part, own, text[keep], place[keep], first[keep], end[keep]
 
 
-def _run_ranges(flags: np.ndarray, group: np.ndarray, start: np.ndarray):
-    """Maximal runs of set flags within a group of consecutive starts: (group, from, to)."""
+def _run_ranges(flags: np.ndarray, base: np.ndarray, first: np.ndarray):
+    """Maximal runs of set flags of each context (context, from, past), where a context's flags
+    begin at ``base`` and its first window is ``first``."""
     at = np.flatnonzero(flags)
     if not len(at):
         return at, at, at
+    row = np.searchsorted(base, at, "right") - 1
     new = np.ones(len(at), dtype=bool)
-    new[1:] = (np.diff(at) != 1) | (group[at[1:]] != group[at[:-1]])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return group[at[first]], start[at[first]], start[at[last]] + 1
+    new[1:] = (np.diff(at) != 1) | (row[1:] != row[:-1])
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(at)) - 1
+    start = first[row] + at - base[row]
+    return row[begin], start[begin], start[last] + 1
 
 
 def repeated_windows(texts: DataFrame, width: int, key: int) -> DataFrame:
@@ -253,29 +258,46 @@ def repeated_windows(texts: DataFrame, width: int, key: int) -> DataFrame:
         size = np.bincount(group)
         kept = order[size[group] > 1]
         tie = group[size[group] > 1]
-        hashes = window_hashes(data, width)
-        row, rank = ragged(length[kept] - width + 1)
-        offset = before[kept][row] - rank  # bytes before the anchor
-        value = hashes[begin[kept][row] + rank]
-        start = first[kept][row] + rank
-        refs = np.frombuffer(b"".join(ref.take(pa.array(kept)).to_pylist()), "V16")
-        halves = refs.view(np.uint64).reshape(-1, 2)[row] if len(kept) else \
-            np.zeros((0, 2), np.uint64)
-        by = np.lexsort((start, halves[:, 1], halves[:, 0], value, offset, tie[row]))
-        same = ((tie[row][by][1:] == tie[row][by][:-1]) & (offset[by][1:] == offset[by][:-1])
-                & (value[by][1:] == value[by][:-1]))
-        other = same & ((start[by][1:] != start[by][:-1])
-                        | (halves[by][1:] != halves[by][:-1]).any(axis=1))
-        # a window is repeated when its equal-valued run holds another place
-        run = np.cumsum(np.concatenate([[True], ~same])) - 1 if len(by) else by
-        many = np.zeros(run[-1] + 1 if len(by) else 0, dtype=bool)
-        many[run[1:][other]] = True
-        flags = np.zeros(len(by), dtype=bool)
-        flags[by] = many[run]
-        g, a, b = _run_ranges(flags, row, start)
-        return pa.RecordBatch.from_arrays(
-            [ref.take(pa.array(kept[g])), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-            names=["ref", "first", "past"])
+        count = length[kept] - width + 1  # windows of each context
+        base = np.cumsum(count) - count
+        total = int(count.sum())
+        value = np.empty(total, dtype=np.uint64)
+        for i, j in slices(np.concatenate([[0], np.cumsum(length[kept])]), SLICE_BYTES):
+            row, rank = ragged(length[kept[i:j]])
+            hashes = window_hashes(data[begin[kept[i:j]][row] + rank], width)
+            row, rank = ragged(count[i:j])
+            inner = np.cumsum(length[kept[i:j]]) - length[kept[i:j]]
+            value[base[i]:base[i] + len(row)] = hashes[inner[row] + rank]
+        place = ref.take(pa.array(kept))
+        halves = np.frombuffer(b"".join(place.to_pylist()), np.uint64).reshape(-1, 2)
+        flags = np.zeros(total, dtype=bool)
+        # windows are compared at equal offsets from the anchor: some offsets at a time
+        reach = before[kept]
+        step = max(1, _WINDOWS * width // max(1, total))
+        for low in range(0, width, step):
+            lo = np.maximum(0, reach - (low + step - 1))
+            hi = np.minimum(count, reach - low + 1)
+            row, rank = ragged(np.maximum(0, hi - lo))
+            if not len(row):
+                continue
+            rank += lo[row]
+            at, start = base[row] + rank, first[kept][row] + rank
+            by = np.lexsort((start, halves[row, 1], halves[row, 0], value[at], reach[row] - rank,
+                             tie[row]))
+            row, at, start = row[by], at[by], start[by]
+            offset = reach[row] - (at - base[row])
+            same = ((tie[row][1:] == tie[row][:-1]) & (offset[1:] == offset[:-1])
+                    & (value[at][1:] == value[at][:-1]))
+            other = same & ((start[1:] != start[:-1])
+                            | (halves[row[1:]] != halves[row[:-1]]).any(axis=1))
+            # a window is repeated when its equal-valued run holds another place
+            run = np.cumsum(np.concatenate([[True], ~same])) - 1
+            many = np.zeros(run[-1] + 1, dtype=bool)
+            many[run[1:][other]] = True
+            flags[at] = many[run]
+        g, a, b = _run_ranges(flags, base, first[kept])
+        return pa.RecordBatch.from_arrays([place.take(pa.array(g)), pa.array(a, pa.int64()),
+                                           pa.array(b, pa.int64())], names=["ref", "first", "past"])
 
     def bucket(batches):
         waiting, held = [], 0
@@ -348,16 +370,18 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, width: int = WID
     found = repeated_anchors(whole, width, key, hot)
     wanted = (classes.withColumn("ref", F.substring("digest", 1, 16)).join(found, "ref")
               .select(F.col("digest").alias("d"), "rep", "ref", "copies", "places", "hots"))
-    wanted = broadcast_if_small(stage(wanted, "wanted"))
-    texts = stage(whole.join(wanted, (F.col("digest") == F.col("d"))
-                             & F.col("id").eqNullSafe(F.col("rep")))
+    wanted = stage(wanted, "wanted")
+    maybe = sifted(whole, wanted.select(F.col("d").alias("digest"), F.col("rep").alias("id")),
+                   ["digest", "id"])
+    texts = stage(maybe.hint("merge").join(wanted, (F.col("digest") == F.col("d"))
+                                           & F.col("id").eqNullSafe(F.col("rep")))
                   .select("text", "ref", "places", "hots", "digest", "copies"), "texts")
     runs = repeated_windows(texts, width, key).unionByName(repeated_hot_windows(texts, width, key))
     spans = stage(runs.groupBy("ref").agg(
         F.collect_list(F.struct("first", (F.col("past") + (width - 1)).alias("past")))
         .alias("spans")), "spans")
     cuts = (texts.where("copies = 1").select("text", "digest", "ref")
-            .join(broadcast_if_small(spans), "ref").select("text", "digest", "spans"))
+            .hint("merge").join(spans, "ref").select("text", "digest", "spans"))
     return rows.join(classes.select("digest", "copies"), "digest"), cuts
 
 
@@ -387,7 +411,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                    F.sha2("kept", 256).alias("kept_sha256")), "cut")
     gone = (F.col("copies") > 1) & (F.col("n") >= width)
     nothing = hashlib.sha256(b"").hexdigest()
-    return (rows.join(broadcast_if_small(done), "digest", "left")
+    return (rows.hint("merge").join(done, "digest", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_bytes"),
                     F.when(gone, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0)))
                     .cast("long").alias("n_removed"),
