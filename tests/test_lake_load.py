@@ -88,3 +88,20 @@ def test_canonical_number_of_huge_values(spark):
     got = spark.createDataFrame([(1.5e29,), (2.5,), (1e300,)], "v double").select(
         canonical_number("v").alias("t")).collect()
     assert [float(r.t) for r in got] == [1.5e29, 2.5, 1e300]
+
+
+def test_a_fetch_stops_at_an_empty_page(spark):
+    from tributary.sources.delimited import page_audit
+    fetched = lambda *pages: [r.page for r in page_audit(
+        spark.createDataFrame(list(pages), "page long, rows long"), 10).where("fetched").orderBy("page").collect()]
+    assert fetched((0, 10), (1, 10), (3, 10)) == [0, 1]
+    assert fetched((0, 10), (1, 4), (2, 10)) == [0, 1]
+    assert fetched((1, 10)) == []
+
+
+def test_only_raw_data_keys_are_immutable(spark):
+    from tributary.lake.versions import immutability_audit
+    log = spark.createDataFrame([(layer, key, v, "write") for layer in ("raw", "refined") for v in (1, 2)
+                                 for key in ("s/a.csv", "_LEEME.txt", "s/a.csv.manifiesto.json")],
+                                "layer string, object_key string, version_id long, kind string")
+    assert [tuple(r) for r in immutability_audit(log).collect()] == [("raw", "s/a.csv", 2, "FAIL")]

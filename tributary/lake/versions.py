@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.lake.layout import is_data
 from tributary.operators.ordering import global_row_number, rank_within
 
 KEY = ["layer", "object_key"]
@@ -63,14 +64,11 @@ def previous_version(log: DataFrame) -> DataFrame:
                        F.col("_p.instant").alias("previous_instant"), F.col("_p.bytes").alias("previous_bytes"))
 
 
-def read_version(log: DataFrame, object_key: str, version_id) -> DataFrame:
-    """W3 point lookup of one version of one key."""
-    return log.where((F.col("object_key") == object_key) & (F.col("version_id") == version_id))
-
-
-def immutability_audit(log: DataFrame) -> DataFrame:
-    """A data key written more than once broke the immutability rule."""
-    g = (log.where(F.col("kind") == "write").groupBy(*KEY)
+def immutability_audit(log: DataFrame, layer: str = "raw") -> DataFrame:
+    """A data key of the raw layer written more than once broke the immutability rule.
+    Other layers may be rewritten, and metadata and manifests are not data."""
+    g = (log.where((F.col("kind") == "write") & (F.col("layer") == layer) & is_data(F.col("object_key")))
+         .groupBy(*KEY)
          .agg(F.count(F.lit(1)).alias("versions")))
     return g.select(*KEY, "versions",
                     F.when(F.col("versions") > 1, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"))

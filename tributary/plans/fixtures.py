@@ -144,20 +144,21 @@ def mixed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def declared_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared buckets: nations below key 20; versioned in regions 0 and 2."""
+    """Declared buckets: nations that have customers; versioned in regions 0 and 2."""
     n = load(spark, sf_dir, "nation")
-    return n.where(F.col("n_nationkey") < 20).select(
+    c = load(spark, sf_dir, "customer", "c_nationkey")
+    return n.join(c, n["n_nationkey"] == c["c_nationkey"], "left_semi").select(
         F.concat(F.lit("lake-"), F.lower(F.replace("n_name", F.lit(" "), F.lit("_")))).alias("bucket"),
         F.col("n_regionkey").isin(0, 2).alias("versioned"))
 
 
 def actual_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Actual buckets: nations (key >= 3) that have suppliers; versioning on
+    """Actual buckets: nations that have suppliers; versioning on
     when the supplier count is odd; readme present when a supplier balance
     exceeds 5000."""
     n = load(spark, sf_dir, "nation")
     s = load(spark, sf_dir, "supplier", "s_nationkey", "s_acctbal")
-    j = s.join(n.where(F.col("n_nationkey") >= 3), F.col("s_nationkey") == F.col("n_nationkey"))
+    j = s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     return j.groupBy(F.concat(F.lit("lake-"), F.lower(F.replace("n_name", F.lit(" "), F.lit("_")))).alias("bucket")
                      ).agg((F.count(F.lit(1)) % 2 == 1).alias("versioned"),
                            (F.max("s_acctbal") > 5000).alias("has_readme"))

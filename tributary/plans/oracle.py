@@ -715,7 +715,8 @@ SELECT layer, object_key, versions, version_id AS previous_version_id, instant A
 
 IMMUTABILITY = f"""
 SELECT layer, object_key, COUNT(*) AS versions, CASE WHEN COUNT(*) > 1 THEN 'FAIL' ELSE 'PASS' END AS status
-FROM ({VERSION_LOG}) l WHERE kind = 'write' GROUP BY 1, 2"""
+FROM ({VERSION_LOG}) l WHERE kind = 'write' AND layer = 'raw' AND NOT starts_with(object_key, '_')
+  AND NOT ends_with(object_key, '.manifiesto.json') GROUP BY 1, 2"""
 ORACLE["immutability_audit"] = IMMUTABILITY
 
 ORACLE["timeline"] = f"""
@@ -734,9 +735,9 @@ SELECT object_key FROM ({DOC_OBJECTS}) o WHERE doc_id NOT IN (SELECT doc_id FROM
 
 DECLARED_VS_ACTUAL = """
 WITH d AS (SELECT 'lake-' || lower(replace(n_name, ' ', '_')) AS bucket, n_regionkey IN (0, 2) AS vd
-           FROM nation WHERE n_nationkey < 20),
+           FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)),
 a AS (SELECT 'lake-' || lower(replace(n_name, ' ', '_')) AS bucket, COUNT(*) % 2 = 1 AS va, MAX(s_acctbal) > 5000 AS readme
-      FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey >= 3 GROUP BY 1),
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1),
 j AS (SELECT COALESCE(d.bucket, a.bucket) AS bucket, d.bucket IS NOT NULL AS declared, a.bucket IS NOT NULL AS exists_,
              COALESCE(vd, false) AS vd, COALESCE(va, false) AS va, COALESCE(readme, false) AS readme
       FROM d FULL OUTER JOIN a ON d.bucket = a.bucket),
@@ -770,8 +771,8 @@ UNION ALL SELECT 2, CASE WHEN versioned_declared AND NOT versioned_actual THEN '
 UNION ALL SELECT 3, status FROM ({PATH_CHECK}) x
 UNION ALL SELECT 4, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'PASS' ELSE 'FAIL' END FROM ({DOC_OBJECTS}) x
 UNION ALL SELECT 5, status FROM ({INTEGRITY}) x
-UNION ALL SELECT 6, CASE WHEN has_readme THEN 'PASS' ELSE 'FAIL' END FROM ({DECLARED_VS_ACTUAL}) x WHERE "exists"
-UNION ALL SELECT 7, 'PASS' FROM ({_WRANK}) w WHERE wrn = 2
+UNION ALL SELECT 6, CASE WHEN has_readme THEN 'PASS' ELSE 'FAIL' END FROM ({DECLARED_VS_ACTUAL}) x WHERE declared
+UNION ALL SELECT 7, 'PASS' FROM ({_WRANK}) w WHERE wrn = 2 AND layer = 'raw'
 UNION ALL SELECT 8, status FROM ({IMMUTABILITY}) x
 UNION ALL SELECT 9, 'FAIL' FROM ({DUPLICATES}) x"""
 ORACLE["criteria_rollup"] = f"""
@@ -791,8 +792,9 @@ ORACLE["src_delimited"] = "SELECT doc_id, text, lang, source FROM documents"
 
 ORACLE["page_audit"] = """
 WITH p AS (SELECT CAST(floor(event_id / 1500) AS BIGINT) AS page, COUNT(*) AS rows FROM events GROUP BY 1),
-s AS (SELECT MIN(page) AS stop FROM p WHERE rows < 1500)
-SELECT page, rows, rows < 1500 AS short, stop IS NULL OR page <= stop AS fetched FROM p, s"""
+s AS (SELECT MIN(page) AS stop FROM p WHERE rows < 1500),
+g AS (SELECT MIN(k) AS gap FROM (SELECT page + 1 AS k FROM p UNION ALL SELECT 0) c WHERE k NOT IN (SELECT page FROM p))
+SELECT page, rows, rows < 1500 AS short, (stop IS NULL OR page <= stop) AND page < gap AS fetched FROM p, s, g"""
 
 _RAW_ORDERS = f"""
 SELECT o_orderkey, o_custkey, {dirty_number('o_totalprice', 'o_orderkey')} AS price_text,

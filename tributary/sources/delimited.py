@@ -70,12 +70,18 @@ def read_pages(spark: SparkSession, paths: list[str], schema: T.StructType, sep:
 
 def page_audit(rows_per_page: DataFrame, page_size: int) -> DataFrame:
     """S2 audit: rows per page, short pages, and which pages a fetch loop
-    that stops at the first short (or empty) page would have taken.
-    ``rows_per_page``: page, rows."""
+    that stops at the first short (or empty) page would have taken. An empty
+    page has no row here: it is the first page number that is missing.
+    ``rows_per_page``: page (from 0), rows."""
     first_short = rows_per_page.where(F.col("rows") < page_size).agg(F.min("page").alias("_stop"))
-    return attach_one_row(rows_per_page, first_short).select(
+    pages = rows_per_page.select("page")
+    first = rows_per_page.sparkSession.range(1).select(F.col("id").alias("page"))
+    first_empty = (pages.select((F.col("page") + 1).alias("page")).unionByName(first)
+                   .join(pages, "page", "left_anti").agg(F.min("page").alias("_empty")))
+    return attach_one_row(rows_per_page, first_short, first_empty).select(
         "page", "rows", (F.col("rows") < page_size).alias("short"),
-        (F.col("_stop").isNull() | (F.col("page") <= F.col("_stop"))).alias("fetched"))
+        ((F.col("_stop").isNull() | (F.col("page") <= F.col("_stop")))
+         & (F.col("page") < F.col("_empty"))).alias("fetched"))
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
