@@ -255,15 +255,14 @@ def saving_levers(inputs: DataFrame, levers=LEVERS) -> DataFrame:
 def annualized_need(readings: DataFrame, scen: MemoryScenarios = MemoryScenarios(),
                     growth=(0.10, 0.20, 0.40)) -> DataFrame:
     """Bytes per row x annual rows -> S0 per year, memory per year and
-    month (x k), horizons at the reference RAM for several growth rates.
+    month (x k), horizons for each memory scenario and growth rate.
     ``readings``: source, rows, stored_bytes, k, entities, span_days."""
-    usable = scen.reference_ram_gb * (1 - scen.reserved_fraction)
     bpr = F.col("stored_bytes") / F.col("rows")
     annual = F.col("rows") / F.col("span_days") * 365
     s0y = bpr * annual / BYTES_PER_GIB
     memy = s0y * F.col("k")
-    cols = [round_half_up(horizon(F.lit(usable), F.col("k"), s0y, F.lit(g)), 2).alias(f"t_g{int(g * 100)}")
-            for g in growth]
+    cols = [round_half_up(horizon(F.lit(ram * (1 - scen.reserved_fraction)), F.col("k"), s0y, F.lit(g)), 2)
+            .alias(f"t_r{int(ram)}_g{int(g * 100)}") for ram in scen.ram_gb for g in growth]
     return readings.select("source", "entities", round_half_up(bpr, 2).alias("bytes_per_row"),
                            round_half_up(annual, 2).alias("rows_per_year"),
                            round_half_up(s0y, 9).alias("s0_year_gib"),

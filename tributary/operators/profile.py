@@ -146,14 +146,20 @@ def arrival_profile(df: DataFrame, ts_col: str, group_col: str | None = None,
                     as_of: Column | None = None, declared_frequency: str | None = None) -> DataFrame:
     """First / last record, span in hours, records per hour, lag in days
     to ``as_of`` (default: the latest timestamp of the whole table), declared
-    frequency. Only parseable timestamps count; span 0 -> rate NULL."""
+    frequency. Only parseable timestamps count; span 0 -> rate NULL. A missing
+    column gives one row, a group without a parseable timestamp its row, with
+    a note and no figures."""
     if ts_col not in df.columns:
-        return df.sparkSession.createDataFrame(
-            [(f"column {ts_col} missing",)], "note string")
+        return df.sparkSession.range(1).select(
+            F.lit("*").alias("source"), F.lit(0).cast("bigint").alias("rows"),
+            *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("first_ts", "last_ts")],
+            *[F.lit(None).cast("double").alias(c) for c in ("span_hours", "rows_per_hour", "lag_days")],
+            F.lit(declared_frequency).cast("string").alias("declared_frequency"),
+            F.lit(f"column {ts_col} missing").alias("note"))
     ts = F.col(ts_col)
     keys = [F.col(group_col).alias("source")] if group_col else [F.lit("*").alias("source")]
-    g = df.where(ts.isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    g = df.groupBy(*keys).agg(
+        F.count(ts).alias("rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
     ref = df.agg(F.max(ts).alias("_as_of")) if as_of is None else \
         df.sparkSession.range(1).select(as_of.cast("timestamp_ntz").alias("_as_of"))
     span = hours_between(F.col("last_ts"), F.col("first_ts"))
@@ -162,7 +168,8 @@ def arrival_profile(df: DataFrame, ts_col: str, group_col: str | None = None,
         round_half_up(span, 2).alias("span_hours"),
         F.when(span > 0, round_half_up(F.col("rows") / span, 2)).alias("rows_per_hour"),
         round_half_up(hours_between(F.col("_as_of"), F.col("last_ts")) / 24, 2).alias("lag_days"),
-        F.lit(declared_frequency).cast("string").alias("declared_frequency"))
+        F.lit(declared_frequency).cast("string").alias("declared_frequency"),
+        F.when(F.col("rows") == 0, F.lit(f"column {ts_col} without parseable dates")).alias("note"))
 
 
 # --- A15, T2 -----------------------------------------------------------------
@@ -432,13 +439,17 @@ def growth_rate(df: DataFrame, date_col: str, group_col: str, central: tuple[int
 
 def fetch_completeness(requested: DataFrame, fetched: DataFrame, key: str,
                        tolerance: float = 0.999) -> DataFrame:
-    """Fetched rows must reach ``tolerance`` x requested rows."""
+    """A fetch can be reused when its rows reach ``tolerance`` x the requested rows and
+    its bytes equal those of its seal. ``fetched``: key, fetched_rows, fetched_bytes,
+    sealed_bytes (NULL: never sealed)."""
     j = requested.join(fetched, key, "left")
     f = F.coalesce(F.col("fetched_rows"), F.lit(0)).cast("bigint")
+    same = F.coalesce(F.col("fetched_bytes") == F.col("sealed_bytes"), F.lit(False))
     return j.select(key, F.col("requested_rows").cast("bigint").alias("requested_rows"),
                     f.alias("fetched_rows"),
                     round_half_up(safe_ratio(f, F.col("requested_rows")), 6).alias("ratio"),
-                    (f >= F.col("requested_rows") * tolerance).alias("complete"))
+                    same.alias("bytes_equal"),
+                    ((f >= F.col("requested_rows") * tolerance) & same).alias("complete"))
 
 
 # --- capacity sources (feeds A23, T3 and the C operators) -----------------------

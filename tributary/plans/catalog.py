@@ -281,12 +281,16 @@ def q_growth_rate(spark, sf):
 @query("fetch_completeness")
 def q_fetch_completeness(spark, sf):
     o = load(spark, sf, "orders", "o_orderkey", "o_orderdate")
-    per_order = (load(spark, sf, "lineitem", "l_orderkey").groupBy("l_orderkey")
-                 .agg(F.count(F.lit(1)).alias("_lines")))
+    per_order = (load(spark, sf, "lineitem", "l_orderkey", "l_returnflag").groupBy("l_orderkey")
+                 .agg(F.count(F.lit(1)).alias("_lines"),
+                      F.sum(F.octet_length("l_returnflag")).cast("bigint").alias("_bytes")))
     year = F.year("o_orderdate").alias("year")
     requested = o.groupBy(year).agg((F.count(F.lit(1)) * 4).alias("requested_rows"))
     fetched = (per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-               .groupBy(year).agg(F.sum("_lines").alias("fetched_rows")))
+               .groupBy(year).agg(F.sum("_lines").alias("fetched_rows"),
+                                  F.sum("_bytes").alias("fetched_bytes")))
+    # seals of every third year are of another file
+    fetched = fetched.withColumn("sealed_bytes", F.col("fetched_bytes") + (F.col("year") % 3 == 0).cast("int"))
     return prof.fetch_completeness(requested, fetched, "year")
 
 

@@ -271,13 +271,14 @@ FROM (SELECT COUNT(*) AS n FROM orders GROUP BY o_custkey) g"""
 
 _SPAN = "CAST(epoch_us(last_ts) - epoch_us(first_ts) AS DOUBLE) / 3.6e9"
 ORACLE["arrival_profile"] = f"""
-WITH g AS (SELECT event_type AS source, COUNT(*) AS rows, MIN(ts) AS first_ts, MAX(ts) AS last_ts
-           FROM events WHERE ts IS NOT NULL GROUP BY 1),
+WITH g AS (SELECT event_type AS source, COUNT(ts) AS rows, MIN(ts) AS first_ts, MAX(ts) AS last_ts
+           FROM events GROUP BY 1),
 r AS (SELECT MAX(ts) AS as_of FROM events)
 SELECT source, rows, first_ts, last_ts, {rnd(_SPAN, 2)} AS span_hours,
        CASE WHEN {_SPAN} > 0 THEN {rnd(f'rows / ({_SPAN})', 2)} END AS rows_per_hour,
        {rnd('CAST(epoch_us(as_of) - epoch_us(last_ts) AS DOUBLE) / 3.6e9 / 24', 2)} AS lag_days,
-       'continuous' AS declared_frequency
+       'continuous' AS declared_frequency,
+       CASE WHEN rows = 0 THEN 'column ts without parseable dates' END AS note
 FROM g, r"""
 
 
@@ -345,7 +346,9 @@ SELECT r.year, CAST(requested_rows AS BIGINT) AS requested_rows,
        CAST(COALESCE(fetched_rows, 0) AS BIGINT) AS fetched_rows,
        CASE WHEN requested_rows = 0 THEN NULL
             ELSE {rnd('CAST(COALESCE(fetched_rows, 0) AS DOUBLE) / requested_rows', 6)} END AS ratio,
-       COALESCE(fetched_rows, 0) >= requested_rows * 0.999 AS complete
+       r.year % 3 <> 0 AND fetched_rows IS NOT NULL AS bytes_equal,
+       COALESCE(fetched_rows, 0) >= requested_rows * 0.999 AND r.year % 3 <> 0
+         AND fetched_rows IS NOT NULL AS complete
 FROM req r LEFT JOIN fet f ON r.year = f.year"""
 
 _ORD_COLS = DRIVER_SCHEMAS["orders"]
@@ -556,7 +559,8 @@ ORACLE["annualized_need"] = f"""
 SELECT source, entities, {rnd('stored_bytes / rows', 2)} AS bytes_per_row,
        {rnd('rows / span_days * 365', 2)} AS rows_per_year, {rnd(_S0Y, 9)} AS s0_year_gib,
        {rnd(f'{_S0Y} * k', 9)} AS memory_year_gib, {rnd(f'{_S0Y} * k / 12', 9)} AS memory_month_gib,
-       {', '.join(f"{rnd(horizon_sql(_REF_USABLE, 'k', _S0Y, D(g)), 2)} AS t_g{int(g * 100)}" for g in (0.10, 0.20, 0.40))}
+       {', '.join(f"{rnd(horizon_sql(D(ram * 0.65), 'k', _S0Y, D(g)), 2)} AS t_r{ram}_g{int(g * 100)}"
+                  for ram in (8, 16, 32) for g in (0.10, 0.20, 0.40))}
 FROM ({READINGS}) r"""
 
 _NEED = f"(stored_bytes / rows * (rows / span_days * 365) / {_GIB} * k)"
