@@ -500,14 +500,20 @@ def latest_run(df: DataFrame, machine: Column, stamp: str, run_id: str, failed:
 
 
 def schema_drift(df: DataFrame, declared: list[str]) -> DataFrame:
-    """Declared dictionary vs the schema actually read (name level)."""
+    """Declared dictionary vs the schema actually read, with each actual column's
+    non-null values (one pass over the table; a declared name that is read but never
+    filled is ``empty``)."""
     spark = df.sparkSession
     d = spark.createDataFrame([(c,) for c in declared], "column_name string").withColumn("declared", F.lit(True))
-    a = spark.createDataFrame([(c,) for c in df.columns], "column_name string").withColumn("actual", F.lit(True))
+    one = df.agg(*[F.count(F.col(_q(c))).alias(f"_c{i}") for i, c in enumerate(df.columns)])
+    a = one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(True).alias("actual"),
+                 F.col(f"_c{i}").alias("values")) for i, c in enumerate(df.columns)])).alias("x")).select("x.*")
     j = d.join(a, "column_name", "full_outer")
     return j.select("column_name", F.coalesce("declared", F.lit(False)).alias("declared"),
-                    F.coalesce("actual", F.lit(False)).alias("actual"),
-                    F.when(F.col("declared") & F.col("actual"), "ok")
+                    F.coalesce("actual", F.lit(False)).alias("actual"), "values",
+                    F.when(F.col("declared") & F.col("actual"),
+                           F.when(F.col("values") > 0, "ok").otherwise("empty"))
                     .when(F.col("declared"), "missing").otherwise("undeclared").alias("status"))
 
 

@@ -393,13 +393,15 @@ SELECT machine, runs, failures, latest_stamp, latest_run_id FROM (
 _DECLARED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
              "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
              "l_comment", "l_shipmode"]
+_ACTUAL = " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT({c}) AS values FROM lineitem"
+                             for c, _ in DRIVER_SCHEMAS["lineitem"])
 ORACLE["schema_drift"] = f"""
 WITH d AS (SELECT unnest([{', '.join(repr(c) for c in _DECLARED)}]) AS column_name),
-a AS (SELECT column_name FROM (DESCRIBE lineitem))
+a AS ({_ACTUAL})
 SELECT COALESCE(d.column_name, a.column_name) AS column_name,
-       d.column_name IS NOT NULL AS declared, a.column_name IS NOT NULL AS actual,
-       CASE WHEN d.column_name IS NOT NULL AND a.column_name IS NOT NULL THEN 'ok'
-            WHEN d.column_name IS NOT NULL THEN 'missing' ELSE 'undeclared' END AS status
+       d.column_name IS NOT NULL AS declared, a.column_name IS NOT NULL AS actual, a.values,
+       CASE WHEN d.column_name IS NULL THEN 'undeclared' WHEN a.column_name IS NULL THEN 'missing'
+            WHEN a.values > 0 THEN 'ok' ELSE 'empty' END AS status
 FROM d FULL OUTER JOIN a ON d.column_name = a.column_name"""
 
 ORACLE["common_across_runs"] = """
