@@ -86,3 +86,8 @@ def test_broadcast_only_when_small(spark):
         broadcast_if_small(df, most), orders["o_orderkey"] == df[df.columns[0]]))
     assert hinted(region, 1 << 20)
     assert not hinted(large, 1 << 10)
+
+
+def test_previous_version_keeps_two_rows_per_key_before_the_shuffle(spark):
+    p = plan(E.queries()["previous_version"](spark, SF))
+    assert p.count("WindowGroupLimit") == 2 and p.index("Final") < p.index("Partial")

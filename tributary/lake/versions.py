@@ -10,7 +10,7 @@ in one task the way a window partitioned by key would.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.lake.layout import is_data
@@ -53,15 +53,19 @@ def restored_versions(log: DataFrame) -> DataFrame:
 
 
 def previous_version(log: DataFrame) -> DataFrame:
-    """The second newest write of every key with more than one write."""
+    """The second newest write of every key with more than one write.
+
+    The filter on the row number lets Spark keep two rows per key and task before
+    the shuffle (a window group limit), so a key with very many writes is no hot
+    group; only the per-key counts are joined, one row a side."""
     writes = log.where(F.col("kind") == "write")
-    newest = writes.groupBy(*KEY).agg(
-        F.max(F.struct("instant", "version_id")).alias("_n"), F.count(F.lit(1)).alias("versions"))
-    rest = (writes.join(newest.where(F.col("versions") > 1), KEY)
-            .where(F.struct("instant", "version_id") < F.col("_n")))
-    prev = rest.groupBy(*KEY, "versions").agg(F.max(F.struct("instant", "version_id", "bytes")).alias("_p"))
-    return prev.select(*KEY, "versions", F.col("_p.version_id").alias("previous_version_id"),
-                       F.col("_p.instant").alias("previous_instant"), F.col("_p.bytes").alias("previous_bytes"))
+    newest = Window.partitionBy(*KEY).orderBy(F.col("instant").desc(), F.col("version_id").desc())
+    second = (writes.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= 2)
+              .where(F.col("_place") == 2))
+    counts = writes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("versions"))
+    return (second.join(counts, KEY)
+            .select(*KEY, "versions", F.col("version_id").alias("previous_version_id"),
+                    F.col("instant").alias("previous_instant"), F.col("bytes").alias("previous_bytes")))
 
 
 def immutability_audit(log: DataFrame, layer: str = "raw") -> DataFrame:
