@@ -13,10 +13,12 @@ join finds all d <= 1 - threshold, in regions:
   window: x is replicated to those regions only, and no link is lost, whatever
   the order of pivots;
 * sizes give a second window: |x| and |y| differ at most by the factor t;
-* a region with few members is joined at once. A larger one is split again
-  with a member set as pivot: members within the threshold are linked to this
-  centre, and by the triangle inequality only those go on whose distance to it
-  lets them reach a member that is not linked. So a group of copies costs one
+* a region with few members is joined at once; in a middling one each member is
+  compared with its nearest candidate first, and then only candidates that
+  would join different components. A large region is split again with a member
+  set as pivot: members within the threshold are linked to this centre, and by
+  the triangle inequality only those go on whose distance to it lets them reach
+  a member that is not linked. So a group of copies costs about one exact
   comparison for each member and never all its pairs;
 * a sketch of parity bits bounds each pair's distance from below; every pair
   that it leaves is compared exactly, on whole sets of 64-bit shingle hashes.
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.components import components
-from tributary.llm.store import broadcast_if_small, partitions, stage
+from tributary.llm.store import broadcast_if_small, partitions, sifted, stage
 from tributary.llm.textops import (SLICE_BYTES, buffer_of, mix, ngram_hashes, slices, span_hashes,
                                    word_bounds)
 
@@ -48,11 +50,10 @@ SHINGLE, NUM, DEN = 5, 80, 100
 FREQUENT, REPORT = 1 << 18, 3
 #: Bytes of a set's parity sketch.
 SKETCH = 128
-#: Members of a region that are compared pair by pair at once.
-SMALL_REGION = 64
-#: Rounds of splitting by centres before the rest of a region is compared pair by pair.
-ROUNDS = 4
-_FLUSH = 1 << 21
+#: Members of a region whose pairs are listed where it is found; members of a region that one
+#: task compares by sketches; rounds of splitting larger ones by centres.
+SMALL_REGION, LARGE_REGION, ROUNDS = 32, 4096, 4
+_REPORT_FLUSH, _FLUSH, _BLOCK = 1 << 21, 1 << 19, 64
 _KEY_MASK = np.uint64(0xFFFFFFFFFFFFFF00)
 
 
@@ -63,7 +64,7 @@ def prefix_length(n: int, num: int, den: int) -> int:
 def shingle_sets(column: pa.Array, size: int):
     """The sorted distinct shingle hashes of each text."""
     data, offsets = buffer_of(column)
-    for i, j in slices(offsets, 4 * SLICE_BYTES):
+    for i, j in slices(offsets, SLICE_BYTES):
         part, own = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         starts, ends, first = word_bounds(part, own)
         words = span_hashes(part, starts, ends)
@@ -134,7 +135,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
                 sketch.append(_sketch(found))
                 waiting.append(found)
                 held += len(found)
-                if held >= _FLUSH:
+                if held >= _REPORT_FLUSH:
                     yield report()
                     waiting, held = [], 0
             rows = len(batch)
@@ -257,8 +258,10 @@ def region_members(docs: DataFrame, text_col: str, size: int, num: int, den: int
             both = np.unique(np.stack([a, b], axis=1), axis=0)
             a, b = both[:, 0], both[:, 1]
         big = np.repeat(count > SMALL_REGION, count)
+        # a region is named by its members, so that pivots with the same members are one region
+        name = np.add.reduceat(mix(k + np.uint64(7)), first) if len(first) else k
         region = pa.concat_arrays([pa.nulls(len(a), pa.int64()),
-                                   pa.array(p[big].view(np.int64))])
+                                   pa.array(np.repeat(name, count)[big].view(np.int64))])
         return pa.table({
             "region": region,
             "a": pa.array(np.concatenate([a, k[big]]).view(np.int64)),
@@ -307,8 +310,8 @@ def compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     """Staged (a, b, na, nb, common) of distinct key pairs (a, b), on whole sets."""
     keys = (pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     wanted = stage(classes.join(keys, "key").select("rep", "key"), "wanted")
-    mine = (docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-            .join(broadcast_if_small(wanted), "rep").select("key", "text"))
+    mine = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
+    mine = (sifted(mine, wanted, ["rep"]).hint("merge").join(wanted, "rep").select("key", "text"))
 
     def whole_sets(batches):
         for batch in batches:
@@ -342,38 +345,91 @@ def compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
                  "compared")
 
 
+def region_pairs(members: DataFrame, classes: DataFrame, num: int, den: int,
+                 components_of: DataFrame | None = None) -> DataFrame:
+    """(a, b): pairs of a region's members that their sketches do not rule out, by blocks.
+
+    Without components: of each member only the pair with its nearest earlier
+    member, a forest. With them: all pairs that join different components."""
+    rows = members.join(classes.select("key", "n", "sketch"), "key")
+    if components_of is not None:
+        rows = rows.join(components_of, F.col("key") == F.col("node"), "left") \
+            .select("region", "key", "n", "sketch", F.coalesce("component", "key").alias("component"))
+    else:
+        rows = rows.select("region", "key", "n", "sketch", F.col("key").alias("component"))
+    forest = components_of is None
+
+    def pairs(table: pa.Table) -> pa.Table:
+        key, n, group = (table.column(c).to_numpy() for c in ("key", "n", "component"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64) \
+            .reshape(len(key), SKETCH // 8)
+        order = np.lexsort((key, n))
+        key, n, group, sketch = key[order], n[order], group[order], sketch[order]
+        left, right = [], []
+        for lo in range(0, len(key), _BLOCK):
+            i = np.arange(lo, min(len(key), lo + _BLOCK))
+            first = int(np.searchsorted(n, -(-int(n[lo]) * num // den)))  # smaller ones cannot link
+            j = np.arange(first, i[-1] + 1)
+            apart = np.maximum(np.bitwise_count(sketch[i, None] ^ sketch[None, j])
+                               .sum(axis=2, dtype=np.int64), np.abs(n[i, None] - n[None, j]))
+            both = n[i, None] + n[None, j]
+            common = (both - apart) // 2
+            near = (den * common >= num * (both - common)) & (j[None] < i[:, None]) \
+                & (group[i, None] != group[None, j])
+            if forest:
+                best = np.where(near, apart, np.iinfo(np.int64).max).argmin(axis=1)
+                x = np.flatnonzero(near[np.arange(len(i)), best])
+                y = best[x]
+            else:
+                x, y = np.nonzero(near)
+            left.append(key[i[x]])
+            right.append(key[j[y]])
+        a, b = np.concatenate(left), np.concatenate(right)
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return rows.groupBy("region").applyInArrow(pairs, "a long, b long").distinct()
+
+
 def all_links(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
               size: int, num: int, den: int) -> DataFrame:
     """(a, b): links of class keys that connect whatever the candidates of ``found`` connect."""
     reach, links = 1 - num / den, []
     union = F.col("na") + F.col("nb") - F.col("common")
     linked = F.lit(den) * F.col("common") >= F.lit(num) * union
-    pairs = found.where(F.col("region").isNull()).select("a", "b", F.lit(False).alias("star"))
+    sizes = classes.select("key", "n").dropDuplicates(["key"])
+
+    def met_links(pairs: DataFrame) -> DataFrame:
+        met = compare(pairs.select("a", "b")
+                      .join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
+                      .join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b"),
+                      classes, docs, id_col, text_col, size)
+        links.append(met.where(linked).select("a", "b"))
+        return met
+
+    small = found.where(F.col("region").isNull()).select("a", "b", F.lit(False).alias("star"))
     left = stage(found.where(F.col("region").isNotNull())
                  .select("region", F.col("a").alias("key")).distinct()
                  .join(classes.select("key").distinct(), "key", "left_semi"), "members")
     for number in range(ROUNDS + 1):
-        sizes = left.join(left.groupBy("region").agg(
+        counted = left.join(left.groupBy("region").agg(
             F.count(F.lit(1)).alias("members"),
             F.min_by("key", F.xxhash64("key", F.lit(number))).alias("centre")), "region")
-        big = sizes.where(F.lit(number < ROUNDS) & (F.col("members") > SMALL_REGION)
-                          & (F.col("key") != F.col("centre")))
-        big = stage(big.select("region", "key", F.least("key", "centre").alias("a"),
-                               F.greatest("key", "centre").alias("b")), "large")
-        small = (sizes if number == ROUNDS
-                 else sizes.where(F.col("members") <= SMALL_REGION)).select("region", "key")
-        rest = (small.withColumnRenamed("key", "a").join(small.withColumnRenamed("key", "b"),
-                                                         "region").where("a < b"))
-        pairs = (pairs.unionByName(rest.select("a", "b", F.lit(False).alias("star")))
-                 .unionByName(big.select("a", "b", F.lit(True).alias("star")))
+        counted = stage(counted, "regions")
+        large = F.lit(number < ROUNDS) & (F.col("members") > LARGE_REGION)
+        big = (counted.where(large & (F.col("key") != F.col("centre")))
+               .select("region", "key", F.least("key", "centre").alias("a"),
+                       F.greatest("key", "centre").alias("b")))
+        rest = counted.where(~large).select("region", "key")
+        pairs = (small.unionByName(big.select("a", "b", F.lit(True).alias("star")))
                  .groupBy("a", "b").agg(F.max("star").alias("star")))
         judged = judge(pairs, classes, num, den)
-        met = compare(judged.where("near"), classes, docs, id_col, text_col, size)
-        links.append(met.where(linked).select("a", "b"))
-        if big.isEmpty():
-            break
-        # members linked to the centre stay only if, by the triangle inequality, they can
-        # still link to a member that is not
+        forest = region_pairs(rest, classes, num, den)
+        met = met_links(judged.where("near").select("a", "b").unionByName(forest).distinct())
+        if not rest.isEmpty():
+            joined = stage(components(reduce(DataFrame.unionByName, links)), "components")
+            met_links(region_pairs(rest, classes, num, den, joined))
+        # members of large regions that are linked to the centre stay only if, by the triangle
+        # inequality, they can still link to a member that is not
         placed = (big.join(judged.select("a", "b", "least"), ["a", "b"])
                   .join(met.select("a", "b", (1 - F.col("common") / union).alias("exact"),
                                    linked.alias("linked")), ["a", "b"], "left")
@@ -386,7 +442,7 @@ def all_links(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
                      .select("region", "key").distinct(), "members")
         if left.isEmpty():
             break
-        pairs = pairs.limit(0)
+        small = small.limit(0)
     return reduce(DataFrame.unionByName, links).distinct()
 
 
@@ -407,11 +463,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     edges = (links.join(named.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a")
              .join(named.select(F.col("key").alias("b"), F.col("rep").alias("rb")), "b"))
     joined = components(edges, "ra", "rb")
-    placed = (classes.join(broadcast_if_small(stage(joined, "components")),
-                           F.col("rep") == F.col("node"), "left")
+    placed = (classes.hint("merge").join(stage(joined, "components"),
+                                         F.col("rep") == F.col("node"), "left")
               .select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id")))
     return (rows.select("id", "n", "d1", "d2")
-            .join(broadcast_if_small(stage(placed, "placed")), ["n", "d1", "d2"], "left")
+            .hint("merge").join(stage(placed, "placed"), ["n", "d1", "d2"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "id").alias("component_id")))
 
