@@ -42,7 +42,7 @@ from tributary.llm.textops import BYTE_VALUE, buffer_of, gathered, ragged, slice
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x2581
 LONGEST = 16
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 2 << 20
 
 
 class Pieces:
