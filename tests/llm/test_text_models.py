@@ -291,9 +291,8 @@ def test_byte_tree_is_a_complete_code():
     counts[97:123] = np.arange(26) ** 3
     tree = mixing.Tree(counts)
     assert sum(0.5 ** int(n) for n in tree.length) == 1.0
-    paths = {tuple(zip(tree.node[b, :n].tolist(), tree.bit[b, :n].tolist()))
-             for b, n in enumerate(tree.length)}
-    assert len(paths) == 256
+    paths = set(map(tuple, tree.paths))
+    assert len(paths) == 256 and all(len(p) == n for p, n in zip(tree.paths, tree.length))
 
 
 def test_token_predictors():
