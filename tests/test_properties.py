@@ -163,3 +163,10 @@ def test_row_duplicates_null_semantics_both_paths(spark):
     assert tuple(prof.row_duplicates(narrow).first()) == (5, 2, 0.4)
     text = spark.createDataFrame([("x", None), ("x", None), (None, "x"), ("", None)], "a string, b string")
     assert tuple(prof.row_duplicates(text).first()) == (4, 1, 0.25)
+
+
+def test_a_negative_zero_is_a_zero_whatever_the_row_holds(spark):
+    from tributary.operators import profile as prof
+    rows = spark.createDataFrame([(0.0, "x"), (-0.0, "x")], "a double, b string")
+    assert prof.row_duplicates(rows).first()["duplicate_rows"] == 1
+    assert prof.row_duplicates(rows.select("a")).first()["duplicate_rows"] == 1

@@ -99,32 +99,21 @@ def completeness(df: DataFrame) -> DataFrame:
 
 # --- A12, A13 ----------------------------------------------------------------
 
-DIGEST_MIN_ROW_BYTES = 48
-FIXED_BYTES = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
-               T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-               T.DecimalType: 16}
-
-
-def _fixed_bytes(dt: T.DataType) -> int | None:
-    return next((n for t, n in FIXED_BYTES.items() if isinstance(dt, t)), None)
-
-
 def row_duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Full-row duplicates beyond the first occurrence (NULLs equal).
-
-    Rows with text or wider than a digest are grouped by the 32-byte SHA-256
-    of an injective row encoding, so the shuffle never carries the row text;
-    narrow fixed-width rows are grouped by their own columns (smaller than a
-    digest). Either way the map-side partial aggregate collapses repeated
-    rows before the exchange, so a row repeated billions of times costs one
-    record per task."""
+    """Full-row duplicates beyond the first occurrence (NULLs equal, and
+    a zero equals a negative zero).
+
+    Rows are grouped by the 32-byte SHA-256 of an injective row encoding, so the
+    shuffle never carries the row; the map-side partial aggregate collapses
+    repeated rows before the exchange, so a row repeated billions of times costs
+    one record per task."""
     from tributary.functions.hashing import row_fingerprint
     cols = cols or df.columns
-    fields = [df.schema[c] for c in cols]
-    sizes = [_fixed_bytes(f.dataType) for f in fields]
-    narrow = all(n is not None for n in sizes) and sum(sizes) < DIGEST_MIN_ROW_BYTES
-    keys = [F.col(c) for c in cols] if narrow else [F.unhex(row_fingerprint(cols)).alias("_fp")]
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    plain = df.select(*[
+        F.when(F.col(_q(c)) == 0, F.lit(0.0)).otherwise(F.col(_q(c))).alias(c)
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else F.col(_q(c))
+        for c in cols])
+    g = plain.groupBy(F.unhex(row_fingerprint(cols)).alias("_fp")).agg(F.count(F.lit(1)).alias("n"))
     return g.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_rows")).select(
         F.col("rows").cast("bigint").alias("rows"),
         F.col("duplicate_rows").cast("bigint").alias("duplicate_rows"),
