@@ -209,3 +209,17 @@ def test_anchors_in_slices(monkeypatch):
     monkeypatch.setattr(suffix, "SLICE_BYTES", 257)
     assert by_window() == whole
     assert set(whole) == {w for a, b in zip(offsets[:-1], offsets[1:]) for w in range(a, b - 39)}
+
+
+def test_sketches_bound_the_difference():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for n in (5, 400, 600, 1100, 5000, 70_000):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[n // 5:], rng.integers(0, 1 << 63, n // 3).astype(np.uint64)]))
+        x, y = jaccard._sketch(a), jaccard._sketch(b)
+        size = min(len(x), len(y))
+        bits = int(np.bitwise_count(jaccard._folded(x, size) ^ jaccard._folded(y, size)).sum())
+        assert bits <= len(np.setxor1d(a, b)) and jaccard.SKETCH <= len(x) <= jaccard.LARGEST_SKETCH
+        assert (jaccard._folded(x, jaccard.SKETCH) ==
+                jaccard._folded(jaccard._folded(x, size).tobytes(), jaccard.SKETCH)).all()

@@ -48,12 +48,12 @@ from tributary.llm.textops import (SLICE_BYTES, buffer_of, mix, ngram_hashes, sl
 SHINGLE, NUM, DEN = 5, 80, 100
 #: Frequent shingles that are ordered last, and the occurrences in one task that report one.
 FREQUENT, REPORT = 1 << 18, 3
-#: Bytes of a set's parity sketch.
-SKETCH = 128
+#: Least and most bytes of a set's parity sketch; between them two bits for each element.
+SKETCH, LARGEST_SKETCH = 128, 1 << 14
 #: Members of a region whose pairs are listed where it is found; members of a region that one
 #: task compares by sketches; rounds of splitting larger ones by centres.
 SMALL_REGION, LARGE_REGION, ROUNDS = 32, 4096, 4
-_REPORT_FLUSH, _FLUSH, _BLOCK = 1 << 21, 1 << 19, 64
+_REPORT_FLUSH, _FLUSH, _BLOCK, _CELLS = 1 << 21, 1 << 19, 64, 1 << 24
 _KEY_MASK = np.uint64(0xFFFFFFFFFFFFFF00)
 
 
@@ -86,9 +86,17 @@ def _identity(found: np.ndarray) -> tuple[int, int]:
 
 
 def _sketch(found: np.ndarray) -> bytes:
-    """Parities of the numbers of elements that fall to each of 8 * SKETCH bits."""
-    place = (mix(found) % np.uint64(8 * SKETCH)).astype(np.int64)
-    return np.packbits(np.bincount(place, minlength=8 * SKETCH) & 1).tobytes()
+    """Parities of the numbers of elements that fall to each bit of the sketch.
+
+    Sizes are powers of two and places are low bits, so the halves of a sketch
+    joined by exclusive-or are the sketch of half the size."""
+    size = min(LARGEST_SKETCH, max(SKETCH, 1 << max(0, (len(found) // 4 - 1).bit_length())))
+    place = (mix(found) & np.uint64(8 * size - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=8 * size) & 1).tobytes()
+
+
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
 
 
 def _key(n: int, digest: int) -> int:
@@ -277,7 +285,7 @@ def region_members(docs: DataFrame, text_col: str, size: int, num: int, den: int
 def judge(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Staged (a, b, star, na, nb, least, near) of key pairs: a lower bound of their distance.
 
-    Elements are dealt to ``8 * SKETCH`` parity bits; bits that differ are a
+    Elements are dealt to parity bits, about two for each; bits that differ are a
     lower bound of the symmetric difference, so ``near`` is false only where the
     pair cannot link. Pairs that are not near are kept only as star pairs."""
     one = classes.select(F.col("key").alias("a"), F.col("n").alias("na"),
@@ -287,12 +295,12 @@ def judge(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame
 
     def bound(batches):
         for batch in batches:
-            rows = len(batch)
             na, nb = (batch.column(k).to_numpy() for k in (3, 4))
-            sa, sb = (np.frombuffer(buffer_of(batch.column(k))[0], np.uint8).reshape(rows, SKETCH)
-                      for k in (5, 6))
-            apart = np.maximum(np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64),
-                               np.abs(na - nb))
+            apart = np.abs(na - nb)
+            for k, (x, y) in enumerate(zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())):
+                size = min(len(x), len(y))
+                bits = np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum(dtype=np.int64)
+                apart[k] = max(apart[k], int(bits))
             common = (na + nb - apart) // 2  # at most
             near = den * common >= num * (na + nb - common)
             out = pa.RecordBatch.from_arrays(
@@ -361,16 +369,26 @@ def region_pairs(members: DataFrame, classes: DataFrame, num: int, den: int,
 
     def pairs(table: pa.Table) -> pa.Table:
         key, n, group = (table.column(c).to_numpy() for c in ("key", "n", "component"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64) \
-            .reshape(len(key), SKETCH // 8)
         order = np.lexsort((key, n))
-        key, n, group, sketch = key[order], n[order], group[order], sketch[order]
+        key, n, group = key[order], n[order], group[order]
+        texts = table.column("sketch").to_pylist()
+        sketch = [texts[k] for k in order.tolist()]
+        width = np.array([len(x) for x in sketch])  # grows with n
+        levels = {}  # by size: the first member with so large a sketch, and all folded to it
         left, right = [], []
-        for lo in range(0, len(key), _BLOCK):
-            i = np.arange(lo, min(len(key), lo + _BLOCK))
+        lo = 0
+        while lo < len(key):
             first = int(np.searchsorted(n, -(-int(n[lo]) * num // den)))  # smaller ones cannot link
-            j = np.arange(first, i[-1] + 1)
-            apart = np.maximum(np.bitwise_count(sketch[i, None] ^ sketch[None, j])
+            size = int(width[first])
+            if size not in levels:
+                low = int(np.searchsorted(width, size))
+                levels[size] = low, np.stack([_folded(x, size) for x in sketch[low:]])
+            low, rows = levels[size]
+            hi = min(len(key), lo + max(1, min(_BLOCK, _CELLS // (size * (lo + 1 - first)))),
+                     int(np.searchsorted(width, width[lo], "right")))
+            i, j = np.arange(lo, hi), np.arange(first, hi)
+            lo = hi
+            apart = np.maximum(np.bitwise_count(rows[i - low][:, None] ^ rows[j - low][None])
                                .sum(axis=2, dtype=np.int64), np.abs(n[i, None] - n[None, j]))
             both = n[i, None] + n[None, j]
             common = (both - apart) // 2
