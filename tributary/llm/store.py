@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +21,23 @@ FILTER_BITS = 1 << 23
 ARROW_ROWS = "256"
 
 
+_shipped: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> None:
-    """Session settings that the operators rely on."""
+    """Session settings that the operators rely on, and the package for Python workers, which
+    need not run where the repository is on the path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="tributary-code-"), "tributary.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("tributary", os.path.relpath(path, package)))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
