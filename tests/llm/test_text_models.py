@@ -174,6 +174,14 @@ def test_random_field_learns_disguised_entities():
     assert pii.train([]) is None and pii.added_spans(text, [], None) == []
 
 
+def test_dense_lists_keep_every_entity():
+    text = "\n".join(f"555-{1000000 + 7 * k}" for k in range(20))
+    field = pii.Field(text, [m.span() for m in pii._TOKEN.finditer(text)])
+    whole = {(3 * k, 3 * k + 3) for k in range(20)}
+    score = [5.0 if (i, j) in whole and kind == 3 else -5.0 for i, j, kind, _ in field.segments]
+    assert {field.segments[k][:2] for k in field.best(score)} == whole
+
+
 def test_personal_data(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()] + [

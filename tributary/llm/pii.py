@@ -10,13 +10,15 @@ other separators):
   segment;
 * a segment is scored as a whole: its digit count, grouping, separators,
   check digit, octets, edges and the word before it, each with its kind;
-* bounded-entity dynamic programming (at most ``ENTITIES`` entities in a zone
-  piece) chooses boundaries and kinds of all segments jointly; a segment is
-  added when its posterior is at least ``CONFIDENT``, or none is;
+* dynamic programming over a zone piece (an entity has at most ``SEGMENT``
+  tokens; their number has no bound) chooses boundaries and kinds of all
+  segments jointly; a segment is added when its posterior is at least
+  ``CONFIDENT``, or none is;
 * weights are trained here by maximum conditional likelihood (forward and
-  backward sums over segmentations) on zones of at most ``SAMPLE`` texts (a
-  documented bound), labelled by the rules, with altered copies: entities with
-  signs taken away keep their kind, numbers that break a rule do not.
+  backward sums over segmentations) on at most ``ZONES`` zones of at most
+  ``SAMPLE`` texts (two documented bounds), labelled by the rules, with altered
+  copies: entities with signs taken away keep their kind, numbers that break a
+  rule do not.
 
 Base spans always stay; an added span never overlaps one. Null and empty texts
 have no spans. Texts are read whole, each by one task, in linear time.
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from tributary.llm.store import broadcast_if_small, stage
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, ZONES, ENTITIES, CONFIDENT = 4000, 600, 8, 0.9
+SAMPLE, ZONES, CONFIDENT = 4000, 600, 0.9
 #: Tokens of one segment, tokens of one zone piece, characters around a trigger.
 SEGMENT, PIECE, AROUND = 16, 64, 24
 _DIM = 1 << 13
@@ -234,23 +236,20 @@ class Field:
                 for k, (i, j, _, _) in enumerate(self.segments)]
 
     def best(self, score: list[float]) -> list[int]:
-        """The segments of the best segmentation with at most ENTITIES entities."""
-        most = min(ENTITIES, self.size)
-        table = [[0.0] * (self.size + 1) for _ in range(most + 1)]
-        back = [[-1] * (self.size + 1) for _ in range(most + 1)]
-        for n in range(1, most + 1):
-            for j in range(1, self.size + 1):
-                table[n][j] = table[n][j - 1]
-                for k in self.ending[j]:
-                    value = table[n - 1][self.segments[k][0]] + score[k]
-                    if value > table[n][j]:
-                        table[n][j], back[n][j] = value, k
-        out, n, j = [], most, self.size
-        while j > 0 and n > 0:
-            k = back[n][j]
+        """The segments of the best segmentation."""
+        table, back = [0.0] * (self.size + 1), [-1] * (self.size + 1)
+        for j in range(1, self.size + 1):
+            table[j] = table[j - 1]
+            for k in self.ending[j]:
+                value = table[self.segments[k][0]] + score[k]
+                if value > table[j]:
+                    table[j], back[j] = value, k
+        out, j = [], self.size
+        while j > 0:
+            k = back[j]
             if k >= 0:
                 out.append(k)
-                n, j = n - 1, self.segments[k][0]
+                j = self.segments[k][0]
             else:
                 j -= 1
         return out[::-1]
