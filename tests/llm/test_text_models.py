@@ -227,6 +227,21 @@ def test_context_and_features():
     assert matcher.features("") == [1.0, *[0.0] * (len(toxicity.FEATURES) - 1)]
 
 
+def test_every_significant_word_is_in_the_automaton(spark):
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("bcdfglmnprst") for _ in range(n))
+    words = sorted({letters(9) for _ in range(300)})
+    rows = [(1, w) for w in words for _ in range(8)] + [(0, letters(9)) for _ in range(9600)]
+    found = toxicity.significant_terms(spark.createDataFrame(rows, "toxic int, text string"))
+    assert set(words) <= set(found)
+    lexicon = toxicity.without_implied(found)
+    assert len(set(words) & set(lexicon)) < 10  # their stems imply them
+    matcher = toxicity.Matcher(lexicon, found)
+    for w in words:
+        assert matcher.match(w)[0] == ("words" if w in lexicon else "stems")
+        assert matcher.match(w[0] + "z" + w[2:]) == ("fuzzy", w)
+
+
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     labels = spark.read.parquet(f"{SF01}/labels.parquet")

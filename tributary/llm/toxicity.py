@@ -2,11 +2,12 @@
 
 1. Lexicon: over all labelled training texts, the number of toxic and of other
    texts that hold each word, or each stem (a word's first letters), is
-   counted by Spark. Terms whose toxic share is high beyond chance (G test)
-   enter the lexicon, at most ``LEXICON`` of them.
-2. Matching: the lexicon is a trie. Words that match exactly are looked up;
-   misspelled words are found by the Levenshtein automaton of one edit run on
-   the trie, determinised as words demand (a state is the set of trie nodes
+   counted by Spark. All terms whose toxic share is high beyond chance (G test)
+   are significant; the lexicon leaves out those that a shorter stem implies.
+2. Matching: all significant words of some length are a trie, also those that a
+   stem implies. Words that match exactly are looked up; misspelled words are
+   found by the Levenshtein automaton of one edit run on the trie,
+   determinised as words demand (a state is the set of trie nodes
    reachable with each number of edits). A word is matched once per task
    however often it occurs.
 3. Context: each match is weighed in a window of words around it: matches that
@@ -31,13 +32,13 @@ from pyspark.sql import types as T
 
 from tributary.llm.store import broadcast_if_small, free_name, stage
 
-LEXICON, CANDIDATES, SAMPLE = 4096, 1 << 16, 20_000
+SAMPLE = 20_000
 #: Toxic texts that must hold a term, and the G statistic it must reach.
 SUPPORT, SIGNIFICANT = 4, 20.0
 STEMS = (4, 5, 6)
 #: Words on each side that make a match's context.
 CONTEXT = 8
-FUZZY_TERMS, FUZZY_LENGTH = 256, 5
+FUZZY_LENGTH = 5
 THRESHOLD = 0.3
 _MEMO = 1 << 18
 _EDGE = "".join(map(chr, [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61),
@@ -52,12 +53,14 @@ def _terms(word: str) -> list[str]:
 
 
 class Matcher:
-    """Exact, stem and one-edit matches of words against the lexicon."""
+    """Exact and stem matches of words against the lexicon, and one-edit matches against all
+    significant words (by default the lexicon's)."""
 
-    def __init__(self, lexicon: dict[str, float]) -> None:
+    def __init__(self, lexicon: dict[str, float], significant: dict[str, float] | None = None
+                 ) -> None:
         self.lexicon = lexicon
-        strong = sorted((w for w in lexicon if "*" not in w and len(w) >= FUZZY_LENGTH),
-                        key=lambda w: (-lexicon[w], w))[:FUZZY_TERMS]
+        self.weights = {**(significant or {}), **lexicon}
+        strong = sorted(w for w in self.weights if "*" not in w and len(w) >= FUZZY_LENGTH)
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         for w in strong:
@@ -157,7 +160,7 @@ class Matcher:
                 count["quoted"] += 1
             else:
                 count[kind] += 1
-                weight += self.lexicon[term]
+                weight += self.weights[term]
         return [1.0, *(float(np.log1p(count[k])) for k in ("words", "stems", "fuzzy", "quoted")),
                 float(np.log1p(cluster)), float(np.log1p(weight)),
                 float(np.log1p(100.0 * len(at) / len(tokens)))]
@@ -169,12 +172,10 @@ def held_out(id_col: str, folds: int = 4, fold: int = 2) -> Column:
                              F.lit(folds)) == fold, F.lit(True))
 
 
-def _count_terms(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
-    """(term, n): texts that hold each term, of all terms or the wanted ones."""
-    shared = texts.sparkSession.sparkContext.broadcast(wanted)
-
+def _count_terms(texts: DataFrame) -> DataFrame:
+    """(term, n): texts that hold each term."""
     def scan(batches):
-        wanted, total = shared.value, {}
+        total = {}
 
         def flush():
             out = pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()),
@@ -185,9 +186,8 @@ def _count_terms(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                mine = {t for w in {w.strip(_EDGE) for w in set((text or "").lower().split())}
-                        for t in _terms(w)}
-                for t in mine if wanted is None else mine & wanted:
+                for t in {t for w in {w.strip(_EDGE) for w in set((text or "").lower().split())}
+                          for t in _terms(w)}:
                     total[t] = total.get(t, 0) + 1
             if len(total) >= _MEMO:
                 yield flush()
@@ -197,41 +197,40 @@ def _count_terms(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
             .groupBy("term").agg(F.sum("n").alias("n")))
 
 
-def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
-    """{term: weight} from staged (text, toxic) rows."""
+def significant_terms(labelled: DataFrame) -> dict[str, float]:
+    """{term: weight} of every term that passes the G test, from staged (text, toxic) rows."""
     sizes = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
         return {}
-    toxic = (_count_terms(labelled.where("toxic = 1").select("text"), None)
-             .where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(CANDIDATES)
+    toxic = stage(_count_terms(labelled.where("toxic = 1").select("text"))
+                  .where(F.col("n") >= SUPPORT).withColumnRenamed("n", "t"), "toxic_terms")
+    other = _count_terms(labelled.where("toxic = 0").select("text"))
+    both = (toxic.join(other, "term", "left")
+            .select("term", "t", F.coalesce("n", F.lit(0)).alias("c")))
+    t, c, prior = F.col("t"), F.col("c"), bad / (bad + good)
+    share = t / (t + c)
+    gain = 2 * (t * F.log(share / prior)
+                + F.when(c > 0, c * F.log((1 - share) / (1 - prior))).otherwise(0.0))
+    found = (both.where((share > max(0.5, 2 * prior)) & (gain >= SIGNIFICANT))
+             .select("term", F.log((t + 0.5) * (good + 1) / ((c + 0.5) * (bad + 1))).alias("weight"))
              .toArrow().to_pydict())
-    toxic = dict(zip(toxic["term"], toxic["n"]))
-    other = _count_terms(labelled.where("toxic = 0").select("text"), frozenset(toxic)) \
-        .toArrow().to_pydict()
-    other = dict(zip(other["term"], other["n"]))
-    scored = []
-    for term, t in toxic.items():
-        c = other.get(term, 0)
-        share, prior = t / (t + c), bad / (bad + good)
-        if share <= max(0.5, 2 * prior):
-            continue
-        gain = 2 * (t * np.log(share / prior) + (c * np.log((1 - share) / (1 - prior)) if c else 0))
-        if gain >= SIGNIFICANT:
-            weight = float(np.log((t + 0.5) * (good + 1) / ((c + 0.5) * (bad + 1))))
-            scored.append((-gain, term, weight))
-    best = {term: weight for _, term, weight in sorted(scored)[:LEXICON]}
-    # a word or stem is implied by a shorter stem of at least its weight
-    return {t: w for t, w in best.items()
-            if not any(s != t and best.get(s, -1.0) >= w - 1.0
+    return dict(sorted(zip(found["term"], found["weight"])))
+
+
+def without_implied(significant: dict[str, float]) -> dict[str, float]:
+    """The terms that no shorter stem of at least nearly their weight implies."""
+    return {t: w for t, w in significant.items()
+            if not any(s != t and significant.get(s, -1.0) >= w - 1.0
                        for s in (t[:k] + "*" for k in STEMS if len(t.rstrip("*")) > k))}
 
 
-def with_features(docs: DataFrame, lexicon: dict[str, float], text_col: str, name: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+def with_features(docs: DataFrame, significant: dict[str, float], text_col: str, name: str
+                  ) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(significant)
 
     def scan(batches):
-        matcher = Matcher(shared.value)
+        matcher = Matcher(without_implied(shared.value), shared.value)
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             rows = [matcher.features(t or "") for t in batch.column(at).to_pylist()]
@@ -269,15 +268,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     labelled = stage(docs.select(F.col(id_col).alias("id"),
                                  F.coalesce(F.col(text_col), F.lit("")).alias("text"))
                      .join(broadcast_if_small(marks), "id"), "labelled")
-    lexicon = learn_lexicon(labelled)
-    sample = (with_features(labelled.select("id", "toxic", "text"), lexicon, "text", "features")
+    significant = significant_terms(labelled)
+    sample = (with_features(labelled.select("id", "toxic", "text"), significant, "text", "features")
               .select("id", "toxic", "features")
               .orderBy(F.xxhash64("id"), "id", "features").limit(SAMPLE).toArrow())
     found = np.array(sample.column("features").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     truth = sample.column("toxic").to_numpy().astype(float)
     usable = len(truth) and 0 < truth.sum() < len(truth)
     weights = fit(found, truth) if usable else np.r_[-800.0, np.zeros(len(FEATURES) - 1)]
-    given = with_features(docs, lexicon, text_col, name)
+    given = with_features(docs, significant, text_col, name)
     total = sum((F.element_at(F.col(name), k + 1) * float(w) for k, w in enumerate(weights)),
                 F.lit(0.0))
     return given.withColumn(name, 1 / (1 + F.exp(-total))), name
