@@ -376,3 +376,15 @@ def test_scores_beat_a_unigram_of_bytes_on_held_out_text():
     share = histogram / histogram.sum()
     order0 = -(share[share > 0] * np.log2(share[share > 0])).sum()
     assert -score.sum() / np.log10(2) / size.sum() < 0.75 * order0
+
+
+def test_every_byte_of_a_long_token_counts():
+    """One token is spelled in log space, so that twice the bytes are twice the cost."""
+    tree = mixing.Tree(np.ones(256, dtype=np.int64))
+    mixer = mixing.Mixer(tree, np.zeros(int(mixing._FIRST[-1]), dtype=np.int8))
+    none = mixing.Unigram(0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    mixer.learn(["some words"], none)
+    size = [500, 1000, 2000, 4000]
+    score = mixer.scores(*mixing.buffer_of(pa.array(["x" * n for n in size], pa.large_string())),
+                         none)[0]
+    assert np.all(np.diff(score) / np.diff(size) < -1.0)
