@@ -158,6 +158,23 @@ def test_line_dedup(spark):
     assert lines.line_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("group", [4, 32])
+def test_every_pair_of_a_band_is_compared(spark, monkeypatch, group):
+    """Unlike lines share a long phrase; those alike are seldom an end of the bands they share."""
+    monkeypatch.setattr(lines, "GROUP", group, raising=False)
+    rng, rows = random.Random(7), []
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    phrase = [word() for _ in range(14)]
+    for k in range(0, 240, 2):
+        own = [word() for _ in range(6)]
+        rows += [(k, " ".join(phrase + own + [word()])), (k + 1, " ".join(phrase + own + [word()]))]
+    got = {r.doc_id: (r.doc_id, r.n_lines, list(r.kept_lines))
+           for r in lines.line_dedup(clashing(spark, rows)).collect()}
+    want = lines.brute_force(rows)
+    assert sum(not kept for _, _, kept in want) == 120
+    assert [got[i] for i, _ in rows] == want
+
+
 def byte_rows():
     rng = random.Random(3)
     base = "".join(rng.choice("abcdefgh é") for _ in range(900))
