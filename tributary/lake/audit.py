@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.lake.layout import is_data, manifest_key
+from tributary.lake.layout import is_data, manifest_key, path_check
 from tributary.operators.joins import broadcast_if_small
 
 # Fixed values that must equal the reference's: audit criteria and the
@@ -94,6 +94,46 @@ def duplicate_content(contents: DataFrame) -> DataFrame:
     return g.where(F.col("objects") > 1)
 
 
+def integrity_of(objects: DataFrame, declared: DataFrame) -> DataFrame:
+    """J3 on a content scan: (object_key, status, reason) of every stored data object against the
+    declared (object_key, declared_sha256, declared_bytes), and of every declared object that is
+    not stored any more."""
+    actual = objects.where(F.col("class") == "data").select(
+        "object_key", F.col("sha256").alias("_sha"), F.col("bytes").alias("_bytes"))
+    j = actual.join(declared, "object_key", "full_outer")
+    reason = (F.when(F.col("_sha").isNull(), F.lit("object missing"))
+              .when(F.col("declared_sha256").isNull(), F.lit("no declared sha256"))
+              .when(F.col("declared_bytes") != F.col("_bytes"), F.lit("size mismatch"))
+              .when(F.col("declared_sha256") != F.col("_sha"), F.lit("sha256 mismatch")))
+    return j.select("object_key", F.when(reason.isNull(), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+                    reason.alias("reason"))
+
+
+def same_content(objects: DataFrame) -> DataFrame:
+    """A19 on a content scan: (object_key, sha256, first_key) of data objects whose bytes another
+    key before them holds too."""
+    data = objects.where(F.col("class") == "data").select("object_key", "sha256")
+    groups = (data.groupBy("sha256").agg(F.min("object_key").alias("first_key"),
+                                         F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > 1).drop("_n"))
+    return data.join(groups, "sha256").where(F.col("object_key") > F.col("first_key"))
+
+
+def audit_stored(objects: DataFrame, documents: DataFrame, sources: list[str]) -> DataFrame:
+    """Checks 3, 4, 5 and 9 of a lake that was written, as (check, object_key, status, reason).
+
+    ``objects`` is the one content scan (``store.scan_objects``), ``documents`` the manifests that
+    lie beside the objects (``manifests.read_manifests``)."""
+    from tributary.lake.manifests import declared_hashes
+    c3 = as_check(path_check(objects, sources), 3)
+    c4 = manifest_status(objects, objects.where(F.col("class") == "manifest").select("object_key"))
+    c5 = as_check(integrity_of(objects, declared_hashes(documents)), 5)
+    c9 = same_content(objects).select(
+        F.lit(9).alias("check"), "object_key", F.lit("FAIL").alias("status"),
+        F.lit("same content under another key").alias("reason"))
+    return c3.unionByName(c4).unionByName(c5).unionByName(c9)
+
+
 def as_check(df: DataFrame, check: int, status_col: str = "status", key: str = "object_key",
              reason: str | None = "reason") -> DataFrame:
     return df.select(F.lit(check).alias("check"), F.col(key).alias("object_key"),

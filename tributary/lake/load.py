@@ -8,10 +8,20 @@ see where NULLs stand); lots are
 resolved against the lot register ``<root>/_lots`` (underscore paths are
 never read as data), so re-running a load writes nothing and a different
 batch on the same day gets the next free lot.
+
+Loads may run at the same time. Before anything is written, a load claims its lots: a small
+file per (source, day, lot) under ``<root>/_claims``, created only if absent (atomic where the
+file system's create without overwrite is, as on HDFS) and holding the batch's fingerprint. A
+load that finds its lot taken reads the claims, which count as stored lots, and decides again.
+A claim without a registered lot is of a load under way or one that crashed: the same batch
+takes it up again, another batch goes to the next lot.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +30,11 @@ from tributary.contract import LAKE_MAX_LOTS, LakeLayout
 from tributary.functions.hashing import table_fingerprint_aggs
 from tributary.lake.layout import manifest_key, partition_values
 from tributary.operators.joins import broadcast_if_small
+from tributary.session import written
 
 PARTS = ["anio", "mes", "dia"]
 LOT_REGISTER = "_lots"
+LOT_CLAIMS = "_claims"
 REGISTER_SCHEMA = ("source string, anio string, mes string, dia string, lot int, rows bigint, "
                    "fingerprint string, written_at timestamp")
 
@@ -91,12 +103,95 @@ def raw_schema(data_schema: T.StructType) -> T.StructType:
 
 
 def lot_register(spark: SparkSession, root: str) -> DataFrame:
+    """The committed lots: one folder of the register per load, so that loads never share one."""
     try:
-        return spark.read.schema(REGISTER_SCHEMA).parquet(f"{root}/{LOT_REGISTER}")
+        return (spark.read.schema(REGISTER_SCHEMA).option("recursiveFileLookup", "true")
+                .parquet(f"{root}/{LOT_REGISTER}"))
     except Exception:  # noqa: BLE001 - no register yet: empty lake
         return spark.createDataFrame([], REGISTER_SCHEMA)
 
 
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Whether the file was created; an existing one is left as it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as taken:
+        if "AlreadyExists" not in taken.java_exception.getClass().getName():
+            raise
+        return False
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def _claim_folder(root: str, source: str, day) -> str:
+    return f"{root}/{LOT_CLAIMS}/{source}/" + "".join(day[p] for p in PARTS)
+
+
+def lot_claims(spark: SparkSession, root: str, source: str, days: list) -> DataFrame:
+    """Claimed lots (source, anio, mes, dia, lot, sha) of the given days (rows with PARTS): at
+    most LAKE_MAX_LOTS small files a day. A claim that is just being written has an empty sha."""
+    Path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    found = {}
+    for day in days:
+        folder = Path(_claim_folder(root, source, day))
+        files = folder.getFileSystem(conf)
+        for entry in files.listStatus(folder) if files.exists(folder) else ():
+            found[entry.getPath().toString()] = (*(day[p] for p in PARTS), int(entry.getPath().getName()))
+    texts = {}
+    if found:
+        rows = spark.read.text(list(found), wholetext=True).select("_metadata.file_path", "value")
+        texts = {spark._jvm.org.apache.hadoop.fs.Path(r.file_path).toUri().getPath(): r.value
+                 for r in rows.collect()}
+    return spark.createDataFrame(
+        [(source, *day_lot, texts.get(Path(path).toUri().getPath(), ""))
+         for path, day_lot in found.items()],
+        "source string, anio string, mes string, dia string, lot int, sha string")
+
+
+def decide_and_claim(incoming: DataFrame, root: str, source: str, new_lot: bool = True) -> DataFrame:
+    """W1 under concurrent loads: decisions (keys, action, lot, rows, fingerprint) whose lots to
+    load are all claimed for their batch. ``incoming`` has one row per day."""
+    spark = incoming.sparkSession
+    keys = ["source", *PARTS]
+    days = incoming.select(*PARTS).collect()
+    for _ in range(LAKE_MAX_LOTS + 1):
+        register = lot_register(spark, root).where(F.col("source") == source)
+        registered = register.select(*keys, "lot", F.lit(True).alias("_registered")).distinct()
+        stored = (register.select(*keys, "lot", F.col("fingerprint").alias("sha"))
+                  .unionByName(lot_claims(spark, root, source, days))
+                  .groupBy(*keys, "lot").agg(F.max("sha").alias("sha")))
+        decided = resolve_lots(stored, incoming.withColumnRenamed("fingerprint", "sha"), keys,
+                               new_lot=new_lot)
+        unfinished = (F.col("action") == "skip") & F.col("_registered").isNull()
+        decided = (decided.join(registered, [*keys, "lot"], "left")
+                   .withColumn("action", F.when(unfinished, F.lit("load")).otherwise(F.col("action")))
+                   .join(incoming.select(*PARTS, "rows"), PARTS))
+        # written before the register changes: the decisions must not be derived again from it
+        decided = written(decided.select(*keys, "action", "lot", "rows",
+                                         F.col("sha").alias("fingerprint")), "lake", "decisions")
+        refused = decided.where(F.col("action").isin("fail", "conflict")).limit(1).collect()
+        if refused:
+            raise RuntimeError(f"raw load refused for {source}: {refused[0].asDict()}")
+        mine = {(*(r[p] for p in PARTS), r.lot): r.sha
+                for r in lot_claims(spark, root, source, days).collect()}
+        lost = False
+        for r in decided.where(F.col("action") == "load").collect():  # one row a day of the batch
+            held = mine.get((*(r[p] for p in PARTS), r.lot))
+            if held is None:
+                lost |= not create_if_absent(spark, f"{_claim_folder(root, source, r)}/{r.lot:02d}",
+                                             r.fingerprint)
+            else:
+                lost |= held != r.fingerprint
+        if not lost:
+            return decided
+    raise RuntimeError(f"no lot of {source} could be claimed")
+
+
 def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
              new_lot: bool = True, verify: bool = True) -> DataFrame:
     """S5 + S6 + W1: add a batch to the raw layer of ``source``.
@@ -104,25 +199,17 @@ def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
     ``ingest_day`` is the UTC ingestion date of each row (a literal for a
     one-shot load). Returns the per-day decision table (source, anio, mes,
     dia, action, lot, rows, fingerprint). Rows of days decided 'load' go to
-    a new lote=NN partition; registered lots are never rewritten.
+    a new lote=NN partition; registered lots are never rewritten. Another load of
+    the same days may run at the same time (see the module's text).
     """
     spark = batch.sparkSession
     cols = batch.columns
     days = batch.select("*", *partition_values(ingest_day))
     # one pass over the batch; one row per day from here on
-    incoming = (fingerprint(days, cols, PARTS).withColumn("source", F.lit(source))
-                .checkpoint(eager=True))
-    stored = (lot_register(spark, root).where(F.col("source") == source)
-              .select("source", *PARTS, "lot", F.col("fingerprint").alias("sha")))
-    decisions = resolve_lots(stored, incoming.withColumnRenamed("fingerprint", "sha"),
-                             ["source", *PARTS], new_lot=new_lot)
-    decisions = decisions.join(incoming.select(*PARTS, "rows"), PARTS).withColumnRenamed("sha", "fingerprint")
-    # the decisions must not be re-derived after the register changes below:
-    # cut lineage with a reliable checkpoint (small: one row per day)
-    decisions = decisions.checkpoint(eager=True)
-    failed = decisions.where(F.col("action").isin("fail", "conflict")).limit(1).collect()
-    if failed:
-        raise RuntimeError(f"raw load refused for {source}: {failed[0].asDict()}")
+    incoming = written(fingerprint(days, cols, PARTS).withColumn("source", F.lit(source)),
+                       "lake", "incoming")
+    decisions = decide_and_claim(incoming, root, source, new_lot)
+    # a written table: its size is known, and the batch meets it without a shuffle
     to_load = decisions.where(F.col("action") == "load").select(*PARTS, "lot")
     rows = (days.join(broadcast_if_small(to_load), PARTS)
             .withColumn("lote", F.lpad(F.col("lot").cast("string"), 2, "0")).drop("lot"))
@@ -139,9 +226,8 @@ def load_raw(batch: DataFrame, root: str, source: str, ingest_day: Column,
     register = decisions.where(F.col("action") == "load").select(
         F.lit(source).alias("source"), *PARTS, F.col("lot").cast("int").alias("lot"), "rows", "fingerprint",
         F.current_timestamp().alias("written_at"))
-    register.write.mode("append").parquet(f"{root}/{LOT_REGISTER}")
-    out = decisions.select("source", *PARTS, "action", "lot", "rows", "fingerprint")
-    return out
+    register.write.parquet(f"{root}/{LOT_REGISTER}/{uuid.uuid4().hex}")
+    return decisions.select("source", *PARTS, "action", "lot", "rows", "fingerprint")
 
 
 def read_raw(spark: SparkSession, root: str, source: str, data_schema: T.StructType) -> DataFrame:
@@ -175,9 +261,9 @@ def verify_read_back(spark: SparkSession, root: str, source: str, data_schema: T
 # --- S9 -----------------------------------------------------------------------------
 
 def object_manifests(objects: DataFrame, layout: LakeLayout = LakeLayout(), layer: str = "raw",
-                     fmt: str = "csv") -> DataFrame:
+                     fmt: str = "csv", keep: list[Column] | None = None) -> DataFrame:
     """One manifest row per object (key, layer, immutability, source,
-    partition, format, bytes, sha256, data lines, header columns).
+    partition, format, bytes, sha256, data lines, header columns), and the columns ``keep``.
 
     ``objects``: object_key, source, ingest_date, content. Data lines count
     physical lines after the header (a quoted newline counts extra, as
@@ -196,13 +282,7 @@ def object_manifests(objects: DataFrame, layout: LakeLayout = LakeLayout(), laye
         F.lit(layer == "raw").alias("immutable"), "source", part.alias("partition"), F.lit(fmt).alias("format"),
         F.octet_length(c).cast("bigint").alias("bytes"), F.sha2(c, 256).alias("sha256"),
         lines.cast("bigint").alias("data_lines"), F.size(F.split(header, ",")).cast("bigint").alias("columns_n"),
-        header.alias("header"))
-
-
-def write_manifests(manifests: DataFrame, path: str) -> None:
-    """Manifests are written as JSON documents next to the data they
-    describe (one JSON line per object, partitioned like the data)."""
-    manifests.write.mode("append").json(path)
+        header.alias("header"), *(keep or []))
 
 
 # --- S10 ----------------------------------------------------------------------------
@@ -212,8 +292,3 @@ def ingested_since(raw: DataFrame, day: str) -> DataFrame:
     touches only partition columns, so it is answered by partition pruning
     (PartitionFilters) without opening files of older days."""
     return raw.where(F.concat("anio", "mes", "dia") >= day.replace("-", ""))
-
-
-def ingested_on(raw: DataFrame, day: str) -> DataFrame:
-    y, m, d = day.split("-")
-    return raw.where((F.col("anio") == y) & (F.col("mes") == m) & (F.col("dia") == d))

@@ -449,7 +449,7 @@ def q_capacity_choice(spark, sf):
 # --- lake: P9-P11, S3-S10, W1-W5, J1-J3, A19, A21, A22, U1 ----------------------
 
 from tributary.lake import audit, load as lake_load, versions  # noqa: E402
-from tributary.lake import layout  # noqa: E402
+from tributary.lake import layout, manifests, store  # noqa: E402
 from tributary.session import scratch_path  # noqa: E402
 from tributary.sources import objects as objsrc  # noqa: E402
 
@@ -476,7 +476,10 @@ def q_classify_object(spark, sf):
 
 @query("object_inventory")
 def q_object_inventory(spark, sf):
-    return objsrc.object_inventory(spark, sf, "*.parquet").drop("modified")
+    """documents written to a lake as raw objects, and the listing of that lake."""
+    root = scratch_path(spark, "lake", "objects")
+    store.refuse_conflicts(store.put_objects(fx.lake_objects(spark, sf), root))
+    return objsrc.object_inventory(spark, root, "*.txt").drop("modified")
 
 
 @query("largest_object")
@@ -510,7 +513,38 @@ def q_reprocess_since(spark, sf):
 
 @query("manifest")
 def q_manifest(spark, sf):
-    return lake_load.object_manifests(fx.lake_objects(spark, sf), fmt="txt")
+    """A manifest document written beside every raw object of documents, and all of them read back
+    from their files."""
+    root = scratch_path(spark, "lake", "manifests")
+    o = fx.lake_objects(spark, sf)
+    manifests.put_manifests(manifests.manifest_documents(
+        o, {"dataset_id": F.col("doc_id")}, urls=F.array(F.concat(F.lit("doc:"), F.col("doc_id"))),
+        transformations=("text taken from its record",), fmt="txt"), root)
+    back = manifests.read_manifests(spark, root)
+    return back.select(
+        F.col("clave_datos").alias("object_key"), "manifest_key", F.col("capa").alias("layer"),
+        F.col("inmutable").alias("immutable"), F.col("fuente.slug").alias("source"),
+        F.col("fuente.dataset_id").alias("dataset_id"), F.col("ingesta.instante_utc").alias("instant"),
+        F.col("ingesta.fecha_particion").alias("partition"),
+        F.array_join("ingesta.urls_descarga", ",").alias("urls"),
+        F.col("contenido.formato").alias("format"), F.col("contenido.bytes").alias("bytes"),
+        F.col("contenido.sha256").alias("sha256"), F.col("contenido.filas_datos").alias("data_lines"),
+        F.col("contenido.columnas_n").alias("columns_n"),
+        F.array_join("contenido.columnas", ",").alias("header"),
+        F.array_join("linaje.transformaciones", ",").alias("lineage"))
+
+
+@query("lake_audit")
+def q_lake_audit(spark, sf):
+    """documents written to a lake with their manifests, some objects altered, lost, copied to
+    another key or left without a manifest, and the lake audited from what is stored."""
+    root = scratch_path(spark, "lake", "audited")
+    o = fx.lake_objects(spark, sf)
+    manifests.put_manifests(manifests.manifest_documents(
+        o.where(F.col("doc_id") % 89 != 0), fmt="txt"), root)
+    store.refuse_conflicts(store.put_objects(fx.damaged_objects(o), root))
+    return audit.audit_stored(store.scan_objects(spark, root), manifests.read_manifests(spark, root),
+                              fx.CONFIGURED_SOURCES)
 
 
 @query("lot_resolution")
@@ -640,7 +674,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from tributary.functions.timeutil import coerce_ts  # noqa: E402
 from tributary.lake.layers import build_refined, write_partitioned  # noqa: E402
-from tributary.sources import delimited, generators as gen  # noqa: E402
+from tributary.sources import delimited, generators as gen, split_delimited  # noqa: E402
 
 DOC_CSV_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                                T.StructField("lang", T.StringType()), T.StructField("source", T.StringType())])
@@ -655,6 +689,14 @@ def q_src_delimited(spark, sf):
     return delimited.read_delimited(spark, path, DOC_CSV_SCHEMA)
 
 
+@query("src_split_delimited")
+def q_src_split_delimited(spark, sf):
+    """The same files read by byte ranges that begin anywhere, also inside quoted fields."""
+    path = scratch_path(spark, "delimited", "documents")
+    delimited.write_delimited(load(spark, sf, "documents", "doc_id", "text", "lang", "source"), path)
+    return split_delimited.read_split_delimited(spark, path, DOC_CSV_SCHEMA, range_bytes=1 << 20)
+
+
 PAGE_SIZE = 1500
 
 

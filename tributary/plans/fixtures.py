@@ -114,6 +114,17 @@ def lake_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.withColumn("object_key", raw_key(F.col("source"), F.col("ingest_date"), "txt"))
 
 
+def damaged_objects(objects: DataFrame) -> DataFrame:
+    """What is stored of ``objects``: altered where doc_id % 97 = 0, lost where doc_id % 101 = 0,
+    and a second time under a source '<source>_bis' where doc_id % 103 = 0."""
+    i = F.col("doc_id")
+    kept = objects.where(i % 101 != 0).withColumn(
+        "content", F.when(i % 97 == 0, F.concat("content", F.lit("~"))).otherwise(F.col("content")))
+    copies = objects.where(i % 103 == 0).withColumn(
+        "object_key", raw_key(F.concat(F.col("source"), F.lit("_bis")), F.col("ingest_date"), "txt"))
+    return kept.select("object_key", "content").unionByName(copies.select("object_key", "content"))
+
+
 def broken_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys with deterministic faults: three-digit month (doc_id % 23), 30
     February (% 29), name date != partition date (% 31), upper case (% 37),

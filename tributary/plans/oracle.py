@@ -663,15 +663,51 @@ FROM events WHERE strftime(ts, '%Y%m%d') >= '20240120'"""
 
 _REST = "CASE WHEN strpos(content, chr(10)) > 0 THEN substr(content, strpos(content, chr(10)) + 1) ELSE '' END"
 _HEADER = "regexp_replace(split_part(content, chr(10), 1), '\\r$', '')"
+ORACLE["object_inventory"] = f"""
+SELECT object_key, strlen(content) AS bytes, strlen(content) / 1048576.0::DOUBLE AS mib,
+       strlen(content) / 1073741824.0::DOUBLE AS gib, strlen(content) / 1000000000.0::DOUBLE AS gb
+FROM ({DOC_OBJECTS}) o"""
+
 ORACLE["manifest"] = f"""
 SELECT object_key, object_key || '{MANIFEST_SUFFIX}' AS manifest_key, 'raw' AS layer, true AS immutable, source,
+       CAST(doc_id AS VARCHAR) AS dataset_id,
+       strftime(ingest_date, '%Y-%m-%d') || 'T00:00:00+00:00' AS instant,
        'anio=' || strftime(ingest_date, '%Y') || '/mes=' || strftime(ingest_date, '%m') || '/dia=' || strftime(ingest_date, '%d') AS partition,
+       'doc:' || doc_id AS urls,
        'txt' AS format, strlen(content) AS bytes, sha256(content) AS sha256,
        length({_REST}) - length(replace({_REST}, chr(10), ''))
          + CASE WHEN length({_REST}) > 0 AND NOT ends_with({_REST}, chr(10)) THEN 1 ELSE 0 END AS data_lines,
-       len(string_split({_HEADER}, ',')) AS columns_n, {_HEADER} AS header
+       len(string_split({_HEADER}, ',')) AS columns_n, {_HEADER} AS header,
+       'text taken from its record' AS lineage
 FROM ({DOC_OBJECTS}) o"""
 
+ORACLE["lake_audit"] = f"""
+WITH o AS ({DOC_OBJECTS}),
+stored AS (
+  SELECT object_key, CASE WHEN doc_id % 97 = 0 THEN content || '~' ELSE content END AS content, source,
+         doc_id % 89 <> 0 AS described
+  FROM o WHERE doc_id % 101 <> 0
+  UNION ALL
+  SELECT {raw_key_sql("(source || '_bis')", 'ingest_date', 'txt')}, content, source || '_bis', false
+  FROM o WHERE doc_id % 103 = 0),
+declared AS (SELECT object_key, content AS declared FROM o WHERE doc_id % 89 <> 0),
+compared AS (
+  SELECT object_key, CASE WHEN content IS NULL THEN 'object missing' WHEN declared IS NULL THEN 'no declared sha256'
+           WHEN strlen(content) <> strlen(declared) THEN 'size mismatch'
+           WHEN content <> declared THEN 'sha256 mismatch' END AS reason
+  FROM stored FULL JOIN declared USING (object_key))
+SELECT 3 AS "check", object_key, CASE WHEN source IN ({_SOURCES}) THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN source NOT IN ({_SOURCES}) THEN 'source' END AS reason FROM stored
+UNION ALL
+SELECT 4, object_key, CASE WHEN described THEN 'PASS' ELSE 'FAIL' END,
+       CASE WHEN NOT described THEN 'no manifest' END FROM stored
+UNION ALL
+SELECT 5, object_key, CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END, reason FROM compared
+UNION ALL
+SELECT 9, object_key, 'FAIL', 'same content under another key'
+FROM (SELECT object_key, min(object_key) OVER (PARTITION BY content) AS first_key FROM stored)
+WHERE object_key > first_key"""
+
 ORACLE["lot_resolution"] = f"""
 WITH o AS (SELECT doc_id, source, CAST(doc_id % 28 + 1 AS INTEGER) AS day, text AS content FROM documents),
 st0 AS (SELECT source, day, doc_id, sha256(content) AS sha,
@@ -796,6 +832,8 @@ GROUP BY criterion, depends_on"""
 
 ORACLE["src_delimited"] = "SELECT doc_id, text, lang, source FROM documents"
 
+ORACLE["src_split_delimited"] = ORACLE["src_delimited"]
+
 ORACLE["page_audit"] = """
 WITH p AS (SELECT CAST(floor(event_id / 1500) AS BIGINT) AS page, COUNT(*) AS rows FROM events GROUP BY 1),
 s AS (SELECT MIN(page) AS stop FROM p WHERE rows < 1500),

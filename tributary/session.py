@@ -11,8 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -83,5 +84,33 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), "tributary", *parts, uuid.uuid4().hex])
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the session's Python workers, which need not run where the
+    repository is on the path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tributary-code-"), "tributary.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.join("tributary", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def written(df: DataFrame, *name: str) -> DataFrame:
+    """``df`` written to a fresh scratch folder and read back: its lineage is cut, and Catalyst
+    knows its size from the files."""
+    path = scratch_path(df.sparkSession, *name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
