@@ -39,16 +39,6 @@ class KeyValueContract:
     output_decimals: int = 2
 
 
-@dataclass(frozen=True)
-class ShuffleModel:
-    """Cluster parameters of the shuffle-volume model."""
-
-    mappers: int | None = None          # M; None -> ceil(input bytes / block)
-    reducers: int = 3                   # R (analysis forces >= 2)
-    block_bytes: int = 128 * 1024 * 1024
-    overhead_bytes: int = 2             # per-record framing
-
-
 @dataclass(frozen=True)
 class LakeLayout:
     """Bucket-per-layer lake with a fixed key convention."""

@@ -21,10 +21,6 @@ def hours_between(later: Column, earlier: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", earlier, later).cast("double") / 3.6e9
 
 
-def bytes_to_mib(c: Column) -> Column:
-    return c / F.lit(float(BYTES_PER_MIB))
-
-
 def bytes_to_gib(c: Column) -> Column:
     return c / F.lit(float(BYTES_PER_GIB))
 

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from tributary.functions.numeric import round_half_up, safe_ratio
 from tributary.functions.text import canonical_number
 from tributary.functions.timeutil import hours_between
-from tributary.operators.joins import attach_one_row
+from tributary.operators.joins import attach_one_row, broadcast_if_small
+from tributary.session import written
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -23,9 +24,14 @@ TIMES = (T.TimestampType, T.TimestampNTZType)
 # time or boolean cell is one 8-byte slot; a text cell is an 8-byte pointer
 # plus a string object (49-byte header + UTF-8 payload); a missing text cell
 # points at the shared NULL object, counted at 16 bytes.
+# A nested cell (array, map or struct) is a pointer to a container object that
+# holds the cells of its elements, keys or fields; as delimited text it is a
+# quoted, bracketed list of their texts (a map's entries as key:value).
 SLOT_BYTES = 8
 STRING_HEADER_BYTES = 49
 NULL_OBJECT_BYTES = 16
+CONTAINER_BYTES = 56
+NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 def type_name(dt: T.DataType) -> str:
@@ -99,25 +105,39 @@ def completeness(df: DataFrame) -> DataFrame:
 
 # --- A12, A13 ----------------------------------------------------------------
 
+def row_prefilter(cols: list[str]) -> Column:
+    """A cheap 64-bit hash of a row: rows that differ may share it, equal rows always do."""
+    return F.xxhash64(*[F.col(_q(c)) for c in cols])
+
+
 def row_duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Full-row duplicates beyond the first occurrence (NULLs equal, and
-    a zero equals a negative zero).
+    a zero equals a negative zero), exactly.
 
-    Rows are grouped by the 32-byte SHA-256 of an injective row encoding, so the
-    shuffle never carries the row; the map-side partial aggregate collapses
-    repeated rows before the exchange, so a row repeated billions of times costs
-    one record per task."""
-    from tributary.functions.hashing import row_fingerprint
+    A first pass counts 64-bit row hashes, eight bytes a row and one partial row per task
+    and hash. Only rows whose hash occurs more than once go on: they are grouped by their
+    columns themselves, so unlike rows that share a hash are told apart. A row repeated
+    very often costs one record per task in both aggregates."""
     cols = cols or df.columns
     plain = df.select(*[
         F.when(F.col(_q(c)) == 0, F.lit(0.0)).otherwise(F.col(_q(c))).alias(c)
         if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else F.col(_q(c))
         for c in cols])
-    g = plain.groupBy(F.unhex(row_fingerprint(cols)).alias("_fp")).agg(F.count(F.lit(1)).alias("n"))
-    return g.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_rows")).select(
-        F.col("rows").cast("bigint").alias("rows"),
-        F.col("duplicate_rows").cast("bigint").alias("duplicate_rows"),
-        round_half_up(safe_ratio(F.col("duplicate_rows"), F.col("rows")), 4).alias("duplicate_share"))
+    mark = "_hash"
+    while mark in plain.columns:
+        mark += "_"
+    counts = written(plain.groupBy(row_prefilter(cols).alias(mark)).agg(F.count(F.lit(1)).alias("n")),
+                     "profile", "row_hashes")
+    repeated = written(counts.where(F.col("n") > 1).select(mark), "profile", "repeated_hashes")
+    total = counts.agg(F.sum("n").alias("_rows"))
+    candidates = plain.withColumn(mark, row_prefilter(cols)).join(
+        broadcast_if_small(repeated), mark, "left_semi").drop(mark)
+    groups = candidates.groupBy(*[F.col(_q(c)) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+    out = attach_one_row(groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_dup")), total)
+    return out.select(
+        F.col("_rows").cast("bigint").alias("rows"),
+        F.when(F.col("_rows").isNotNull(), F.col("_dup")).cast("bigint").alias("duplicate_rows"),
+        round_half_up(safe_ratio(F.col("_dup"), F.col("_rows")), 4).alias("duplicate_share"))
 
 
 def key_duplicates(df: DataFrame, key: str) -> DataFrame:
@@ -267,26 +287,82 @@ def csv_width_sql(c: str, dt: T.DataType, scaled: str | None = None) -> str:
     if is_text(dt):
         w = (f"octet_length({x}) + CASE WHEN {x} RLIKE '[,\"\\r\\n]' "
              f"THEN 2 + (char_length({x}) - char_length(replace({x}, '\"', ''))) ELSE 0 END")
-    elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        w = canonical_width_sql(x, scaled)
-    elif isinstance(dt, NUMERIC):
-        w = f"char_length(CAST({x} AS STRING))"
-    elif isinstance(dt, TIMES):
-        w = f"19 + CASE WHEN CAST(extract(SECOND FROM {x}) * 1000000 AS BIGINT) % 1000000 <> 0 THEN 7 ELSE 0 END"
-    elif isinstance(dt, T.DateType):
-        w = "10"
-    elif isinstance(dt, T.BooleanType):
-        w = f"CASE WHEN {x} THEN 4 ELSE 5 END"
+    elif isinstance(dt, NESTED):
+        w = f"2 + {text_width_sql(x, dt)}"
     else:
-        w = f"octet_length(to_json(named_struct('v', {x})))"
+        w = text_width_sql(x, dt, scaled)
     return f"CAST(CASE WHEN {x} IS NULL THEN 0 ELSE {w} END AS BIGINT)"
 
 
+def _sum_over(array: str, each, depth: int) -> str:
+    """The sum of ``each(element)`` over an array, as SQL; ``depth`` names the variables."""
+    e, t = f"e{depth}", f"t{depth}"
+    return f"aggregate({array}, CAST(0 AS BIGINT), ({t}, {e}) -> {t} + CAST({each(e)} AS BIGINT))"
+
+
+def text_width_sql(x: str, dt: T.DataType, scaled: str | None = None, depth: int = 0) -> str:
+    """Bytes of the plain text of a value, nested values recursively: brackets, one comma between
+    elements or fields, one colon in a map's entry; a null inside takes no bytes."""
+    def inner(y: str, kind: T.DataType) -> str:
+        return f"CASE WHEN {y} IS NULL THEN 0 ELSE {text_width_sql(y, kind, depth=depth + 1)} END"
+
+    if is_text(dt):
+        return f"octet_length({x})"
+    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return canonical_width_sql(x, scaled)
+    if isinstance(dt, NUMERIC):
+        return f"char_length(CAST({x} AS STRING))"
+    if isinstance(dt, TIMES):
+        return (f"19 + CASE WHEN CAST(extract(SECOND FROM {x}) * 1000000 AS BIGINT) % 1000000 <> 0 "
+                f"THEN 7 ELSE 0 END")
+    if isinstance(dt, T.DateType):
+        return "10"
+    if isinstance(dt, T.BooleanType):
+        return f"CASE WHEN {x} THEN 4 ELSE 5 END"
+    if isinstance(dt, T.ArrayType):
+        return (f"2 + greatest(size({x}) - 1, 0) + "
+                + _sum_over(x, lambda e: inner(e, dt.elementType), depth))
+    if isinstance(dt, T.MapType):
+        return (f"2 + greatest(2 * size({x}) - 1, 0) + "
+                + _sum_over(f"map_keys({x})", lambda e: inner(e, dt.keyType), depth) + " + "
+                + _sum_over(f"map_values({x})", lambda e: inner(e, dt.valueType), depth))
+    if isinstance(dt, T.StructType):
+        parts = [f"({inner(f'{x}.{_q(f.name)}', f.dataType)})" for f in dt.fields]
+        return " + ".join([str(2 + max(0, len(parts) - 1)), *parts])
+    return f"octet_length(to_json(named_struct('v', {x})))"
+
+
+def memory_sql(x: str, dt: T.DataType, depth: int = 0) -> str:
+    """In-memory bytes of a value: its slot and, for text and nested values, the object behind it."""
+    null = SLOT_BYTES + NULL_OBJECT_BYTES
+    if is_text(dt):
+        return f"CASE WHEN {x} IS NULL THEN {null} ELSE {SLOT_BYTES + STRING_HEADER_BYTES} + octet_length({x}) END"
+    if not isinstance(dt, NESTED):
+        return str(SLOT_BYTES)
+
+    def cells(array: str, kind: T.DataType) -> str:
+        if not is_text(kind) and not isinstance(kind, NESTED):
+            return f"{SLOT_BYTES} * size({array})"
+        return _sum_over(array, lambda e: memory_sql(e, kind, depth + 1), depth)
+
+    if isinstance(dt, T.ArrayType):
+        held = cells(x, dt.elementType)
+    elif isinstance(dt, T.MapType):
+        held = cells(f"map_keys({x})", dt.keyType) + " + " + cells(f"map_values({x})", dt.valueType)
+    else:
+        held = " + ".join(f"({memory_sql(f'{x}.{_q(f.name)}', f.dataType, depth + 1)})"
+                          for f in dt.fields) or "0"
+    return f"CASE WHEN {x} IS NULL THEN {null} ELSE {SLOT_BYTES + CONTAINER_BYTES} + {held} END"
+
+
+def has_payload(dt: T.DataType) -> bool:
+    """Whether cells of the type hold more than their slot."""
+    return is_text(dt) or isinstance(dt, NESTED)
+
+
 def text_memory_sql(c: str) -> str:
     """In-memory bytes of a text cell (pointer + object)."""
-    x = _q(c)
-    return (f"CAST(CASE WHEN {x} IS NULL THEN {SLOT_BYTES + NULL_OBJECT_BYTES} "
-            f"ELSE {SLOT_BYTES + STRING_HEADER_BYTES} + octet_length({x}) END AS BIGINT)")
+    return f"CAST({memory_sql(_q(c), T.StringType())} AS BIGINT)"
 
 
 def csv_width(df: DataFrame, c: str) -> Column:
@@ -308,8 +384,8 @@ def _width_aggs(fields) -> list[Column]:
     for i, f in enumerate(fields):
         scaled = f"_u{i}" if isinstance(f.dataType, FRACTIONAL) else None
         aggs.append(F.expr(f"sum({csv_width_sql(f.name, f.dataType, scaled)} + 1)").alias(f"_s{i}"))
-        if is_text(f.dataType):
-            aggs.append(F.expr(f"sum({text_memory_sql(f.name)})").alias(f"_m{i}"))
+        if has_payload(f.dataType):
+            aggs.append(F.expr(f"sum(CAST({memory_sql(_q(f.name), f.dataType)} AS BIGINT))").alias(f"_m{i}"))
     return aggs
 
 
@@ -318,7 +394,7 @@ def _expansion_long(one: DataFrame, fields) -> DataFrame:
     for i, f in enumerate(fields):
         hdr = len(f.name.encode("utf-8")) + 1
         s_i = f"coalesce(_s{i}, 0) + {hdr}"
-        m_i = f"coalesce(_m{i}, 0)" if is_text(f.dataType) else f"rows * {SLOT_BYTES}"
+        m_i = f"coalesce(_m{i}, 0)" if has_payload(f.dataType) else f"rows * {SLOT_BYTES}"
         st.append(s_i)
         me.append(m_i)
         lit = f.name.replace("'", "\\'")
@@ -338,8 +414,8 @@ def _expansion_long(one: DataFrame, fields) -> DataFrame:
 def expansion_ratio(df: DataFrame, name: str, group: Column | None = None) -> DataFrame:
     """Stored bytes (delimited text incl. header and one delimiter per
     cell) vs in-memory bytes (declared width model), per column and in total
-    ('*'), deep (with string payload) and shallow (pointers only). Fixed-width
-    slots are counted as 8 x rows instead of summed row by row."""
+    ('*'), deep (with the payload of text and nested cells) and shallow (pointers
+    only). Fixed-width slots are counted as 8 x rows instead of summed row by row."""
     fields = df.schema.fields
     keys = [group.alias("source")] if group is not None else [F.lit(name).alias("source")]
     one = _width_stage(df).groupBy(*keys).agg(F.expr("count(1)").alias("rows"), *_width_aggs(fields))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.contract import ShuffleModel
 from tributary.functions.hashing import hadoop_partition, java_hash, spark_partition
 from tributary.functions.numeric import money, round_half_up, safe_ratio
 from tributary.functions.text import canonical_number
@@ -102,13 +101,6 @@ def shuffle_estimate(dist: DataFrame, profile: DataFrame, mappers: int,
                       .alias("saving_pct"))
 
 
-def mappers_for(input_bytes: int, model: ShuffleModel) -> int:
-    """M = declared mappers, else one per block (at least 1)."""
-    if model.mappers:
-        return model.mappers
-    return max(1, -(-int(input_bytes) // model.block_bytes))
-
-
 def partition_load(dist: DataFrame, reducers: int, weight: str = "count",
                    partitioner: str = "hadoop") -> DataFrame:
     """Load per reducer under the Hadoop partitioner ((hash & MAX) % R)
@@ -205,9 +197,36 @@ def top_keys(dist: DataFrame, mappers: int, k: int = 10) -> DataFrame:
                     .alias("expected_pairs")))
 
 
-def estimate_vs_measured(estimates: DataFrame, measured: DataFrame, key: str = "key") -> DataFrame:
-    """Relative error (est - real) / real; NULL when not measured or 0."""
-    j = estimates.join(measured, key, "left")
-    return j.select(key, "estimate", "measured",
-                    round_half_up(safe_ratio(F.col("estimate") - F.col("measured"),
-                                             F.col("measured")), 6).alias("rel_error"))
+def measured_partials(pairs: DataFrame, split: Column | None = None, overhead: int = 2) -> DataFrame:
+    """What a combiner really sends, per key: (key, count, sum, key_bytes, measured_pairs,
+    measured_bytes), from one partial row per (input split, key).
+
+    A split is what one map task reads: a block of an input file, as Spark cuts it, unless a column
+    says which records were read together."""
+    if split is None:
+        pairs = pairs.withColumn("_split", F.concat_ws(":", F.input_file_name(),
+                                                       F.input_file_block_start().cast("string")))
+    else:
+        pairs = pairs.withColumn("_split", split)
+    partial = (pairs.groupBy("_split", "key")
+               .agg(F.sum(money(F.col("value"))).alias("_s"), F.count("value").alias("_n"))
+               .where(F.col("_n") > 0))
+    sent = (F.octet_length("key") + _value_bytes(F.col("_s").cast("double"), F.col("_n")) + overhead)
+    return partial.groupBy("key").agg(
+        F.sum("_n").alias("count"), F.sum("_s").cast("double").alias("sum"),
+        F.first(F.octet_length("key")).cast("bigint").alias("key_bytes"),
+        F.count(F.lit(1)).alias("measured_pairs"), F.sum(sent).cast("bigint").alias("measured_bytes"))
+
+
+def estimate_vs_measured(measured: DataFrame, mappers: int, overhead: int = 2) -> DataFrame:
+    """The model's pairs and bytes (A7) beside the measured ones, per key, with the relative
+    error (estimate - measured) / measured. ``measured``: see ``measured_partials``."""
+    e = expected_pairs(F.col("count"), F.lit(mappers))
+    size = e * (F.col("key_bytes") + _value_bytes(F.col("sum") / e, F.greatest(F.lit(1.0), F.col("count") / e))
+                + overhead)
+    rows = measured.select("key", "count", e.alias("_e"), "measured_pairs", size.alias("_b"), "measured_bytes")
+    error = lambda est, real: round_half_up(safe_ratio(F.col(est) - F.col(real), F.col(real)), 6)
+    return rows.select("key", "count", round_half_up(F.col("_e"), 4).alias("estimated_pairs"), "measured_pairs",
+                       error("_e", "measured_pairs").alias("pairs_error"),
+                       round_half_up(F.col("_b"), 4).alias("estimated_bytes"), "measured_bytes",
+                       error("_b", "measured_bytes").alias("bytes_error"))

@@ -81,10 +81,18 @@ ORACLE["discard_report"] = (f"SELECT COALESCE(reason, 'valid') AS outcome, COUNT
 
 ORACLE["partial_merge"] = f"""
 WITH parts AS (
-  SELECT split, key, SUM(CAST(value AS DECIMAL(28,6))) AS s, COUNT(*) AS c
-  FROM ({pairs_sql(LINEITEM_TEXT, 'l_orderkey % 16 AS split')}) p
-  WHERE value IS NOT NULL GROUP BY split, key)
-{mean_sql('SELECT * FROM parts', s='SUM(s)', n='SUM(c)', extra='COUNT(*) AS partials', where='')}"""
+  SELECT split, key, CASE WHEN split <> 0 THEN SUM(CAST(value AS DECIMAL(28,6))) END AS s, COUNT(value) AS c,
+         COUNT(*) FILTER (WHERE reason = 'short_row') AS short_row,
+         COUNT(*) FILTER (WHERE reason = 'non_numeric') AS non_numeric
+  FROM ({pairs_sql(LINEITEM_TEXT, 'l_orderkey % 16 AS split')}) p GROUP BY 1, 2),
+g AS (SELECT key, SUM(s) AS s, SUM(CASE WHEN s IS NOT NULL THEN c ELSE 0 END) AS n,
+             COUNT(*) FILTER (WHERE c > 0 AND s IS NOT NULL) AS partials,
+             COUNT(*) FILTER (WHERE c > 0 AND s IS NULL) AS malformed_partials,
+             CAST(SUM(short_row) AS BIGINT) AS short_row, CAST(SUM(non_numeric) AS BIGINT) AS non_numeric
+      FROM parts GROUP BY key)
+SELECT key, CASE WHEN n > 0 THEN {rnd('CAST(s AS DOUBLE) / n', 2)} END AS mean, {rnd_exact('s', 2)} AS sum,
+       CAST(n AS BIGINT) AS count, partials, malformed_partials, short_row, non_numeric,
+       CAST(0 AS BIGINT) AS out_of_range FROM g"""
 
 ORACLE["salted_mean"] = mean_sql(pairs_sql(LINEITEM_TEXT))
 
@@ -203,13 +211,20 @@ SELECT row_number() OVER (ORDER BY count DESC, key) AS rank, key, count,
 FROM (SELECT * FROM dist ORDER BY count DESC, key LIMIT 10) t, tot"""
 
 ORACLE["estimate_vs_measured"] = f"""
-WITH est AS (SELECT l_returnflag AS key, COUNT(*) * 2 AS estimate FROM lineitem
-             WHERE l_orderkey % 2 = 0 GROUP BY 1),
-mea AS (SELECT l_returnflag AS key, COUNT(*) AS measured FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1)
-SELECT e.key, estimate, measured,
-       CASE WHEN measured IS NULL OR measured = 0 THEN NULL
-            ELSE {rnd('CAST(estimate - measured AS DOUBLE) / measured', 6)} END AS rel_error
-FROM est e LEFT JOIN mea m ON e.key = m.key"""
+WITH part AS (SELECT l_orderkey % {_M} AS split, CAST(l_suppkey AS VARCHAR) AS key, COUNT(*) AS n,
+                     CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS s
+              FROM lineitem GROUP BY 1, 2),
+k AS (SELECT key, CAST(SUM(n) AS BIGINT) AS count, strlen(key) AS key_bytes, COUNT(*) AS measured_pairs,
+             CAST(SUM(strlen(key) + {vbytes('s', 'n')} + 2) AS BIGINT) AS measured_bytes
+      FROM part GROUP BY key),
+t AS (SELECT CAST(l_suppkey AS VARCHAR) AS key,
+             CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS sum FROM lineitem GROUP BY 1),
+m AS (SELECT k.*, e, e * (key_bytes + {vbytes('sum / e', 'greatest(1.0, count / e)')} + 2) AS b
+      FROM (SELECT k.*, sum, {epairs('count', _M)} AS e FROM k JOIN t USING (key)) k)
+SELECT key, count, {rnd('e', 4)} AS estimated_pairs, measured_pairs,
+       {rnd('(e - measured_pairs) / measured_pairs', 6)} AS pairs_error,
+       {rnd('b', 4)} AS estimated_bytes, measured_bytes,
+       {rnd('(b - measured_bytes) / measured_bytes', 6)} AS bytes_error FROM m"""
 
 
 # --- A10-A18, A20, A23, T2, T3, W6, J6, J7 ------------------------------------

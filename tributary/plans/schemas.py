@@ -32,8 +32,7 @@ DRIVER_SCHEMAS: dict[str, list[tuple[str, str]]] = {
                       ("text", "string")],
 }
 
-# Tables profiled for the width model (the array column of embeddings has no
-# delimited-text form and is left out).
-WIDTH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                "events", "documents", "pages", "benchmark", "labels", "conversations")
-TEXT_WIDTH_TABLES = ("documents", "part", "customer", "conversations", "pages")
+# Every table is profiled for the width model, and every one with a text column for its text.
+WIDTH_TABLES = tuple(DRIVER_SCHEMAS)
+TEXT_WIDTH_TABLES = tuple(t for t, cols in DRIVER_SCHEMAS.items()
+                          if any(kind == "string" for _, kind in cols))

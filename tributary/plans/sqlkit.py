@@ -85,6 +85,9 @@ def csv_width(c: str, typ: str) -> str:
         w = f"strlen({canonical(c)})"
     elif typ in ("int", "bigint"):
         w = f"length(CAST({c} AS VARCHAR))"
+    elif typ.startswith("array<"):
+        e = csv_width("e", typ[6:-1]).replace("strlen(e) + CASE", "strlen(e) + 0 * CASE")
+        w = f"4 + greatest(len({c}) - 1, 0) + coalesce(list_sum(list_transform({c}, lambda e: {e})), 0)"
     elif typ.startswith("timestamp"):
         w = f"19 + CASE WHEN microsecond({c}) % 1000000 <> 0 THEN 7 ELSE 0 END"
     else:
@@ -93,6 +96,8 @@ def csv_width(c: str, typ: str) -> str:
 
 
 def memory_width(c: str, typ: str, deep: bool = True) -> str:
+    if typ.startswith("array<") and deep:
+        return f"CASE WHEN {c} IS NULL THEN 24 ELSE 64 + 8 * len({c}) END"
     if typ != "string" or not deep:
         return "8"
     return f"CASE WHEN {c} IS NULL THEN 24 ELSE 57 + strlen({c}) END"

@@ -17,7 +17,3 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: load(spark, sf_dir, n) for n in names}
