@@ -27,7 +27,6 @@ import pickle
 from collections import Counter
 from itertools import permutations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,7 +39,7 @@ FILTERS = "ABCDE"
 BIT = {letter: 1 << k for k, letter in enumerate(FILTERS)}
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITAL_PERCENT = 200, 50, 3
 SYMBOLS = r"[#$%&*|]"
-TEXTS_A_KEY = 64
+TEXTS_A_KEY = 256
 #: Files of a micro-batch at least, and micro-batches at most.
 MIN_FILES, MAX_BATCHES = 4, 16
 #: Texts that a task combines before it passes them on.
@@ -135,6 +134,7 @@ def combined(batches):
 
 def retracting(key: tuple, frames, state: GroupState):
     """Counter changes of a micro-batch's rows of one state key."""
+    import pandas as pd  # not needed, and not held, by the other tasks
     held: dict[bytes, tuple] = pickle.loads(state.get[0]) if state.exists else {}
     change: Counter = Counter()
     for frame in frames:
@@ -159,20 +159,6 @@ def retracting(key: tuple, frames, state: GroupState):
     yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
 
 
-def summed(batches):
-    """One task's counter changes, added up."""
-    change: Counter = Counter()
-    schema = None
-    for batch in batches:
-        schema = batch.schema
-        for *combo, n in zip(*(c.to_pylist() for c in batch.columns)):
-            change[tuple(combo)] += n
-    rows = [(*combo, n) for combo, n in change.items() if n]
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in
-                                          zip(zip(*rows), schema)], schema=schema)
-
-
 def filter_counts(spark: SparkSession, path: str, labels: DataFrame,
                   files_a_batch: int | None = None, texts_a_key: int = TEXTS_A_KEY,
                   folder: str | None = None) -> DataFrame:
@@ -202,8 +188,7 @@ def filter_counts(spark: SparkSession, path: str, labels: DataFrame,
                                          "mask int, good boolean, toxic boolean, n long")
                .groupBy("key")
                .applyInPandasWithState(retracting, COUNTS, "held binary", "append",
-                                       GroupStateTimeout.NoTimeout)
-               .mapInArrow(summed, COUNTS))
+                                       GroupStateTimeout.NoTimeout))
     query = (changes.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{folder}/checkpoint")
              .trigger(availableNow=True).start(f"{folder}/changes"))
