@@ -14,17 +14,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.lake.layout import is_data
+from tributary.operators.asof import asof_join
 from tributary.operators.ordering import global_row_number, rank_within
 
 KEY = ["layer", "object_key"]
 
 
+def with_current(log: DataFrame) -> DataFrame:
+    """The log with ``is_current``: whether an event is its key's latest. The latest events are met
+    on their version id, so the join has no hot key."""
+    latest = (log.groupBy(*KEY).agg(F.max(F.struct("instant", "version_id")).alias("_l"))
+              .select(*KEY, F.col("_l.instant").alias("instant"), F.col("_l.version_id").alias("version_id"),
+                      F.lit(True).alias("_current")))
+    return (log.join(latest, [*KEY, "instant", "version_id"], "left")
+            .select(*log.columns, F.coalesce("_current", F.lit(False)).alias("is_current")))
+
+
 def union_events(writes: DataFrame, deletes: DataFrame) -> DataFrame:
-    """Writes and delete markers into one log (markers carry no bytes)."""
-    return (writes.withColumn("kind", F.lit("write"))
-            .unionByName(deletes.withColumn("kind", F.lit("delete")), allowMissingColumns=True)
-            .select("layer", "object_key", "version_id", "instant", "kind",
-                    F.col("bytes").cast("bigint").alias("bytes")))
+    """Writes and delete markers into one log (markers carry no bytes and no sha256), each event
+    with whether it is its key's latest."""
+    log = (writes.withColumn("kind", F.lit("write"))
+           .unionByName(deletes.withColumn("kind", F.lit("delete")), allowMissingColumns=True))
+    sha = F.col("sha256") if "sha256" in log.columns else F.lit(None)
+    return with_current(log.select("layer", "object_key", "version_id", "instant", "kind",
+                                   F.col("bytes").cast("bigint").alias("bytes"),
+                                   sha.cast("string").alias("sha256")))
 
 
 def _latest(log: DataFrame, name: str = "_l") -> F.Column:
@@ -68,6 +82,32 @@ def previous_version(log: DataFrame) -> DataFrame:
                     F.col("instant").alias("previous_instant"), F.col("bytes").alias("previous_bytes")))
 
 
+def read_versions(log: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The events of ``wanted`` (layer, object_key, version_id) with ``state``: ``current`` for
+    the key's latest event, ``previous`` otherwise; wanted versions that the log does not have
+    come back with state ``unknown``. Both joins are on the version id too, so a key with very
+    many versions is spread like any other rows."""
+    ids = [*KEY, "version_id"]
+    marked = with_current(log)
+    found = wanted.select(*ids).distinct().join(marked, ids, "left")
+    state = (F.when(F.col("kind").isNull(), F.lit("unknown"))
+             .when(F.col("is_current"), F.lit("current")).otherwise(F.lit("previous")))
+    return found.select(*ids, "instant", "kind", "bytes", state.alias("state"))
+
+
+def versions_at(log: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` (layer, object_key, at, and any others) with the version of the key that was the
+    latest at the instant ``at``, its state then (live, deleted, or absent before the first
+    write) and bytes. An as-of join: no window per key (see ``operators.asof``)."""
+    events = log.select(*KEY, "instant", "version_id", "kind", "bytes")
+    found = asof_join(asked, events, KEY, "at", "instant", ("version_id",), prefix="_")
+    state = (F.when(F.col("_kind").isNull(), F.lit("absent"))
+             .when(F.col("_kind") == "delete", F.lit("deleted")).otherwise(F.lit("live")))
+    return found.select(*asked.columns, F.col("_version_id").alias("version_id"),
+                        F.col("_instant").alias("instant"), F.col("_bytes").alias("bytes"),
+                        state.alias("state"))
+
+
 def immutability_audit(log: DataFrame, layer: str = "raw") -> DataFrame:
     """A data key of the raw layer written more than once broke the immutability rule.
     Other layers may be rewritten, and metadata and manifests are not data."""

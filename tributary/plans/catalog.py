@@ -605,11 +605,32 @@ def q_layer_summary(spark, sf):
 @query("event_log_union")
 def q_event_log_union(spark, sf):
     log = fx.version_log(spark, sf)
-    writes = log.where(F.col("kind") == "write").drop("kind")
+    content = F.concat_ws(":", "object_key", F.col("version_id").cast("string"))
+    writes = log.where(F.col("kind") == "write").drop("kind").withColumn("sha256", F.sha2(content, 256))
     deletes = log.where(F.col("kind") == "delete").drop("kind", "bytes")
     return versions.union_events(writes, deletes)
 
 
+@query("read_version")
+def q_read_version(spark, sf):
+    """Every key's versions read by id: the one before its last write, and one it never had."""
+    log = fx.version_log(spark, sf)
+    before = versions.previous_version(log).select(*versions.KEY, F.col("previous_version_id").alias("version_id"))
+    never = log.groupBy(*versions.KEY).agg((-F.max("version_id") - 1).alias("version_id"))
+    last = log.groupBy(*versions.KEY).agg(F.max(F.struct("instant", "version_id")).alias("l")).select(
+        *versions.KEY, F.col("l.version_id").alias("version_id"))
+    return versions.read_versions(log, before.unionByName(never).unionByName(last))
+
+
+@query("version_at")
+def q_version_at(spark, sf):
+    """What every object was half a day before each of its events."""
+    log = fx.version_log(spark, sf)
+    asked = log.select("layer", "object_key", F.col("version_id").alias("event"),
+                       (F.col("instant") - F.expr("INTERVAL 12 HOURS")).alias("at"))
+    return versions.versions_at(log, asked)
+
+
 def _manifest_table(spark, sf):
     o = fx.lake_objects(spark, sf)
     return o.select("object_key", fx.declared_hashes(o).alias("declared_sha256"))
@@ -675,6 +696,7 @@ def q_criteria_rollup(spark, sf):
 from pyspark.sql import types as T  # noqa: E402
 
 from tributary.functions.timeutil import coerce_ts  # noqa: E402
+from tributary.lake import curated, lineage  # noqa: E402
 from tributary.lake.layers import build_refined, write_partitioned  # noqa: E402
 from tributary.sources import delimited, generators as gen, split_delimited  # noqa: E402
 
@@ -756,6 +778,48 @@ def q_refined_build(spark, sf):
     return spark.read.schema(REFINED_SCHEMA).parquet(path)
 
 
+QUARTER_LATE = "add_months(trunc(o_orderdate, 'quarter'), CASE WHEN o_custkey % 3 = 0 THEN 6 ELSE 3 END)"
+
+
+@query("rebuild_since")
+def q_rebuild_since(spark, sf):
+    """orders ingested at quarters' ends (some a quarter late), refined by business month, and
+    everything ingested since 1998-07-01 rebuilt by a corrected rule."""
+    root, refined = scratch_path(spark, "lake", "raw"), scratch_path(spark, "lake", "refined", "orders")
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    lake_load.load_raw(o, root, "orders", F.expr(QUARTER_LATE))
+    month = [F.date_format("o_orderdate", f).alias(c) for c, f in (("anio", "yyyy"), ("mes", "MM"))]
+
+    def rule(factor):
+        cents = F.round(F.col("o_totalprice").cast("decimal(18,2)") * factor, 2).cast("double")
+        return lambda raw: raw.select("o_orderkey", cents.alias("price"), *month)
+    lineage.index_lots(spark, root, "orders", o.schema, F.col("o_orderdate"))
+    write_partitioned(rule(1)(lake_load.read_raw(spark, root, "orders", o.schema)), refined)
+    lineage.rebuild_since(spark, root, "orders", o.schema, refined, rule(2), F.col("o_orderdate"), "1998-07-01")
+    return spark.read.schema("o_orderkey bigint, price double, anio string, mes string").parquet(refined)
+
+
+PRODUCT_SCHEMA = ("category string, revenue decimal(38,2), orders bigint, least double, greatest double, "
+                  "anio string, mes string")
+
+
+@query("curated_incremental")
+def q_curated_incremental(spark, sf):
+    """Order value by priority and business month as a curated product, updated after each of two
+    deliveries of refined orders; the second one touches its own months only."""
+    refined, root = scratch_path(spark, "lake", "refined", "orders"), scratch_path(spark, "lake", "curated")
+    o = load(spark, sf, "orders", "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice").select(
+        "o_orderkey", F.col("o_orderpriority").alias("category"), F.col("o_totalprice").alias("price"),
+        *[F.date_format("o_orderdate", f).alias(c) for c, f in (("anio", "yyyy"), ("mes", "MM"))])
+    measures = {"revenue": ("sum", F.col("price").cast("decimal(18,2)")), "orders": ("count", F.lit(1)),
+                "least": ("min", F.col("price")), "greatest": ("max", F.col("price"))}
+    for delivery in (F.col("anio") < "1998", F.col("anio") >= "1998"):
+        write_partitioned(o.where(delivery), refined)
+        curated.update_product(spark, refined, o.schema, root, "sales", "value_by_priority", ["category"], measures)
+    return curated.read_product(spark, root, "sales", "value_by_priority", PRODUCT_SCHEMA).withColumn(
+        "revenue", F.col("revenue").cast("double"))
+
+
 @query("refined_rejects")
 def q_refined_rejects(spark, sf):
     _, rejected = build_refined(orders_raw_text(spark, sf), "o_orderkey", "price_text", "date_text",

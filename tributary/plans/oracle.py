@@ -785,7 +785,49 @@ SELECT layer, COUNT(*) AS keys, CAST(SUM(events) AS BIGINT) AS events,
        CAST(SUM(CASE WHEN kind = 'write' THEN COALESCE(bytes, 0) ELSE 0 END) AS BIGINT) AS current_bytes
 FROM ({_RANKED}) r WHERE rn = 1 GROUP BY layer"""
 
-ORACLE["event_log_union"] = f"SELECT layer, object_key, version_id, instant, kind, bytes FROM ({VERSION_LOG}) l"
+ORACLE["event_log_union"] = f"""
+SELECT layer, object_key, version_id, instant, kind, bytes,
+       CASE WHEN kind = 'write' THEN sha256(object_key || ':' || version_id) END AS sha256, rn = 1 AS is_current
+FROM ({_RANKED}) r"""
+
+ORACLE["read_version"] = f"""
+WITH wanted AS (
+  SELECT layer, object_key, version_id FROM ({_WRANK}) w WHERE wrn = 2
+  UNION SELECT layer, object_key, -MAX(version_id) - 1 FROM ({VERSION_LOG}) l GROUP BY 1, 2
+  UNION SELECT layer, object_key, version_id FROM ({_RANKED}) r WHERE rn = 1)
+SELECT layer, object_key, version_id, instant, kind, bytes,
+       CASE WHEN kind IS NULL THEN 'unknown' WHEN rn = 1 THEN 'current' ELSE 'previous' END AS state
+FROM wanted LEFT JOIN ({_RANKED}) r USING (layer, object_key, version_id)"""
+
+ORACLE["version_at"] = f"""
+WITH asked AS (SELECT layer, object_key, version_id AS event, instant - INTERVAL 12 HOURS AS "at"
+               FROM ({VERSION_LOG}) l),
+found AS (
+  SELECT a.layer, a.object_key, a.event, a."at", max({{'i': l.instant, 'v': l.version_id}}) AS last
+  FROM asked a LEFT JOIN ({VERSION_LOG}) l
+    ON l.layer = a.layer AND l.object_key = a.object_key AND l.instant <= a."at"
+  GROUP BY ALL)
+SELECT f.layer, f.object_key, event, "at", l.version_id, l.instant, l.bytes,
+       CASE WHEN l.kind IS NULL THEN 'absent' WHEN l.kind = 'delete' THEN 'deleted' ELSE 'live' END AS state
+FROM found f LEFT JOIN ({VERSION_LOG}) l
+  ON l.layer = f.layer AND l.object_key = f.object_key AND l.version_id = last.v AND l.instant = last.i"""
+
+_ORDER_MONTH = "strftime(o_orderdate, '%Y') AS anio, strftime(o_orderdate, '%m') AS mes"
+ORACLE["rebuild_since"] = f"""
+WITH o AS (
+  SELECT o_orderkey, o_totalprice, {_ORDER_MONTH},
+         date_trunc('quarter', o_orderdate)
+           + CASE WHEN o_custkey % 3 = 0 THEN INTERVAL 6 MONTHS ELSE INTERVAL 3 MONTHS END AS ingested
+  FROM orders),
+affected AS (SELECT DISTINCT anio, mes FROM o WHERE ingested >= DATE '1998-07-01')
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CASE WHEN a.anio IS NULL THEN 1 ELSE 2 END
+                        AS DOUBLE) AS price, o.anio, o.mes
+FROM o LEFT JOIN affected a ON a.anio = o.anio AND a.mes = o.mes"""
+
+ORACLE["curated_incremental"] = f"""
+SELECT o_orderpriority AS category, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       COUNT(*) AS orders, MIN(o_totalprice) AS least, MAX(o_totalprice) AS greatest, {_ORDER_MONTH}
+FROM orders GROUP BY ALL"""
 
 ORACLE["missing_manifest"] = f"""
 SELECT object_key FROM ({DOC_OBJECTS}) o WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
