@@ -12,17 +12,25 @@ join finds all d <= 1 - threshold, in regions:
   x, so it contains one of x's first |x| - ceil(t |x|) + 1 pivots. That is the
   window: x is replicated to those regions only, and no link is lost, whatever
   the order of pivots;
-* sizes give a second window: |x| and |y| differ at most by the factor t;
+* sizes give a second window: |x| and |y| differ at most by the factor t; and
+  the place of a pivot in x's order a third one: the first pivot that x and y
+  share at place p leaves at most |x| - p common elements, which bounds |y|.
+  Members that reach no other one of their region by these leave it;
 * a region with few members is joined at once; in a middling one each member is
   compared with its nearest candidate first, and then only candidates that
   would join different components. A large region is split again with a member
   set as pivot: members within the threshold are linked to this centre, and by
   the triangle inequality only those go on whose distance to it lets them reach
   a member that is not linked. So a group of copies costs about one exact
-  comparison for each member and never all its pairs;
+  comparison for each member and never all its pairs. What is large after
+  ROUNDS of this is dealt out as pairs of blocks, so that no task holds more
+  than LARGE_REGION members of one region;
 * a sketch of parity bits bounds each pair's distance from below; every pair
   that it leaves is compared exactly, on whole sets of 64-bit shingle hashes.
 
+Sets are identified by 64 bits, and by 64 others where unlike sets share the
+first: none is taken for another below a collision in 128 bits.
+
 Links between classes are enough for components: links inside a large region
 that its centre already connects are not listed.
 
@@ -52,9 +60,10 @@ FREQUENT, REPORT = 1 << 18, 3
 SKETCH, LARGEST_SKETCH = 128, 1 << 14
 #: Members of a region whose pairs are listed where it is found; members of a region that one
 #: task compares by sketches; rounds of splitting larger ones by centres.
-SMALL_REGION, LARGE_REGION, ROUNDS = 32, 4096, 4
+SMALL_REGION, LARGE_REGION, ROUNDS = 4, 4096, 4
+#: Members of small regions that one task compares region by region.
+TASK_MEMBERS = 1 << 15
 _REPORT_FLUSH, _FLUSH, _BLOCK, _CELLS = 1 << 21, 1 << 19, 64, 1 << 24
-_KEY_MASK = np.uint64(0xFFFFFFFFFFFFFF00)
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -99,13 +108,15 @@ def _folded(sketch: bytes, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
 
 
-def _key(n: int, digest: int) -> int:
-    """64 bits of the digest with the set's size class in the low byte."""
-    return (digest & int(_KEY_MASK)) | size_class(n)
+def _key(digests: tuple[int, int], clashing: frozenset) -> int:
+    """What a set is joined by: its first digest, or the second where unlike sets share the first."""
+    return digests[1] if digests[0] in clashing else digests[0]
 
 
-def size_class(n: int) -> int:
-    return min(255, int(np.log2(n) * 8))
+def most_partner(n, place, num: int, den: int):
+    """The size of the largest set that one of ``n`` elements can link to, if the first pivot they
+    share is at ``place`` (from 0): they share at most n - place elements."""
+    return (n - place) * (num + den) // num - n
 
 
 def _signed(x: int) -> int:
@@ -113,33 +124,32 @@ def _signed(x: int) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Staged (id, n, d1, d2, key, sketch, shingles, counts): one row per text, and rows with a
+    """Staged (id, n, d1, d2, sketch, shingles, counts): one row per text, and rows with a
     null ``n`` that report shingles frequent within a task."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
 
     def scan(batches):
         waiting, held, arrow_id = [], 0, None
-        names = ["id", "n", "d1", "d2", "key", "sketch", "shingles", "counts"]
+        names = ["id", "n", "d1", "d2", "sketch", "shingles", "counts"]
 
         def report():
             flat, count = np.unique(np.concatenate(waiting), return_counts=True)
             often = count >= REPORT
             blob = (flat[often].tobytes(), count[often].astype(np.int64).tobytes())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()),
+                [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.binary()),
                  pa.array([blob[0]], pa.binary()), pa.array([blob[1]], pa.binary())],
                 names=names)
 
         for batch in batches:
             arrow_id = batch.column(0).type
-            n, d1, d2, key, sketch = [], [], [], [], []
+            n, d1, d2, sketch = [], [], [], []
             for found in shingle_sets(batch.column(1), size):
                 a, b = _identity(found) if len(found) else (0, 0)
                 n.append(len(found))
                 d1.append(_signed(a))
                 d2.append(_signed(b))
-                key.append(_signed(_key(len(found), a)) if len(found) else 0)
                 sketch.append(_sketch(found))
                 waiting.append(found)
                 held += len(found)
@@ -148,14 +158,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
                     waiting, held = [], 0
             rows = len(batch)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(x, pa.int64()) for x in (n, d1, d2, key)],
+                [batch.column(0), *[pa.array(x, pa.int64()) for x in (n, d1, d2)],
                  pa.array(sketch, pa.binary()), pa.nulls(rows, pa.binary()),
                  pa.nulls(rows, pa.binary())], names=names)
         if held:
             yield report()
 
     return stage(source.mapInArrow(
-        scan, f"id {id_type}, n long, d1 long, d2 long, key long, sketch binary, "
+        scan, f"id {id_type}, n long, d1 long, d2 long, sketch binary, "
               "shingles binary, counts binary"), "signatures")
 
 
@@ -191,93 +201,136 @@ def _first_pivots(found: np.ndarray, frequent: np.ndarray, rank: np.ndarray,
     return found[:most]
 
 
+def partnered(group: np.ndarray, n: np.ndarray, most: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which members of the groups (sorted by group, then n) have another one in reach: each one's
+    size between the other's least and most."""
+    m = len(n)
+    span = np.int64(1) << 32
+    place = group * span
+    at = place + n
+    lo = np.searchsorted(at, place + -(-num * n // den))
+    hi = np.searchsorted(at, place + np.minimum(most, span - 1), "right")
+    tables = [most]  # tables[k][i]: the largest of 2 ** k values from i
+    longest = int((hi - lo).max(initial=0))
+    while 1 << len(tables) <= longest:
+        half, last = 1 << (len(tables) - 1), tables[-1]
+        tables.append(np.maximum(last, np.concatenate([last[half:], np.full(min(half, m), -1)])))
+
+    def largest(i, j):
+        length = np.maximum(j - i, 0)
+        level = np.log2(np.maximum(length, 1)).astype(np.int64)
+        out = np.full(m, -1, np.int64)
+        for k, table in enumerate(tables):
+            mine = np.flatnonzero((level == k) & (length > 0))
+            out[mine] = np.maximum(table[i[mine]], table[j[mine] - (1 << k)])
+        return out
+
+    me = np.arange(m)
+    return np.maximum(largest(lo, np.minimum(hi, me)), largest(np.maximum(lo, me + 1), hi)) >= n
+
+
 def region_members(docs: DataFrame, text_col: str, size: int, num: int, den: int,
-                   frequent: np.ndarray, rank: np.ndarray) -> DataFrame:
+                   frequent: np.ndarray, rank: np.ndarray, clashing: frozenset) -> DataFrame:
     """Staged candidates of all regions: pairs of class keys (region null), or the members
-    (region, a) of regions with more than SMALL_REGION members."""
+    (region, a) of regions with more than SMALL_REGION members.
+
+    An entry carries the set's size and the pivot's place in its order. Members that can link to
+    no other one of their region by these are dropped before anything is written."""
     spark = docs.sparkSession
     buckets = 2 * partitions(spark)
     shared = spark.sparkContext.broadcast((frequent, rank))
 
     def replicate(batches):
         frequent, rank = shared.value
-        pivots, keys, held, seen = [], [], 0, set()
+        pivots, keys, sizes, held, seen = [], [], [], 0, set()
 
         def blocks():
-            p, k = np.concatenate(pivots), np.concatenate(keys)
+            p, k, m = (np.concatenate(x) for x in (pivots, keys, sizes))
             bucket = (p % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            bucket, p, k = bucket[order], p[order], k[order]
+            bucket, p, k, m = bucket[order], p[order], k[order], m[order]
             cut = np.flatnonzero(np.diff(bucket)) + 1
             first = np.concatenate([[0], cut])
             return pa.RecordBatch.from_arrays(
                 [pa.array(bucket[first], pa.int64()),
-                 pa.array([x.tobytes() for x in np.split(p, cut)], pa.binary()),
-                 pa.array([x.tobytes() for x in np.split(k, cut)], pa.binary())],
-                names=["bucket", "pivots", "keys"])
+                 *[pa.array([x.tobytes() for x in np.split(column, cut)], pa.binary())
+                   for column in (p, k, m)]], names=["bucket", "pivots", "keys", "sizes"])
 
         for batch in batches:
             for found in shingle_sets(batch.column(0), size):
                 if not len(found):
                     continue
-                key = _key(len(found), _identity(found)[0])
+                key = _key(_identity(found), clashing)
                 if key in seen:
                     continue
                 seen.add(key)
-                mine = _first_pivots(found, frequent, rank, prefix_length(len(found), num, den))
+                n = len(found)
+                mine = _first_pivots(found, frequent, rank, prefix_length(n, num, den))
                 pivots.append(mine)
                 keys.append(np.full(len(mine), key, dtype=np.uint64))
+                sizes.append(np.arange(len(mine), dtype=np.int64) | np.int64(n) << np.int64(32))
                 held += len(mine)
                 if held >= _FLUSH:
                     yield blocks()
-                    pivots, keys, held = [], [], 0
+                    pivots, keys, sizes, held = [], [], [], 0
         if held:
             yield blocks()
 
-    # sizes n <= m with n >= t m lie in classes at most this far apart
-    apart = int(np.ceil(8 * np.log2(den / num))) + 1
+    def groups(p):
+        first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])) if len(p) else np.zeros(0, int)
+        return first, np.diff(np.concatenate([first, [len(p)]]))
 
     def join(table: pa.Table) -> pa.Table:
-        p = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table.column("pivots")])
-        k = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")])
-        order = np.lexsort((k, p))
-        p, k = p[order], k[order]
+        p, k = (np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table.column(c)])
+                for c in ("pivots", "keys"))
+        m = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("sizes")])
+        order = np.lexsort((k, m, p))  # by size within a pivot
+        p, k, m = p[order], k[order], m[order]
         new = np.ones(len(p), dtype=bool)
         new[1:] = (p[1:] != p[:-1]) | (k[1:] != k[:-1])
-        p, k = p[new], k[new]
-        first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
-        count = np.diff(np.concatenate([first, [len(p)]]))
-        left, right = [], []
-        for members in np.unique(count[(count > 1) & (count <= SMALL_REGION)]).tolist():
+        first, count = groups(p[new])
+        kept = np.flatnonzero(new)[np.repeat(count > 1, count)]
+        p, k, m = p[kept], k[kept], m[kept]
+        n, place = m >> np.int64(32), m & np.int64(0xFFFFFFFF)
+        most = most_partner(n, place, num, den)
+        first, count = groups(p)
+        able = partnered(np.repeat(np.arange(len(count)), count), n, most, num, den)
+        p, k, n, most = p[able], k[able], n[able], most[able]
+        first, count = groups(p)
+        left, right = [k[:0]], [k[:0]]
+        for members in range(2, SMALL_REGION + 1):
             at = first[count == members]
             i, j = np.triu_indices(members, 1)
             step = max(1, _FLUSH // len(i))
             for lo in range(0, len(at), step):
-                a = k[at[lo:lo + step, None] + i].ravel()
-                b = k[at[lo:lo + step, None] + j].ravel()
-                near = np.abs((a & np.uint64(255)).astype(np.int64)
-                              - (b & np.uint64(255)).astype(np.int64)) <= apart
-                both = np.unique(np.stack([a[near], b[near]], axis=1), axis=0)
+                x, y = ((at[lo:lo + step, None] + z).ravel() for z in (i, j))
+                near = ((num * n[y] <= den * n[x]) & (num * n[x] <= den * n[y])
+                        & (n[y] <= most[x]) & (n[x] <= most[y]))
+                a, b = k[x[near]], k[y[near]]
+                both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
                 left.append(both[:, 0])
                 right.append(both[:, 1])
-        a = np.concatenate([*left, k[:0]])
-        b = np.concatenate([*right, k[:0]])
+        a, b = np.concatenate(left), np.concatenate(right)
         if len(a):
             both = np.unique(np.stack([a, b], axis=1), axis=0)
             a, b = both[:, 0], both[:, 1]
         big = np.repeat(count > SMALL_REGION, count)
         # a region is named by its members, so that pivots with the same members are one region
         name = np.add.reduceat(mix(k + np.uint64(7)), first) if len(first) else k
-        region = pa.concat_arrays([pa.nulls(len(a), pa.int64()),
-                                   pa.array(np.repeat(name, count)[big].view(np.int64))])
+        region = np.repeat(name, count)[big].view(np.int64)
+        if len(region):
+            region, member = np.unique(np.stack([region, k[big].view(np.int64)], axis=1), axis=0).T
+        else:
+            member = region
         return pa.table({
-            "region": region,
-            "a": pa.array(np.concatenate([a, k[big]]).view(np.int64)),
-            "b": pa.concat_arrays([pa.array(np.ascontiguousarray(b).view(np.int64)),
-                                   pa.nulls(int(big.sum()), pa.int64())])})
-
-    entries = docs.select(text_col).mapInArrow(replicate,
-                                               "bucket long, pivots binary, keys binary")
+            "region": pa.concat_arrays([pa.nulls(len(a), pa.int64()),
+                                        pa.array(np.ascontiguousarray(region), pa.int64())]),
+            "a": pa.array(np.concatenate([np.ascontiguousarray(a).view(np.int64), member])),
+            "b": pa.concat_arrays([pa.array(np.ascontiguousarray(b).view(np.int64), pa.int64()),
+                                   pa.nulls(len(region), pa.int64())])})
+
+    entries = docs.select(text_col).mapInArrow(
+        replicate, "bucket long, pivots binary, keys binary, sizes binary")
     found = entries.groupBy("bucket").applyInArrow(join, "region long, a long, b long")
     return stage(found, "regions")
 
@@ -314,7 +367,7 @@ def judge(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame
 
 
 def compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-            size: int) -> DataFrame:
+            size: int, clashing: frozenset) -> DataFrame:
     """Staged (a, b, na, nb, common) of distinct key pairs (a, b), on whole sets."""
     keys = (pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     wanted = stage(classes.join(keys, "key").select("rep", "key"), "wanted")
@@ -325,7 +378,7 @@ def compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
         for batch in batches:
             keys = batch.column(0).to_pylist()
             rows = [(k, found) for k, found in zip(keys, shingle_sets(batch.column(1), size))
-                    if len(found) and _signed(_key(len(found), _identity(found)[0])) == k]
+                    if len(found) and _signed(_key(_identity(found), clashing)) == k]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in rows], pa.int64()),
                  pa.array([x.tobytes() for _, x in rows], pa.binary())], names=["key", "found"])
@@ -353,26 +406,57 @@ def compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
                  "compared")
 
 
+def dealt(members: DataFrame) -> DataFrame:
+    """(cell, side, key): the members (region, key, members) of each region as the cells that one task
+    compares. A region is one cell (side 2); one of more than LARGE_REGION members is dealt out as
+    pairs of blocks of half as many, members of different blocks having sides 0 and 1."""
+    one = members.where(F.col("members") <= LARGE_REGION).select(
+        F.xxhash64("region").alias("cell"), F.lit(2).alias("side"), "key")
+    blocks = F.ceil(2 * F.col("members") / LARGE_REGION).cast("int")
+    block, other = F.col("block"), F.col("other")
+    many = (members.where(F.col("members") > LARGE_REGION)
+            .withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select(F.xxhash64("region", F.least(block, other), F.greatest(block, other)).alias("cell"),
+                    F.when(block == other, 2).otherwise((block > other).cast("int")).alias("side"), "key"))
+    return one.unionByName(many)
+
+
 def region_pairs(members: DataFrame, classes: DataFrame, num: int, den: int,
                  components_of: DataFrame | None = None) -> DataFrame:
-    """(a, b): pairs of a region's members that their sketches do not rule out, by blocks.
+    """(a, b): pairs of a region's members (staged: region, key, members) that their sketches do not
+    rule out.
 
     Without components: of each member only the pair with its nearest earlier
-    member, a forest. With them: all pairs that join different components."""
-    rows = members.join(classes.select("key", "n", "sketch"), "key")
+    member, a forest. With them: all pairs that join different components. A task compares
+    the cells of a bucket, one after the other (see ``dealt``)."""
+    buckets = max(partitions(members.sparkSession), members.count() // TASK_MEMBERS)
+    rows = dealt(members).join(classes.select("key", "n", "sketch"), "key")
     if components_of is not None:
         rows = rows.join(components_of, F.col("key") == F.col("node"), "left") \
-            .select("region", "key", "n", "sketch", F.coalesce("component", "key").alias("component"))
+            .withColumn("component", F.coalesce("component", "key"))
     else:
-        rows = rows.select("region", "key", "n", "sketch", F.col("key").alias("component"))
+        rows = rows.withColumn("component", F.col("key"))
+    rows = rows.select(F.pmod("cell", F.lit(buckets)).alias("bucket"), "cell", "side", "key", "n",
+                       "sketch", "component")
     forest = components_of is None
 
     def pairs(table: pa.Table) -> pa.Table:
-        key, n, group = (table.column(c).to_numpy() for c in ("key", "n", "component"))
-        order = np.lexsort((key, n))
-        key, n, group = key[order], n[order], group[order]
-        texts = table.column("sketch").to_pylist()
-        sketch = [texts[k] for k in order.tolist()]
+        cell, key, n, group, side = (table.column(c).to_numpy()
+                                     for c in ("cell", "key", "n", "component", "side"))
+        order = np.lexsort((key, n, cell))
+        cut = np.flatnonzero(np.diff(cell[order])) + 1
+        sketch = table.column("sketch").combine_chunks()
+        left, right = [], []
+        for mine in np.split(order, cut):
+            a, b = within(key[mine], n[mine], group[mine], side[mine], sketch.take(pa.array(mine)).to_pylist())
+            left.append(a)
+            right.append(b)
+        a, b = np.concatenate(left), np.concatenate(right)
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    def within(key, n, group, side, sketch):
+        """The pairs of one cell, whose members are sorted by size."""
         width = np.array([len(x) for x in sketch])  # grows with n
         levels = {}  # by size: the first member with so large a sketch, and all folded to it
         left, right = [], []
@@ -393,7 +477,8 @@ def region_pairs(members: DataFrame, classes: DataFrame, num: int, den: int,
             both = n[i, None] + n[None, j]
             common = (both - apart) // 2
             near = (den * common >= num * (both - common)) & (j[None] < i[:, None]) \
-                & (group[i, None] != group[None, j])
+                & (group[i, None] != group[None, j]) \
+                & ((side[i, None] == 2) | (side[i, None] != side[None, j]))
             if forest:
                 best = np.where(near, apart, np.iinfo(np.int64).max).argmin(axis=1)
                 x = np.flatnonzero(near[np.arange(len(i)), best])
@@ -402,25 +487,24 @@ def region_pairs(members: DataFrame, classes: DataFrame, num: int, den: int,
                 x, y = np.nonzero(near)
             left.append(key[i[x]])
             right.append(key[j[y]])
-        a, b = np.concatenate(left), np.concatenate(right)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+        return np.concatenate(left), np.concatenate(right)
 
-    return rows.groupBy("region").applyInArrow(pairs, "a long, b long").distinct()
+    return rows.groupBy("bucket").applyInArrow(pairs, "a long, b long").distinct()
 
 
 def all_links(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-              size: int, num: int, den: int) -> DataFrame:
+              size: int, num: int, den: int, clashing: frozenset) -> DataFrame:
     """(a, b): links of class keys that connect whatever the candidates of ``found`` connect."""
     reach, links = 1 - num / den, []
     union = F.col("na") + F.col("nb") - F.col("common")
     linked = F.lit(den) * F.col("common") >= F.lit(num) * union
-    sizes = classes.select("key", "n").dropDuplicates(["key"])
+    sizes = classes.select("key", "n")
 
     def met_links(pairs: DataFrame) -> DataFrame:
         met = compare(pairs.select("a", "b")
                       .join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
                       .join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b"),
-                      classes, docs, id_col, text_col, size)
+                      classes, docs, id_col, text_col, size, clashing)
         links.append(met.where(linked).select("a", "b"))
         return met
 
@@ -437,7 +521,7 @@ def all_links(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
         big = (counted.where(large & (F.col("key") != F.col("centre")))
                .select("region", "key", F.least("key", "centre").alias("a"),
                        F.greatest("key", "centre").alias("b")))
-        rest = counted.where(~large).select("region", "key")
+        rest = stage(counted.where(~large).select("region", "key", "members"), "rest")
         pairs = (small.unionByName(big.select("a", "b", F.lit(True).alias("star")))
                  .groupBy("a", "b").agg(F.max("star").alias("star")))
         judged = judge(pairs, classes, num, den)
@@ -473,10 +557,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = signatures(docs, id_col, text_col, size)
     frequent, rank = frequent_shingles(signed)
     rows = signed.where(F.col("n").isNotNull())
-    classes = stage(rows.where(F.col("n") > 0).groupBy("n", "d1", "d2", "key", "sketch")
+    classes = stage(rows.where(F.col("n") > 0).groupBy("n", "d1", "d2", "sketch")
                     .agg(F.min("id").alias("rep")).where(F.col("rep").isNotNull()), "classes")
-    found = region_members(docs, text_col, size, num, den, frequent, rank)
-    links = all_links(found, classes, docs, id_col, text_col, size, num, den)
+    # first digests that unlike sets share: about one in 2 ** 65 pairs of sets
+    clashing = frozenset(r.d1 % (1 << 64) for r in classes.groupBy("d1").agg(
+        F.count(F.lit(1)).alias("sets")).where(F.col("sets") > 1).collect())
+    shared = F.col("d1").isin([_signed(x) for x in clashing]) if clashing else F.lit(False)
+    classes = classes.withColumn("key", F.when(shared, F.col("d2")).otherwise(F.col("d1")))
+    found = region_members(docs, text_col, size, num, den, frequent, rank, clashing)
+    links = all_links(found, classes, docs, id_col, text_col, size, num, den, clashing)
     named = classes.select("key", "rep")
     edges = (links.join(named.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a")
              .join(named.select(F.col("key").alias("b"), F.col("rep").alias("rb")), "b"))
