@@ -21,8 +21,12 @@ Positions: the pieces between a pattern's matches and the matches themselves
 alternate, so starts are running sums of their lengths, taken by a window over
 (document, pattern). Only lengths are shuffled, never text.
 
-Null and empty texts have no parts. Every input row gives one row; rows with
-equal or null ids are kept apart.
+No pattern repeats a group, so a text of any length and any repetition is
+scanned in bounded stack.
+
+Defined results: null and empty texts have no parts. Every input row gives one
+row; rows with equal or null ids, repeated rows too, are kept apart. Other
+columns, whatever their names, are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,7 +52,10 @@ PATTERNS = {
     "key": (r"(?<![A-Z0-9])(?:ASIA|AIDA|AROA|LTAI|AGPA|ANPA)[A-Z0-9]{14,}+", 0, 18),
     "secret": (r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}+={0,2}", 0, 32),
     "endpoint": (r"(?<![A-Za-z0-9.-])(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9.:@/_-]{6,}+"
-                 r"|[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+:[0-9]{2,5})", 0, 14),
+                 # a host of two or more labels of 1 to 63 characters, as one flat run: a repeated
+                 # group would recurse once a label
+                 r"|(?=[A-Za-z0-9-]{1,63}\.)(?![A-Za-z0-9.-]*(?:\.\.|[A-Za-z0-9-]{64}))"
+                 r"[A-Za-z0-9.-]{3,}+(?<!\.):[0-9]{2,5})", 0, 14),
 }
 
 
