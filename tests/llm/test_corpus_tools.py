@@ -16,6 +16,7 @@ import xxhash
 from conftest import SF001
 from pyspark.sql import functions as F
 
+from tributary.llm import context_mixing as mixing
 from tributary.llm import filter_audit as audit
 from tributary.llm import line_dedup as lines
 from tributary.llm import resample, store, warc
@@ -59,7 +60,7 @@ def test_archives(spark, monkeypatch, broadcast):
     monkeypatch.setattr(warc, "HOT_SHARE", 0.5)
     rows = page_rows()
     pages = spark.createDataFrame(rows, PAGES).repartition(3)
-    files = warc.write_archives(pages, archive_bytes=20_000, broadcast_bytes=broadcast)
+    files = warc.write_archives(pages, archive_bytes=3_000, broadcast_bytes=broadcast)
     assert files.agg(F.sum("n_records")).first()[0] == len(rows) and files.count() > 3
     found = store.stage(warc.read_archives(files, keep_payload=True), "found")
     assert {r.status for r in found.collect()} == {"ok"}
@@ -145,8 +146,8 @@ def doc_rows():
 
 
 def audited(rows, labels):
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _, _ in labels if q == 1} - {None}
+    toxic = {i for i, _, t, _ in labels if t == 1} - {None}
     least = {}
     for i, t, _ in rows:
         if i is not None:
@@ -355,3 +356,17 @@ def test_recall_on_edited_lines(spark):
     assert len(dropped) > 80
     assert sum(not got[i] for i in dropped) >= 0.95 * len(dropped)
     assert all(want[i] == 0 for i in got if not got[i])
+
+
+# --- rare words in the language model ---------------------------------------------------------
+
+@pytest.mark.parametrize("frequent", [0, 40])
+def test_the_score_does_not_depend_on_how_many_words_are_broadcast(spark, monkeypatch, frequent):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 7))) for _ in range(400)]
+    rows = [(k, " ".join(words[int(rng.random() ** 2 * 400)] for _ in range(rng.randrange(0, 80)))) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r.doc_id: (r.n_known, r.base_score, r.score) for r in mixing.context_mixing(docs).collect()}
+    monkeypatch.setattr(mixing, "FREQUENT", frequent)
+    got = {r.doc_id: (r.n_known, r.base_score, r.score) for r in mixing.context_mixing(docs).collect()}
+    assert all(got[k][0] == whole[k][0] and np.allclose(got[k][1:], whole[k][1:], rtol=1e-9) for k in whole)
