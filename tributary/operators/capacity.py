@@ -236,6 +236,7 @@ def replica_breakeven(inputs: DataFrame, prices: CapacityPrices = CapacityPrices
                     round_half_up(years(F.col("g_upper")), 1).alias("years_upper"))
 
 
+# Fixed values that must equal the reference's: the saving options (compression factor, replicas).
 LEVERS = [("csv_r3_base", 1.0, 3), ("csv_r2", 1.0, 2), ("csv_r1", 1.0, 1),
           ("columnar_5x_r3", 5.0, 3), ("columnar_10x_r3", 10.0, 3)]
 

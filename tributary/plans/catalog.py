@@ -551,6 +551,9 @@ def q_lake_audit(spark, sf):
 
 @query("lot_resolution")
 def q_lot_resolution(spark, sf):
+    """Every document as an object of its source and day: even ones are stored in lots, odd ones
+    arrive. Fixture rule for gaps: every sixth day's second lot was never stored (all other rows
+    of the table take part)."""
     o = fx.lake_objects(spark, sf).withColumn("day", (F.col("doc_id") % 28 + 1).cast("int"))
     keys = ["source", "day"]
     from tributary.operators.ordering import rank_within

@@ -1,9 +1,9 @@
 """Delimited text sources and sinks.
 
 Quoted fields may hold the delimiter and newlines, so records are parsed
-with ``multiLine`` (a record is not a physical line). A multi-line file is
-not splittable: one task reads one file, so at scale the input must come as
-many files (the writer below produces one per task). Pages fetched
+with ``multiLine`` (a record is not a physical line). Spark reads such a file
+in one task; ``split_delimited`` reads it by byte ranges, in as many tasks as
+it has ranges. Pages fetched
 separately are read as one multi-path scan with header validation, which
 fails the job when any page's header differs from the declared schema.
 """
