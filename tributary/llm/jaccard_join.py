@@ -422,15 +422,15 @@ def dealt(members: DataFrame) -> DataFrame:
     return one.unionByName(many)
 
 
-def region_pairs(members: DataFrame, classes: DataFrame, num: int, den: int,
+def region_pairs(members: DataFrame, count: int, classes: DataFrame, num: int, den: int,
                  components_of: DataFrame | None = None) -> DataFrame:
-    """(a, b): pairs of a region's members (staged: region, key, members) that their sketches do not
-    rule out.
+    """(a, b): pairs of the regions' ``count`` members (region, key, members) that their sketches do
+    not rule out.
 
     Without components: of each member only the pair with its nearest earlier
     member, a forest. With them: all pairs that join different components. A task compares
     the cells of a bucket, one after the other (see ``dealt``)."""
-    buckets = max(partitions(members.sparkSession), members.count() // TASK_MEMBERS)
+    buckets = max(partitions(members.sparkSession), count // TASK_MEMBERS)
     rows = dealt(members).join(classes.select("key", "n", "sketch"), "key")
     if components_of is not None:
         rows = rows.join(components_of, F.col("key") == F.col("node"), "left") \
@@ -521,15 +521,16 @@ def all_links(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
         big = (counted.where(large & (F.col("key") != F.col("centre")))
                .select("region", "key", F.least("key", "centre").alias("a"),
                        F.greatest("key", "centre").alias("b")))
-        rest = stage(counted.where(~large).select("region", "key", "members"), "rest")
+        rest = counted.where(~large).select("region", "key", "members")
+        waiting = rest.count()
         pairs = (small.unionByName(big.select("a", "b", F.lit(True).alias("star")))
                  .groupBy("a", "b").agg(F.max("star").alias("star")))
         judged = judge(pairs, classes, num, den)
-        forest = region_pairs(rest, classes, num, den)
+        forest = region_pairs(rest, waiting, classes, num, den)
         met = met_links(judged.where("near").select("a", "b").unionByName(forest).distinct())
-        if not rest.isEmpty():
+        if waiting:
             joined = stage(components(reduce(DataFrame.unionByName, links)), "components")
-            met_links(region_pairs(rest, classes, num, den, joined))
+            met_links(region_pairs(rest, waiting, classes, num, den, joined))
         # members of large regions that are linked to the centre stay only if, by the triangle
         # inequality, they can still link to a member that is not
         placed = (big.join(judged.select("a", "b", "least"), ["a", "b"])
