@@ -370,3 +370,24 @@ def test_the_score_does_not_depend_on_how_many_words_are_broadcast(spark, monkey
     monkeypatch.setattr(mixing, "FREQUENT", frequent)
     got = {r.doc_id: (r.n_known, r.base_score, r.score) for r in mixing.context_mixing(docs).collect()}
     assert all(got[k][0] == whole[k][0] and np.allclose(got[k][1:], whole[k][1:], rtol=1e-9) for k in whole)
+
+
+def test_tables_grow_with_the_vocabulary():
+    sizes = [mixing.table_powers(n) for n in (0, 10 ** 6, 10 ** 7, 10 ** 8, 10 ** 12)]
+    assert sizes[0] == sizes[1] == mixing.TABLES
+    assert all(a <= b for x, y in zip(sizes, sizes[1:]) for a, b in zip(x, y))
+    assert sizes[2][2] == 24 and sizes[-1][2] == mixing.MOST
+
+
+def test_pieces_of_the_tuning_part_learn_what_one_piece_does(spark, monkeypatch):
+    """Refinement and shares are sums over texts; copies of a text tune alike and once."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 7))) for _ in range(300)]
+    rows = [(k, " ".join(words[int(rng.random() ** 2 * 300)] for _ in range(rng.randrange(1, 60)))) for k in range(400)]
+    docs = spark.createDataFrame(rows + [(k + 1000, rows[3][1]) for k in range(200)], "doc_id long, text string")
+    one = {r.doc_id: r.score for r in mixing.context_mixing(docs).collect()}
+    monkeypatch.setattr(mixing, "PIECE", 1 << 9)
+    many = {r.doc_id: r.score for r in mixing.context_mixing(docs).collect()}
+    assert len({one[k + 1000] for k in range(200)}) == 1
+    total = sum(one.values())
+    assert abs(sum(many.values()) - total) < 0.05 * abs(total)
