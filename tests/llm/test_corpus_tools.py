@@ -379,15 +379,32 @@ def test_tables_grow_with_the_vocabulary():
     assert sizes[2][2] == 24 and sizes[-1][2] == mixing.MOST
 
 
-def test_pieces_of_the_tuning_part_learn_what_one_piece_does(spark, monkeypatch):
-    """Refinement and shares are sums over texts; copies of a text tune alike and once."""
+def test_outcomes_are_sums_over_pieces():
+    """The refinement does not depend on how the tuning part is cut, nor on repeated bytes."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab cd") for _ in range(rng.randrange(0, 90))) for _ in range(60)]
+    layout = lambda ts: mixing.buffer_of(pa.array(ts, pa.large_string()))
+    tree = mixing.Tree(np.ones(256, dtype=np.int64))
+    whole, cut = mixing.Counts(), mixing.Counts()
+    whole.add(*layout(texts), tree)
+    for k in range(0, 60, 20):
+        cut.add(*layout(texts[k:k + 20]), tree)
+    assert np.array_equal(whole.finished(), cut.finished())
+    assert whole.finished().sum() == 3 * tree.length[mixing.byte_stream(*layout(texts))[0]].sum()
+    mixer = mixing.Mixer(tree, (np.random.default_rng(1).integers(-127, 128, int(tree.table_first[-1]))).astype(np.int8))
+    none = mixing.Unigram(0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    one = mixer.gather("refinement", *layout(texts), none)
+    assert np.array_equal(one, sum(mixer.gather("refinement", *layout(texts[k:k + 20]), none) for k in range(0, 60, 20)))
+    alone = [mixer.scores(*layout([t]), none)[0][0] for t in texts]
+    assert np.allclose(mixer.scores(*layout(texts), none)[0], alone, rtol=1e-9)
+
+
+def test_copies_score_alike_however_the_tuning_part_is_cut(spark, monkeypatch):
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 7))) for _ in range(300)]
     rows = [(k, " ".join(words[int(rng.random() ** 2 * 300)] for _ in range(rng.randrange(1, 60)))) for k in range(400)]
     docs = spark.createDataFrame(rows + [(k + 1000, rows[3][1]) for k in range(200)], "doc_id long, text string")
-    one = {r.doc_id: r.score for r in mixing.context_mixing(docs).collect()}
     monkeypatch.setattr(mixing, "PIECE", 1 << 9)
-    many = {r.doc_id: r.score for r in mixing.context_mixing(docs).collect()}
-    assert len({one[k + 1000] for k in range(200)}) == 1
-    total = sum(one.values())
-    assert abs(sum(many.values()) - total) < 0.05 * abs(total)
+    score = {r.doc_id: r.score for r in mixing.context_mixing(docs).collect()}
+    assert len(score) == 600 and all(s < 0 and math.isfinite(s) for s in score.values())
+    assert np.allclose([score[k + 1000] for k in range(200)], score[3], rtol=1e-12)
