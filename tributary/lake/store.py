@@ -5,8 +5,9 @@ content goes to a temporary name beside the key and is moved there when it is co
 lost executor leaves no half object. A raw object is never overwritten: a key that exists is
 ``present`` when it holds the same bytes and a ``conflict`` otherwise.
 
-``scan_objects`` reads every stored object once and keeps one narrow row of it (key, bytes,
-sha256, class); all audits work on that table, so the contents are hashed a single time.
+``list_files`` lists the stored files by tasks. ``scan_objects`` reads every stored object once and
+keeps one narrow row of it (key, bytes, sha256, class); all audits work on that table, so the
+contents are hashed a single time.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import posixpath
 import uuid
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -25,6 +27,8 @@ from tributary.lake.layout import classify
 from tributary.session import ship_package, written
 
 PIECE = 1 << 20
+#: Folders listed or files opened, and bytes read, by a task; rows that it sends at once.
+FILES, TASK_BYTES, ROWS = 1024, 128 << 20, 4096
 PUTS = "object_key string, bytes long, sha256 string, outcome string"
 
 
@@ -104,13 +108,78 @@ def key_below(root: str, path: str = "path") -> Column:
     return F.when(F.instr(F.col(path), prefix) > 0, F.substr(F.col(path), start)).otherwise(F.col(path))
 
 
+def hidden(name: str, folder: bool) -> bool:
+    """Names of files and folders that Spark's readers leave out too."""
+    if folder and name.startswith(("_common_metadata", "_metadata")):
+        return False
+    return (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """Every stored file under ``root``: a written table (path, name, object_key, bytes, modified).
+
+    Tasks list the folders, one round for each level of them, and write what they find: the driver
+    holds no file's status, however many there are. As with Spark's readers, hidden names and empty
+    files are left out."""
+    ship_package(spark)
+    base = filesystem_of(root)[1].rstrip("/")
+
+    def children(batches):
+        disk, _ = filesystem_of(root)
+
+        def found(rows):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (
+                    pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64()))],
+                names=["path", "name", "folder", "bytes", "millis"])
+
+        rows = []
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                for x in disk.get_file_info(pafs.FileSelector(folder)):
+                    inner = x.type == pafs.FileType.Directory
+                    if not hidden(x.base_name, inner) and (inner or x.size):
+                        rows.append((x.path, x.base_name, inner, x.size or 0, (x.mtime_ns or 0) // 1_000_000))
+                    if len(rows) == ROWS:
+                        yield found(rows)
+                        rows = []
+        yield found(rows)
+
+    folders, count, levels = spark.createDataFrame([(base or "/",)], "path string"), 1, []
+    while count:
+        levels.append(written(folders.repartition(1 + count // FILES).mapInArrow(
+            children, "path string, name string, folder boolean, bytes long, millis long"), "lake", "listing"))
+        folders = levels[-1].where("folder").select("path")
+        count = folders.count()
+    listed = reduce(DataFrame.unionByName, levels).where(~F.col("folder"))
+    return listed.select("path", "name", key_below(root).alias("object_key"), "bytes",
+                         F.timestamp_millis("millis").alias("modified"))
+
+
+def dealt(files: DataFrame) -> DataFrame:
+    """``files`` (with bytes) dealt to tasks by their number and size, to be opened there."""
+    total = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return files.repartition(1 + total.n // FILES + total.bytes // TASK_BYTES)
+
+
 def scan_objects(spark: SparkSession, root: str) -> DataFrame:
     """Every object stored under ``root``: (object_key, bytes, sha256, class), read back from the
-    files themselves and written as one narrow table. Objects of up to 2 GB."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select(key_below(root).alias("object_key"), F.col("length").alias("bytes"),
-                     F.sha2(F.col("content"), 256).alias("sha256")))
-    return written(files.withColumn("class", classify("object_key")), "lake", "objects")
+    files themselves and written as one narrow table. Objects are read in pieces."""
+    files = dealt(list_files(spark, root).select("path", "object_key", "bytes"))
+
+    def scan(batches):
+        disk, _ = filesystem_of(root)
+        for batch in batches:
+            sha = []
+            for path in batch.column(0).to_pylist():
+                sha.append(stored_sha256(disk, path))
+                if sha[-1] is None:
+                    raise FileNotFoundError(path)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sha, pa.string())],
+                                             names=["object_key", "bytes", "sha256"])
+
+    return written(files.mapInArrow(scan, "object_key string, bytes long, sha256 string")
+                   .withColumn("class", classify("object_key")), "lake", "objects")
 
 
 def has_readme(root: str) -> bool:

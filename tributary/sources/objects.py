@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.timeutil import BYTES_PER_GIB, BYTES_PER_MIB, bytes_to_gb
+from tributary.lake.store import list_files
 
 # Fixed values that must equal the reference's: file names never taken as
 # data, accepted extensions and the minimum size of a real microdata file.
@@ -16,22 +17,16 @@ MIN_BYTES = 100 * 1024
 
 
 def object_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """S3: every object under ``root`` with size and modification time,
-    listed by the binaryFile source. ``content`` is never selected, so the
-    scan reads file metadata only."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    """S3: every object under ``root`` with size and modification time, and a name that matches
+    ``glob``. Tasks list the folders (``store.list_files``); no object is opened."""
+    df = list_files(spark, root)
     if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.load(root).select("path", "length", "modificationTime")
-    prefix = root.rstrip("/") + "/"
-    start = F.instr(F.col("path"), prefix) + len(prefix)
-    key = F.when(F.instr(F.col("path"), prefix) > 0, F.substr(F.col("path"), start)).otherwise(
-        F.col("path"))
-    return df.select(key.alias("object_key"), F.col("length").alias("bytes"),
-                     F.col("modificationTime").alias("modified"),
-                     (F.col("length") / F.lit(float(BYTES_PER_MIB))).alias("mib"),
-                     (F.col("length") / F.lit(float(BYTES_PER_GIB))).alias("gib"),
-                     bytes_to_gb(F.col("length")).alias("gb"))
+        pattern = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+        df = df.where(F.col("name").rlike(f"(?s)^(?:{pattern})$"))
+    return df.select("object_key", "bytes", "modified",
+                     (F.col("bytes") / F.lit(float(BYTES_PER_MIB))).alias("mib"),
+                     (F.col("bytes") / F.lit(float(BYTES_PER_GIB))).alias("gib"),
+                     bytes_to_gb(F.col("bytes")).alias("gb"))
 
 
 def largest_object(candidates: DataFrame, min_bytes: int = MIN_BYTES,
