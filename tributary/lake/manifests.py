@@ -7,13 +7,17 @@ as one table of nested rows, and is what the audits compare the stored objects w
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tributary.contract import LAKE_MANIFEST_SUFFIX, LakeLayout
 from tributary.lake.layout import manifest_key
 from tributary.lake.load import object_manifests
-from tributary.lake.store import key_below, put_objects
+from tributary.lake.store import dealt, filesystem_of, list_files, put_objects
 
 # Fixed values that must equal the reference's: the names of a manifest's fields.
 SOURCE_FIELDS = ("slug", "nombre", "organismo", "dataset_id", "portal", "licencia", "atribucion")
@@ -69,11 +73,33 @@ def put_manifests(documents: DataFrame, root: str) -> DataFrame:
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """All manifest documents under ``root`` as nested rows, with the key of their file. A file that
-    is no JSON document gives a row of nulls beside its key."""
-    return (spark.read.schema(MANIFEST_SCHEMA).option("multiLine", "true")
-            .option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{LAKE_MANIFEST_SUFFIX}")
-            .json(root).select("*", F.col("_metadata.file_path").alias("_path"))
-            .withColumn("manifest_key", key_below(root, "_path")).drop("_path"))
+    is no JSON document gives a row of nulls beside its key; one that holds an array, a row for each
+    of its documents; a blank one, none."""
+    files = list_files(spark, root).where(F.col("name").endswith(LAKE_MANIFEST_SUFFIX))
+
+    def read(batches):
+        disk, _ = filesystem_of(root)
+        for batch in batches:
+            texts = []
+            for path in batch.column(0).to_pylist():
+                with disk.open_input_stream(path, compression=None) as stream:
+                    content = stream.read()
+                try:
+                    texts.append(content.decode(json.detect_encoding(content)).strip(" \t\r\n"))
+                except UnicodeDecodeError:
+                    texts.append("?")  # no JSON document
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(texts, pa.large_string()).cast(pa.string())],
+                                             names=["manifest_key", "text"])
+
+    read_back = (dealt(files.select("path", "object_key", "bytes"))
+                 .mapInArrow(read, "manifest_key string, text string").where(F.col("text") != ""))
+    document = StructType.fromDDL(MANIFEST_SCHEMA)
+    many = F.from_json("text", ArrayType(document))
+    one = F.array(F.from_json("text", document))
+    none = F.array(F.lit(None).cast(document))
+    found = F.when(F.startswith("text", F.lit("[")), F.coalesce(many, none)).otherwise(one)
+    return (read_back.select("manifest_key", F.explode(found).alias("_doc"))
+            .select("_doc.*", "manifest_key"))
 
 
 def declared_hashes(documents: DataFrame) -> DataFrame:
