@@ -60,3 +60,12 @@ def test_wide_text_word_counts(spark):
     r = w.agg(F.min(F.size(F.split("descripcion_del_procedimiento", " "))).alias("lo"),
               F.max(F.size(F.split("descripcion_del_procedimiento", " "))).alias("hi")).first()
     assert (r["lo"], r["hi"]) == (12, 44)
+
+
+def test_meter_readings_are_dealt_to_tasks(spark):
+    """One split of the source does not become one task of all its readings."""
+    c = load(spark, SF, "customer", "c_custkey").coalesce(1)
+    m = gen.meter_readings(c, F.col("c_custkey"), hours=24)
+    parts = m.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 2 * min(r["count"] for r in parts)
+    assert sum(r["count"] for r in parts) == 24 * c.count()

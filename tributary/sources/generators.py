@@ -104,16 +104,20 @@ def skewed_records(base: DataFrame, row_id: Column, seed: int = 20260814) -> Dat
 def meter_readings(meters: DataFrame, meter_id: Column, hours: int = 168, seed: int = 42) -> DataFrame:
     """Hourly readings of every meter: daily sine profile plus noise,
     quality flags 94/5/1 %, municipality. Each meter row explodes into its
-    hours (a generator, not a join)."""
-    m = meters.select(meter_id.cast("bigint").alias("_m"),
-                      F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("_h"))
-    rid = F.col("_m") * hours + F.col("_h")
+    hours (a generator, not a join). The narrow meters are dealt to all tasks
+    first, as the readings are ``hours`` times as many as the rows that a
+    split of the source holds; a meter's name is made once."""
+    tasks = int(meters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    h = F.explode(F.sequence(F.lit(0), F.lit(hours - 1)))
+    ts = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-03-01 00:00:00")) + F.col("_h") * 3600)
     hod = F.col("_h") % 24
     base = 0.12 + 0.08 * F.pow(F.sin((hod - 6) * math.pi / 12), 2)
+    m = meters.select(meter_id.cast("bigint").alias("_m")).repartition(tasks)
+    m = m.select("_m", F.concat(F.lit("MED-"), F.lpad(F.col("_m").cast("string"), 7, "0")).alias("meter_id"),
+                 h.alias("_h"))
+    rid = F.col("_m") * hours + F.col("_h")
     cons = round_even(F.abs(base + 0.03 * normal(seed, rid, 1)), 4)
-    ts = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-03-01 00:00:00")) + F.col("_h") * 3600)
-    return m.select(F.concat(F.lit("MED-"), F.lpad(F.col("_m").cast("string"), 7, "0")).alias("meter_id"),
-                    ts.cast("timestamp_ntz").alias("reading_ts"), cons.alias("consumption_m3"),
+    return m.select("meter_id", ts.cast("timestamp_ntz").alias("reading_ts"), cons.alias("consumption_m3"),
                     weighted_choice(uniform(seed, rid, 3), QUALITY_FLAGS).alias("quality_flag"),
                     pick(uniform(seed, rid, 4), MUNICIPALITIES).alias("municipality"))
 
