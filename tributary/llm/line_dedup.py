@@ -2,10 +2,9 @@
 
 DataFrame and SQL functions only:
 
-1. each text is split into lines; a line's set holds the hashes of its
-   character shingles: ``SHINGLE`` characters from the start of every word, and
-   from every ``SHINGLE``-th character of longer words, so every character is
-   covered;
+1. each text is split into lines; a line's set holds the hashes of all its
+   character shingles: the ``SHINGLE`` characters from every character on; a
+   shorter line is one shingle;
 2. a line's MinHash signature takes the least shingle hash under ``BANDS * ROWS``
    permutations (exclusive-or with constants), in bands of ROWS. It is one
    aggregate per distinct line over its shingles, so repeated lines cost one
@@ -56,7 +55,7 @@ BLOCK = 1024
 HUB_ROUNDS, WORTH = 8, 100
 #: Bits of one of Spark's bitmaps; least and most bits of a filter (32 MB).
 BITMAP, LEAST_BITS, MOST_BITS = 32768, 1 << 20, 1 << 28
-_PATTERN = rf"(?s)(?=([^ ].{{0,{SHINGLE - 1}}}))[^ ]{{1,{SHINGLE}}}"
+_PATTERN = rf"(?s)(?=(.{{{SHINGLE}}}|\A.{{1,{SHINGLE - 1}}}(?!.)))."
 
 
 def _constant(k: int) -> int:
@@ -64,9 +63,15 @@ def _constant(k: int) -> int:
     return c - (1 << 64) if c >> 63 else c
 
 
+def line_shingles(line: Column) -> Column:
+    """Every window of SHINGLE characters, or a shorter line as one; none of a line of spaces."""
+    return F.when(F.trim(line) != "", F.regexp_extract_all(line, F.lit(_PATTERN), F.lit(1))).otherwise(
+        F.array().cast("array<string>"))
+
+
 def line_set(line: Column) -> Column:
     """The sorted distinct hashes of a line's character shingles."""
-    shingles = F.regexp_extract_all(line, F.lit(_PATTERN), F.lit(1))
+    shingles = line_shingles(line)
     return F.array_sort(F.array_distinct(F.transform(shingles, lambda s: F.xxhash64(s))))
 
 
@@ -96,8 +101,7 @@ def split_lines(docs: DataFrame, id_col: str, text_col: str, clashing: DataFrame
 def signatures(lines: DataFrame) -> DataFrame:
     """Staged (key, clash, bands): of each distinct line with a shingle, the keys of its bands, and
     whether unlike lines have its key. Shingles are exploded and meet in one aggregate."""
-    each = (lines.select("key", "check", F.explode(F.regexp_extract_all("line", F.lit(_PATTERN), F.lit(1)))
-                         .alias("shingle"))
+    each = (lines.select("key", "check", F.explode(line_shingles(F.col("line"))).alias("shingle"))
             .select("key", "check", F.xxhash64("shingle").alias("h")))
     least = each.groupBy("key").agg(
         F.min("check").alias("lo"), F.max("check").alias("hi"),
@@ -334,7 +338,7 @@ def brute_force(rows: list[tuple[int, str | None]]) -> list[tuple[int, int, list
     import re
     pattern = re.compile(_PATTERN)
     lines = [(i, k, x) for i, t in rows for k, x in enumerate((t or "").split("\n"))]
-    sets = {x: frozenset(m.group(1) for m in pattern.finditer(x)) for _, _, x in lines}
+    sets = {x: frozenset(m.group(1) for m in pattern.finditer(x) if x.strip(" ")) for _, _, x in lines}
     texts = [x for x in sets if sets[x]]
     root = {x: x for x in texts}
 
