@@ -1,5 +1,6 @@
 """Every window of a line's characters counts in its set, wherever it begins."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import line_dedup as lines
@@ -26,3 +27,40 @@ def test_words_that_differ_inside_are_seen(spark):
         spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()]
     assert got == lines.brute_force(rows)
     assert dict((i, k) for i, _, k in got) == {1: [0], 2: [], 3: [0], 4: [0], 5: []}
+
+
+def test_sets_of_candidates_are_lines_and_only_theirs_are_shuffled(spark, monkeypatch):
+    """A set is many times its line: neither staged nor shuffled. The lines are sifted before their join."""
+    rows = [(k, f"{k:06d} " + " ".join(f"w{k * j % 977:03d}" for j in range(1, 60))) for k in range(400)]
+    rows += [(1000 + k, rows[k + 1][1] + " end") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found, signed = lines.identified(docs, "doc_id", "text")
+    wanted = lines.stage(lines.band_members(signed).select("key").distinct(), "wanted")
+    plans, stage = {}, lines.stage
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name)
+    monkeypatch.setattr(lines, "stage", noted)
+    sets = lines.line_sets(found, wanted)
+    assert sets.columns == ["key", "line", "size"]
+    assert all(len({r.line[k:k + K] for k in range(len(r.line) - K + 1)}) == r.size for r in sets.collect())
+    # the bitmap is below the join with the wanted keys
+    assert plans["sets"].index("Join Inner") < plans["sets"].index("bit_get") and "LeftSemi" not in plans["sets"]
+    ends = lines.band_members(signed).join(sets.select("key", "size", F.lit(2 ** 31 - 1).alias("most")), "key")
+    assert lines.verified_links(lines._listed(ends, "band").distinct(), sets).count() == 4
+
+
+@pytest.mark.parametrize("length", [1, K - 1, K, K + 1, K + 6, K + 7, K + 8, 5 * K])
+def test_signatures_meet_every_window(spark, length):
+    """The least hashes are those of the set, wherever the last row of windows ends."""
+    text = "".join(chr(97 + k * k % 23) if k % 5 else "é" for k in range(length))
+    row = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = lines.split_lines(row, "doc_id", "text")
+    h = found.select(lines.line_set(F.col("line")).alias("h")).first().h
+    assert len(h) == len({text[k:k + K] for k in range(max(1, length - K + 1))})
+    least = [min(x ^ lines._constant(k) for x in h) for k in range(lines.BANDS * lines.ROWS)]
+    want = spark.createDataFrame([tuple(least)], [f"m{k}" for k in range(len(least))]).select(
+        *[F.xxhash64(F.lit(b), *[f"m{k}" for k in range(b * lines.ROWS, (b + 1) * lines.ROWS)])
+          for b in range(lines.BANDS)]).first()
+    assert lines.signatures(found).first().bands == list(want)

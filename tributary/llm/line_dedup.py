@@ -7,8 +7,8 @@ DataFrame and SQL functions only:
    shorter line is one shingle;
 2. a line's MinHash signature takes the least shingle hash under ``BANDS * ROWS``
    permutations (exclusive-or with constants), in bands of ROWS. It is one
-   aggregate per distinct line over its shingles, so repeated lines cost one
-   signature. Lines of similarity 0.8 share a band with probability
+   aggregate per distinct line over its shingles, which are cut from the line's
+   code points and met STEP at a time. Lines of similarity 0.8 share a band with probability
    1 - (1 - 0.8 ** 3) ** 9 = 99.8 %;
 3. all pairs of distinct lines under a band's key whose sizes allow a link are
    candidates, up to ``GROUP`` lines. The lines of larger bands are joined
@@ -21,7 +21,8 @@ DataFrame and SQL functions only:
    pairs of blocks: of BLOCK lines, and of more (32 times the
    root) in groups of millions, so that dealing stays far below the square of
    the group;
-4. candidates are verified exactly, on the whole sets;
+4. candidates are verified exactly, on the whole sets: the lines themselves meet
+   their pairs, as a set is many times its line, and each task makes the sets;
 5. links are joined to components by distributed star contraction, and each
    component keeps its first line (by document id, then place).
 
@@ -53,6 +54,8 @@ BLOCK = 1024
 #: Rounds at most in which the lines of large groups are compared with one more line of their group
 #: each; another round follows one that linked at least a line in WORTH.
 HUB_ROUNDS, WORTH = 8, 100
+#: Windows whose hashes meet the signatures' aggregate in one row.
+STEP = 8
 #: Bits of one of Spark's bitmaps; least and most bits of a filter (32 MB).
 BITMAP, LEAST_BITS, MOST_BITS = 32768, 1 << 20, 1 << 28
 _PATTERN = rf"(?s)(?=(.{{{SHINGLE}}}|\A.{{1,{SHINGLE - 1}}}(?!.)))."
@@ -63,16 +66,36 @@ def _constant(k: int) -> int:
     return c - (1 << 64) if c >> 63 else c
 
 
+def _coded(line: Column) -> Column:
+    """The line with four bytes for each character, so that a window is found by its place."""
+    return F.encode(line, "UTF-32")
+
+
+def _n_windows(coded: Column) -> Column:
+    return F.greatest(F.lit(1), F.floor(F.length(coded) / 4).cast("int") - (SHINGLE - 1))
+
+
+def _window(coded: Column, place: Column) -> Column:
+    """The characters of the window at a place (from 0); all of a shorter line."""
+    return F.substring(coded, place * 4 + 1, F.lit(4 * SHINGLE))
+
+
+def _each_window(line: Column, value) -> Column:
+    """``value`` of every window of SHINGLE characters, or of a shorter line as one; none of a line
+    of spaces. The line is coded once: it enters the windows' lambda as a variable."""
+    windows = F.transform(F.array(_coded(line)), lambda coded: F.transform(
+        F.sequence(F.lit(0), _n_windows(coded) - 1), lambda place: value(_window(coded, place))))
+    return F.flatten(F.when(F.trim(line) != "", windows).otherwise(F.slice(windows, 1, 0)))
+
+
 def line_shingles(line: Column) -> Column:
     """Every window of SHINGLE characters, or a shorter line as one; none of a line of spaces."""
-    return F.when(F.trim(line) != "", F.regexp_extract_all(line, F.lit(_PATTERN), F.lit(1))).otherwise(
-        F.array().cast("array<string>"))
+    return _each_window(line, lambda window: F.decode(window, "UTF-32"))
 
 
 def line_set(line: Column) -> Column:
-    """The sorted distinct hashes of a line's character shingles."""
-    shingles = line_shingles(line)
-    return F.array_sort(F.array_distinct(F.transform(shingles, lambda s: F.xxhash64(s))))
+    """The distinct hashes of a line's character shingles."""
+    return F.array_distinct(_each_window(line, F.xxhash64))
 
 
 def _hash(line: Column) -> Column:
@@ -100,12 +123,17 @@ def split_lines(docs: DataFrame, id_col: str, text_col: str, clashing: DataFrame
 
 def signatures(lines: DataFrame) -> DataFrame:
     """Staged (key, clash, bands): of each distinct line with a shingle, the keys of its bands, and
-    whether unlike lines have its key. Shingles are exploded and meet in one aggregate."""
-    each = (lines.select("key", "check", F.explode(line_shingles(F.col("line"))).alias("shingle"))
-            .select("key", "check", F.xxhash64("shingle").alias("h")))
-    least = each.groupBy("key").agg(
+    whether unlike lines have its key. Shingles are exploded, STEP a row, and meet in one aggregate."""
+    n = _n_windows(F.col("coded"))
+    steps = (lines.where(F.trim("line") != "").select("key", "check", _coded(F.col("line")).alias("coded"))
+             .select("key", "check", "coded", n.alias("n"),
+                     F.explode(F.sequence(F.lit(0), n - 1, F.lit(STEP))).alias("place")))
+    # past the line's end the last window is met again
+    hashes = [F.xxhash64(_window(F.col("coded"), F.least(F.col("place") + j, F.col("n") - 1))).alias(f"h{j}")
+              for j in range(STEP)]
+    least = steps.select("key", "check", *hashes).groupBy("key").agg(
         F.min("check").alias("lo"), F.max("check").alias("hi"),
-        *[F.min(F.col("h").bitwiseXOR(F.lit(_constant(k)))).alias(f"m{k}")
+        *[F.min(F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(_constant(k))) for j in range(STEP)])).alias(f"m{k}")
           for k in range(BANDS * ROWS)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in range(b * ROWS, (b + 1) * ROWS)])
                       for b in range(BANDS)])
@@ -156,11 +184,11 @@ def band_members(signed: DataFrame) -> DataFrame:
 
 
 def line_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Staged (key, elements, size) of the distinct keys ``wanted`` (staged)."""
-    sets = (sifted(lines.select("key", "line"), wanted, "key").hint("merge")
-            .join(wanted, "key", "left_semi").dropDuplicates(["key"])
-            .select("key", line_set(F.col("line")).alias("elements")))
-    return stage(sets.withColumn("size", F.size("elements")), "sets")
+    """Staged (key, line, size) of the distinct keys ``wanted`` (staged): a line and its set's size."""
+    # not a semi-join: Catalyst would move it below the sifting, and every line would be shuffled
+    found = (sifted(lines.select("key", "line"), wanted, "key").hint("merge")
+             .join(wanted, "key").dropDuplicates(["key"]))
+    return stage(found.select("key", "line", F.size(line_set(F.col("line"))).alias("size")), "sets")
 
 
 def may_link(x: Column, y: Column) -> Column:
@@ -188,7 +216,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
     The element at place p (from 0) being the first that two sets share, they share at most
     size - p elements: ``most`` is the largest partner that this allows. ``common``: how common
     the set's elements are; ``n``: the entries under the element."""
-    each = sets.select("key", "size", F.explode("elements").alias("element"))
+    each = sets.select("key", "size", F.explode(line_set(F.col("line"))).alias("element"))
     often = each.groupBy("element").agg(F.count(F.lit(1)).alias("often"))
     least = F.ceil(F.col("size") * NUM / DEN).cast("int")
     ranked = (each.join(often, "element").groupBy("key", "size")
@@ -246,11 +274,13 @@ def unconnected_pairs(mixed: DataFrame) -> DataFrame:
 
 def verified_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Staged: the pairs whose sets have a Jaccard similarity of at least NUM / DEN."""
-    both = (pairs.join(sets.select(F.col("key").alias("a"), F.col("elements").alias("x")), "a")
-            .join(sets.select(F.col("key").alias("b"), F.col("elements").alias("y")), "b")
-            .withColumn("common", F.size(F.array_intersect("x", "y"))))
-    union = F.size("x") + F.size("y") - F.col("common")
-    return stage(both.where(F.col("common") * DEN >= F.lit(NUM) * union).select("a", "b"), "links")
+    ends = [sets.select(F.col("key").alias(k), F.col("line").alias(f"line_{k}"), F.col("size").alias(f"size_{k}"))
+            for k in "ab"]
+    both = pairs.join(ends[0], "a").join(ends[1], "b")
+    common = F.size(F.array_intersect(line_set(F.col("line_a")), line_set(F.col("line_b"))))
+    # common / (sizes - common) >= NUM / DEN, with the sets met once
+    alike = common * (DEN + NUM) >= (F.col("size_a") + F.col("size_b")) * NUM
+    return stage(both.where(alike).select("a", "b"), "links")
 
 
 def line_components(lines: DataFrame, signed: DataFrame) -> DataFrame:
