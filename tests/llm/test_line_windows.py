@@ -64,3 +64,22 @@ def test_signatures_meet_every_window(spark, length):
         *[F.xxhash64(F.lit(b), *[f"m{k}" for k in range(b * lines.ROWS, (b + 1) * lines.ROWS)])
           for b in range(lines.BANDS)]).first()
     assert lines.signatures(found).first().bands == list(want)
+
+
+def test_links_are_verified_without_distinct_sets_first(spark, monkeypatch):
+    """An intersection is distinct by itself; windows that repeat in a line count once."""
+    rows = [(1, "abcdefghijklmnopqrstuvwx" * 4), (2, "abcdefghijklmnopqrstuvwx" * 6), (3, "x" * 90), (4, "x" * 40),
+            (5, "abcdefghijklmnopqrstuvwx" * 4 + "0123456789" * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lines.split_lines(docs, "doc_id", "text")
+    sets = found.select("key", "line", F.size(lines.line_set(F.col("line"))).alias("size"))
+    pairs = sets.select(F.col("key").alias("a")).join(sets.select(F.col("key").alias("b"))).where("a < b")
+    plans, stage = {}, lines.stage
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name)
+    monkeypatch.setattr(lines, "stage", noted)
+    of = {r.key: r.id for r in found.collect()}
+    assert {tuple(sorted((of[r.a], of[r.b]))) for r in lines.verified_links(pairs, sets).collect()} == {(1, 2), (3, 4)}
+    assert "array_intersect" in plans["links"] and plans["links"].count("array_distinct") <= 2  # of the sizes given

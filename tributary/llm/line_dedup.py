@@ -93,9 +93,14 @@ def line_shingles(line: Column) -> Column:
     return _each_window(line, lambda window: F.decode(window, "UTF-32"))
 
 
+def line_hashes(line: Column) -> Column:
+    """The hashes of a line's character shingles, one for each window."""
+    return _each_window(line, F.xxhash64)
+
+
 def line_set(line: Column) -> Column:
     """The distinct hashes of a line's character shingles."""
-    return F.array_distinct(_each_window(line, F.xxhash64))
+    return F.array_distinct(line_hashes(line))
 
 
 def _hash(line: Column) -> Column:
@@ -277,7 +282,8 @@ def verified_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ends = [sets.select(F.col("key").alias(k), F.col("line").alias(f"line_{k}"), F.col("size").alias(f"size_{k}"))
             for k in "ab"]
     both = pairs.join(ends[0], "a").join(ends[1], "b")
-    common = F.size(F.array_intersect(line_set(F.col("line_a")), line_set(F.col("line_b"))))
+    # an intersection holds each element once, whatever repeats in the lines
+    common = F.size(F.array_intersect(line_hashes(F.col("line_a")), line_hashes(F.col("line_b"))))
     # common / (sizes - common) >= NUM / DEN, with the sets met once
     alike = common * (DEN + NUM) >= (F.col("size_a") + F.col("size_b")) * NUM
     return stage(both.where(alike).select("a", "b"), "links")
