@@ -388,3 +388,26 @@ def test_every_byte_of_a_long_token_counts():
     score = mixer.scores(*mixing.buffer_of(pa.array(["x" * n for n in size], pa.large_string())),
                          none)[0]
     assert np.all(np.diff(score) / np.diff(size) < -1.0)
+
+
+def test_word_beginnings_and_repeats_in_a_text_are_as_defined():
+    """The running sums give the hash of a word's beginning, and one sort the tokens alike in a text."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(chr(c) for c in rng.integers(97, 100, k)) for k in rng.integers(1, 14, 60))
+             for _ in range(5)] + ["", "a", None, "\u00e9\u00ff" * 9, "b a b a b", "x" * 300]
+    data, offsets = mixing.buffer_of(pa.array(texts, pa.large_string()))
+    stream, rank, token_at, token_first, hashes = mixing.byte_stream(data, offsets)
+    found = mixing._contexts(stream, rank, token_at[token_first])[2]
+    for i in range(len(stream)):
+        want = 0
+        for back in range(min(int(rank[i]), mixing.PREFIX), 0, -1):
+            want = (want + int(stream[i - back]) + 1) * 0x2C1B3C6D % (1 << 32)
+        want = (want + min(int(rank[i]), mixing.PREFIX + 1) * 0x297A2D39) % (1 << 32)
+        assert int(found[i]) == want, i
+    share, again, _ = mixing.token_predictors(hashes, token_first)
+    for a, b in zip(token_first[:-1], token_first[1:]):
+        own = hashes[a:b].tolist()
+        for k, h in enumerate(own):
+            assert share[a + k] == own[:k].count(h) / max(k, 1)
+            last = [m for m in range(k - 1) if own[m] == own[k - 1]]
+            assert again[a + k] == bool(last and own[last[-1] + 1] == h)
