@@ -83,3 +83,36 @@ def test_links_are_verified_without_distinct_sets_first(spark, monkeypatch):
     of = {r.key: r.id for r in found.collect()}
     assert {tuple(sorted((of[r.a], of[r.b]))) for r in lines.verified_links(pairs, sets).collect()} == {(1, 2), (3, 4)}
     assert "array_intersect" in plans["links"] and plans["links"].count("array_distinct") <= 2  # of the sizes given
+
+
+def test_a_window_enters_one_bin_in_place_of_every_permutation(spark, monkeypatch):
+    """The least hash under each permutation is read from the bins' least hashes, also where most bins
+    are empty; no generated method is too long for the JVM to compile (8,000 bytes)."""
+    import re
+    rows = [(k, "".join(chr(97 + (k * 31 + j * j * (k % 7 + 1)) % 26) for j in range(k * k // 3 + 1))) for k in range(40)]
+    found = lines.split_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    plans, stage = {}, lines.stage
+
+    def noted(df, name):
+        explain = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString
+        plans[name] = [df._jdf.queryExecution().explainString(explain(mode)) for mode in ("extended", "codegen")]
+        return stage(df, name)
+    monkeypatch.setattr(lines, "stage", noted)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else no code is generated before the run
+    try:
+        signed = {r.key: r.bands for r in lines.signatures(found).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plans["signatures"][1])]
+    assert sizes and max(sizes) < 8000
+    aggregate = re.search(r"\n *\+?-? *Aggregate .*", plans["signatures"][0]).group()
+    assert " ^ " not in aggregate and "FILTER" in aggregate
+    hashes = {r.key: r.h for r in found.select("key", lines.line_set(F.col("line")).alias("h")).collect()}
+    assert set(signed) == set(hashes)
+    least = [(key, *[min(x ^ lines._constant(k) for x in h) for k in range(lines.BANDS * lines.ROWS)])
+             for key, h in hashes.items()]
+    names = [f"m{k}" for k in range(lines.BANDS * lines.ROWS)]
+    want = spark.createDataFrame(least, ["key", *names]).select("key", F.array(
+        *[F.xxhash64(F.lit(b), *names[b * lines.ROWS:(b + 1) * lines.ROWS]) for b in range(lines.BANDS)]).alias("bands"))
+    assert {r.key: r.bands for r in want.collect()} == signed

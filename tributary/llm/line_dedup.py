@@ -6,8 +6,10 @@ DataFrame and SQL functions only:
    character shingles: the ``SHINGLE`` characters from every character on; a
    shorter line is one shingle;
 2. a line's MinHash signature takes the least shingle hash under ``BANDS * ROWS``
-   permutations (exclusive-or with constants), in bands of ROWS. It is one
-   aggregate per distinct line over its shingles, which are cut from the line's
+   permutations (exclusive-or with constants), in bands of ROWS. The constants
+   differ in the upper bits only, so the least hash of each of BINS bins, by these
+   bits, gives all of them, and a shingle enters one bin in place of every permutation.
+   It is one aggregate per distinct line over its shingles, which are cut from the line's
    code points and met STEP at a time. Lines of similarity 0.8 share a band with probability
    1 - (1 - 0.8 ** 3) ** 9 = 99.8 %;
 3. all pairs of distinct lines under a band's key whose sizes allow a link are
@@ -54,15 +56,19 @@ BLOCK = 1024
 #: Rounds at most in which the lines of large groups are compared with one more line of their group
 #: each; another round follows one that linked at least a line in WORTH.
 HUB_ROUNDS, WORTH = 8, 100
-#: Windows whose hashes meet the signatures' aggregate in one row.
+#: Windows whose hashes meet the signatures' aggregate in one row: with many more, the generated
+#: method would be too long for the JVM to compile.
 STEP = 8
+#: Bins of hashes by their upper BIN_BITS bits, at least as many as permutations.
+BIN_BITS = 5
+BINS = 1 << BIN_BITS
 #: Bits of one of Spark's bitmaps; least and most bits of a filter (32 MB).
 BITMAP, LEAST_BITS, MOST_BITS = 32768, 1 << 20, 1 << 28
 _PATTERN = rf"(?s)(?=(.{{{SHINGLE}}}|\A.{{1,{SHINGLE - 1}}}(?!.)))."
 
 
 def _constant(k: int) -> int:
-    c = (k * 0x9E3779B97F4A7C15) % (1 << 64)
+    c = k << (64 - BIN_BITS)
     return c - (1 << 64) if c >> 63 else c
 
 
@@ -71,21 +77,22 @@ def _coded(line: Column) -> Column:
     return F.encode(line, "UTF-32")
 
 
-def _n_windows(coded: Column) -> Column:
-    return F.greatest(F.lit(1), F.floor(F.length(coded) / 4).cast("int") - (SHINGLE - 1))
+def _last(coded: Column) -> Column:
+    """Where the last window begins, in bytes from 1."""
+    return F.greatest(F.lit(1), F.length(coded) - (4 * SHINGLE - 1))
 
 
-def _window(coded: Column, place: Column) -> Column:
-    """The characters of the window at a place (from 0); all of a shorter line."""
-    return F.substring(coded, place * 4 + 1, F.lit(4 * SHINGLE))
+def _window(coded: Column, at: Column) -> Column:
+    """The characters of the window that begins at a byte (from 1); all of a shorter line."""
+    return F.substring(coded, at, F.lit(4 * SHINGLE))
 
 
 def _each_window(line: Column, value) -> Column:
     """``value`` of every window of SHINGLE characters, or of a shorter line as one; none of a line
     of spaces. The line is coded once: it enters the windows' lambda as a variable."""
     windows = F.transform(F.array(_coded(line)), lambda coded: F.transform(
-        F.sequence(F.lit(0), _n_windows(coded) - 1), lambda place: value(_window(coded, place))))
-    return F.flatten(F.when(F.trim(line) != "", windows).otherwise(F.slice(windows, 1, 0)))
+        F.sequence(F.lit(1), _last(coded), F.lit(4)), lambda at: value(_window(coded, at))))
+    return F.coalesce(F.when(F.trim(line) != "", F.get(windows, F.lit(0))), F.flatten(F.slice(windows, 1, 0)))
 
 
 def line_shingles(line: Column) -> Column:
@@ -126,22 +133,44 @@ def split_lines(docs: DataFrame, id_col: str, text_col: str, clashing: DataFrame
             .drop("clash"))
 
 
+def _least_of_bin(j: int) -> Column:
+    """The least of a row's hashes from the j-th on that are in the j-th one's bin."""
+    rest = [F.expr(f"if(b{i} = b{j}, h{i}, h{j})") for i in range(j + 1, STEP)]
+    return F.least(f"h{j}", *rest) if rest else F.col(f"h{j}")
+
+
+def _bin_least(b: int) -> Column:
+    """The least hash of a bin over rows of STEP hashes; bins are numbered in the order of the hashes,
+    which are signed. Rows without a hash of the bin don't reach the aggregate: ``held`` has a bit for
+    each bin that the row's hashes are in."""
+    upper = b - BINS // 2
+    value = f"v{STEP - 1}"
+    for j in reversed(range(STEP - 1)):
+        value = f"if(b{j} = {upper}, v{j}, {value})"
+    return F.expr(f"min({value}) filter (where (held & shiftleft(1, {upper})) != 0)")
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """Staged (key, clash, bands): of each distinct line with a shingle, the keys of its bands, and
     whether unlike lines have its key. Shingles are exploded, STEP a row, and meet in one aggregate."""
-    n = _n_windows(F.col("coded"))
     steps = (lines.where(F.trim("line") != "").select("key", "check", _coded(F.col("line")).alias("coded"))
-             .select("key", "check", "coded", n.alias("n"),
-                     F.explode(F.sequence(F.lit(0), n - 1, F.lit(STEP))).alias("place")))
+             .select("key", "check", "coded", _last(F.col("coded")).alias("last"))
+             .select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(4 * STEP))).alias("at")))
     # past the line's end the last window is met again
-    hashes = [F.xxhash64(_window(F.col("coded"), F.least(F.col("place") + j, F.col("n") - 1))).alias(f"h{j}")
-              for j in range(STEP)]
-    least = steps.select("key", "check", *hashes).groupBy("key").agg(
-        F.min("check").alias("lo"), F.max("check").alias("hi"),
-        *[F.min(F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(_constant(k))) for j in range(STEP)])).alias(f"m{k}")
-          for k in range(BANDS * ROWS)])
-    bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in range(b * ROWS, (b + 1) * ROWS)])
-                      for b in range(BANDS)])
+    places = ["at", *[F.least(F.col("at") + 4 * j, F.col("last")) for j in range(1, STEP)]]
+    hashes = [F.xxhash64(_window(F.col("coded"), at)).alias(f"h{j}") for j, at in enumerate(places)]
+    binned = steps.select("key", "check", *hashes).select(
+        "*", *[F.shiftright(f"h{j}", 64 - BIN_BITS).cast("int").alias(f"b{j}") for j in range(STEP)])
+    held = F.expr(" | ".join(f"shiftleft(1, b{j})" for j in range(STEP)))
+    least = binned.select("key", "check", held.alias("held"), *[f"b{j}" for j in range(STEP)], *[
+        _least_of_bin(j).alias(f"v{j}") for j in range(STEP)]).groupBy("key").agg(
+        F.min("check").alias("lo"), F.max("check").alias("hi"), *[_bin_least(b).alias(f"m{b}") for b in range(BINS)])
+    # the least hash under permutation k is in bin k, or in the nearest one, by exclusive-or, that has any
+    least_under = [F.coalesce(*[f"m{k ^ j}" for j in range(BINS)]).bitwiseXOR(F.lit(_constant(k)))
+                   for k in range(BANDS * ROWS)]
+    # a lambda's projection is split into methods; generated in line, it would be too long to be compiled
+    bands = F.transform(F.array(*[F.array(*least_under[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)]),
+                        lambda rows, b: F.xxhash64(b, rows))
     return stage(least.select("key", (F.col("lo") != F.col("hi")).alias("clash"), bands.alias("bands")),
                  "signatures")
 
