@@ -67,8 +67,14 @@ BITMAP, LEAST_BITS, MOST_BITS = 32768, 1 << 20, 1 << 28
 _PATTERN = rf"(?s)(?=(.{{{SHINGLE}}}|\A.{{1,{SHINGLE - 1}}}(?!.)))."
 
 
+def _bin(k: int) -> int:
+    """The bin of a permutation: those of a band lie far apart, as near ones borrow from the same bin in
+    short lines, and one common shingle would then make a band."""
+    return k * 19 % BINS
+
+
 def _constant(k: int) -> int:
-    c = k << (64 - BIN_BITS)
+    c = _bin(k) << (64 - BIN_BITS)
     return c - (1 << 64) if c >> 63 else c
 
 
@@ -165,8 +171,8 @@ def signatures(lines: DataFrame) -> DataFrame:
     least = binned.select("key", "check", held.alias("held"), *[f"b{j}" for j in range(STEP)], *[
         _least_of_bin(j).alias(f"v{j}") for j in range(STEP)]).groupBy("key").agg(
         F.min("check").alias("lo"), F.max("check").alias("hi"), *[_bin_least(b).alias(f"m{b}") for b in range(BINS)])
-    # the least hash under permutation k is in bin k, or in the nearest one, by exclusive-or, that has any
-    least_under = [F.coalesce(*[f"m{k ^ j}" for j in range(BINS)]).bitwiseXOR(F.lit(_constant(k)))
+    # the least hash under a permutation is in its bin, or in the nearest one, by exclusive-or, that has any
+    least_under = [F.coalesce(*[f"m{_bin(k) ^ j}" for j in range(BINS)]).bitwiseXOR(F.lit(_constant(k)))
                    for k in range(BANDS * ROWS)]
     # a lambda's projection is split into methods; generated in line, it would be too long to be compiled
     bands = F.transform(F.array(*[F.array(*least_under[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)]),
