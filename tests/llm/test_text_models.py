@@ -411,3 +411,103 @@ def test_word_beginnings_and_repeats_in_a_text_are_as_defined():
             assert share[a + k] == own[:k].count(h) / max(k, 1)
             last = [m for m in range(k - 1) if own[m] == own[k - 1]]
             assert again[a + k] == bool(last and own[last[-1] + 1] == h)
+
+
+def test_mixture_learns_from_every_training_text(spark, monkeypatch):
+    """Context counts, weights, refinement and shares are those of all training texts, copies too."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 60))) for _ in range(160)]
+    rows = list(enumerate(texts + texts[:20] + [None, ""])) + [(None, "not learned"), (3, texts[3])]
+    train = [t for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    met, taken, scored = [], [], []
+    take, score_texts = mixing.Mixer.take, mixing.score_texts
+    monkeypatch.setattr(mixing.Mixer, "take", lambda self, lesson, sums: (taken.append((lesson, sums)),
+                                                                          take(self, lesson, sums))[1])
+    monkeypatch.setattr(mixing, "score_texts", lambda docs, mixer, tables, *rest: (
+        scored.append((mixer.tree, tables.value)), score_texts(docs, mixer, tables, *rest))[1])
+    for frequent in (1 << 16, 20):  # the words' counts are broadcast, or met in their buckets
+        monkeypatch.setattr(mixing, "FREQUENT", frequent)
+        rows_out = mixing.context_mixing(spark.createDataFrame(rows, SCHEMA).repartition(3, "text")).collect()
+        met.append((dict(taken), sorted((r.doc_id or -1, r.score) for r in rows_out)))
+    tree, tables = scored[0]
+    data, offsets = mixing.buffer_of(pa.array(train, pa.large_string()))
+    stream, _, _, _, hashes = mixing.byte_stream(data, offsets)
+    counts = mixing.Counts(tree.powers)
+    counts.add(data, offsets, tree)
+    total = counts.finished().astype(float)
+    assert np.array_equal(tables, np.clip(np.rint(np.log((total[1::2] + 0.4) / (total[0::2] + 0.4)) * mixing._SCALE),
+                                          -127, 127))
+    for sums, _ in met:
+        assert sums["weights"][-mixing._GATES:].sum() == tree.length[stream].sum()
+        assert np.array(sums["refinement"]).reshape(2, -1)[0].sum() == tree.length[stream].sum()
+        assert sums["shares"].sum() == pytest.approx(len(hashes))
+    assert met[0][0]["shares"] == pytest.approx(met[1][0]["shares"], abs=0.05)
+    assert [s for _, s in met[0][1]] == pytest.approx([s for _, s in met[1][1]], rel=1e-3)
+
+
+def test_a_slice_is_predicted_by_the_counts_without_it(monkeypatch):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(1, 6)))
+    texts = [" ".join(word() for _ in range(30)) for _ in range(12)] + ["", "x" * 700]
+    layout = lambda ts: mixing.buffer_of(pa.array(ts, pa.large_string()))
+    tree = mixing.Tree(np.bincount(mixing.byte_stream(*layout(texts))[0], minlength=256))
+
+    def counted(ts):
+        counts = mixing.Counts(tree.powers)
+        counts.add(*layout(ts), tree)
+        return counts.finished()
+
+    for begin, most in ((texts[:2], 127), (texts * 20, 1 << 20)):
+        rest, total = counted(begin).astype(float), counted(begin + texts[6:8])
+        none = mixing.Unigram(0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        want = mixing.Mixer(tree, mixing.logits(rest[0::2], rest[1::2])).scores(*layout(texts[6:8]), none)[0]
+        seen = mixing.coded(total)
+        got = mixing.Mixer(tree).attach_seen(seen.reshape(-1, 2)).scores(*layout(texts[6:8]), none)[0]
+        assert total.max() <= most
+        assert got == pytest.approx(want, rel=0 if most == 127 else 0.02)
+        assert np.all(mixing._COUNTS[seen] <= total)  # never a text that is left out
+        monkeypatch.setattr(mixing, "_HELD", 0)  # as with a text too long to hold its decisions
+        long = mixing.Mixer(tree).attach_seen(seen.reshape(-1, 2)).scores(*layout(texts[6:8]), none)[0]
+        monkeypatch.undo()
+        assert np.array_equal(long, got)
+    alone = mixing.Mixer(tree).attach_seen(mixing.coded(counted(texts[:1])).reshape(-1, 2))
+    nothing = mixing.Mixer(tree, np.zeros(int(tree.table_first[-1]), np.int8))
+    assert np.array_equal(alone.scores(*layout(texts[:1]), none)[0], nothing.scores(*layout(texts[:1]), none)[0])
+
+
+def test_costs_kept_are_those_made_anew():
+    rng = random.Random(13)
+    texts = [" ".join(rng.choice(["ab", "abc", "ca", "cabbage"]) for _ in range(40)) for _ in range(30)]
+    data, offsets = mixing.buffer_of(pa.array(texts, pa.large_string()))
+    tree = mixing.Tree(np.bincount(mixing.byte_stream(data, offsets)[0], minlength=256))
+    counts = mixing.Counts(tree.powers)
+    counts.add(data, offsets, tree)
+    total = counts.finished().astype(float)
+    tables = mixing.logits(total[0::2], total[1::2])
+    none = mixing.Unigram(0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    anew, kept = mixing.Mixer(tree, tables), mixing.Mixer(tree, tables).keep()
+    for _ in range(2):
+        assert np.array_equal(anew.scores(data, offsets, none)[0], kept.scores(data, offsets, none)[0])
+    # parts of any size have the same distinct bytes, places and layout
+    whole, cut = mixing.Bytes(data, offsets), mixing.Bytes(data, offsets, 100)
+    for name in ("stream", "times", "key", "code", "hashes", "token_at", "token_first", "text_at"):
+        assert np.array_equal(getattr(whole, name), getattr(cut, name)), name
+    assert np.array_equal(whole.stream[whole.code], mixing.byte_stream(data, offsets)[0])
+
+
+def test_tokens_in_order_when_keys_share_their_upper_bits():
+    key = np.array([5, 1 << 40, 7, 5, 6, 1 << 40, 5], dtype=np.uint64)
+    assert np.array_equal(mixing._in_order(key), np.argsort(key, kind="stable"))
+    key = np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64)[np.arange(5000) % 1000]
+    assert np.array_equal(mixing._in_order(key), np.argsort(key, kind="stable"))
+
+
+def test_without_training_texts_the_scores_are_those_of_the_prior(spark):
+    held = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5 == 1]
+    rows = [(k, "some words in some text") for k in held] + [(None, None)]
+    got = mixing.context_mixing(spark.createDataFrame(rows, SCHEMA)).collect()
+    mixer = mixing.Mixer(mixing.Tree(np.zeros(256, np.int64)), np.zeros(int(mixing._FIRST[-1]), np.int8))
+    none = mixing.Unigram(0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    want = mixer.scores(*mixing.buffer_of(pa.array([t for _, t in rows], pa.large_string())), none)[0]
+    assert sorted(r.score for r in got) == pytest.approx(sorted(want), rel=1e-9)
